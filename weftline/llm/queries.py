@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import line_dedup, mixing, quality
+from weftline.llm import bpe, line_dedup, minhash, mixing, quality
 from weftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary file lies, the same on driver and executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[f.__name__] = f
     return f
@@ -89,3 +96,14 @@ o AS (SELECT x.doc_id, count(g.k)::BIGINT AS n_removed, count(*)::BIGINT AS n_li
       FROM x LEFT JOIN g ON x.doc_id = g.doc_id AND x.k = g.k GROUP BY x.doc_id)
 SELECT d.doc_id, coalesce(o.n_lines, 0) AS n_lines, coalesce(o.n_removed, 0) AS n_removed, o.text FROM documents d LEFT JOIN o ON d.doc_id = o.doc_id
 """
+
+
+@query
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
