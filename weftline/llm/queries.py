@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, line_dedup, minhash, mixing, quality
+from weftline.llm import bpe, line_dedup, minhash, mixing, quality, token_store, warc
 from weftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    store = token_store.write(docs, vocabulary("byte_bpe_50k.json"), end_id=0)
+    return token_store.fetch(store, token_store.lookup(store, docs.select("doc_id")))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")), quality.STANDARD)
@@ -107,3 +114,24 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = warc.folder_for(pages)
+    return warc.read(warc.write(pages, folder), folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op8_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+r AS (SELECT page_id, h, row_number() OVER (PARTITION BY h ORDER BY page_id NULLS LAST) AS n, min(page_id) OVER (PARTITION BY h) AS m FROM p),
+d AS (SELECT *, unhex(sha1(h)) AS b FROM r)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (list_reduce(list_transform(range(0, 5), lambda j: substr(bits, k * 5 + j + 1, 1)::INTEGER), lambda a, x: 2 * a + x) + 1)::INTEGER, 1)), '') AS payload_digest,
+       CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN n > 1 THEN m END AS refers_to
+FROM (SELECT *, array_to_string(list_transform(range(0, 40), lambda i: CASE substr(sha1(h), i + 1, 1) WHEN '0' THEN '0000' WHEN '1' THEN '0001' WHEN '2' THEN '0010' WHEN '3' THEN '0011'
+  WHEN '4' THEN '0100' WHEN '5' THEN '0101' WHEN '6' THEN '0110' WHEN '7' THEN '0111' WHEN '8' THEN '1000' WHEN '9' THEN '1001' WHEN 'a' THEN '1010' WHEN 'b' THEN '1011'
+  WHEN 'c' THEN '1100' WHEN 'd' THEN '1101' WHEN 'e' THEN '1110' ELSE '1111' END), '') AS bits FROM d)
+"""
