@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, line_dedup, minhash, mixing, quality, token_store, warc
+from weftline.llm import bpe, fingerprint, langid, line_dedup, lm, minhash, mixing, quality, token_store, warc
 from weftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,22 @@ FROM (SELECT *, array_to_string(list_transform(range(0, 40), lambda i: CASE subs
   WHEN '4' THEN '0100' WHEN '5' THEN '0101' WHEN '6' THEN '0110' WHEN '7' THEN '0111' WHEN '8' THEN '1000' WHEN '9' THEN '1001' WHEN 'a' THEN '1010' WHEN 'b' THEN '1011'
   WHEN 'c' THEN '1100' WHEN 'd' THEN '1101' WHEN 'e' THEN '1110' ELSE '1111' END), '') AS bits FROM d)
 """
+
+
+@query
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out(F.col("doc_id"), 3, 1)
+    counts = langid.fit(docs.where(~out).select("doc_id", "text", "lang"))
+    found = langid.predict(docs.select("doc_id", "text"), counts)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), langid.held_out(F.col("doc_id"), 7, 2), vocabulary("piece_bpe_32k.model"))
