@@ -12,7 +12,8 @@ All of it is DataFrame functions. What crosses a shuffle by chunk is a key and
 a position; texts of chunks are only fetched for keys that occur twice. No
 window or collected group holds the copies of a chunk: the first is a minimum,
 which Spark combines before the shuffle, and the rest meet it in an inner join
-whose hot keys Spark may split.
+whose hot keys Spark may split. The joins are merge joins at every size, so a
+small corpus shows what a large one costs.
 
 Defined cases: a null text stays null, an empty one empty; rows that repeat
 both doc_id and text count as one document, so each keeps its first chunks; a
@@ -82,9 +83,9 @@ def repeated(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     hot = materialize(
         keyed.groupBy("k1", "k2").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(~F.col("first").eqNullSafe(F.col("last"))).select("k1", "k2", "first"), "line-keys",
     )
-    found = materialize(keyed.join(hot, ["k1", "k2"]).withColumn("is_first", at.eqNullSafe(F.col("first"))), "line-chunks")
+    found = materialize(keyed.join(hot.hint("merge"), ["k1", "k2"]).withColumn("is_first", at.eqNullSafe(F.col("first"))), "line-chunks")
     first = found.where("is_first").select("k1", "k2", F.col("body").alias("first_body")).dropDuplicates(["k1", "k2"])
-    return found.where("NOT is_first").join(first, ["k1", "k2"]).where(F.col("body") == F.col("first_body")).select("doc_id", "doc_hash", "start", "n_lines")
+    return found.where("NOT is_first").join(first.hint("merge"), ["k1", "k2"]).where(F.col("body") == F.col("first_body")).select("doc_id", "doc_hash", "start", "n_lines")
 
 
 def dedup(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
@@ -93,7 +94,7 @@ def dedup(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     per_doc = cuts.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_set(F.struct("start", "n_lines"))).alias("cuts"))
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     joined = packed.withColumn("key", _doc_hash(F.col("row.text"))).join(
-        per_doc, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("doc_hash")), "left",
+        per_doc.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("doc_hash")), "left",
     )
     gone = F.flatten(F.transform(F.col("cuts"), lambda c: F.sequence(c["start"], c["start"] + c["n_lines"] - 1)))
     lines = F.split(F.col("row.text"), "\n", -1)
