@@ -78,8 +78,9 @@ class Sketcher:
         if len(self.known) > CACHE:
             self.known.clear()
         known, h = self.known, self.hash
-        for w in {*words} - known.keys():
-            known[w] = h(w)
+        for w in {*words}:
+            if w not in known:
+                known[w] = h(w)
         codes = np.array([known[w] for w in words], np.uint64)
         n = min(self.n, len(codes))
         out = codes[: len(codes) - n + 1].copy()
