@@ -47,6 +47,18 @@ MARGIN = 0.30
 CACHE = 300_000
 
 
+class _Hashes(dict):
+    """word -> its 64-bit hash as bytes."""
+
+    def __init__(self, digest) -> None:
+        super().__init__()
+        self.digest = digest
+
+    def __missing__(self, word: bytes) -> bytes:
+        value = self[word] = self.digest(word)
+        return value
+
+
 class Sketcher:
     """Sets, samples and sketches of texts, with numpy."""
 
@@ -54,8 +66,8 @@ class Sketcher:
         import numpy as np
         import xxhash
 
-        self.np, self.n, self.hash = np, n, xxhash.xxh3_64_intdigest
-        self.known: dict[bytes, int] = {}
+        self.np, self.n = np, n
+        self.known = _Hashes(xxhash.xxh3_64_digest)
         rng = np.random.default_rng(20240229)
         self.mult = rng.integers(0, 2**32, SAMPLES, np.uint32) | np.uint32(1)
         self.flip = rng.integers(0, 2**32, SAMPLES, np.uint32)
@@ -77,11 +89,7 @@ class Sketcher:
             return np.empty(0, np.uint64)
         if len(self.known) > CACHE:
             self.known.clear()
-        known, h = self.known, self.hash
-        for w in {*words}:
-            if w not in known:
-                known[w] = h(w)
-        codes = np.array([known[w] for w in words], np.uint64)
+        codes = np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint64)
         n = min(self.n, len(codes))
         out = codes[: len(codes) - n + 1].copy()
         for k in range(1, n):
