@@ -15,7 +15,12 @@ No bucket is expanded into all pairs:
 * Only buckets that still hold more than one component are looked at again:
   members outside the bucket's largest component are compared with the members
   of other components. Pairs within one component need no comparison, so the
-  components come out as if all pairs had been compared.
+  components come out as if all pairs had been compared. Many of these pairs
+  lie just under the threshold, so the join that finds them compares parity
+  bitmaps of the whole sets as it goes: each shingle that only one text has
+  flips one bit, so the XOR's population count never exceeds the number of such
+  shingles, and a pair with more than the threshold allows can't be similar
+  enough. No pair is lost to that test and hardly one passes it in vain.
 
 Defined cases: a text without words, or null, has an empty set and links with
 nothing; fewer words than a shingle make one shingle of all of them; rows that
@@ -122,6 +127,12 @@ class Sketcher:
         parity = (np.bincount(bit.astype(np.int64), minlength=ODD_BITS) & 1).astype(np.uint8)
         return np.packbits(parity).view(np.int64)
 
+    def parity(self, shingles):
+        """Parity bitmap of a whole set, WIDE longs."""
+        np = self.np
+        bit = (shingles >> np.uint64(7)) % np.uint64(64 * WIDE)
+        return np.packbits((np.bincount(bit.astype(np.int64), minlength=64 * WIDE) & 1).astype(np.uint8)).view(np.int64)
+
 
 _sketchers: dict[int, Sketcher] = {}
 
@@ -161,18 +172,30 @@ def sketch(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, odd array<long>")
 
 
+#: Bits, in longs, of the parity bitmap of a whole set.
+WIDE = 16
+_BITS = [f"p{k}" for k in range(WIDE)]
+
+
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id and its whole set, as an array of long."""
+    """doc_id, its whole set as an array of long, its odd sketch, and p0, p1, ...: the parity bitmap of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         sk = sketcher(n)
         for batch in batches:
-            sets = [sk.shingles(x.as_py()).view(np.int64) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "members"])
+            for first in range(0, batch.num_rows, 1000):
+                some = batch.slice(first, 1000)
+                sets = [sk.shingles(x.as_py()) for x in some.column("text")]
+                odd = [sk.odd(sk.samples(x)) for x in sets]
+                wide = np.array([sk.parity(x) for x in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id").cast(pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64())), *(pa.array(np.ascontiguousarray(wide[:, k])) for k in range(WIDE))],
+                    names=["doc_id", "members", "odd", *_BITS],
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, members array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, members array<long>, odd array<long>, " + ", ".join(f"{p} long" for p in _BITS))
 
 
 def odd_estimate(a: Column, b: Column) -> Column:
@@ -210,23 +233,28 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _confirm(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    narrow = sketches.select("doc_id", "n_shingles", "odd")
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough: first by size and odd sketch, then by the sets."""
+    narrow = sets.select("doc_id", F.size("members").alias("n"), "odd")
     a, b = narrow.toDF("a", "na", "oa"), narrow.toDF("b", "nb", "ob")
-    likely = materialize(
+    likely = (
         pairs.join(a, "a").join(b, "b")
         .where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (odd_estimate(F.col("oa"), F.col("ob")) >= percent / 100 - MARGIN))
-        .select("a", "b").distinct(),
-        "likely",
+        .select("a", "b").distinct()
     )
-    ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-    sets = materialize(full_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), n), "sets")
-    both = likely.join(sets.toDF("a", "ma"), "a").join(sets.toDF("b", "mb"), "b")
+    whole = sets.select("doc_id", "members")
+    both = materialize(likely, "likely").join(whole.toDF("a", "ma"), "a").join(whole.toDF("b", "mb"), "b")
     shared = F.size(F.array_intersect("ma", "mb"))
     return both.select("a", "b", shared.alias("i"), (F.size("ma") + F.size("mb")).alias("t")).where(100 * F.col("i") >= percent * (F.col("t") - F.col("i"))).select("a", "b").distinct()
 
 
+def _possible(percent: int) -> Column:
+    """Whether bitmaps x_p*, y_p* and sizes nx, ny allow the similarity; exact: a false result rules the pair out."""
+    apart = sum((F.bit_count(F.col(f"x_{p}").bitwiseXOR(F.col(f"y_{p}"))) for p in _BITS[1:]), F.bit_count(F.col("x_p0").bitwiseXOR(F.col("y_p0"))))
+    # at most (100 - percent) / (100 + percent) of both sizes may lie in one set alone
+    return (100 + percent) * apart <= (100 - percent) * (F.col("nx") + F.col("ny"))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
     sketches = materialize(sketch(docs, n), "sketches")
@@ -238,18 +266,24 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     shared = in_bands.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
     members = materialize(in_bands.join(shared, "key"), "members")
 
+    # sets of the documents that share a bucket with another; texts are shuffled for this once
+    ids = members.select(F.col("id").alias("doc_id")).distinct().hint("merge")
+    sets = materialize(full_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), n), "sets")
+
     stars = materialize(members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "stars")
-    links = materialize(_confirm(stars, sketches, docs, n, percent).union(copies), "links")
+    links = materialize(_confirm(stars, sets, percent).union(copies), "links")
     label = components(links)
 
     placed = members.select("key", "id").join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
     mixed = (
         placed.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("c", "n").alias("main"), F.count("*").alias("n_c")).where("n_c > 1").select("key", "main")
     )
-    rest = materialize(placed.join(mixed, "key"), "rest")
-    few = rest.where("c <> main").select("key", F.col("id").alias("x"), F.col("c").alias("cx"))
-    pairs = few.join(rest.select("key", F.col("id").alias("y"), F.col("c").alias("cy")), "key").where("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = materialize(_confirm(pairs.join(stars, ["a", "b"], "left_anti"), sketches, docs, n, percent), "more-links")
+    bitmaps = sets.select(F.col("doc_id").alias("id"), F.size("members").alias("n"), *_BITS)
+    rest = materialize(placed.join(mixed, "key").join(bitmaps, "id"), "rest")
+    side = lambda rows, s: rows.select("key", F.col("id").alias(s), F.col("c").alias(f"c{s}"), F.col("n").alias(f"n{s}"), *[F.col(p).alias(f"{s}_{p}") for p in _BITS])
+    few, every = side(rest.where("c <> main"), "x").withColumnRenamed("key", "xkey"), side(rest, "y")
+    pairs = few.join(every, (F.col("xkey") == F.col("key")) & (F.col("cx") != F.col("cy")) & _possible(percent)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    more = materialize(_confirm(pairs, sets, percent), "more-links")
     label = components(label.toDF("a", "b").union(more))
     return sketches.select("doc_id", "n_shingles").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
