@@ -42,19 +42,38 @@ from weftline.scratch import fresh_path, materialize
 #: Ids after which a task starts its next shard.
 SHARD_IDS = 64 << 20
 #: Keys in a bucket of the index, about.
-BUCKET_KEYS = 100_000
+BUCKET_KEYS = 20_000
 #: Keys in a group that shares a displacement, about.
-GROUP_KEYS = 4
+GROUP_KEYS = 3
 #: Units of text whose ids a task keeps before it starts anew.
-CACHE = 250_000
+CACHE = 1_000_000
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: Characters that often end a word; the pattern takes a run of them as one unit.
+_MARKS = ".,!?;:#*$%&|<>()"
+
+
+class _Units(dict):
+    """unit -> a cell that holds its ids as bytes, empty until :meth:`Encoder.learn` fills it."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[tuple[str, list]] = []
+
+    def __missing__(self, unit: str) -> list:
+        cell = self[unit] = [b""]
+        self.new.append((unit, cell))
+        return cell
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, of which each task asks for each unit of text once.
 
     A unit is what the byte-level pattern never joins with its neighbours: a run
     of other characters with the one space before it, or a run of white space.
+    In plain text, where single spaces and line breaks part the words, units
+    come from two splits; other text is cut by a pattern.
     """
 
     def __init__(self, path: str, width: int) -> None:
@@ -64,45 +83,74 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.dtype = f"<u{width}"
+        self.width, self.dtype = width, f"<u{width}"
         self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
         self.split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split if self.special else lambda t: [t]
         self.units = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+").findall
-        self.line = self.tok.encode("\n", add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, units: set[str]) -> None:
-        """Have the library encode the units that aren't known, many in one call, a line break between two."""
+        self.odd_space = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+        line = self.tok.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+        self.first, self.after = _Units(), _Units()  # without and with one space before the unit
+
+    def trim(self) -> None:
+        if len(self.first) + len(self.after) > CACHE:
+            self.first, self.after = _Units(), _Units()
+
+    def cells(self, text: str) -> list[list]:
+        """The cells of a text without special tokens, in order."""
+        first, after = self.first, self.after
+        if self.line is None or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or self.odd_space(text):
+            return [after[u[1:]] if len(u) > 1 and u[0] == " " and not u[1].isspace() else first[u] for u in self.units(text)]
+        out: list[list] = []
+        for line in text.split("\n"):
+            head, *rest = line.split(" ")
+            if out:
+                out.append(first["\n"])
+            out.append(first[head])
+            out += map(after.__getitem__, rest)
+        return out
+
+    def learn(self) -> None:
+        """Have the library encode the new units, many in one call, a line break between two."""
         import numpy as np
 
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = [u for u in units if u not in self.known]
-        plain = [u for u in new if not u[-1].isspace() and "\n" not in u] if len(self.line) == 1 else []
-        other = {*new} - {*plain}
-        for u in other:
-            self.known[u] = np.array(self.tok.encode(u, add_special_tokens=False).ids, self.dtype).tobytes()
+        new, joined = [], []
+        for units, space in ((self.after, " "), (self.first, "")):  # first comes last: it also gains the marks of the others
+            for u, cell in units.new:  # grows while stems and marks turn out to be new
+                stem = u.rstrip(_MARKS)
+                if stem != u and stem[-1:].isalpha():
+                    joined.append((cell, units[stem], self.first[u[len(stem) :]]))
+                else:
+                    new.append((space + u, cell))
+            if units is self.first:
+                self.after.new.clear()
+                self.first.new.clear()
+        plain = [(u, cell) for u, cell in new if self.line is not None and u[-1:] and not u[-1].isspace() and "\n" not in u]
+        taken = {id(cell) for _, cell in plain}
+        for u, cell in new:
+            if id(cell) not in taken:
+                cell[0] = np.array(self.tok.encode(u, add_special_tokens=False).ids, self.dtype).tobytes()
         groups = [plain[k : k + 1000] for k in range(0, len(plain), 1000)]
-        for group, got in zip(groups, self.tok.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(got.ids, np.int64)
-            ends = np.flatnonzero(ids == self.line[0])
-            for u, part in zip(group, np.split(ids.astype(self.dtype), ends), strict=True):
-                self.known[u] = part.tobytes()
-            for u in group[1:]:
-                self.known[u] = self.known[u][int(self.dtype[-1]) :]
+        for group, got in zip(groups, self.tok.encode_batch_fast(["\n".join([u for u, _ in g]) for g in groups], add_special_tokens=False)):
+            ids = np.array(got.ids, self.dtype)
+            ends = (np.flatnonzero(ids == self.line) * self.width).tolist()
+            data, start = ids.tobytes(), 0
+            for (_, cell), end in zip(group, [*ends, len(data)], strict=True):
+                cell[0] = data[start:end]
+                start = end + self.width
+        # letters, then marks: the pattern always parts them
+        for cell, stem, marks in joined:
+            cell[0] = stem[0] + marks[0]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as raw little-endian bytes."""
         import numpy as np
 
-        cut = [[(p, None) if k % 2 else (None, self.units(p)) for k, p in enumerate(self.split(t) if "<" in t else [t])] for t in texts]
-        wanted: set[str] = set()
-        for runs in cut:
-            for _, units in runs:
-                wanted.update(units or ())
-        self.learn(wanted)
-        known = self.known
-        return [b"".join([np.array([self.special[s]], self.dtype).tobytes() if s is not None else b"".join([known[u] for u in units]) for s, units in runs]) for runs in cut]
+        self.trim()
+        marks = {t: [np.array([i], self.dtype).tobytes()] for t, i in self.special.items()}
+        found = [[cell for k, part in enumerate(self.split(t) if "<" in t else [t]) for cell in ([marks[part]] if k % 2 else self.cells(part) if part else [])] for t in texts]
+        self.learn()
+        return [b"".join([cell[0] for cell in cells]) for cells in found]
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
@@ -212,13 +260,20 @@ class PerfectHash:
             if len(own) < 2:
                 singles += [(g, k) for k in own]
                 continue
-            move = 0
-            while True:
-                slots = cls._slot(h2[own], np.full(len(own), move), size)
-                if not taken[slots].any() and len(np.unique(slots)) == len(own):
-                    break
-                move += 1
-                if move > 1 << 24:
+            first, slots = 0, None
+            while slots is None:
+                # a block of displacements at once; the least that sends all keys of the group to free slots
+                moves_tried = np.arange(first, first + 64)
+                at = cls._slot(h2[own][None, :], moves_tried[:, None], size)
+                free = ~taken[at].any(1)
+                if len(own) > 1:
+                    ordered = np.sort(at, 1)
+                    free &= (ordered[:, 1:] != ordered[:, :-1]).all(1)
+                hit = np.flatnonzero(free)
+                if len(hit):
+                    move, slots = int(moves_tried[hit[0]]), at[hit[0]]
+                first += 64
+                if first > 1 << 24:
                     raise ValueError("two keys of the index have equal hashes")
             taken[slots] = True
             moves[g] = move
