@@ -26,7 +26,7 @@ def corpus() -> list[tuple]:
     rows += [(60, base[0], "en", "a"), (61, base[0], "de", "b"), (62, None, None, None), (63, "", "en", "a"), (64, " \n\t ", "en", "b"), (65, "one", "fr", "c"), (66, "one two", "fr", "c"), (67, "One TWO", "fr", None)]
     rows += [(68, "É Ünï x\x85y <|endoftext|> 'll it's \U0001f642 １２", "fr", "c"), (69, "word " * 30_000, "en", "a"), (70, text(20_000), "en", "a")]
     rows += [(5, base[5], "en", "a"), (5, "another text under the id five, with words enough for it", "en", "b"), (None, base[3], "en", None), (None, None, None, "b")]
-    passage = "\n".join(" ".join(rng.choices(words, k=9)) for _ in range(8))
+    passage = "\n".join(" ".join(rng.choices(words, k=9)) for _ in range(40))
     rows += [(100 + k, text(60) + "\n" + passage + "\n" + text(60), "en", "b") for k in range(6)]
     return rows
 

@@ -17,7 +17,8 @@ def brute(rows):
         data = (h or "").encode()
         digest = base64.b32encode(hashlib.sha1(data).digest()).decode()
         revisit = data in first
-        out.append((i, len(data), digest, "revisit" if revisit else "response", first.setdefault(data, i) if revisit else None))
+        original = first.setdefault(data, i)
+        out.append((i, len(data), digest, "revisit" if revisit else "response", original if revisit else None))
     return sorted(out, key=str)
 
 
