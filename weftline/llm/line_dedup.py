@@ -88,8 +88,8 @@ def repeated(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     return found.where("NOT is_first").join(first.hint("merge"), ["k1", "k2"]).where(F.col("body") == F.col("first_body")).select("doc_id", "doc_hash", "start", "n_lines")
 
 
-def dedup(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """docs with the repeated chunks cut from text, and ld_lines, ld_removed: lines before and lines cut."""
+def cut(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """row (a struct of docs' columns, with the repeated chunks cut from its text), ld_lines and ld_removed: lines before and lines cut."""
     cuts = materialize(repeated(docs.select("doc_id", "text"), divisor), "line-cuts")
     per_doc = cuts.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_set(F.struct("start", "n_lines"))).alias("cuts"))
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
@@ -106,6 +106,9 @@ def dedup(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     removed = F.coalesce(F.aggregate(F.col("cuts"), F.lit(0), lambda a, c: a + c["n_lines"]), F.lit(0))
     text = F.when(F.col("cuts").isNull(), F.col("row.text")).otherwise(kept)
     n_lines = F.when(F.col("row.text").isNull(), 0).otherwise(F.size(lines))
-    out = joined.select(F.col("row").withField("text", text).alias("row"), n_lines.cast("long").alias("ld_lines"), removed.cast("long").alias("ld_removed"))
-    own = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("ld_lines", "ld_removed")]
-    return out.select(*own, "ld_lines", "ld_removed")
+    return joined.select(F.col("row").withField("text", text).alias("row"), n_lines.cast("long").alias("ld_lines"), removed.cast("long").alias("ld_removed"))
+
+
+def dedup(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """docs with the repeated chunks cut from text; docs' own columns, whatever their names."""
+    return cut(docs, divisor).select("row.*")

@@ -86,8 +86,8 @@ SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copi
 
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.col("ld_lines").alias("n_lines"), F.col("ld_removed").alias("n_removed"), "text")
+    out = line_dedup.cut(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", F.col("ld_lines").alias("n_lines"), F.col("ld_removed").alias("n_removed"), "row.text")
 
 
 ORACLE["op7_line_dedup"] = r"""
