@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Entries that a task's memory of chunks may hold before it starts anew.
-CACHE = 150_000
+#: Entries that a task's memory of chunks may hold.
+CACHE = 400_000
 _END = "\0"
 _NEVER = 1 << 60
 #: Code points with the Unicode property White_Space, as a regex class body.
@@ -157,18 +157,26 @@ class Codec:
 
 
 class _Chunks(dict):
-    """chunk -> what ``make`` gives for its ids; bounded by :meth:`trim`."""
+    """chunk -> what ``make`` gives for its ids.
+
+    Two generations bound it: when the young one is full it becomes the old one,
+    from which chunks that are met again move back, so frequent ones stay.
+    """
 
     def __init__(self, codec: Codec, make) -> None:
         super().__init__()
-        self.codec, self.make = codec, make
+        self.codec, self.make, self.old = codec, make, {}
 
     def __missing__(self, chunk: str):
-        value = self[chunk] = self.make(self.codec.chunk(chunk))
+        value = self.old.get(chunk)
+        if value is None:
+            value = self.make(self.codec.chunk(chunk))
+        self[chunk] = value
         return value
 
     def trim(self) -> None:
-        if len(self) > CACHE:
+        if len(self) > CACHE // 2:
+            self.old = dict(self)
             self.clear()
 
 
