@@ -55,15 +55,19 @@ _MARKS = ".,!?;:#*$%&|<>()"
 
 
 class _Units(dict):
-    """unit -> a cell that holds its ids as bytes, empty until :meth:`Encoder.learn` fills it."""
+    """unit -> a cell that holds its ids as bytes, empty until :meth:`Encoder.learn` fills it. Units met again move over from ``old``."""
 
-    def __init__(self) -> None:
+    def __init__(self, old: dict[str, list]) -> None:
         super().__init__()
+        self.old = old
         self.new: list[tuple[str, list]] = []
 
     def __missing__(self, unit: str) -> list:
-        cell = self[unit] = [b""]
-        self.new.append((unit, cell))
+        cell = self.old.get(unit)
+        if cell is None:
+            cell = [b""]
+            self.new.append((unit, cell))
+        self[unit] = cell
         return cell
 
 
@@ -78,6 +82,7 @@ class Encoder:
 
     def __init__(self, path: str, width: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -90,11 +95,14 @@ class Encoder:
         self.odd_space = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
         line = self.tok.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
-        self.first, self.after = _Units(), _Units()  # without and with one space before the unit
+        self.opens = np.array([self.tok.id_to_token(i)[:1] == "\u0120" for i in range(self.tok.get_vocab_size())])
+        self.first, self.after = _Units({}), _Units({})  # without and with one space before the unit
 
     def trim(self) -> None:
-        if len(self.first) + len(self.after) > CACHE:
-            self.first, self.after = _Units(), _Units()
+        """Bound the memory: what is full becomes the old generation, and the one before it goes."""
+        if len(self.first) + len(self.after) > CACHE // 2:
+            self.first.old, self.after.old = {}, {}
+            self.first, self.after = _Units(self.first), _Units(self.after)
 
     def cells(self, text: str) -> list[list]:
         """The cells of a text without special tokens, in order."""
@@ -125,19 +133,20 @@ class Encoder:
             if units is self.first:
                 self.after.new.clear()
                 self.first.new.clear()
-        plain = [(u, cell) for u, cell in new if self.line is not None and u[-1:] and not u[-1].isspace() and "\n" not in u]
-        taken = {id(cell) for _, cell in plain}
-        for u, cell in new:
-            if id(cell) not in taken:
-                cell[0] = np.array(self.tok.encode(u, add_special_tokens=False).ids, self.dtype).tobytes()
-        groups = [plain[k : k + 1000] for k in range(0, len(plain), 1000)]
-        for group, got in zip(groups, self.tok.encode_batch_fast(["\n".join([u for u, _ in g]) for g in groups], add_special_tokens=False)):
-            ids = np.array(got.ids, self.dtype)
-            ends = (np.flatnonzero(ids == self.line) * self.width).tolist()
-            data, start = ids.tobytes(), 0
-            for (_, cell), end in zip(group, [*ends, len(data)], strict=True):
-                cell[0] = data[start:end]
-                start = end + self.width
+        whole = [(u, cell) for u, cell in new if u[-1].isspace() or "\n" in u or self.line is None]
+        for u, cell in whole:
+            cell[0] = np.array(self.tok.encode(u, add_special_tokens=False).ids, self.dtype).tobytes()
+        others = [(u, cell) for u, cell in new if not (u[-1].isspace() or "\n" in u or self.line is None)]
+        # units that open with a space part themselves: their first id, and no other, opens with one; a line break parts the rest
+        for glue, part in (("", [x for x in others if x[0][0] == " "]), ("\n", [x for x in others if x[0][0] != " "])):
+            groups = [part[k : k + 1000] for k in range(0, len(part), 1000)]
+            for group, got in zip(groups, self.tok.encode_batch_fast([glue.join([u for u, _ in g]) for g in groups], add_special_tokens=False)):
+                ids = np.array(got.ids, self.dtype)
+                cuts = np.flatnonzero(ids == self.line if glue else self.opens[ids]).tolist()
+                data, w, gap = ids.tobytes(), self.width, len(glue)
+                starts = [0, *[c + 1 for c in cuts]] if glue else cuts
+                for (_, cell), a, b in zip(group, starts, [*starts[1:], len(ids) + gap], strict=True):
+                    cell[0] = data[a * w : (b - gap) * w]
         # letters, then marks: the pattern always parts them
         for cell, stem, marks in joined:
             cell[0] = stem[0] + marks[0]
