@@ -32,7 +32,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("few_words", "n_words < 20"),
     ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     ("symbols", "10 * n_symbols > n_words"),
-    ("duplicate_lines", "10 * n_dup_lines > 3 * n_lines"),
+    ("duplicate_lines", "2 * n_dup_lines > n_lines"),
     ("upper_case", "10 * n_upper > 3 * word_chars"),
     ("exclamation", "2 * n_exclaim > n_words"),
     ("word_length", "word_chars < 2 * n_words OR word_chars > 30 * n_words"),

@@ -55,7 +55,7 @@ m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))
         (CASE WHEN len(w) < 2 THEN 0 ELSE len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) END)::BIGINT AS n_stutter
       FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
 f AS (SELECT *, ((CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END) + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END)
-        + (CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 8 ELSE 0 END) + (CASE WHEN 10 * n_upper > 3 * word_chars THEN 16 ELSE 0 END) + (CASE WHEN 2 * n_exclaim > n_words THEN 32 ELSE 0 END)
+        + (CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END) + (CASE WHEN 10 * n_upper > 3 * word_chars THEN 16 ELSE 0 END) + (CASE WHEN 2 * n_exclaim > n_words THEN 32 ELSE 0 END)
         + (CASE WHEN word_chars < 2 * n_words OR word_chars > 30 * n_words THEN 64 ELSE 0 END) + (CASE WHEN 10 * n_stutter > 3 * n_words THEN 128 ELSE 0 END))::BIGINT AS failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed, failed = 0 AS kept,
        n_lines, n_upper, n_exclaim, n_stutter, failed FROM f
