@@ -43,3 +43,12 @@ def test_every_listing_is_grouped_or_quarantined(spark):
     grouped = resolve.dedupe(listings, 2026).agg(F.sum("n_listings")).first()[0]
     lost = resolve.with_keys(listings, 2026).where("domain IS NULL").count()
     assert grouped + lost == listings.count()
+
+
+def test_people_cover_all_orders(spark):
+    from pyspark.sql import functions as F
+
+    from weftline.sources.adapters import logical
+
+    firms = logical(spark, SF, "orders").join(logical(spark, SF, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).select(F.concat(F.lit("firm-"), F.col("o_custkey").cast("string"), F.lit(".co.in")).alias("domain"))
+    assert firms.join(logical(spark, SF, "people"), "domain", "left_anti").count() == 0

@@ -41,7 +41,6 @@ SELECT concat('firm-', CAST(o.o_custkey AS STRING), '.co.in') AS domain, min(o.o
   CASE WHEN s.s_suppkey % 4 = 3 THEN NULL ELSE concat('p', CAST(s.s_suppkey AS STRING), '@firm-', CAST(o.o_custkey AS STRING), '.co.in') END AS email,
   CASE s.s_suppkey % 4 WHEN 0 THEN 'sources: registry, company_site; checked by hand' WHEN 1 THEN 'Sources: Directory' WHEN 2 THEN 'call first' ELSE NULL END AS notes
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
-WHERE o.o_custkey % 3 = 0
 GROUP BY o.o_custkey, s.s_suppkey
 """,
     "stage_dim": """
