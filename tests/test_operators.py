@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -24,6 +25,35 @@ def test_fuzzy_join_loses_no_pair(spark):
         assert {tuple(r) for r in got} == {(x, y) for x in a for y in b if fuzzy.score(x, y) >= threshold}
 
 
+def test_fuzzy_join_does_not_meet_on_a_common_token(spark):
+    rng = random.Random(5)
+    a = sorted({f"firm {rng.randint(1, 99999)}" for _ in range(150)} | {"firm", "firm zq 7", "abc mid", "kk firm long word"})
+    b = sorted({f"firm {rng.randint(1, 99999)}" for _ in range(150)} | {x[:-1] for x in a[:40] if len(x) > 6} | {"zbc mid", "firm zqq 7", "kk firm longer word"})
+    da, db = spark.createDataFrame([(x,) for x in a], "x string"), spark.createDataFrame([(y,) for y in b], "y string")
+    for threshold in (80.0, 90.0, 92.0):
+        want = {(x, y) for x in a for y in b if fuzzy.score(x, y) >= threshold}
+        assert {tuple(r) for r in gates.fuzzy_matches(da, db, threshold).select("x", "y").collect()} == want
+    assert gates.candidates(da, db, 92.0).count() < len(a) * len(b) / 4
+
+
+def test_listings_against_exclusions(spark):
+    from weftline.plans.catalogue import QUERIES
+    from weftline.sources.adapters import logical
+
+    sf = "/root/testdata/sf0.001"
+    names = sorted({r[0] for r in logical(spark, sf, "listings").select("company_name").collect()})
+    known = sorted(tuple(r) for r in logical(spark, sf, "exclusions").select("ordinal", "name").collect())
+    both = spark.createDataFrame([(x,) for x in {*names, *(n for _, n in known)}], "name string")
+    core = {r["name"]: r.core for r in both.withColumn("core", gates._core("name")).collect()}
+    close = lambda x, y: x == y or (min(len(x), len(y)) >= gates.SHORTEST_CORE and fuzzy.score(x, y) >= gates.KNOWN_SCORE)
+    want = {n: next((k for _, k in known if core[n] and core[k] and close(core[n], core[k])), None) for n in names}
+    assert {r["name"]: r.known for r in QUERIES["known_fuzzy"](spark, sf).collect()} == {n: k for n, k in want.items() if k}
+    words = lambda x: " " + re.sub("[^a-z0-9&]+", " ", x) + " "
+    blocked = lambda x, y: f" {y} " in words(x) or fuzzy.score(x, y) >= gates.BLOCK_SCORE
+    want = {n: next((k for _, k in known if n.strip() and blocked(n.strip().lower(), k.strip().lower())), None) for n in names}
+    assert {r["name"]: r.term for r in QUERIES["blocklist_match"](spark, sf).collect()} == {n: k for n, k in want.items() if k}
+
+
 def test_known_firm_first_match_wins(spark):
     known = spark.createDataFrame([(1, "Quantal Labs"), (2, "Velotex Systems"), (3, "Velotex")], "ordinal long, name string")
     asked = spark.createDataFrame([("Velotex Technologies Pvt Ltd",), ("Velotexx Ltd",), ("Some Solutions",), ("IT Services India",)], "name string")

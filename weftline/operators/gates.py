@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import firm
@@ -49,35 +49,69 @@ def known_by_core(names: DataFrame, known: DataFrame) -> DataFrame:
     return a.join(b, "core").select("name", "ordinal")
 
 
-#: Lengths of substrings by which texts without a common token meet.
+#: Lengths of the pieces of tokens by which texts meet.
 PIECES = (1, 2, 3, 4, 6, 8)
+#: Below this threshold a text may have fewer pieces than the edits it allows.
+LOWEST = 80.0
+
+
+def _tokens(c: str) -> Column:
+    return F.array_sort(F.array_distinct(F.filter(F.split(c, r"(?U)[\s\x1c-\x1f]+"), lambda t: t != "")))
+
+
+def _joined_length(tokens: Column) -> Column:
+    return F.aggregate(tokens, F.lit(-1), lambda n, t: n + F.char_length(t) + 1)
+
+
+def _rarest(sets: DataFrame, tokens_there: DataFrame, share: float) -> DataFrame:
+    """(id, t): of each text the tokens that are rarest on the other side, until the rest alone can't cover the part that must be shared."""
+    counts = tokens_there.groupBy("t").agg(F.count("*").alias("f"))
+    each = sets.select("id", "n", F.explode("ts").alias("t")).join(counts, "t", "left").withColumn("f", F.coalesce("f", F.lit(0)))
+    before = Window.partitionBy("id").orderBy("f", "t").rowsBetween(Window.unboundedPreceding, -1)
+    lost = F.coalesce(F.sum(F.char_length("t") + 1).over(before), F.lit(0))
+    return each.withColumn("lost", lost).where(F.col("lost") <= F.col("n") * (2 * (1 - share) / (2 - share)) + 1e-9).select("id", "t")
 
 
 def candidates(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (x, y) of texts whose token-set score may reach the threshold, without a cross join.
-
-    Texts that share a token meet in an equi-join on tokens. Texts that share
-    none are compared as their sorted tokens, joined. To reach the threshold
-    they may differ by at most d insertions and deletions, d following from the
-    threshold and the length of x; of d + 1 disjoint pieces of x one is then
-    untouched and so a substring of y. Such pairs meet in an equi-join on
-    pieces, cut to the next length of PIECES below.
+    """Pairs (x, y) of texts whose token-set score may reach the threshold, without a cross join and without meeting on common tokens.
+
+    A score is reached in one of two ways. Either one text's tokens are all
+    shared, or the shared ones, joined, are alike to all of one text; they then
+    cover a fixed part of its length, so one of its tokens that are rarest on
+    the other side, as many as the uncovered part can't hold, is shared. Or the
+    shared tokens and the rest are alike to the other's; they then differ by at
+    most d insertions and deletions, d following from the threshold and the
+    length of x. Each spoils at most one of the disjoint pieces that x's tokens
+    are cut to, so of any d + 1 pieces one is a substring of a token of y; the
+    rarest are taken, and of several lengths the one that meets least.
     """
-    ta = a.select("x", F.explode(F.array_distinct(F.split("x", " +"))).alias("t"))
-    tb = b.select("y", F.explode(F.array_distinct(F.split("y", " +"))).alias("t"))
-    shared = ta.join(tb, "t").select("x", "y")
-    joined = lambda c: F.array_join(F.array_sort(F.array_distinct(F.split(c, " +"))), " ")
+    if threshold < LOWEST:
+        raise ValueError(f"thresholds below {LOWEST} are not supported")
     share = threshold / 100
-    n = F.char_length("s")
-    edits = F.floor(n * (2 * (1 - share) / share) + 1e-9).cast("int")
-    size = F.greatest(F.lit(1), F.floor(n / (edits + 1)).cast("int"))
-    cut = F.array_max(F.filter(F.array(*map(F.lit, PIECES)), lambda q: q <= size))
-    sized = a.select("x", joined("x").alias("s")).select("x", "s", edits.alias("edits"), size.alias("size"), cut.alias("q"))
-    pieces = sized.select("x", "q", F.explode(F.transform(F.sequence(F.lit(0), "edits"), lambda k: F.substr("s", k * F.col("size") + 1, F.col("q")))).alias("p")).where("p <> ''").distinct()
-    grams = b.select("y", joined("y").alias("s")).select("y", "s", F.explode(F.array(*map(F.lit, PIECES))).alias("q")).where("char_length(s) >= q")
-    grams = grams.select("y", "q", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length("s") - F.col("q") + 1), lambda k: F.substr("s", k, F.col("q"))))).alias("p"))
-    close = pieces.join(grams, ["q", "p"]).select("x", "y")
-    return shared.union(close).distinct()
+    sets = lambda df, c: df.select(F.col(c).alias("id"), _tokens(c).alias("ts")).where(F.size("ts") > 0).distinct().withColumn("n", _joined_length(F.col("ts")))
+    sa, sb = sets(a, "x"), sets(b, "y")
+    ta, tb = (df.select("id", F.explode("ts").alias("t")) for df in (sa, sb))
+    met = _rarest(sa, tb, share).toDF("x", "t").join(tb.toDF("y", "t"), "t").select("x", "y").union(ta.toDF("x", "t").join(_rarest(sb, ta, share).toDF("y", "t"), "t").select("x", "y")).distinct()
+    full = lambda pairs: pairs.join(sa.toDF("x", "tx", "nx"), "x").join(sb.toDF("y", "ty", "ny"), "y")
+    both = F.array_intersect("tx", "ty")
+    covered = _joined_length(both) >= F.least("nx", "ny") * (share / (2 - share)) - 1e-9
+    shared = full(met).where((F.size(both) == F.least(F.size("tx"), F.size("ty"))) | covered).select("x", "y")
+
+    edits = F.floor(F.col("n") * (2 * (1 - share) / share) + 1e-9).cast("int")
+    grams = tb.select("id", "t", F.explode(F.array(*map(F.lit, PIECES))).alias("q")).where(F.char_length("t") >= F.col("q"))
+    grams = grams.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("t") - F.col("q") + 1), lambda k: F.substr("t", k, F.col("q")))).alias("p")).distinct()
+    counts = grams.groupBy("p").agg(F.count("*").alias("f"))
+    # a token's last piece is cut to the next length of PIECES below
+    left = lambda k: F.char_length("t") - k * F.col("q")
+    size = lambda k: F.array_max(F.filter(F.array(*map(F.lit, PIECES)), lambda z: (z <= F.col("q")) & (z <= left(k))))
+    tokens = sa.select("id", (edits + 1).alias("need"), F.explode("ts").alias("t")).select("*", F.explode(F.array(*map(F.lit, PIECES))).alias("q"))
+    pieces = tokens.select("id", "need", "q", F.explode(F.transform(F.sequence(F.lit(0), F.ceil(F.char_length("t") / F.col("q")).cast("int") - 1), lambda k: F.substr("t", k * F.col("q") + 1, size(k)))).alias("p"))
+    rated = pieces.join(counts, "p", "left").withColumn("f", F.coalesce("f", F.lit(0)))
+    chosen = rated.withColumn("r", F.row_number().over(Window.partitionBy("id", "q").orderBy("f", "p"))).where("r <= need")
+    cost = chosen.groupBy("id", "q").agg(F.count("*").alias("k"), F.first("need").alias("need"), F.sum("f").alias("f")).where("k = need").groupBy("id").agg(F.min_by("q", F.struct("f", "q")).alias("q"))
+    close = chosen.join(cost, ["id", "q"]).select(F.col("id").alias("x"), "p").distinct().join(grams.toDF("y", "p"), "p").select("x", "y").distinct()
+    alike = full(close).where(F.abs(F.col("nx") - F.col("ny")) <= (1 - share) * (F.col("nx") + F.col("ny")) + 1e-9).select("x", "y")
+    return shared.union(alike).distinct()
 
 
 def fuzzy_matches(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
@@ -102,13 +136,15 @@ def match_blocklist(names: DataFrame, terms: DataFrame, threshold: float = BLOCK
     """(name, term): the first listed term, by ordinal, that a name holds as whole words or is close to.
 
     The list is a configured one; its size is checked by Spark's broadcast threshold like any table's. Whole words
-    are found by joining on the term's first word before the phrase is tested.
+    are found by joining on the term's word that is rarest in the names before the phrase is tested.
     """
     n = names.select("name").distinct().withColumn("x", F.lower(F.trim("name"))).where("x <> ''")
     t = terms.select("ordinal", "term", F.lower(F.trim("term")).alias("y")).where("y <> ''")
-    first = lambda c: F.regexp_extract(c, r"^([^ ]+)", 1)
     spaced = F.concat(F.lit(" "), F.regexp_replace("x", r"[^a-z0-9&]+", " "), F.lit(" "))
-    words = n.withColumn("spaced", spaced).withColumn("w", F.explode(F.array_distinct(F.filter(F.split("spaced", " "), lambda w: w != ""))))
-    phrase = words.join(t.withColumn("w", first(F.col("y"))), "w").where(F.contains("spaced", F.concat(F.lit(" "), F.col("y"), F.lit(" ")))).select("name", "ordinal", "term")
+    split = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, " "), lambda w: w != "")))
+    words = n.withColumn("spaced", spaced).withColumn("w", split("spaced"))
+    counts = words.groupBy("w").agg(F.count("*").alias("f"))
+    rarest = t.select("y").distinct().select("y", split("y").alias("w")).join(counts, "w", "left").groupBy("y").agg(F.min_by("w", F.struct(F.coalesce("f", F.lit(0)), "w")).alias("w"))
+    phrase = words.join(t.join(rarest, "y"), "w").where(F.contains("spaced", F.concat(F.lit(" "), F.col("y"), F.lit(" ")))).select("name", "ordinal", "term")
     fuzzy = n.join(fuzzy_matches(n.select("x").distinct(), t.select("y").distinct(), threshold), "x").join(t, "y").select("name", "ordinal", "term")
     return phrase.union(fuzzy).groupBy("name").agg(F.min_by("term", "ordinal").alias("term"))

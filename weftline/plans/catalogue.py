@@ -348,13 +348,13 @@ def known_core_equi(spark, d):
 @query()
 def known_fuzzy(spark, d):
     """Names against known firms, equal cores and close ones together; held against brute force in the tests."""
-    return gates.match_known(T(spark, d, "supplier").select(F.concat(F.lit("Part maker "), F.col("s_name")).alias("name")), T(spark, d, "supplier").select(F.col("s_suppkey").alias("ordinal"), F.col("s_name").alias("name")))
+    return gates.match_known(T(spark, d, "listings").select(F.col("company_name").alias("name")), T(spark, d, "exclusions"))
 
 
 @query()
 def blocklist_match(spark, d):
-    terms = T(spark, d, "nation").select(F.col("n_nationkey").alias("ordinal"), F.col("n_name").alias("term"))
-    return gates.match_blocklist(T(spark, d, "part").select(F.concat("p_name", F.lit(" "), F.col("p_brand")).alias("name")).union(T(spark, d, "nation").select(F.concat(F.lit("Trade of "), "n_name"))), terms)
+    """Names of listings against the excluded names as terms; held against brute force in the tests."""
+    return gates.match_blocklist(T(spark, d, "listings").select(F.col("company_name").alias("name")), T(spark, d, "exclusions").select("ordinal", F.col("name").alias("term")))
 
 
 # Joins
