@@ -1,6 +1,7 @@
 """Operators against brute force and literals."""
 
 import datetime as dt
+import itertools
 import random
 import re
 
@@ -101,6 +102,48 @@ def test_transitions_and_escalation(spark):
     assert (out.n, out.stage) == (3, "Dead - No Response")
 
 
+def test_escalation_is_combined_before_the_shuffle(spark):
+    rules = {(o, p): (stage, version) for o, p, stage, version, *_ in crm.TRANSITIONS}
+    t, rows, want = dt.datetime(2026, 1, 1), [], {}
+    for deal, calls in enumerate(itertools.chain.from_iterable(itertools.product(range(1, 6), repeat=n) for n in range(1, 5))):
+        version = stage = ""
+        for k, outcome in enumerate(calls):
+            rows.append((k % 2 * 1000 - k, deal, t + dt.timedelta(hours=k // 2, minutes=k % 2), outcome))
+            stage, sent = rules.get((outcome, version)) or rules[outcome, "any"]
+            version = sent or version
+        want[deal] = (len(calls), stage, version)
+    random.Random(1).shuffle(rows)
+    out = crm.escalate(spark.createDataFrame(rows, "event_id long, deal_id long, ts timestamp_ntz, outcome int").repartition(7))
+    assert {r.deal_id: (r.n, r.stage, r.version) for r in out.collect()} == want
+    assert "Pandas" not in spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+
+
+def test_founders_fold_names_not_rows(spark):
+    rng = random.Random(2)
+    known = ["Asha Rao", "Rao Asha", "asha rao", "Ben Das", "Ben Dass", "Cy Roy", "Cy Roi", "Di", " ", "Di Maria Long", "Di Maria Longg"]
+    row = lambda turn, k: (rng.choice("de"), k, rng.choice(known), rng.choice([None, "", "", "CEO", "CTO"]), rng.choice(["registry"] if not turn else ["company_site", "directory", "registry"]))
+    a, b = [row(0, k) for k in range(14)], [row(1, k) for k in range(120)]
+    want = []
+    for d in "de":
+        out = []
+        for turn, rows in ((0, a), (1, b)):
+            for domain, _, name, role, source in rows:
+                if domain != d:
+                    continue
+                hit = next((p for p in out if turn and fuzzy.score(p[2].lower(), name.lower()) >= people.AGREE), None)
+                if hit is None:
+                    out.append([d, len(out), name, role, [source]])
+                else:
+                    hit[3] = hit[3] or role
+                    hit[4] += [source] if source not in hit[4] else []
+        want += out
+    cols = "domain string, ordinal long, name string, role string, source string"
+    out = people.merge_founders(spark.createDataFrame(a, cols).repartition(3), spark.createDataFrame(b, cols).repartition(5))
+    assert sorted(map(list, out.select("domain", "ordinal", "name", "role", "sources").collect()), key=lambda r: (r[0], r[1])) == want
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
+    assert plan.index("FlatMapGroupsInPandas") < plan.index("collect_list")
+
+
 def test_merge_is_idempotent(spark):
     old = spark.createDataFrame([("a", 1, "x")], "k string, created_at int, v string")
     new = spark.createDataFrame([("a", 5, "y", 1), ("a", 6, "z", 2), ("b", 7, "w", 1)], "k string, created_at int, v string, o int")

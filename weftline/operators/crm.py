@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +35,20 @@ def step(calls: DataFrame) -> DataFrame:
 
 
 def escalate(outcomes: DataFrame) -> DataFrame:
-    """(deal_id, n, stage, version): where each deal stands after its outcomes in order of time. What the next call does depends on what the last one sent, so a deal's calls are folded in one group."""
-    rules = {(o, p): (stage, version) for o, p, stage, version, *_ in TRANSITIONS}
+    """(deal_id, n, stage, version): where each deal stands after its outcomes in order of time.
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        version, stage = "", ""
-        for outcome in rows.sort_values(["ts", "event_id"])["outcome"]:
-            stage, sent = rules.get((outcome, version)) or rules[outcome, "any"]
-            version = sent or version
-        return pd.DataFrame({"deal_id": [rows["deal_id"].iloc[0]], "n": [len(rows)], "stage": [stage], "version": [version]})
-
-    return outcomes.groupBy("deal_id").applyInPandas(fold, "deal_id long, n long, stage string, version string")
+    What the next call does depends on what the last one sent, yet no order is needed to know that: outcome 1
+    sends M1V1, a 5 climbs from nothing to M1V2 and from there to M1V1, the others send nothing, and no outcome
+    leads back. The version follows from how many of each came, so all is counts and a maximum that Spark
+    combines before the shuffle. The stage is the last outcome's, at the version before it.
+    """
+    order = F.struct(F.col("ts").isNull(), "ts", F.col("event_id").isNull(), "event_id", "outcome")
+    known = F.coalesce(F.col("outcome").isin(*sorted({o for o, *_ in TRANSITIONS})), F.lit(False))
+    checked = outcomes.withColumn("outcome", F.when(known, F.col("outcome")).otherwise(F.raise_error(F.concat(F.lit("no transition for outcome "), F.coalesce(F.col("outcome").cast("string"), F.lit("null")))).cast("int")))
+    deals = checked.groupBy("deal_id").agg(
+        F.count("*").alias("n"), F.count_if(F.col("outcome") == 1).alias("sent"), F.count_if(F.col("outcome") == 5).alias("missed"), F.max_by("outcome", order).alias("outcome"),
+    )
+    version = lambda sent, missed: F.when((sent > 0) | (missed > 1), "M1V1").when(missed == 1, "M1V2").otherwise("")
+    before = version(F.col("sent") - (F.col("outcome") == 1).cast("int"), F.col("missed") - (F.col("outcome") == 5).cast("int"))
+    stood = deals.select("deal_id", "n", "outcome", before.alias("previous"), version(F.col("sent"), F.col("missed")).alias("now"))
+    return step(stood).select("deal_id", "n", "stage", F.col("now").alias("version"))

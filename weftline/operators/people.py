@@ -30,23 +30,62 @@ def scored(people: DataFrame) -> DataFrame:
 def merge_founders(primary: DataFrame, other: DataFrame, threshold: float = AGREE) -> DataFrame:
     """Fold other's names into primary's, firm by firm and in order: the first name close enough gains the source and a missing role, else the row is added.
 
-    Both have domain, ordinal, name, role, source. The fold depends on what was
-    merged before, so each firm's few people are one group.
+    Both have domain, ordinal, name, role, source. Rows of other with one name
+    all meet the same target, so aggregates first make them one: its first
+    place, its sources by their first places, its first role, and its last one,
+    null or empty, for where there is no other. Of primary, each name's first
+    row alone can gain. The group that is folded holds the different names of a
+    firm, not its rows.
     """
-    both = primary.withColumn("turn", F.lit(0)).unionByName(other.withColumn("turn", F.lit(1)))
+    w = Window.partitionBy("domain").orderBy(F.col("ordinal").isNull(), "ordinal", "name", "role", "source")
+    cols = ["domain", "ordinal", "name", "role", "source"]
+    first, later = (df.select(*cols).withColumn("rank", F.row_number().over(w).cast("long")) for df in (primary, other))
+    # a name without tokens is close to nothing, itself included
+    alone = F.when(F.trim(F.coalesce("name", F.lit(""))) == "", F.col("rank"))
+    filled = F.coalesce(F.col("role") != "", F.lit(False))
+    at = F.struct("rank", "role")
+    by_source = later.withColumn("alone", alone).groupBy("domain", "name", "alone", "source").agg(F.min("rank").alias("rank"), F.min(F.when(filled, at)).alias("role"), F.max(at).alias("last"))
+    seen = F.array_sort(F.collect_list(F.struct("rank", "source")))
+    by_name = by_source.groupBy("domain", "name", "alone").agg(F.min("rank").alias("rank"), F.min("role").alias("role"), F.max("last").alias("last"), seen.alias("seen"))
+    names = by_name.select(
+        "domain", F.lit(1).alias("turn"), "rank", "name", F.lit(0).cast("long").alias("n"), F.coalesce("role.rank", F.lit(-1).cast("long")).alias("role_rank"), F.col("role.role").alias("role"),
+        F.col("last.rank").alias("last_rank"), F.col("last.role").alias("last_role"), F.transform("seen", lambda x: x["rank"]).alias("ranks"), F.transform("seen", lambda x: x["source"]).alias("sources"),
+    )
+    none = lambda kind: F.lit(None).cast(kind)
+    own = first.groupBy("domain", "name").agg(F.min("rank").alias("rank"), F.count("*").alias("n")).select(
+        "domain", F.lit(0).alias("turn"), "rank", "name", "n", F.lit(-1).cast("long").alias("role_rank"), none("string").alias("role"), F.lit(-1).cast("long").alias("last_rank"), none("string").alias("last_role"),
+        none("array<long>").alias("ranks"), none("array<string>").alias("sources"),
+    )
 
     def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        out: list[dict] = []
-        for r in rows.sort_values(["turn", "ordinal"]).itertuples():
-            hit = next((p for p in out if r.turn and score(p["name"].lower(), r.name.lower()) >= threshold), None)
+        targets: list[tuple] = []
+        for r in rows.sort_values(["turn", "rank"]).itertuples():
+            low = (r.name or "").lower()
+            hit = next((t for t in targets if r.turn and score(t[0], low) >= threshold), None)
             if hit is None:
-                out.append({"domain": r.domain, "ordinal": len(out), "name": r.name, "role": r.role, "sources": [r.source]})
+                targets.append((low, r, [r] if r.turn else []))
             else:
-                hit["role"] = hit["role"] or r.role
-                hit["sources"] += [r.source] if r.source not in hit["sources"] else []
-        return pd.DataFrame(out, columns=["domain", "ordinal", "name", "role", "sources"])
-
-    return both.groupBy("domain").applyInPandas(fold, "domain string, ordinal long, name string, role string, sources array<string>")
+                hit[2].append(r)
+        out, added = [], int(rows["n"].sum())
+        for _, r, met in targets:
+            if not met:
+                continue
+            sources = dict.fromkeys(s for _, s in sorted(((k, s) for m in met for k, s in zip(m.ranks, m.sources)), key=lambda x: x[0]))
+            with_role = [m for m in met if m.role_rank >= 0]
+            role = min(with_role, key=lambda m: m.role_rank).role if with_role else max(met, key=lambda m: m.last_rank).last_role
+            out.append({"f_domain": r.domain, "hit": None if r.turn else int(r.rank), "place": added if r.turn else None, "f_name": r.name, "f_role": role, "f_sources": list(sources)})
+            added += r.turn
+        kinds = {"f_domain": object, "hit": "Int64", "place": "Int64", "f_name": object, "f_role": object, "f_sources": object}
+        return pd.DataFrame(out, columns=list(kinds)).astype(kinds)
+
+    folded = own.union(names).groupBy("domain").applyInPandas(fold, "f_domain string, hit long, place long, f_name string, f_role string, f_sources array<string>")
+    both = first.join(folded, F.col("domain").eqNullSafe(F.col("f_domain")) & (F.col("rank") == F.col("hit")), "full_outer")
+    was = F.col("rank").isNotNull()
+    return both.select(
+        F.when(was, F.col("domain")).otherwise(F.col("f_domain")).alias("domain"), F.when(was, F.col("rank") - 1).otherwise(F.col("place")).alias("ordinal"), F.when(was, F.col("name")).otherwise(F.col("f_name")).alias("name"),
+        F.when(was & (filled | F.col("hit").isNull()), F.col("role")).otherwise(F.col("f_role")).alias("role"),
+        F.when(was, F.array_distinct(F.concat(F.array("source"), F.coalesce("f_sources", F.array().cast("array<string>"))))).otherwise(F.col("f_sources")).alias("sources"),
+    )
 
 
 def best_candidate(people: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
