@@ -71,6 +71,18 @@ def test_cases(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_no_language_is_lost_to_the_sample(spark):
+    rows = [(k, "the cat sat on the mat " * 10, "en", None) for k in range(300)]
+    rows += [(1000 + k, "die katze sa\u00df auf der matte " * 2500, "de", None) for k in range(3)]
+    rows += [(2000 + k, "le chat dort sur la table " * 2300, "fr", None) for k in range(40)] + [(3000, "", "xx", None), (3001, None, "yy", None)]
+    df = make(spark, rows)
+    got = {r.lang: (r.n, r.size, r.most) for r in langid.sample(df, sample_bytes=20_000).groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"), F.max(F.octet_length("text")).alias("most")).collect()}
+    assert got.keys() == {"en", "de", "fr"} and got["fr"][0] == 1
+    assert all(most <= langid.ROW_BYTES and 10_000 < size < 20_000 + most for _, size, most in got.values())
+    found = {r.doc_id: r.lang_pred for r in langid.predict(df, langid.fit(df)).collect()}
+    assert found[1000] == "de" and found[2000] == "fr" and found[0] == "en"
+
+
 def test_folds(spark):
     df = make(spark, [(k, "x", None, None) for k in range(50)])
     got = {r[0]: r[1] for r in df.select("doc_id", langid.held_out(F.col("doc_id"), 3, 1)).collect()}

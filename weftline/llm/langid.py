@@ -10,9 +10,10 @@ and a text's code length under a language is a sum of table entries. The
 shortest code names the language; the score is its share when the code lengths
 are read as probabilities.
 
-The sample is bounded by SAMPLE_BYTES a language (in expectation: rows are taken
-by a hash below the rate that the language's total asks for) and by
-ROW_BYTES a row; every text is scored whole.
+The sample takes each language's rows in order of a hash until SAMPLE_BYTES are
+reached, one row at least, so no language with text is lost; what is put in
+order is cut beforehand by the rate that the language's total asks for. Of a row
+over ROW_BYTES an inner part is fitted; every text is scored whole.
 
 Defined cases: ``und`` with score 0 for a null text, one without letters, and
 where nothing could be learned; ties go to the first language by code point;
@@ -26,7 +27,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.scratch import materialize
@@ -34,6 +35,8 @@ from weftline.scratch import materialize
 ORDER = 3
 SAMPLE_BYTES = 250_000
 ROW_BYTES = 64_000
+#: Rows are put in order that hold this many times SAMPLE_BYTES, in expectation.
+AHEAD = 4
 #: Bytes of text that a task scores at once.
 GROUP_BYTES = 1 << 20
 
@@ -68,11 +71,16 @@ def count_contexts(labelled: DataFrame) -> DataFrame:
 
 
 def sample(labelled: DataFrame, sample_bytes: int = SAMPLE_BYTES, row_bytes: int = ROW_BYTES) -> DataFrame:
-    """Rows of labelled (doc_id, text, lang), about sample_bytes for each language."""
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= row_bytes))
-    rates = materialize(usable.groupBy("lang").agg((F.lit(float(sample_bytes)) / F.greatest(F.sum(F.octet_length("text")), F.lit(1))).alias("rate")), "lang-rates")
-    u = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return usable.join(rates, "lang").where(u < F.col("rate")).select("lang", "text")
+    """lang, text: of labelled (doc_id, text, lang) each language's rows in order of a hash until sample_bytes are reached, one that isn't empty at least."""
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("u"))
+    most = row_bytes // 4  # code points, of 4 bytes at most
+    inner = F.substring("text", F.floor((F.char_length("text") - most) / 2).cast("int") + 1, F.lit(most))
+    parts = usable.withColumn("text", F.when(F.octet_length("text") <= row_bytes, F.col("text")).otherwise(inner)).withColumn("size", F.octet_length("text"))
+    totals = parts.where("size > 0").groupBy("lang").agg(F.sum("size").alias("total"), F.min("u").alias("least"))
+    rates = materialize(totals.select("lang", "least", (F.lit(AHEAD * float(sample_bytes) * (1 << 30)) / F.col("total")).alias("below")), "lang-rates")
+    ahead = parts.where("size > 0").join(rates, "lang").where((F.col("u") < F.col("below")) | (F.col("u") == F.col("least")))
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("u", "size").rowsBetween(Window.unboundedPreceding, -1))
+    return ahead.withColumn("before", before).where(F.coalesce("before", F.lit(0)) < sample_bytes).select("lang", "text")
 
 
 class Model:
