@@ -1,4 +1,4 @@
-"""One query for each operator, over logical tables derived from the driver's, with the SQL that gives the same rows."""
+"""One query for each operator that is built (README names the others), over logical tables derived from the driver's, with the SQL that gives the same rows."""
 
 from __future__ import annotations
 
