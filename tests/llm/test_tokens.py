@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from weftline.llm import bpe, token_store
@@ -57,15 +58,25 @@ def test_bpe_round_trip_columns(docs, empty):
 
 def test_units_are_the_library_exactly():
     own, lib = token_store.Encoder(BYTE, 2), library(BYTE)
-    texts = odd_texts(4000)
-    for data, t in zip(own.encode(texts), texts):
-        assert np.frombuffer(data, "<u2").tolist() == lib.encode(t, add_special_tokens=False).ids
+    texts = odd_texts(4000) + ["\x01a \x03b", "a\x02", " \x01a b", "Zeile eins.\nÖl, Ähre;; don't\nx1 y2!", "état ça", "a . b", ".a $$$ b", "× ÷ a×b"] + [t for _, t, *_ in corpus() if t]
+    for some in (pa.array(texts), pa.array(texts).slice(3000), pa.array([t for t in texts if not t.isascii()])):
+        for data, t in zip(own.encode(some), some.to_pylist(), strict=True):
+            assert np.frombuffer(data, "<u2").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("shard_ids", [token_store.SHARD_IDS, 5000])
-def test_store_round_trip(docs, shard_ids):
+def test_other_vocabularies_get_whole_texts():
+    own, lib = token_store.Encoder(WORD, 4), library(WORD)
+    texts = odd_texts(200)
+    for data, t in zip(own.encode(pa.array(texts)), texts, strict=True):
+        assert np.frombuffer(data, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("shard_ids,bucket_keys", [(token_store.SHARD_IDS, token_store.BUCKET_KEYS), (5000, 3)])
+def test_store_round_trip(docs, spark, shard_ids, bucket_keys):
     lib = library(BYTE)
-    store = token_store.write(docs, BYTE, shard_ids=shard_ids)
+    written = token_store.write(docs, BYTE, shard_ids=shard_ids, bucket_keys=bucket_keys)
+    store = token_store.open_store(spark, written.folder)
+    assert -(-store.n_buckets // store.per_file) <= 8
     got = token_store.fetch(store, token_store.lookup(store, docs.select("doc_id")), with_ids=True).collect()
     want = sorted((-1 if i is None else i, tuple(lib.encode(t or "", add_special_tokens=False).ids + [0])) for i, t, *_ in corpus())
     assert sorted((-1 if r.doc_id is None else r.doc_id, tuple(r.ids)) for r in got) == want
@@ -76,6 +87,10 @@ def test_store_round_trip(docs, shard_ids):
         assert (r.start, r.n_tokens, r.ids_crc32) == (at_, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes()))
         at_ += r.n_tokens
     assert store.shards.count() >= (5 if shard_ids == 5000 else 1)
+    reader = token_store.Reader(store.folder)
+    for key in {i for i, *_ in corpus()}:
+        assert sorted(tuple(ids.tolist()) for ids in reader.get(key)) == sorted(t for i, t in want if i == (-1 if key is None else key))
+    assert reader.get(10**12) == []
 
 
 def test_lookup_refuses_unknown_keys(spark, docs, empty):
@@ -83,6 +98,7 @@ def test_lookup_refuses_unknown_keys(spark, docs, empty):
     asked = spark.createDataFrame([(k,) for k in range(10_000, 60_000)] + [(70,)], "doc_id long")
     assert {r.doc_id for r in token_store.lookup(store, asked).collect()} == {70}
     nothing = token_store.write(empty, BYTE)
+    assert token_store.Reader(nothing.folder).get(70) == []
     assert token_store.fetch(nothing, token_store.lookup(nothing, empty.select("doc_id"))).count() == 0
 
 
@@ -100,6 +116,7 @@ def test_second_write_gives_the_same_bytes(docs):
         from pyarrow import fs as pafs
 
         files = [f for f in fs.get_file_info(pafs.FileSelector(path)) if f.type == pafs.FileType.File]
-        return b"".join(fs.open_input_file(f.path).read() for f in sorted(files, key=lambda f: f.base_name) if f.extension == "ids")
+        return [(f.base_name, fs.open_input_file(f.path).read()) for f in sorted(files, key=lambda f: f.base_name)]
 
+    assert {n.rsplit(".")[-1] for n, _ in content(token_store.write(docs, BYTE))} == {"ids", "len", "mph", "json"}
     assert content(token_store.write(docs, BYTE)) == content(token_store.write(docs, BYTE))

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from weftline.llm.common import byte_alphabet
+
 #: Entries that a task's memory of chunks may hold.
 CACHE = 400_000
 _END = "\0"
@@ -40,13 +42,6 @@ _NEVER = 1 << 60
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-def _byte_alphabet() -> list[str]:
-    """The printable stand-in of each byte in byte-level vocabularies."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
-
-
 class Codec:
     """Encoder and decoder of one vocabulary file with word ends."""
 
@@ -72,7 +67,7 @@ class Codec:
         self._left: dict[int, list[tuple[int, int]]] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._fits: dict[tuple[int, int], bool] = {}
-        self.alphabet = _byte_alphabet()
+        self.alphabet = byte_alphabet()
         singles = {*self.alphabet}
         self.automaton = ahocorasick.Automaton()
         for t, i in vocab.items():

@@ -27,3 +27,10 @@ def words(text: Column) -> Column:
 
 def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+
+
+def byte_alphabet() -> list[str]:
+    """The printable stand-in of each byte in byte-level vocabularies."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]

@@ -51,13 +51,13 @@ class Window:
 
     AHEAD = 4 << 20
 
-    def __init__(self, folder: str, name: str) -> None:
+    def __init__(self, folder: str, name: str, ahead: int = AHEAD) -> None:
         filesystem, path = at(folder)
-        self.file = filesystem.open_input_file(f"{path}/{name}")
+        self.file, self.ahead = filesystem.open_input_file(f"{path}/{name}"), ahead
         self.start, self.data = 0, b""
 
     def read(self, start: int, size: int) -> bytes:
         if start < self.start or start + size > self.start + len(self.data):
             self.file.seek(start)
-            self.start, self.data = start, self.file.read(max(size, self.AHEAD))
+            self.start, self.data = start, self.file.read(max(size, self.ahead))
         return self.data[start - self.start : start - self.start + size]
