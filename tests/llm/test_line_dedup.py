@@ -1,20 +1,25 @@
 import hashlib
+from collections import Counter
 
 from weftline.llm import line_dedup
 
 from .conftest import corpus, make
 
 
-def cut(text):
-    """(start, lines) of each chunk."""
-    lines = text.split("\n")
+def cut(lines):
+    """(start, end) of each chunk of two or more lines, of both sets."""
     h = [int(hashlib.md5(x.encode()).hexdigest()[:6], 16) for x in lines]
-    out, start = [], 0
-    for k in range(len(lines)):
-        if k == len(lines) - 1 or ((h[k - 1] if k else 0) * 8191 + h[k]) % 1000003 % 2 == 0:
-            out.append((start, lines[start : k + 1]))
-            start = k + 1
-    return out
+    r = [((h[k - 1] if k else 0) * 8191 + h[k]) % 1000003 for k in range(len(h))]
+    out = set()
+    for sign in (1, -1):
+        start = 0
+        for k in range(len(r)):
+            edge = k == len(r) - 1 or (k > 0 and sign * r[k] < sign * r[k - 1] and sign * r[k] <= sign * r[k + 1])
+            if edge or k - start == 3:
+                if k > start:
+                    out.add((start, k))
+                start = k + 1
+    return sorted(out)
 
 
 def brute(rows):
@@ -25,14 +30,19 @@ def brute(rows):
         ids[i] = ids.get(i, 0) + 1
     first, result = {}, {}
     for i, t in pairs:
-        keep, gone = [], 0
-        for start, lines in cut(t):
-            body = "\n".join(lines)
-            if len(lines) > 1 and first.setdefault(body, (i, t, start)) != (i, t, start):
-                gone += len(lines)
-            else:
-                keep += lines
-        result[i, t] = (len(t.split("\n")), gone, "\n".join(keep))
+        lines, gone = t.split("\n"), set()
+        for a, b in cut(lines):
+            other, at = first.setdefault(tuple(lines[a : b + 1]), ((i, t), a))
+            if (other, at) == ((i, t), a):
+                continue
+            gone |= set(range(a, b + 1))
+            theirs, step = other[1].split("\n"), at - a
+            for ks in (range(a - 1, max(a - 5, -1), -1), range(b + 1, min(b + 5, len(lines)))):
+                for k in ks:
+                    if not 0 <= k + step < len(theirs) or theirs[k + step] != lines[k]:
+                        break
+                    gone.add(k)
+        result[i, t] = (len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
     return result, {i for i, n in ids.items() if n > 1}
 
 
@@ -52,7 +62,7 @@ def test_against_brute_force(docs):
 
 def test_passage_goes_everywhere_but_first(docs):
     out = {r.doc_id: r.ld_removed for r in line_dedup.cut(docs).select("row.doc_id", "ld_removed").where("doc_id >= 100").collect()}
-    assert out[100] == 0 and all(out[100 + k] >= 12 for k in range(1, 6))
+    assert out[100] == 0 and all(36 <= out[100 + k] <= 40 for k in range(1, 6))
 
 
 def test_columns_nulls_and_empty(docs, empty, spark):
@@ -69,3 +79,28 @@ def test_equal_hash_needs_equal_bytes(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     plan = spark._jvm.PythonSQLUtils.explainString(line_dedup.repeated(docs)._jdf.queryExecution(), "formatted")
     assert "first_body" in plan and "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_recall_on_passages(spark):
+    """Lines in runs of three or more that stand at an earlier place, counted by brute force: nine in ten go, no line of which there is no other copy."""
+    rows = [(r.doc_id, r.text.split("\n")) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text IS NOT NULL").orderBy("doc_id").collect()]
+    first, again, everywhere = {}, set(), Counter()
+    for i, lines in rows:
+        everywhere.update(lines)
+        for k in range(len(lines) - 2):
+            if first.setdefault(tuple(lines[k : k + 3]), (i, k)) != (i, k):
+                again |= {(i, k), (i, k + 1), (i, k + 2)}
+    out = {r.doc_id: r.text for r in line_dedup.dedup(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("text IS NOT NULL").collect()}
+    left, caught = Counter(), 0
+    for i, lines in rows:
+        rest = out[i].split("\n") if out[i] else []
+        left.update(rest)
+        stays, at = [], 0
+        for line in lines:
+            here = at < len(rest) and rest[at] == line
+            stays.append(here)
+            at += here
+        assert at == len(rest)
+        caught += sum((i, k) in again and not s for k, s in enumerate(stays))
+    assert len(again) > 900 and caught >= 0.9 * len(again)
+    assert all(left[line] >= 1 for line in everywhere if line)
