@@ -48,3 +48,28 @@ def test_emit_follows_the_plan(docs, empty):
 def test_sources_without_words(spark):
     df = make(spark, [(1, None, None, "a"), (2, "", None, "b"), (3, " ", None, None)])
     assert {(r.target, r.copies) for r in mixing.plan_mix(df).collect()} == {(0.0, 0)}
+
+
+def test_every_source_is_near_its_target(spark):
+    """On sf0.01, where a source has a few dozen documents: off by 5 % or by one document."""
+    plan = mixing.plan_mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    per = plan.groupBy("source").agg(F.first("target").alias("t"), F.max("size").alias("most"), F.sum(F.col("size") * F.col("copies")).alias("n")).collect()
+    assert len(per) >= 20
+    for r in per:
+        assert abs(r.n - r.t) <= max(0.05 * r.t, r.most), r
+    assert sum(abs(r.n - r.t) for r in per) < 0.05 * sum(r.t for r in per)
+
+
+def test_probability_is_the_fraction(spark):
+    """Over many seeds each document gets its copy as often as the fraction says, long ones and short ones."""
+    rows = [(k, "w " * (3 ** (k % 5) + k), None, "ab"[k % 5 == 0]) for k in range(40)]
+    docs = make(spark, rows).coalesce(1)
+    docs.cache()
+    plans = [mixing.plan_mix(docs, seed=f"s{k}").withColumn("rate", F.col("target") / F.col("source_size")) for k in range(5)]
+    got = {}
+    for p in plans:
+        for r in p.select("doc_id", "source", "copies", "rate").collect():
+            got.setdefault(r.source, []).append((r.copies, r.rate))
+            assert r.copies in (int(r.rate), int(r.rate) + 1)
+    for pairs in got.values():
+        assert abs(sum(c for c, _ in pairs) - sum(r for _, r in pairs)) < 0.15 * sum(r for _, r in pairs)

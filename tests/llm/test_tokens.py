@@ -39,6 +39,15 @@ def test_bpe_is_the_library_exactly():
         assert own.decode(ids) == lib.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_memory_is_bounded_by_characters(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 1000)
+    known = bpe._Chunks(bpe.codec(WORD), tuple)
+    for k in range(50):
+        assert list(known["x" * (100 + k)]) == bpe.codec(WORD).chunk("x" * (100 + k))
+        known.trim()
+        assert sum(map(len, known)) + sum(map(len, known.old)) < 2000
+
+
 def test_bpe_query_digests(docs, empty):
     lib = library(WORD)
     want = []
@@ -54,6 +63,9 @@ def test_bpe_round_trip_columns(docs, empty):
     decoded = bpe.decode(encoded, WORD).where("doc_id = 65").first()
     assert encoded.columns[: len(docs.columns)] == docs.columns and decoded.bpe_text == "one</w>" and decoded.bpe_n == 1
     assert bpe.encode(empty, WORD).count() == 0
+    again = bpe.decode(bpe.encode(decoded_twice := bpe.decode(encoded, WORD), WORD), WORD)
+    assert sorted(again.columns) == sorted(decoded_twice.columns)
+    assert sorted(map(str, again.select("doc_id", "bpe_ids", "bpe_n", "bpe_text").collect())) == sorted(map(str, decoded_twice.select("doc_id", "bpe_ids", "bpe_n", "bpe_text").collect()))
 
 
 def test_units_are_the_library_exactly():

@@ -13,12 +13,14 @@ code point; special tokens are found in the raw text first. Decoding follows
 the file too: it names no decoder, so tokens are joined by one space.
 
 Each task encodes a chunk (text between white space) once and keeps it; the
-memory is bounded by CACHE entries, not by the corpus.
+memory is bounded by CACHE entries and CACHE_CHARS, not by the corpus.
 
 Defined cases: a null text is an empty one and has no ids; white space alone
-has none; repeated rows are encoded each; an empty table gives an empty one;
-columns of the input are kept whatever their names in :func:`encode`, whose own
-columns are ``bpe_ids`` and ``bpe_n``.
+has none; repeated rows are encoded each; a very long text is encoded whole, in
+time and memory in proportion; an empty table gives an empty one. The columns of
+the input are kept in :func:`encode`, which adds ``bpe_ids`` and ``bpe_n``, and
+in :func:`decode`, which adds ``bpe_text``; columns of those names that the
+input already has are replaced.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ from weftline.llm.common import byte_alphabet
 
 #: Entries that a task's memory of chunks may hold.
 CACHE = 400_000
+#: Characters that those entries may stand for: texts without white space make long ones.
+CACHE_CHARS = 8_000_000
 _END = "\0"
 _NEVER = 1 << 60
 #: Code points with the Unicode property White_Space, as a regex class body.
@@ -160,18 +164,19 @@ class _Chunks(dict):
 
     def __init__(self, codec: Codec, make) -> None:
         super().__init__()
-        self.codec, self.make, self.old = codec, make, {}
+        self.codec, self.make, self.old, self.chars = codec, make, {}, 0
 
     def __missing__(self, chunk: str):
         value = self.old.get(chunk)
         if value is None:
             value = self.make(self.codec.chunk(chunk))
         self[chunk] = value
+        self.chars += len(chunk)
         return value
 
     def trim(self) -> None:
-        if len(self) > CACHE // 2:
-            self.old = dict(self)
+        if len(self) > CACHE // 2 or self.chars > CACHE_CHARS // 2:
+            self.old, self.chars = dict(self), 0
             self.clear()
 
 
@@ -202,6 +207,8 @@ def _texts(column: pa.Array) -> Iterator[str | None]:
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """docs with bpe_ids (array of int) and bpe_n (long)."""
 
+    kept = [f.name for f in docs.schema.fields if f.name not in ("bpe_ids", "bpe_n")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
@@ -220,19 +227,21 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat) if flat else np.array([], np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids, pa.array(sizes, pa.int64())], names=[*batch.schema.names, "bpe_ids", "bpe_n"])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("bpe_ids", T.ArrayType(T.IntegerType())), T.StructField("bpe_n", T.LongType())])
-    return docs.mapInArrow(run, schema)
+    narrow = docs.select(*[docs[f"`{c}`"] for c in kept])
+    schema = T.StructType([*narrow.schema.fields, T.StructField("bpe_ids", T.ArrayType(T.IntegerType())), T.StructField("bpe_n", T.LongType())])
+    return narrow.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """encoded with bpe_text, the decoded bpe_ids."""
+    narrow = encoded.select(*[encoded[f"`{c}`"] for c in encoded.columns if c != "bpe_text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [codec(path).decode(x.as_py() or []) for x in batch.column("bpe_ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "bpe_text"])
 
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("bpe_text", T.StringType())]))
+    return narrow.mapInArrow(run, T.StructType([*narrow.schema.fields, T.StructField("bpe_text", T.StringType())]))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

@@ -2,14 +2,23 @@
 
 Tokens are summed for each source, targets follow from weights, and each
 document is emitted floor(rate) times plus once more with probability equal to
-the rate's fraction; the draw is a hash of the seed and the document's id, so
-reruns and retries agree.
+the rate's fraction, by a hash of the seed and the document's id, so reruns and
+retries agree.
+
+The draws of one source are not independent, or a few long documents would
+carry a small source far from its target. Documents fall in size classes,
+largest first; how many of a class get the copy follows from where the running
+count times the fraction, from a seeded offset, passes whole numbers, and those
+with the smallest hashes get it. Each document's probability stays the fraction;
+what a source takes is off by about one document. Only numbers are ranked:
+hashes are first counted in bins for each class, and just the rows of the bin
+where the last copy falls are put in order, so no task holds a source.
 
 Defined cases: a null source is a source of its own, last in order; a null or
 empty text has size 0 and still is emitted at its source's rate; a source
-without words has target 0 and rate 0; repeated rows with one id draw alike;
-an empty table gives an empty mix. Columns of the input pass through
-untouched whatever their names.
+without words has target 0 and rate 0; repeated rows with one id and size draw
+alike; an empty table gives an empty mix; a very long text is one row like any
+other. Columns of the input pass through untouched whatever their names.
 """
 
 from __future__ import annotations
@@ -59,44 +68,90 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     return leveled.select("source", "source_size", "weight", F.coalesce(F.least(F.col("final") * F.col("weight"), held), held).alias("target"))
 
 
+def _unit(key: Column) -> Column:
+    """32 bits of a hash of a key."""
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+
+
 def draw(doc_id: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from 32 bits of a hash of the seed and the id."""
-    key = F.concat(F.lit(seed + "|"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+    """32 bits of a hash of the seed and the id."""
+    return _unit(F.concat(F.lit(seed + "|"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+
+
+def size_class(size: str) -> Column:
+    """Classes of nearly equal size: a number's length in bits, then its four leading bits."""
+    return F.expr(f"16 * length(bin({size})) + shiftright({size}, greatest(length(bin({size})) - 4, 0))").cast("int")
+
+
+#: Bins of hashes, as a shift of 32 bits.
+BIN = 20
+
+
+def thresholds(sizes: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
+    """(source, class, whole, below): copies of each document of a class, and the largest hash that gets one more (-1: none).
+
+    ``sizes`` has doc_id, source, size; ``targets`` source, source_size, target.
+    """
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    offset = _unit(F.concat(F.lit(seed + "|offset|"), F.coalesce("source", F.lit("null")))) / F.lit(float(2**32))
+    rates = targets.select("source", F.floor(rate).cast("int").alias("whole"), (rate - F.floor(rate)).alias("fraction"), offset.alias("offset"))
+    rows = sizes.select("source", size_class("size").alias("class"), draw(F.col("doc_id"), seed).alias("u"))
+    binned = rows.withColumn("bin", F.shiftright("u", BIN))
+    counts = materialize(binned.groupBy("source", "class", "bin").agg(F.count("*").alias("n")), "mix-bins")
+    # windows over a row for each class, or for each bin of one: the corpus is counted before
+    per_class = counts.groupBy("source", "class").agg(F.sum("n").alias("n"))
+    passed = lambda n: F.floor(n * F.col("fraction") + F.col("offset"))
+    upto = F.sum("n").over(Window.partitionBy("source").orderBy(F.col("class").desc()))
+    wanted = (
+        per_class.withColumn("upto", upto).alias("c").join(rates.alias("r"), F.col("c.source").eqNullSafe(F.col("r.source")))
+        .select("c.source", "class", "whole", (passed(F.col("upto")) - passed(F.col("upto") - F.col("n"))).alias("extra"))
+    )
+    wanted = materialize(wanted, "mix-wanted")
+    before = F.sum("n").over(Window.partitionBy("source", "class").orderBy("bin")) - F.col("n")
+    last = (
+        counts.withColumn("before", before).alias("b").join(wanted.alias("w"), F.col("b.source").eqNullSafe(F.col("w.source")) & (F.col("b.class") == F.col("w.class")))
+        .where((F.col("before") < F.col("extra")) & (F.col("extra") <= F.col("before") + F.col("n"))).select("b.source", "b.class", "bin", (F.col("extra") - F.col("before")).alias("rank"))
+    )
+    last = materialize(last, "mix-last-bins")
+    near = binned.alias("b").join(last.alias("l"), F.col("b.source").eqNullSafe(F.col("l.source")) & (F.col("b.class") == F.col("l.class")) & (F.col("b.bin") == F.col("l.bin")))
+    place = F.row_number().over(Window.partitionBy("source", "class").orderBy("u"))
+    found = near.select("b.source", "b.class", "u", "rank").withColumn("place", place).where("place = rank").select("source", "class", F.col("u").alias("below"))
+    return (
+        wanted.alias("w").join(found.alias("f"), F.col("w.source").eqNullSafe(F.col("f.source")) & (F.col("w.class") == F.col("f.class")), "left")
+        .select("w.source", "w.class", "whole", F.coalesce("below", F.lit(-1)).cast("long").alias("below"))
+    )
 
 
 def plan_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
     """One row for each row of docs: doc_id, source, size, source_size, target, copies.
 
-    The text is read once, for its size. The table of sources is written before
-    it is joined, so Spark knows its size: it broadcasts the table below the
-    session's threshold and joins by source, splitting hot ones, above it.
+    The text is read once, for its size. The tables of sources and classes are
+    written before they are joined, so Spark knows their size: it broadcasts
+    them below the session's threshold and joins by source, splitting hot ones,
+    above it.
     """
     sizes = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
     targets = materialize(source_targets(sizes, weights, max_repeats), "mix-targets")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    extra = F.when(draw(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    return (
-        sizes.alias("d").join(targets.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-        .select("doc_id", "d.source", "size", "source_size", "target", rate.alias("rate"))
-        .withColumn("copies", (F.floor("rate") + extra).cast("int"))
-        .drop("rate")
+    per_class = materialize(
+        thresholds(sizes, targets, seed).alias("c").join(targets.alias("s"), F.col("c.source").eqNullSafe(F.col("s.source")))
+        .select("c.source", "class", "whole", "below", "source_size", "target"), "mix-classes",
+    )
+    placed = sizes.withColumn("size_class", size_class("size"))
+    return placed.alias("d").join(per_class.alias("c"), F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("size_class") == F.col("class"))).select(
+        "doc_id", "d.source", "size", "source_size", "target", (F.col("whole") + (draw(F.col("doc_id"), seed) <= F.col("below")).cast("int")).alias("copies"),
     )
 
 
 def emit(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
-    """The mixed corpus: the rows of docs, each as often as the mix takes it, with docs' own columns."""
-    sizes = docs.select("source", n_words(F.col("text")).alias("size"))
-    targets = materialize(source_targets(sizes, weights, max_repeats), "mix-targets").select(
-        F.col("source").alias("mix_source"),
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("mix_rate"),
-    )
-    whole = F.floor(F.col("mix_rate"))
-    copies = whole + F.when(draw(F.col("row.doc_id"), seed) < F.col("mix_rate") - whole, 1).otherwise(0)
+    """The mixed corpus: the rows of docs, each as often as the mix takes it, with docs' own columns. Texts aren't shuffled."""
+    sizes = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
+    targets = materialize(source_targets(sizes, weights, max_repeats), "mix-targets")
+    per_class = materialize(thresholds(sizes, targets, seed).select(F.col("source").alias("mix_source"), F.col("class").alias("mix_class"), "whole", "below"), "mix-classes")
+    packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).withColumn("mix_size", n_words(F.col("row.text"))).withColumn("row_class", size_class("mix_size"))
+    copies = F.col("whole") + (draw(F.col("row.doc_id"), seed) <= F.col("below")).cast("int")
     return (
-        docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-        .join(targets, F.col("row.source").eqNullSafe(F.col("mix_source")))
+        packed.join(per_class, F.col("row.source").eqNullSafe(F.col("mix_source")) & (F.col("row_class") == F.col("mix_class")))
         .where(copies > 0)
-        .select("row", F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("copy"))
+        .select("row", F.explode(F.sequence(F.lit(1), copies)).alias("copy"))
         .select("row.*")
     )

@@ -77,9 +77,15 @@ l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap
         / (sum(weight) OVER (ORDER BY cap / weight, n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM w),
 o AS (SELECT *, CASE WHEN level * weight <= cap THEN level END AS open_level FROM l),
 t AS (SELECT source, source_size, coalesce(least((SELECT open_level FROM o WHERE open_level IS NOT NULL ORDER BY cap / weight, n LIMIT 1) * weight, cap::DOUBLE), cap::DOUBLE) AS target FROM o),
-r AS (SELECT d.doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-        ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END)::INTEGER AS copies FROM r)
+r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
+        ('0x' || substr(md5('mix-1|offset|' || coalesce(source, 'null')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS o FROM t),
+b AS (SELECT d.doc_id, d.size, r.*, 16 * length(bin(size)) + (size >> greatest(length(bin(size)) - 4, 0)) AS class,
+        ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT AS u FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+k AS (SELECT source, class, count(*) AS n, sum(count(*)) OVER (PARTITION BY source ORDER BY class DESC)::BIGINT AS upto FROM b GROUP BY source, class),
+e AS (SELECT b.*, floor(rate) AS whole, floor(k.upto * (rate - floor(rate)) + o) - floor((k.upto - k.n) * (rate - floor(rate)) + o) AS extra, row_number() OVER (PARTITION BY b.source, b.class ORDER BY u) AS place
+      FROM b JOIN k ON b.source IS NOT DISTINCT FROM k.source AND b.class = k.class),
+m AS (SELECT source, class, max(u) AS below FROM e WHERE place <= extra GROUP BY source, class),
+c AS (SELECT e.*, (whole + CASE WHEN u <= coalesce(m.below, -1) THEN 1 ELSE 0 END)::INTEGER AS copies FROM e LEFT JOIN m ON e.source IS NOT DISTINCT FROM m.source AND e.class = m.class)
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies FROM c
 """
 
