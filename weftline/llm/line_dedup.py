@@ -9,8 +9,8 @@ Chunks of two or more lines that occur again anywhere in the corpus are removed,
 but for the first: smallest (doc_id, hash of the text, position). A chunk is
 removed only after its bytes were compared with the first one's; chunks of equal
 hash with other bytes stay. With a chunk go up to EXTEND lines on either side
-that are the same as those beside the first one: each of them has an earlier
-copy, so one copy of every line stays.
+that are the same as those beside the first one, by a 64-bit hash: each of them
+has an earlier copy, so one copy of every line stays.
 
 Of the lines in passages of three or more that an earlier place has, that is
 over nine in ten (tests/llm measures it); a passage whose boundaries all fall
@@ -76,15 +76,18 @@ def _stops(start: Column, last: Column) -> Column:
 
 
 def chunks(text: Column, beside: bool = False) -> Column:
-    """Chunks of MIN_LINES or more of a text, of both sets: struct(start, n_lines, body), start counted in lines; with ``beside`` also the lines before and after, nearest first."""
+    """Chunks of MIN_LINES or more of a text, of both sets: struct(start, n_lines, body), start counted in lines; with ``beside`` also hashes of the lines before and after, nearest first."""
 
     def cut(lines: Column) -> Column:
+        return let(F.transform(lines, lambda x: F.xxhash64(x)), lambda codes: pieces(lines, codes)) if beside else pieces(lines, lines)
+
+    def pieces(lines: Column, codes: Column) -> Column:
         def piece(e: Column, last: Column, k: Column) -> Column:
             start = _start(e, k)
             parts = [start.alias("start"), (last - start + 1).alias("n_lines"), F.array_join(F.slice(lines, start + 1, last - start + 1), "\n").alias("body")]
             if beside:
                 first = F.greatest(start - EXTEND, F.lit(0))
-                parts += [F.reverse(F.slice(lines, first + 1, start - first)).alias("before"), F.slice(lines, last + 2, F.lit(EXTEND)).alias("after")]
+                parts += [F.reverse(F.slice(codes, first + 1, start - first)).alias("before"), F.slice(codes, last + 2, F.lit(EXTEND)).alias("after")]
             return F.struct(*parts)
 
         def of(e: Column) -> Column:
@@ -104,8 +107,7 @@ def _doc_hash(text: Column) -> Column:
 def _same(a: str, b: str) -> Column:
     """How many lines two lists have in common from their beginning."""
     equal = F.zip_with(F.col(a), F.col(b), lambda x, y: x.eqNullSafe(y))
-    at = F.array_position(equal, False)
-    return F.when(at == 0, F.size(equal)).otherwise(at - 1).cast("int")
+    return let(equal, lambda e: F.coalesce(F.nullif(F.array_position(e, False), F.lit(0)) - 1, F.size(e))).cast("int")
 
 
 def repeated(docs: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ def size_class(size: str) -> Column:
 
 
 #: Bins of hashes, as a shift of 32 bits.
-BIN = 20
+BIN = 24
 
 
 def thresholds(sizes: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
