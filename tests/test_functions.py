@@ -13,6 +13,16 @@ def values(spark, make, cases, kind="string"):
     return [r[0] for r in df.orderBy("k").select(make(F.col("x"))).collect()]
 
 
+def test_registered_domains(spark):
+    want = {
+        "a.gov.in": "a.gov.in", "x.foo.ac.in": "foo.ac.in", "https://a.b.org.in/p": "b.org.in", "co.in": None, "http://gov.in/": None, "x.de": "x.de", "firm.tech": "firm.tech", "www.firm.app?y": "firm.app", "a.firm.in": "a.firm.in",
+        "shop.acme.co.nz": "acme.co.nz", "acme.com.de": "com.de", "a.b.ck": "a.b.ck", "b.ck": None, "x.www.ck": "www.ck", "www.ck": "www.ck", "x.unknowntld": None, "192.0.2.7": None, "com": None, "ftp://u:p@deep.er.acme.com.au:8080/x": "acme.com.au",
+        "b\u00fccher.de": "b\u00fccher.de", "acme..com": None, "": None, "localhost": None,
+    }
+    df = spark.createDataFrame(list(want.items()), "w string, d string")
+    assert {r.w: r.g for r in df.withColumn("g", firm.canonical_domain(df.w)).collect()} == want
+
+
 def test_domain(spark):
     cases = ["HTTPS://WWW.Acme.com/path?q=1", "acme.com", "https://sub.acme.co.uk/x", "", None, "http://not a url", "user@mail.acme.io:80", "acme.unknownsuffix"]
     assert values(spark, firm.canonical_domain, cases) == ["acme.com", "acme.com", "acme.co.uk", None, None, None, "acme.io", None]

@@ -13,12 +13,18 @@ TARGETS = ("1-100", "100-500", "500-1000")
 KNOWN_SCORE, BLOCK_SCORE, SHORTEST_CORE = 92.0, 90.0, 5
 
 
-def apply_gates(companies: DataFrame, known_domains: DataFrame, max_year: int = MAX_YEAR, floor: int = FLOOR, ceiling: int = CEILING) -> DataFrame:
+def apply_gates(companies: DataFrame, known_domains: DataFrame, known: DataFrame, terms: DataFrame, max_year: int = MAX_YEAR, floor: int = FLOOR, ceiling: int = CEILING) -> DataFrame:
     """companies with size_bucket, gate_pass and gate_reason; failing firms stay, with all their reasons.
 
-    known_domains has a row for each excluded domain; it is joined, not collected.
+    known_domains has a row for each excluded domain, known (ordinal, name) for
+    each known firm, terms (ordinal, term) for each blocked name; all are joined,
+    not collected. A firm without a country is one of HQ; another country is
+    noted, not rejected.
     """
-    flagged = companies.join(known_domains.select("domain").distinct().withColumn("known", F.lit(True)), "domain", "left")
+    names = companies.select(F.col("company_name").alias("name")).where("name IS NOT NULL").distinct()
+    by_name = match_known(names, known).select(F.col("name").alias("company_name"), F.col("known").alias("known_name"))
+    blocked = match_blocklist(names, terms).select(F.col("name").alias("company_name"), "term")
+    flagged = companies.join(known_domains.select("domain").distinct().withColumn("known", F.lit(True)), "domain", "left").join(by_name, "company_name", "left").join(blocked, "company_name", "left")
     h = firm.size_headcount(F.col("size_source"), F.col("size_band"))
     out = flagged.withColumn("headcount", h).withColumn("size_bucket", firm.size_bucket(F.col("headcount")))
     year, count = F.col("founded_year"), F.col("headcount")
@@ -29,12 +35,15 @@ def apply_gates(companies: DataFrame, known_domains: DataFrame, max_year: int =
         .when(~F.col("size_bucket").isin(*TARGETS), F.concat(F.lit("size bucket "), F.col("size_bucket"), F.lit(" not targeted")))
     )
     year_reason = F.when(year.isNull(), "founded year unknown").when(year > max_year, F.concat(F.lit("founded "), year.cast("string"), F.lit(f" > {max_year}")))
-    reasons = F.array_compact(F.array(F.when(F.col("known"), "already-known firm (domain)"), year_reason, size_reason))
+    paren = lambda text, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(text + " ("), F.col(c), F.lit(")")))
+    reasons = F.array_compact(F.array(F.when(F.col("known"), "already-known firm (domain)"), paren("already-known firm", "known_name"), paren("blocklisted outsourcer", "term"), year_reason, size_reason))
     near = F.when(size_reason.isNull() & (count >= 0.9 * ceiling), f"near {ceiling} headcount ceiling")
-    notes = F.array_compact(F.array(F.col("founded_note"), near))
+    country = F.coalesce(F.nullif("hq_country", F.lit("")), F.lit(HQ))
+    foreign = F.when(F.lower(F.trim(country)) != HQ.lower(), F.concat(F.lit("foreign-incorporated ("), country, F.lit(f"); {HQ}-delivery assumed")))
+    notes = F.array_compact(F.array(F.col("founded_note"), foreign, near))
     gated = out.withColumn("reasons", reasons).withColumn("gate_notes", notes)
     return gated.select(
-        *companies.columns, "size_bucket", (F.size("reasons") == 0).alias("gate_pass"), F.nullif(F.array_join(F.concat("reasons", "gate_notes"), "; "), F.lit("")).alias("gate_reason"),
+        *[c for c in companies.columns if c != "hq_country"], country.alias("hq_country"), "size_bucket", (F.size("reasons") == 0).alias("gate_pass"), F.nullif(F.array_join(F.concat("reasons", "gate_notes"), "; "), F.lit("")).alias("gate_reason"),
     )
 
 

@@ -41,10 +41,10 @@ def dedupe(listings: DataFrame, as_of_year: int) -> DataFrame:
     sized = F.col("band").isNotNull()
     best_size = F.min_by(F.when(sized, F.struct("band", "size_raw")), F.when(sized, F.col("ordinal")))
     rows = keyed.groupBy("domain").agg(
-        first_filled("website_raw").alias("website"), first_filled("city").alias("city"), first_filled("segment_raw").alias("segment"), best_founded.alias("f"), best_size.alias("s"), F.count("*").alias("n_listings"),
+        first_filled("website_raw").alias("website"), first_filled("city").alias("city"), first_filled("segment_raw").alias("segment"), first_filled("hq_raw").alias("hq_country"), best_founded.alias("f"), best_size.alias("s"), F.count("*").alias("n_listings"),
     )
     picked = rows.select(
-        "domain", "website", "city", "segment", F.col("f.year").alias("founded_year"), F.col("f.raw").alias("founded_source"), F.col("f.note").alias("founded_note"),
+        "domain", "website", "city", "segment", "hq_country", F.col("f.year").alias("founded_year"), F.col("f.raw").alias("founded_source"), F.col("f.note").alias("founded_note"),
         F.col("s.band").alias("size_band"), F.col("s.size_raw").alias("size_source"), "n_listings",
     )
     return picked.join(best_names(keyed), "domain", "left").join(sources(keyed), "domain", "left")

@@ -31,7 +31,17 @@ def query(sql: str | None = None):
 
 # The same pieces of SQL in several oracles.
 _HOST = r"regexp_extract(lower(trim(website_raw)), '^(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]+)', 1)"
-_DOMAIN = rf"nullif(regexp_extract({_HOST}, '([a-z0-9-]+\.(?:co\.in|co\.uk|com\.au|com|net|org|io|in|ai|dev|co))$', 1), '')"
+def _listed(words) -> str:
+    return "[" + ",".join(f"'{w}'" for w in words) + "]"
+
+
+# The registered domain from lists of labels, not from the expression that Spark runs.
+_LABELS = f"string_split({_HOST}, '.')"
+_LAST = f"{_LABELS}[-1]"
+_PAIR = f"(coalesce({_LABELS}[-2], '') || '.' || {_LAST})"
+_SUFFIX_N = f"""(CASE WHEN {_PAIR} IN ('www.ck') THEN 1 WHEN list_contains({_listed(f"{x}.{c}" for c, names in firm.SECOND_LEVEL.items() for x in names.split())}, {_PAIR}) OR list_contains({_listed(firm.WILDCARD)}, {_LAST}) THEN 2
+  WHEN list_contains({_listed(firm.GENERIC)}, {_LAST}) OR (length({_LAST}) = 2 AND {_LAST} BETWEEN 'aa' AND 'zz') OR {_LAST} LIKE 'xn--%' THEN 1 END)"""
+_DOMAIN = f"(CASE WHEN len({_LABELS}) > {_SUFFIX_N} THEN array_to_string({_LABELS}[len({_LABELS}) - {_SUFFIX_N}:len({_LABELS})], '.') END)"
 _NUMS = r"list_transform(regexp_extract_all(replace(coalesce(size_raw, ''), ',', ''), '\d+'), lambda x: x::INTEGER)"
 _BAND = f"CASE WHEN len({_NUMS}) = 0 THEN NULL WHEN list_min({_NUMS}) < 10 THEN '<10' WHEN list_min({_NUMS}) < 50 THEN '10-49' WHEN list_min({_NUMS}) < 250 THEN '50-249' ELSE '250+' END"
 _HEAD = f"(CASE WHEN len({_NUMS}) >= 2 THEN ({_NUMS}[1] + {_NUMS}[2]) // 2 WHEN len({_NUMS}) = 1 THEN {_NUMS}[1] END)::INTEGER"
@@ -53,18 +63,39 @@ _COMPANIES = f"""{_KEYED},
 nm AS (SELECT domain, arg_max(name, r) AS company_name FROM (SELECT domain, trim(company_name) AS name, {{'n': count(*), 'l': length(trim(company_name)), 'o': -min(ordinal)}} AS r FROM k WHERE domain IS NOT NULL AND trim(company_name) <> '' GROUP BY 1, 2) GROUP BY 1),
 sr AS (SELECT domain, list(source ORDER BY seen) AS sources FROM (SELECT domain, source, min(ordinal) AS seen FROM k WHERE domain IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
 g AS (SELECT domain, arg_min(website_raw, ordinal) FILTER (WHERE coalesce(website_raw, '') <> '') AS website, arg_min(city, ordinal) FILTER (WHERE coalesce(city, '') <> '') AS city,
-   arg_min(segment_raw, ordinal) FILTER (WHERE coalesce(segment_raw, '') <> '') AS segment,
+   arg_min(segment_raw, ordinal) FILTER (WHERE coalesce(segment_raw, '') <> '') AS segment, arg_min(hq_raw, ordinal) FILTER (WHERE coalesce(hq_raw, '') <> '') AS hq_country,
    arg_min(struct_pack(y := fyear, n := note, r := founded_raw), (CASE WHEN approx THEN 1 ELSE 0 END) * 1000000000000 + ordinal) FILTER (WHERE fyear IS NOT NULL) AS f,
    arg_min(struct_pack(b := band, r := size_raw), ordinal) FILTER (WHERE band IS NOT NULL) AS s, count(*) AS n_listings FROM k WHERE domain IS NOT NULL GROUP BY domain),
-c AS (SELECT g.domain, website, city, segment, f.y AS founded_year, f.r AS founded_source, f.n AS founded_note, s.b AS size_band, s.r AS size_source, n_listings, company_name, sources FROM g LEFT JOIN nm USING (domain) LEFT JOIN sr USING (domain))"""
+c AS (SELECT g.domain, website, city, segment, hq_country, f.y AS founded_year, f.r AS founded_source, f.n AS founded_note, s.b AS size_band, s.r AS size_source, n_listings, company_name, sources FROM g LEFT JOIN nm USING (domain) LEFT JOIN sr USING (domain))"""
+
+
+def _common(a: str, b: str) -> str:
+    """Length of the longest common subsequence of two short texts: the longest of all selections of a that b holds in order."""
+    picked = f"list_transform(list_filter(range(0, length({a})), lambda i: ((m >> i) & 1) = 1), lambda i: substr({a}, (i + 1)::INTEGER, 1))"
+    return f"list_max(list_transform(range(0, 1 << length({a})), lambda m: CASE WHEN {b} LIKE '%' || array_to_string({picked}, '%') || '%' THEN bit_count(m) ELSE 0 END))"
+
+
+# Cores are a number and a word here, so the score of close ones follows from the common subsequence of the numbers alone.
+_KNOWN_NAMES = f"""kx AS (SELECT name, x, regexp_extract(x, '^([0-9]+) firm$', 1) AS dx FROM (SELECT name, array_to_string({_core_sql('name')}, ' ') AS x FROM asked)),
+ky AS (SELECT ordinal, name, y, regexp_extract(y, '^([0-9]+) firm$', 1) AS dy FROM (SELECT ordinal, name, array_to_string({_core_sql('name')}, ' ') AS y FROM exclusions)),
+kd AS (SELECT dx, dy FROM (SELECT DISTINCT dx FROM kx WHERE dx <> ''), (SELECT DISTINCT dy FROM ky WHERE dy <> '') WHERE 200.0 * (5 + {_common('dx', 'dy')}) / (10 + length(dx) + length(dy)) >= 92),
+kn AS (SELECT name, arg_min(known, ordinal) AS known FROM (SELECT kx.name, ky.ordinal, ky.name AS known FROM kx JOIN ky ON x = y WHERE x <> '' UNION ALL SELECT kx.name, ky.ordinal, ky.name FROM kd JOIN kx USING (dx) JOIN ky USING (dy)) GROUP BY name)"""
+_BLOCKED_NAMES = f"""bx AS (SELECT name, x, regexp_extract(x, '^firm ([0-9]+) technologies$', 1) AS dx, ' ' || regexp_replace(x, '[^a-z0-9&]+', ' ', 'g') || ' ' AS spaced FROM (SELECT name, lower(trim(name)) AS x FROM asked) WHERE x <> ''),
+by_ AS (SELECT ordinal, term, lower(trim(term)) AS y, regexp_extract(lower(trim(term)), '^firm ([0-9]+) technologies$', 1) AS dy FROM outsourcers),
+bn AS (SELECT name, arg_min(term, ordinal) AS term FROM bx JOIN by_ ON contains(spaced, ' ' || y || ' ') OR x = 'firm ' || dy OR (dx <> '' AND 200.0 * (18 + {_common('dx', 'dy')}) / (36 + length(dx) + length(dy)) >= 90) GROUP BY name)"""
 _GATED = f"""{_COMPANIES},
+asked AS (SELECT DISTINCT company_name AS name FROM c WHERE company_name IS NOT NULL),
+{_KNOWN_NAMES},
+{_BLOCKED_NAMES},
 x AS (SELECT DISTINCT domain FROM exclusions WHERE domain IS NOT NULL),
-h AS (SELECT c.*, x.domain IS NOT NULL AS known, {_HEAD.replace("size_raw", "size_source")} AS headcount FROM c LEFT JOIN x ON c.domain = x.domain),
+h AS (SELECT c.* REPLACE (coalesce(hq_country, 'India') AS hq_country), x.domain IS NOT NULL AS known, kn.known AS known_name, bn.term, {_HEAD.replace("size_raw", "size_source")} AS headcount
+  FROM c LEFT JOIN x ON c.domain = x.domain LEFT JOIN kn ON c.company_name = kn.name LEFT JOIN bn ON c.company_name = bn.name),
 b AS (SELECT *, {_BUCKET} AS size_bucket FROM h),
-r AS (SELECT *, list_filter([CASE WHEN known THEN 'already-known firm (domain)' END, CASE WHEN founded_year IS NULL THEN 'founded year unknown' WHEN founded_year > 2020 THEN 'founded ' || founded_year || ' > 2020' END,
+r AS (SELECT *, list_filter([CASE WHEN known THEN 'already-known firm (domain)' END, 'already-known firm (' || known_name || ')', 'blocklisted outsourcer (' || term || ')',
+  CASE WHEN founded_year IS NULL THEN 'founded year unknown' WHEN founded_year > 2020 THEN 'founded ' || founded_year || ' > 2020' END,
   CASE WHEN headcount IS NULL THEN 'size unknown' WHEN headcount < 30 THEN 'size ~' || headcount || ' below floor 30' WHEN size_bucket IS NULL THEN 'size ~' || headcount || ' above ceiling 1000' END], lambda v: v IS NOT NULL) AS reasons,
-  list_filter([founded_note, CASE WHEN headcount BETWEEN 900 AND 1000 THEN 'near 1000 headcount ceiling' END], lambda v: v IS NOT NULL) AS notes FROM b),
-gated AS (SELECT domain, website, city, segment, founded_year, founded_source, founded_note, size_band, size_source, n_listings, company_name, sources, size_bucket, len(reasons) = 0 AS gate_pass, nullif(array_to_string(list_concat(reasons, notes), '; '), '') AS gate_reason FROM r)"""
+  list_filter([founded_note, CASE WHEN lower(trim(hq_country)) <> 'india' THEN 'foreign-incorporated (' || hq_country || '); India-delivery assumed' END, CASE WHEN headcount BETWEEN 900 AND 1000 THEN 'near 1000 headcount ceiling' END], lambda v: v IS NOT NULL) AS notes FROM b),
+gated AS (SELECT domain, website, city, segment, hq_country, founded_year, founded_source, founded_note, size_band, size_source, n_listings, company_name, sources, size_bucket, len(reasons) = 0 AS gate_pass, nullif(array_to_string(list_concat(reasons, notes), '; '), '') AS gate_reason FROM r)"""
 
 
 def _keyed(spark, d):
@@ -76,13 +107,14 @@ def _companies(spark, d):
 
 
 def _gated(spark, d):
-    return gates.apply_gates(_companies(spark, d), T(spark, d, "exclusions").where("domain IS NOT NULL"))
+    known = T(spark, d, "exclusions")
+    return gates.apply_gates(_companies(spark, d), known.where("domain IS NOT NULL"), known.select("ordinal", "name"), T(spark, d, "outsourcers"))
 
 
 # Scans and sources
 
 
-@query("SELECT ordinal, source, source_url, company_name, website_raw, city, founded_raw, size_raw, segment_raw FROM listings")
+@query("SELECT ordinal, source, source_url, company_name, website_raw, city, founded_raw, size_raw, segment_raw, hq_raw FROM listings")
 def scan_listings(spark, d):
     return T(spark, d, "listings")
 
@@ -345,12 +377,18 @@ def known_core_equi(spark, d):
     return gates.known_by_core(T(spark, d, "listings").select(F.col("company_name").alias("name")), T(spark, d, "exclusions"))
 
 
-@query()
+@query(f"WITH asked AS (SELECT DISTINCT company_name AS name FROM listings), {_KNOWN_NAMES} SELECT name, known FROM kn")
 def known_fuzzy(spark, d):
-    """Names against known firms, equal cores and close ones together; held against brute force in the tests."""
+    """Names against known firms, equal cores and close ones together; also held against brute force in the tests."""
     return gates.match_known(T(spark, d, "listings").select(F.col("company_name").alias("name")), T(spark, d, "exclusions"))
 
 
+@query(f"WITH asked AS (SELECT DISTINCT company_name AS name FROM listings), {_BLOCKED_NAMES} SELECT name, term FROM bn")
+def outsourcer_match(spark, d):
+    """Names of listings against the list of outsourcers."""
+    return gates.match_blocklist(T(spark, d, "listings").select(F.col("company_name").alias("name")), T(spark, d, "outsourcers"))
+
+
 @query()
 def blocklist_match(spark, d):
     """Names of listings against the excluded names as terms; held against brute force in the tests."""

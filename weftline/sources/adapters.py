@@ -19,14 +19,17 @@ SELECT o.o_orderkey AS ordinal,
   CASE WHEN o.o_orderkey % 23 = 0 THEN '' WHEN o.o_orderkey % 5 = 0 THEN concat('Firm ', CAST(c.c_custkey AS STRING), ' Technologies')
        WHEN o.o_orderkey % 5 = 1 THEN concat('  Firm ', CAST(c.c_custkey AS STRING)) WHEN o.o_orderkey % 5 = 2 THEN concat('FIRM-', CAST(c.c_custkey AS STRING), ' (India) Ltd')
        ELSE concat('Firm ', CAST(c.c_custkey AS STRING), ' Pvt Ltd') END AS company_name,
-  CASE WHEN o.o_orderkey % 17 = 0 THEN NULL WHEN o.o_orderkey % 17 = 1 THEN 'see our page' WHEN o.o_orderkey % 4 = 0 THEN concat('https://www.firm-', CAST(c.c_custkey AS STRING), '.co.in/about?x=1')
+  CASE WHEN o.o_orderkey % 17 = 0 THEN NULL WHEN o.o_orderkey % 17 = 1 THEN 'see our page' WHEN o.o_orderkey % 29 = 3 THEN concat('https://careers.firm-', CAST(c.c_custkey AS STRING), '.ac.in/x')
+       WHEN o.o_orderkey % 31 = 4 THEN concat('firm-', CAST(c.c_custkey AS STRING), '.tech/about') WHEN o.o_orderkey % 37 = 5 THEN 'co.in' WHEN o.o_orderkey % 41 = 6 THEN concat('http://me@Shop.Firm-', CAST(c.c_custkey AS STRING), '.COM.AU:81')
+       WHEN o.o_orderkey % 43 = 7 THEN concat('a.b.firm-', CAST(c.c_custkey AS STRING), '.de') WHEN o.o_orderkey % 47 = 8 THEN concat('x.firm-', CAST(c.c_custkey AS STRING), '.np') WHEN o.o_orderkey % 4 = 0 THEN concat('https://www.firm-', CAST(c.c_custkey AS STRING), '.co.in/about?x=1')
        WHEN o.o_orderkey % 4 = 1 THEN concat('HTTP://FIRM-', CAST(c.c_custkey AS STRING), '.CO.IN') WHEN o.o_orderkey % 4 = 2 THEN concat('  firm-', CAST(c.c_custkey AS STRING), '.co.in:8080/x ')
        ELSE concat('blog.firm-', CAST(c.c_custkey AS STRING), '.co.in#top') END AS website_raw,
   CASE WHEN o.o_orderkey % 11 = 0 THEN '' ELSE concat(n.n_name, ' , India') END AS city,
   CASE o.o_orderkey % 6 WHEN 0 THEN concat('since ', CAST(year(o.o_orderdate) + 18 AS STRING)) WHEN 1 THEN concat('Founded ', CAST(year(o.o_orderdate) + 20 AS STRING))
        WHEN 2 THEN concat(CAST(c.c_custkey % 40 AS STRING), '+ years') WHEN 3 THEN 'two decades' WHEN 4 THEN NULL ELSE 'long ago' END AS founded_raw,
   CASE o.o_orderkey % 7 WHEN 0 THEN '10 - 49' WHEN 1 THEN '50 - 249' WHEN 2 THEN '250 - 999' WHEN 3 THEN '1,000+' WHEN 4 THEN NULL WHEN 5 THEN '300' ELSE 'Freelancer (1)' END AS size_raw,
-  CASE WHEN o.o_orderkey % 3 = 0 THEN '' ELSE c.c_mktsegment END AS segment_raw
+  CASE WHEN o.o_orderkey % 3 = 0 THEN '' ELSE c.c_mktsegment END AS segment_raw,
+  CASE o.o_orderkey % 9 WHEN 0 THEN 'United States' WHEN 1 THEN ' INDIA' WHEN 2 THEN '' WHEN 3 THEN 'India' ELSE NULL END AS hq_raw
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 """,
     "people": """
@@ -71,6 +74,9 @@ SELECT o_orderkey AS ordinal, CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE concat(
     "exclusions": """
 SELECT s_suppkey AS ordinal, concat('Firm ', CAST(s_suppkey * 3 AS STRING), CASE s_suppkey % 3 WHEN 0 THEN ' Solutions' WHEN 1 THEN ' LLP' ELSE '' END) AS name,
   CASE WHEN s_suppkey % 4 = 0 THEN concat('firm-', CAST(s_suppkey AS STRING), '.co.in') ELSE NULL END AS domain FROM supplier
+""",
+    "outsourcers": """
+SELECT n_nationkey AS ordinal, concat('Firm ', CAST(n_nationkey * 40 + 7 AS STRING), ' Technologies') AS term FROM nation
 """,
     "outcomes": """
 SELECT event_id, user_id AS deal_id, ts, CAST(event_id % 5 + 1 AS INT) AS outcome FROM events
