@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import firm
 from weftline.functions.fuzzy import token_set_ratio
+from weftline.scratch import materialize
 
 MAX_YEAR, FLOOR, CEILING, HQ = 2020, 30, 1000, "India"
 TARGETS = ("1-100", "100-500", "500-1000")
@@ -21,7 +22,7 @@ def apply_gates(companies: DataFrame, known_domains: DataFrame, known: DataFrame
     not collected. A firm without a country is one of HQ; another country is
     noted, not rejected.
     """
-    names = companies.select(F.col("company_name").alias("name")).where("name IS NOT NULL").distinct()
+    names = materialize(companies.select(F.col("company_name").alias("name")).where("name IS NOT NULL").distinct(), "gate-names")
     by_name = match_known(names, known).select(F.col("name").alias("company_name"), F.col("known").alias("known_name"))
     blocked = match_blocklist(names, terms).select(F.col("name").alias("company_name"), "term")
     flagged = companies.join(known_domains.select("domain").distinct().withColumn("known", F.lit(True)), "domain", "left").join(by_name, "company_name", "left").join(blocked, "company_name", "left")
@@ -98,7 +99,8 @@ def candidates(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
         raise ValueError(f"thresholds below {LOWEST} are not supported")
     share = threshold / 100
     sets = lambda df, c: df.select(F.col(c).alias("id"), _tokens(c).alias("ts")).where(F.size("ts") > 0).distinct().withColumn("n", _joined_length(F.col("ts")))
-    sa, sb = sets(a, "x"), sets(b, "y")
+    # each is read several times below
+    sa, sb = materialize(sets(a, "x"), "fuzzy-x"), materialize(sets(b, "y"), "fuzzy-y")
     ta, tb = (df.select("id", F.explode("ts").alias("t")) for df in (sa, sb))
     met = _rarest(sa, tb, share).toDF("x", "t").join(tb.toDF("y", "t"), "t").select("x", "y").union(ta.toDF("x", "t").join(_rarest(sb, ta, share).toDF("y", "t"), "t").select("x", "y")).distinct()
     full = lambda pairs: pairs.join(sa.toDF("x", "tx", "nx"), "x").join(sb.toDF("y", "ty", "ny"), "y")
@@ -116,7 +118,7 @@ def candidates(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
     tokens = sa.select("id", (edits + 1).alias("need"), F.explode("ts").alias("t")).select("*", F.explode(F.array(*map(F.lit, PIECES))).alias("q"))
     pieces = tokens.select("id", "need", "q", F.explode(F.transform(F.sequence(F.lit(0), F.ceil(F.char_length("t") / F.col("q")).cast("int") - 1), lambda k: F.substr("t", k * F.col("q") + 1, size(k)))).alias("p"))
     rated = pieces.join(counts, "p", "left").withColumn("f", F.coalesce("f", F.lit(0)))
-    chosen = rated.withColumn("r", F.row_number().over(Window.partitionBy("id", "q").orderBy("f", "p"))).where("r <= need")
+    chosen = materialize(rated.withColumn("r", F.row_number().over(Window.partitionBy("id", "q").orderBy("f", "p"))).where("r <= need"), "fuzzy-pieces")
     cost = chosen.groupBy("id", "q").agg(F.count("*").alias("k"), F.first("need").alias("need"), F.sum("f").alias("f")).where("k = need").groupBy("id").agg(F.min_by("q", F.struct("f", "q")).alias("q"))
     close = chosen.join(cost, ["id", "q"]).select(F.col("id").alias("x"), "p").distinct().join(grams.toDF("y", "p"), "p").select("x", "y").distinct()
     alike = full(close).where(F.abs(F.col("nx") - F.col("ny")) <= (1 - share) * (F.col("nx") + F.col("ny")) + 1e-9).select("x", "y")

@@ -82,7 +82,7 @@ kd AS (SELECT dx, dy FROM (SELECT DISTINCT dx FROM kx WHERE dx <> ''), (SELECT D
 kn AS (SELECT name, arg_min(known, ordinal) AS known FROM (SELECT kx.name, ky.ordinal, ky.name AS known FROM kx JOIN ky ON x = y WHERE x <> '' UNION ALL SELECT kx.name, ky.ordinal, ky.name FROM kd JOIN kx USING (dx) JOIN ky USING (dy)) GROUP BY name)"""
 _BLOCKED_NAMES = f"""bx AS (SELECT name, x, regexp_extract(x, '^firm ([0-9]+) technologies$', 1) AS dx, ' ' || regexp_replace(x, '[^a-z0-9&]+', ' ', 'g') || ' ' AS spaced FROM (SELECT name, lower(trim(name)) AS x FROM asked) WHERE x <> ''),
 by_ AS (SELECT ordinal, term, lower(trim(term)) AS y, regexp_extract(lower(trim(term)), '^firm ([0-9]+) technologies$', 1) AS dy FROM outsourcers),
-bn AS (SELECT name, arg_min(term, ordinal) AS term FROM bx JOIN by_ ON contains(spaced, ' ' || y || ' ') OR x = 'firm ' || dy OR (dx <> '' AND 200.0 * (18 + {_common('dx', 'dy')}) / (36 + length(dx) + length(dy)) >= 90) GROUP BY name)"""
+bn AS (SELECT name, arg_min(term, ordinal) AS term FROM bx JOIN by_ ON contains(spaced, ' ' || y || ' ') OR x = 'firm ' || dy OR (dx <> '' AND (200.0 * (18 + {_common('dx', 'dy')}) / (36 + length(dx) + length(dy)) >= 90 OR 200.0 * 17 / (35 + least(length(dx), length(dy))) >= 90)) GROUP BY name)"""
 _GATED = f"""{_COMPANIES},
 asked AS (SELECT DISTINCT company_name AS name FROM c WHERE company_name IS NOT NULL),
 {_KNOWN_NAMES},

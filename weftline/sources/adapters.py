@@ -76,7 +76,7 @@ SELECT s_suppkey AS ordinal, concat('Firm ', CAST(s_suppkey * 3 AS STRING), CASE
   CASE WHEN s_suppkey % 4 = 0 THEN concat('firm-', CAST(s_suppkey AS STRING), '.co.in') ELSE NULL END AS domain FROM supplier
 """,
     "outsourcers": """
-SELECT n_nationkey AS ordinal, concat('Firm ', CAST(n_nationkey * 40 + 7 AS STRING), ' Technologies') AS term FROM nation
+SELECT n_nationkey AS ordinal, concat('Firm ', CAST(n_nationkey * 40 + 107 AS STRING), ' Technologies') AS term FROM nation
 """,
     "outcomes": """
 SELECT event_id, user_id AS deal_id, ts, CAST(event_id % 5 + 1 AS INT) AS outcome FROM events
