@@ -1,5 +1,6 @@
 import pytest
 
+from weftline.plans import snapshots  # noqa: F401
 from weftline.plans.catalogue import ORACLE, QUERIES
 
 from .oracle import duck, same

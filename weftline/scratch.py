@@ -20,6 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     """URI of the shared folder of this session, without a trailing slash."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that driver and executors share; the master is {master}")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="weftline-")

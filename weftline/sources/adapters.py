@@ -52,7 +52,9 @@ SELECT * FROM (VALUES ('click', 'Interested', 2, false, false), ('view', 'No Pic
 """,
     "metric_dim": """
 SELECT * FROM (VALUES ('att', 'No Pickup'), ('att', 'Dead/ColdCall/Not Interested'), ('att', 'Interested'), ('conn', 'Dead/ColdCall/Not Interested'), ('conn', 'Interested'),
-  ('ev', 'Commercial Negotiation'), ('cn', 'Commercial Negotiation'), ('won_d', 'Closed/Won')) AS t(metric, stage_label)
+  ('att', 'Dead/ColdCall/WrongNumber'), ('att', 'Dead/ColdCall/NoPickup'), ('gm', 'GMeet Fixed'), ('vc', 'Dead/GMeet/NoShow'), ('vc', 'Dead/GMeet/wrong fit'), ('vc', 'Dead/GMeet/Privacy Concerns'), ('vc', 'Script Shared'),
+  ('ss', 'Script Shared'), ('rr', 'Script Results Received'), ('ev', 'Dead/ResultsReceived/WrongFit-Rejected'), ('ev', 'Commercial Negotiation'), ('cn', 'Commercial Negotiation'), ('neg', 'Dead/Negotiation/Pricing'), ('neg', 'Dead/Negotiation/Contractual'),
+  ('neg', 'Deal Contract Signed'), ('dcs', 'Deal Contract Signed'), ('won_d', 'Closed/Won')) AS t(metric, stage_label)
 """,
     "stage_history": """
 SELECT event_id, user_id AS deal_id, event_type AS stage_id, ts, event_id % 8 AS actor, CASE WHEN event_id % 5 < 3 THEN 'CRM_UI' ELSE 'INTEGRATION' END AS source_type, value FROM events
@@ -74,6 +76,19 @@ SELECT o_orderkey AS ordinal, CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE concat(
     "exclusions": """
 SELECT s_suppkey AS ordinal, concat('Firm ', CAST(s_suppkey * 3 AS STRING), CASE s_suppkey % 3 WHEN 0 THEN ' Solutions' WHEN 1 THEN ' LLP' ELSE '' END) AS name,
   CASE WHEN s_suppkey % 4 = 0 THEN concat('firm-', CAST(s_suppkey AS STRING), '.co.in') ELSE NULL END AS domain FROM supplier
+""",
+    "note_bodies": """
+SELECT o_orderkey AS ordinal, CASE o_orderkey % 6 WHEN 0 THEN concat('<p>Category: x<br>Remarks: call &amp; ask ', CAST(o_orderkey AS STRING), '</p>') WHEN 1 THEN concat('line one<br/>Priority: high<BR >second &lt;b&gt; ', CAST(o_orderkey AS STRING), '<br>')
+  WHEN 2 THEN NULL WHEN 3 THEN '' WHEN 4 THEN 'Remarks: <br> Status (old) <br>kept' ELSE concat('<b>', repeat('long text ', 40), '</b>') END AS body FROM orders
+""",
+    "list_rows": """
+SELECT 'a' AS file, 0 AS line, '#|Company|Website' AS text UNION ALL SELECT 'b' AS file, 0 AS line, 'X|Y' AS text UNION ALL SELECT 'c' AS file, 0 AS line, ' FIRM ' AS text UNION ALL
+SELECT CASE s_suppkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS file, CAST(s_suppkey + 1 AS INT) AS line,
+  CASE s_suppkey % 3 WHEN 0 THEN concat('1|Firm ', CAST(s_suppkey AS STRING), '|https://www.firm-', CAST(s_suppkey AS STRING), '.co.in/x') WHEN 1 THEN concat('y|=HYPERLINK("https://firm-', CAST(s_suppkey AS STRING), '.com","Firm ', CAST(s_suppkey AS STRING), '")')
+  ELSE concat(' firm ', CAST(s_suppkey AS STRING), ' ') END AS text FROM supplier
+""",
+    "domain_lines": """
+SELECT CASE n_nationkey % 3 WHEN 0 THEN '# a comment' WHEN 1 THEN '  ' ELSE concat('  www.nation-', CAST(n_nationkey AS STRING), '.org/x ') END AS line FROM nation
 """,
     "outsourcers": """
 SELECT n_nationkey AS ordinal, concat('Firm ', CAST(n_nationkey * 40 + 107 AS STRING), ' Technologies') AS term FROM nation
