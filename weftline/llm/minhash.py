@@ -7,7 +7,8 @@ similarity of a candidate pair from the population count of two bitmaps' XOR.
 Pairs that the sketch rules out by a wide margin go; the rest are confirmed on
 the full sets.
 
-No bucket is expanded into all pairs:
+No bucket is expanded into all pairs, and a key that holds many rows is dealt to
+several tasks (:func:`hot_join`):
 
 * Documents with equal sets are one class with one representative.
 * Each member of a bucket is compared with the bucket's smallest one. Links so
@@ -26,7 +27,9 @@ Defined cases: a text without words, or null, has an empty set and links with
 nothing; fewer words than a shingle make one shingle of all of them; rows that
 share a doc_id are one document, in one component; rows with a null doc_id link
 with nothing and have a null component; an empty table gives an empty result;
-only doc_id and text are read by :func:`near_duplicates`.
+a very long text is one set in one task; only doc_id and text are read by
+:func:`near_duplicates`, and :func:`keep_one` keeps docs' columns whatever their
+names.
 
 Probabilities: a pair at exactly 0.8 shares no band with probability 3e-6; the
 sketch's margin is over six standard deviations. Shingles are compared by
@@ -48,6 +51,8 @@ SAMPLES = BANDS * ROWS
 ODD_BITS = 512
 #: Candidates whose sketches estimate a similarity under this much below the threshold go without confirmation.
 MARGIN = 0.30
+#: Rows of one key above which a join deals the key to several tasks.
+HOT = 500
 #: Words whose hashes a task keeps before it starts anew.
 CACHE = 300_000
 
@@ -178,7 +183,7 @@ _BITS = [f"p{k}" for k in range(WIDE)]
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, its whole set as an array of long, its odd sketch, and p0, p1, ...: the parity bitmap of the set."""
+    """doc_id, its whole set as an array of long, and p0, p1, ...: the parity bitmap of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -188,14 +193,13 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
             for first in range(0, batch.num_rows, 1000):
                 some = batch.slice(first, 1000)
                 sets = [sk.shingles(x.as_py()) for x in some.column("text")]
-                odd = [sk.odd(sk.samples(x)) for x in sets]
                 wide = np.array([sk.parity(x) for x in sets])
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id").cast(pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), pa.array(odd, pa.list_(pa.int64())), *(pa.array(np.ascontiguousarray(wide[:, k])) for k in range(WIDE))],
-                    names=["doc_id", "members", "odd", *_BITS],
+                    [some.column("doc_id").cast(pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), *(pa.array(np.ascontiguousarray(wide[:, k])) for k in range(WIDE))],
+                    names=["doc_id", "members", *_BITS],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, members array<long>, odd array<long>, " + ", ".join(f"{p} long" for p in _BITS))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, members array<long>, " + ", ".join(f"{p} long" for p in _BITS))
 
 
 def odd_estimate(a: Column, b: Column) -> Column:
@@ -233,17 +237,32 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough: first by size and odd sketch, then by the sets."""
-    narrow = sets.select("doc_id", F.size("members").alias("n"), "odd")
+def hot_join(left: DataFrame, right: DataFrame, on: list[str], by: str, condition: Column | None = None) -> DataFrame:
+    """Inner join of left and right on columns that neither has null, with a key of many rows on the left dealt to several tasks.
+
+    Keys with more than HOT rows on the left are few, at most one in HOT rows;
+    their table is written, so Spark broadcasts it where it is small. Their left
+    rows are parted by a hash of column ``by``, and their right rows repeated for
+    each part.
+    """
+    counts = materialize(left.groupBy(*on).agg(F.count("*").alias("c")).where(F.col("c") > HOT).select(*on, F.ceil(F.col("c") / HOT).alias("parts")), "hot-keys")
+    parts = F.coalesce("parts", F.lit(1))
+    a = left.join(counts, on, "left").withColumn("part", F.pmod(F.xxhash64(by), parts)).drop("parts")
+    b = right.join(counts, on, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+    joined = a.join(b, [*on, "part"]).drop("part")
+    return joined if condition is None else joined.where(condition)
+
+
+def _confirm(pairs: DataFrame, narrow: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough: first by size and odd sketch (narrow: doc_id, n, odd), then by the sets. Many pairs may have one a."""
     a, b = narrow.toDF("a", "na", "oa"), narrow.toDF("b", "nb", "ob")
     likely = (
-        pairs.join(a, "a").join(b, "b")
+        hot_join(pairs, a, ["a"], "b").join(b, "b")
         .where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (odd_estimate(F.col("oa"), F.col("ob")) >= percent / 100 - MARGIN))
         .select("a", "b").distinct()
     )
     whole = sets.select("doc_id", "members")
-    both = materialize(likely, "likely").join(whole.toDF("a", "ma"), "a").join(whole.toDF("b", "mb"), "b")
+    both = hot_join(materialize(likely, "likely"), whole.toDF("a", "ma"), ["a"], "b").join(whole.toDF("b", "mb"), "b")
     shared = F.size(F.array_intersect("ma", "mb"))
     return both.select("a", "b", shared.alias("i"), (F.size("ma") + F.size("mb")).alias("t")).where(100 * F.col("i") >= percent * (F.col("t") - F.col("i"))).select("a", "b").distinct()
 
@@ -260,7 +279,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     sketches = materialize(sketch(docs, n), "sketches")
     usable = sketches.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = materialize(usable.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "classes")
-    copies = usable.select("doc_id", "s1", "s2").join(classes, ["s1", "s2"]).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    copies = hot_join(usable.select("doc_id", "s1", "s2"), classes, ["s1", "s2"], "doc_id", F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = usable.join(classes.select("s1", "s2", F.col("rep").alias("doc_id")), ["s1", "s2", "doc_id"], "left_semi")
     in_bands = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
     shared = in_bands.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("key", "first")
@@ -271,7 +290,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     sets = materialize(full_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), n), "sets")
 
     stars = materialize(members.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "stars")
-    links = materialize(_confirm(stars, sets, percent).union(copies), "links")
+    narrow = reps.select("doc_id", F.col("n_shingles").alias("n"), "odd")
+    links = materialize(_confirm(stars, narrow, sets, percent).union(copies), "links")
     label = components(links)
 
     placed = members.select("key", "id").join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
@@ -281,9 +301,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     bitmaps = sets.select(F.col("doc_id").alias("id"), F.size("members").alias("n"), *_BITS)
     rest = materialize(placed.join(mixed, "key").join(bitmaps, "id"), "rest")
     side = lambda rows, s: rows.select("key", F.col("id").alias(s), F.col("c").alias(f"c{s}"), F.col("n").alias(f"n{s}"), *[F.col(p).alias(f"{s}_{p}") for p in _BITS])
-    few, every = side(rest.where("c <> main"), "x").withColumnRenamed("key", "xkey"), side(rest, "y")
-    pairs = few.join(every, (F.col("xkey") == F.col("key")) & (F.col("cx") != F.col("cy")) & _possible(percent)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = materialize(_confirm(pairs, sets, percent), "more-links")
+    few, every = side(rest.where("c <> main"), "x"), side(rest, "y")
+    pairs = hot_join(few, every, ["key"], "x", (F.col("cx") != F.col("cy")) & _possible(percent)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    more = materialize(_confirm(pairs, narrow, sets, percent), "more-links")
     label = components(label.toDF("a", "b").union(more))
     return sketches.select("doc_id", "n_shingles").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
