@@ -43,9 +43,9 @@ def _all_segmentations(lattice, text):
     for n in range(1, len(text) + 1):
         piece = text[:n]
         if lattice.automaton.exists(piece):
-            total += math.exp(lattice.automaton.get(piece)[1]) * _all_segmentations(lattice, text[n:])
+            total += math.exp(lattice.weight[lattice.automaton.get(piece)]) * _all_segmentations(lattice, text[n:])
     if text[0] not in lattice.single:
-        total += math.exp(sum(lattice.byte[b] for b in text[0].encode())) * _all_segmentations(lattice, text[1:])
+        total += math.exp(sum(lattice.weight[lattice.byte[b]] for b in text[0].encode())) * _all_segmentations(lattice, text[1:])
     return total
 
 
@@ -58,8 +58,61 @@ def test_forward_recursion_sums_all_segmentations():
 
 def test_pieces_sum_to_one():
     lattice = lm.Lattice(PIECES, {400: 9}, 2)
-    pieces = sum(math.exp(v[1]) for v in lattice.automaton.values())
-    assert abs(pieces + sum(map(math.exp, lattice.byte.values())) + math.exp(lattice.end) - 1) < 1e-9
+    assert abs(sum(map(math.exp, lattice.weight)) - 1) < 1e-9
+
+
+def _all_pieces(lattice, text):
+    """(probability, pieces) of each segmentation, by plain recursion."""
+    if not text:
+        yield 1.0, []
+    for n in range(1, len(text) + 1):
+        if lattice.automaton.exists(text[:n]):
+            i = lattice.automaton.get(text[:n])
+            for p, rest in _all_pieces(lattice, text[n:]):
+                yield p * math.exp(lattice.weight[i]), [i, *rest]
+    if text and text[0] not in lattice.single:
+        own = [lattice.byte[b] for b in text[0].encode()]
+        for p, rest in _all_pieces(lattice, text[1:]):
+            yield p * math.exp(sum(lattice.weight[own])), own + rest
+
+
+def test_expected_counts_against_all_segmentations():
+    lattice = lm.Lattice(PIECES, {300: 50, 1000: 7}, 3)
+    words, times = ["the", "there", "x\U0001f642y", "a", "na\u00efve"], [3, 1, 2, 5, 1]
+    want = Counter()
+    for w, c in zip(words, times):
+        every = list(_all_pieces(lattice, "\u2581" + w))
+        whole = sum(p for p, _ in every)
+        for p, pieces in every:
+            for i in pieces:
+                want[i] += c * p / whole
+    got, total = lattice.expected(words, times)
+    assert all(abs(got[i] - n) < 1e-9 for i, n in want.items()) and abs(got.sum() - sum(want.values())) < 1e-9
+    assert abs(total - sum(c * lattice.word(w) for w, c in zip(words, times))) < 1e-9
+
+
+def test_each_pass_makes_the_training_words_likelier():
+    words = Counter(w for _, t, *_ in corpus() for w in (t or "").lower().split() if len(w) < 100)
+    counts, before = {}, -math.inf
+    for _ in range(4):
+        got, total = lm.Lattice(PIECES, counts, 0).expected(list(words), list(words.values()))
+        assert total > before
+        counts, before = {i: n for i, n in enumerate(got) if n}, total
+
+
+def test_document_scores_against_plain_sums(docs):
+    """Scores of whole documents: the same passes in plain Python over a dictionary."""
+    rows = [(i, (t or "").encode().lower().decode().split() if (t or "").isascii() else None, zlib.crc32(str("" if i is None else i).encode()) % 7 == 2) for i, t, *_ in corpus()]
+    some = docs.where(F.col("text").isNull() | ~F.col("text").rlike(r"[^\x00-\x7f]"))
+    rows = [(i, t, out) for i, t, out in rows if t is not None]
+    train = Counter(w for _, t, out in rows if not out for w in t)
+    ends, counts = sum(not out for *_, out in rows), {}
+    for _ in range(lm.PASSES):
+        got, _ = lm.Lattice(PIECES, counts, ends).expected(list(train), list(train.values()))
+        counts = {i: n for i, n in enumerate(got) if n}
+    last = lm.Lattice(PIECES, counts, ends)
+    want = sorted((str(i), round((sum(last.word(w) * c for w, c in Counter(t).items()) + last.end) / math.log(10), 3)) for i, t, _ in rows)
+    assert sorted((str(r.doc_id), round(r.score, 3)) for r in run(some).collect()) == want
 
 
 def test_empty(docs, empty):
