@@ -1,3 +1,4 @@
+import hashlib
 from itertools import combinations
 
 import numpy as np
@@ -56,12 +57,24 @@ def test_chain_of_small_edits(spark):
 def test_keep_one(docs, empty):
     out = minhash.keep_one(docs)
     assert out.schema == docs.schema
-    want = brute([(i, t) for i, t, *_ in corpus()], 5)
-    ids = [r.doc_id for r in out.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({i for i, c in want.items() if i == c}) and ids.count(None) == 2
+    vertices = sorted({(i, hashlib.sha256(t.encode()).hexdigest() if t is not None else "", t) for i, t, *_ in corpus() if i is not None}, key=lambda v: v[:2])
+    want = brute([(k, v[2]) for k, v in enumerate(vertices)], 5)
+    rows = out.collect()
+    stay = [(vertices[k][0], vertices[k][2]) for k, c in want.items() if k == c]
+    assert sorted(((r.doc_id, r.text) for r in rows if r.doc_id is not None), key=str) == sorted(stay, key=str)
+    assert [r.doc_id for r in rows].count(None) == 2
     assert minhash.keep_one(empty).count() == 0 and minhash.near_duplicates(empty).count() == 0
 
 
+def test_keep_one_of_repeated_ids(spark):
+    """A text that copies another document goes; an unlike text under the same id stays."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a, "s", None), (2, a, "s", None), (2, b, "s", None), (2, b, "s", None), (3, c, "s", None)]
+    for n_rows in (rows, rows[:2] + rows[4:]):
+        got = sorted((r.doc_id, r.text) for r in minhash.keep_one(make(spark, n_rows)).collect())
+        assert got == sorted({(i, t) for i, t, *_ in n_rows} - {(2, a)})
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 60)] + [(100, 90), (90, 80), (7, 7)], "a long, b long")
     got = {r.id: r.component for r in minhash.components(edges).collect()}

@@ -309,12 +309,24 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs, with docs' own columns, without all but one document of each component."""
-    found = materialize(near_duplicates(docs, n, percent).select("doc_id", "component_id"), "near")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("nd_gone")).distinct()
+    """The rows of docs, with docs' own columns whatever their names, without all but one document of each component.
+
+    The smallest doc_id stays. Rows without an id all stay. Where ids repeat,
+    a document is an id with a text: rows that repeat both are one, other texts
+    of the id are judged by themselves, and of two copies under one id that with
+    the smaller SHA-256 stays.
+    """
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    kept = packed.join(gone, F.col("row.doc_id") == F.col("nd_gone"), "left_anti").select("row.*")
-    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if twice:
-        kept = kept.where("doc_id IS NULL").union(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
-    return kept
+    if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        found = materialize(near_duplicates(docs, n, percent).select("doc_id", "component_id"), "near")
+        gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("nd_gone"))
+        return packed.join(gone, F.col("row.doc_id") == F.col("nd_gone"), "left_anti").select("row.*")
+    digest = lambda text: F.coalesce(F.sha2(text, 256), F.lit(""))
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", "text", digest(F.col("text")).alias("digest")).dropDuplicates(["doc_id", "digest"])
+    vertices = materialize(named.withColumn("vertex", F.monotonically_increasing_id()), "vertices")
+    found = near_duplicates(vertices.select(F.col("vertex").alias("doc_id"), "text"), n, percent).select(F.col("doc_id").alias("vertex"), "component_id")
+    least = vertices.select("vertex", "doc_id", "digest").join(found, "vertex").groupBy("component_id").agg(F.min(F.struct("doc_id", "digest")).alias("k"))
+    stay = materialize(least.select(F.col("k.doc_id").alias("i"), F.col("k.digest").alias("g")), "near")
+    rows = packed.where("row.doc_id IS NOT NULL").select(F.col("row.doc_id").alias("i"), digest(F.col("row.text")).alias("g"), "row").join(stay, ["i", "g"], "left_semi")
+    one = rows.groupBy("i", "g").agg(F.min_by("row", F.sha2(F.to_json("row"), 256)).alias("row"))
+    return one.select("row.*").union(packed.where("row.doc_id IS NULL").select("row.*"))
