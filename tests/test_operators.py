@@ -8,7 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from weftline.functions import fuzzy
-from weftline.operators import crm, gates, ledger, merge, people
+from weftline.operators import crm, gates, ledger, merge, order, people
 
 
 def names(n, seed):
@@ -152,3 +152,30 @@ def test_merge_is_idempotent(spark):
     assert sorted(map(tuple, merge.upsert(once, new, "k", "o").collect())) == [("a", 1, "z"), ("b", 7, "w")]
     empty = new.limit(0)
     assert sorted(map(tuple, merge.upsert(old, empty, "k", "o").collect())) == [("a", 1, "x")]
+
+
+def test_sliding_count_against_brute_force(spark):
+    """Slots of 16 windows each; edges of windows and slots, equal times, a key with nearly all rows, no time."""
+    rng = random.Random(5)
+    start = dt.datetime(2024, 1, 1)
+    edges = [start + dt.timedelta(seconds=160 * k + e) for k in range(4) for e in (-10, -1, 0, 9, 10, 150, 151)]
+    times = edges + [start + dt.timedelta(seconds=rng.randint(-400, 900), microseconds=rng.choice([0, 1, 999999])) for _ in range(300)]
+    rows = [(k, "hot" if k % 20 else "cold", t) for k, t in enumerate(times)] + [(1000, "hot", None), (1001, "hot", None)]
+    got = {r.i: r.in_window for r in ledger.sliding_count(spark.createDataFrame(rows, "i int, key string, ts timestamp").repartition(4), "key", "ts", 10).collect()}
+    width = dt.timedelta(seconds=10)
+    near = lambda a, b: a is b if a is None or b is None else b - width < a <= b
+    assert got == {i: sum(k == key and near(x, t) for _, k, x in rows) for i, key, t in rows}
+
+
+def test_numbers_over_ranges(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["big", "big", "big", "small", None]), rng.randint(0, 50), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "g string, score int, k int").repartition(6)
+    got = {r.k: r.n for r in order.numbered(df, [F.desc("score"), F.col("k")], "n").collect()}
+    assert got == {r[2]: n for n, r in enumerate(sorted(rows, key=lambda r: (-r[1], r[2])), 1)}
+    within = {r.k: r.n for r in order.numbered_within(df, "g", [F.desc("score"), F.col("k")], "n").collect()}
+    want = {}
+    for g in {r[0] for r in rows}:
+        want |= {r[2]: n for n, r in enumerate(sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2])), 1)}
+    assert within == want
+    assert order.numbered(df.limit(0), [F.col("k")], "n").count() == 0

@@ -33,8 +33,22 @@ def budget_prefix(rows: DataFrame, group: str, order: str, cost: str, budget: in
     return rows.withColumn("spent", F.sum(cost).over(w)).where(F.col("spent") <= budget)
 
 
+#: Widths of a sliding window in one slot of time.
+SLOT_WIDTHS = 16
+
+
 def sliding_count(rows: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
-    """rows with in_window: how many rows of the key lie in the seconds up to and including each."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(key).orderBy("t").rangeBetween(-seconds * 1_000_000 + 1, 0)
-    return rows.withColumn("t", micros).withColumn("in_window", F.count("*").over(w)).drop("t")
+    """rows with in_window: how many rows of the key lie in the seconds up to and including each.
+
+    A key's rows are split into slots of time, so that a key may hold any part
+    of them; rows in the last window's width of a slot count in the next one too.
+    """
+    width = seconds * 1_000_000
+    span = SLOT_WIDTHS * width
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    into = F.pmod(F.col("t"), F.lit(span))
+    own = F.col("t") - into
+    slots = F.when(into >= span - width, F.array(own, own + span)).otherwise(F.array(own))
+    placed = rows.withColumn("t", t).withColumn("own", own).withColumn("slot", F.explode(slots))
+    w = Window.partitionBy(key, "slot").orderBy("t").rangeBetween(-width + 1, 0)
+    return placed.withColumn("in_window", F.count("*").over(w)).where(F.col("slot").eqNullSafe(F.col("own"))).drop("t", "own", "slot")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import cells, contact, dates, firm, provenance
-from weftline.operators import crm, funnel, gates, ledger, merge, people, resolve
+from weftline.operators import crm, funnel, gates, ledger, merge, order, people, resolve
 from weftline.sources.adapters import logical as T
 from weftline.sources.adapters import with_tables
 from weftline.streaming import quota
@@ -728,9 +728,9 @@ def bounded_preview(spark, d):
 
 @query("SELECT domain, row_number() OVER (ORDER BY domain)::INTEGER + 130 AS n FROM (SELECT DISTINCT domain FROM people)")
 def export_rows_numbered(spark, d):
-    """Numbered rows of the deliverable, continuing after 130. A running number over all rows is what the deliverable is."""
+    """Numbered rows of the deliverable, continuing after 130."""
     firms = T(spark, d, "people").select("domain").distinct()
-    return firms.select("domain", (F.row_number().over(Window.orderBy("domain")) + 130).alias("n"))
+    return order.numbered(firms, [F.col("domain")], "n").select("domain", (F.col("n") + 130).cast("int").alias("n"))
 
 
 @query(f"WITH {_RANKED} SELECT domain, row_number() OVER (ORDER BY domain)::INTEGER AS n FROM rk WHERE rank = 1 AND f1 AND f2 AND domain NOT IN (SELECT domain FROM exclusions WHERE domain IS NOT NULL) ORDER BY domain LIMIT 20")
@@ -796,7 +796,9 @@ def enrich_cap(spark, d):
 
 @query("SELECT c_mktsegment, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey)::INTEGER AS place FROM customer")
 def score_sorted(spark, d):
-    return T(spark, d, "customer").select("c_mktsegment", "c_custkey", F.row_number().over(Window.partitionBy("c_mktsegment").orderBy(F.desc("c_acctbal"), "c_custkey")).alias("place"))
+    rows = T(spark, d, "customer").select("c_mktsegment", "c_custkey", "c_acctbal")
+    placed = order.numbered_within(rows, "c_mktsegment", [F.desc("c_acctbal"), F.col("c_custkey")], "place")
+    return placed.select("c_mktsegment", "c_custkey", F.col("place").cast("int").alias("place"))
 
 
 # Sets, snapshots and transitions
@@ -842,12 +844,13 @@ def feedback_merge(spark, d):
     return merge.upsert(old, new, "email", "ordinal")
 
 
-@query("""WITH o AS (SELECT c_custkey AS key, c_mktsegment AS value, 1 AS created_at FROM customer WHERE c_custkey % 2 = 0), n AS (SELECT c_custkey AS key, upper(c_name) AS value, 2 AS created_at FROM customer WHERE c_custkey % 3 = 0)
+@query("""WITH o AS (SELECT c_custkey AS key, c_mktsegment AS value, 1 AS created_at FROM customer), n AS (SELECT 2 * c_custkey AS key, upper(c_name) AS value, 2 AS created_at FROM customer)
 SELECT coalesce(o.key, n.key) AS key, coalesce(o.created_at, n.created_at)::INTEGER AS created_at, CASE WHEN n.key IS NOT NULL THEN n.value ELSE o.value END AS value FROM o FULL JOIN n ON o.key = n.key""")
 def upsert_merge(spark, d):
+    """All customers, and all of them again under twice their key: a part is replaced, a part put in, the odd keys stay."""
     c = T(spark, d, "customer")
-    old = c.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value"), F.lit(1).alias("created_at"))
-    new = c.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("key"), F.upper("c_name").alias("value"), F.lit(2).alias("created_at"))
+    old = c.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("value"), F.lit(1).alias("created_at"))
+    new = c.select((2 * F.col("c_custkey")).alias("key"), F.upper("c_name").alias("value"), F.lit(2).alias("created_at"))
     return merge.upsert(old, new, "key", "created_at")
 
 
