@@ -1,6 +1,9 @@
 import re
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from weftline.llm import quality
 
 from .conftest import corpus, make
@@ -51,3 +54,22 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = spark._jvm.PythonSQLUtils.explainString(quality.ledger(docs)._jdf.queryExecution(), "formatted")
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan and "struct<doc_id:bigint,text:string>" in plan
+
+
+def test_stored_ledger_serves_other_policies_and_refuses_other_books(spark, docs):
+    book = quality.store(docs)
+    assert sorted(map(str, book.collect())) == sorted(map(str, quality.ledger(docs).collect()))
+    for policy in (quality.BASE, quality.STANDARD, quality.STRICT):
+        kept = quality.apply_policy(book, policy).where("kept").count()
+        assert kept == sum(not r.failed & policy.mask for r in book.select("failed").collect())
+        rows = {r.rule: r for r in quality.ablations(book, policy).collect()}
+        assert set(rows) == set(policy.rules) and all(r.n_kept_without == kept + r.n_only for r in rows.values())
+    old = book.withColumn("rule_book", F.lit("rules-1"))
+    with pytest.raises(Exception, match="not for a ledger of rules-1"):
+        quality.apply_policy(old, quality.STANDARD).select("kept").collect()
+
+
+def test_lists_ellipses_and_letters(spark):
+    cases = ["- a b\n  * c\n\u2022 d\nplain", "it goes on...\nand on\u2026 \nends. ..x", "12 34 5a -- \u00e9 \u4f60", "", None]
+    got = {r.doc_id: (r.n_lines, r.n_bullets, r.n_ellipses, r.n_lettered) for r in quality.ledger(make(spark, [(k, t, None, None) for k, t in enumerate(cases)])).collect()}
+    assert got == {0: (4, 3, 0, 5), 1: (3, 0, 2, 7), 2: (1, 0, 0, 3), 3: (0, 0, 0, 0), 4: (0, 0, 0, 0)}

@@ -35,10 +35,11 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")), quality.STANDARD)
+    book = quality.apply_policy(quality.store(table(spark, sf_dir, "documents")), quality.STANDARD)
     base_failed = F.col("failed").bitwiseAND(F.lit(quality.BASE.mask)) != 0
     return book.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept", "n_lines", "n_upper", "n_exclaim", "n_stutter", "failed",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), "kept", "n_lines", "n_upper", "n_exclaim", "n_stutter",
+        "n_bullets", "n_ellipses", "n_lettered", "failed", "rule_book", "policy",
     )
 
 
@@ -52,13 +53,16 @@ cov AS (SELECT doc_id, sum(least(8, coalesce(nx - i, 8)))::BIGINT AS n FROM (SEL
 m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
         coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(t, '\p{Lu}'))::BIGINT AS n_upper, len(regexp_extract_all(t, '[!?]'))::BIGINT AS n_exclaim,
-        (CASE WHEN len(w) < 2 THEN 0 ELSE len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) END)::BIGINT AS n_stutter
+        (CASE WHEN len(w) < 2 THEN 0 ELSE len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) END)::BIGINT AS n_stutter,
+        len(list_filter(l, lambda x: regexp_matches(x, '^[ \t]*[-*\x{2022}]')))::BIGINT AS n_bullets, len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|\x{2026})[ \t\r]*$')))::BIGINT AS n_ellipses,
+        len(list_filter(w, lambda x: regexp_matches(x, '\p{L}')))::BIGINT AS n_lettered
       FROM w LEFT JOIN cov ON w.doc_id = cov.doc_id),
 f AS (SELECT *, ((CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END) + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END)
         + (CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END) + (CASE WHEN 10 * n_upper > 3 * word_chars THEN 16 ELSE 0 END) + (CASE WHEN 2 * n_exclaim > n_words THEN 32 ELSE 0 END)
-        + (CASE WHEN word_chars < 2 * n_words OR word_chars > 30 * n_words THEN 64 ELSE 0 END) + (CASE WHEN 10 * n_stutter > 3 * n_words THEN 128 ELSE 0 END))::BIGINT AS failed FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed, failed = 0 AS kept,
-       n_lines, n_upper, n_exclaim, n_stutter, failed FROM f
+        + (CASE WHEN word_chars < 2 * n_words OR word_chars > 30 * n_words THEN 64 ELSE 0 END) + (CASE WHEN 10 * n_stutter > 3 * n_words THEN 128 ELSE 0 END)
+        + (CASE WHEN 10 * n_bullets > 9 * n_lines THEN 256 ELSE 0 END) + (CASE WHEN 10 * n_ellipses > 3 * n_lines THEN 512 ELSE 0 END) + (CASE WHEN 10 * n_lettered < 8 * n_words THEN 1024 ELSE 0 END))::BIGINT AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed, failed & 255 = 0 AS kept,
+       n_lines, n_upper, n_exclaim, n_stutter, n_bullets, n_ellipses, n_lettered, failed, 'rules-2' AS rule_book, 'standard-1' AS policy FROM f
 """
 
 
