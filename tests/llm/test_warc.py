@@ -1,6 +1,8 @@
 import base64
 import hashlib
 
+import pytest
+
 from weftline.llm import warc
 from weftline.llm.files import at
 
@@ -79,3 +81,20 @@ def test_empty(spark):
 def test_small_payloads_stay_whole(spark):
     got = read(spark, ROWS, min_bytes=6)
     assert {r.record_type for r in got.where("payload_bytes < 6").collect()} == {"response"}
+
+
+def test_manifest_lies_in_the_folder_and_files_are_held_against_it(spark):
+    folder = warc.folder_for(pages(spark))
+    written = warc.write(pages(spark), folder)
+    again = warc.manifest_of(spark, folder)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, written.collect()))
+    assert warc.read(again, folder).count() == len(ROWS)
+    fs, path = at(folder)
+    name = again.first().file
+    data = fs.open_input_file(f"{path}/{name}").read()
+    last = max(k for k in range(len(data)) if data[k : k + 3] == b"\x1f\x8b\x08")
+    for broken in (data[:last], data[:-4], data + data[last:]):
+        with fs.open_output_stream(f"{path}/{name}", compression=None) as out:
+            out.write(broken)
+        with pytest.raises(Exception, match="not those of the manifest"):
+            warc.read(again, folder).collect()

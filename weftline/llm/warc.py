@@ -4,9 +4,10 @@ Records are range-sorted by page id and written by one task for each range.
 A task rolls to its next file once the compressed size passes a limit. Each
 record is a gzip member of its own; headers and digests are generated anew from
 the payload. A file is written under a temporary name and renamed when it is
-complete; a manifest names the files that count. Names and bytes depend on
-the records and the ranges only, so an attempt after a lost executor writes
-the same.
+complete; a manifest beside the files, in the archive's folder, names those
+that count with their records, bytes and SHA-256, and reading holds each file
+against it. Names and bytes depend on the records and the ranges only, so an
+attempt after a lost executor writes the same.
 
 Which record is a revisit is decided on digests and ids alone, a minimum by
 digest. The decisions travel to the writer in the same range shuffle as the
@@ -14,8 +15,9 @@ pages, sorted just before the page they concern, so payloads are shuffled once.
 
 Defined cases: a null payload is an empty one; a null url is written as
 ``urn:page:ID``; null page ids sort last; of rows that repeat id and payload
-the first is the response and the others revisit it; an empty table gives no
-files and an empty manifest; only the three columns named are read.
+the first is the response and the others revisit it; a payload of any length
+is written whole, in one task's memory; an empty table gives no files and an
+empty manifest; only the three columns named are read.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm.files import Committed, at
@@ -41,7 +43,7 @@ DATE = "2024-01-01T00:00:00Z"
 LEVEL = 5
 _SPACE = uuid.UUID("6ba7b812-9dad-11d1-80b4-00c04fd430c8")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-MANIFEST = "file string, first_page long, last_page long, n_records long, n_bytes long"
+MANIFEST = "file string, first_page long, last_page long, n_records long, n_bytes long, sha256 string"
 
 
 def base32_sha1(data: bytes) -> str:
@@ -87,7 +89,7 @@ def decisions(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame
 
 
 def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Write pages (page_id, url, html) to folder; returns the manifest, a row for each file."""
+    """Write pages (page_id, url, html) to a new folder; returns the manifest, a row for each file, which lies there too."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
     known = materialize(decisions(pages, min_bytes), "warc-decisions")
@@ -101,13 +103,18 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_bytes
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        out, seq, pages_in, done = None, 0, [], []
+        out, summed, seq, pages_in, done = None, None, 0, [], []
         previous, nth, refers = None, 0, None
 
+        def put(record: bytes) -> None:
+            data = _member(record)
+            out.write(data)
+            summed.update(data)
+
         def close() -> None:
             out.commit()
             ids = [p for p in pages_in if p is not None]
-            done.append((out.final.rsplit("/", 1)[1], min(ids, default=None), max(ids, default=None), len(pages_in), out.size))
+            done.append((out.final.rsplit("/", 1)[1], min(ids, default=None), max(ids, default=None), len(pages_in), out.size, summed.hexdigest()))
 
         for batch in batches:
             for page, sha, kind, ref, url, body in zip(*(batch.column(c) for c in ("page_id", "sha1", "kind", "refers", "url", "payload"))):
@@ -119,9 +126,9 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_bytes
                     continue
                 original = refers is None or (nth == 0 and refers[0] == page)
                 if out is None:
-                    out, pages_in = Committed(folder, f"part-{part:06d}-{seq:04d}.warc.gz"), []
-                    out.write(_member(_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _id(None, "info", part << 16 | seq)), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")))
-                out.write(_member(page_record(page, url.as_py(), body.as_py(), None if original else refers, nth)))
+                    out, summed, pages_in = Committed(folder, f"part-{part:06d}-{seq:04d}.warc.gz"), hashlib.sha256(), []
+                    put(_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _id(None, "info", part << 16 | seq)), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
+                put(page_record(page, url.as_py(), body.as_py(), None if original else refers, nth))
                 pages_in.append(page)
                 nth += 1
                 if out.size >= roll_bytes:
@@ -129,9 +136,29 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, min_bytes
                     out, seq = None, seq + 1
         if out is not None:
             close()
-        yield pa.RecordBatch.from_pydict(dict(zip(("file", "first_page", "last_page", "n_records", "n_bytes"), zip(*done) if done else ([],) * 5)), schema=pa.schema([("file", pa.string()), *((c, pa.int64()) for c in ("first_page", "last_page", "n_records", "n_bytes"))]))
+        schema = pa.schema([("file", pa.string()), *((c, pa.int64()) for c in ("first_page", "last_page", "n_records", "n_bytes")), ("sha256", pa.string())])
+        yield pa.RecordBatch.from_pydict(dict(zip(schema.names, zip(*done) if done else ([],) * 6)), schema=schema)
+
+    ranged.mapInArrow(run, MANIFEST).write.parquet(f"{folder}/manifest")
+    return manifest_of(pages.sparkSession, folder)
+
+
+def manifest_of(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of an archive written before."""
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+
+
+class _Counted:
+    """A stream that counts and hashes the bytes read from it."""
+
+    def __init__(self, stream) -> None:
+        self.stream, self.size, self.sha = stream, 0, hashlib.sha256()
 
-    return materialize(ranged.mapInArrow(run, MANIFEST), "warc-manifest")
+    def read(self, n: int) -> bytes:
+        data = self.stream.read(n)
+        self.size += len(data)
+        self.sha.update(data)
+        return data
 
 
 def _members(stream) -> Iterator[bytes]:
@@ -154,7 +181,8 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
 def read(manifest: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
     """A row for each page record: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and the payload if asked for.
 
-    Size and digest of a response are taken from the payload read; those of a revisit from its headers.
+    Size and digest of a response are taken from the payload read; those of a revisit from its headers. A file
+    whose records, bytes or SHA-256 are not those of the manifest is an error: a truncated one is not fewer rows.
     """
 
     def number(x: str | None) -> int | None:
@@ -168,10 +196,11 @@ def read(manifest: DataFrame, folder: str, with_payload: bool = False) -> DataFr
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(len(names))], names=names)
 
         for batch in batches:
-            for file in batch.column("file").to_pylist():
+            for file, *noted in zip(*(batch.column(c).to_pylist() for c in ("file", "n_records", "n_bytes", "sha256"))):
                 filesystem, path = at(folder)
-                rows, held = [], 0
-                with filesystem.open_input_stream(f"{path}/{file}", compression=None) as stream:
+                rows, held, n = [], 0, 0
+                with filesystem.open_input_stream(f"{path}/{file}", compression=None) as opened:
+                    stream = _Counted(opened)
                     for member in _members(stream):
                         headers, block = parse(member)
                         if headers["WARC-Type"] == "warcinfo":
@@ -183,15 +212,18 @@ def read(manifest: DataFrame, folder: str, with_payload: bool = False) -> DataFr
                         if not revisit:
                             size, digest = len(payload), base32_sha1(payload)
                         rows.append((number(headers["WARC-Page"]), headers["WARC-Target-URI"], size, digest, headers["WARC-Type"], number(headers.get("WARC-Refers-To-Page")), None if revisit else payload))
+                        n += 1
                         held += len(payload) if with_payload else 200
                         if held > 16 << 20:
                             yield batch_of(rows)
                             rows, held = [], 0
+                if noted != [n, stream.size, stream.sha.hexdigest()]:
+                    raise ValueError(f"{file} holds {n} records in {stream.size} bytes, not those of the manifest: {noted[0]} in {noted[1]}")
                 yield batch_of(rows)
 
     spread = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + (", payload binary" if with_payload else "")
-    return manifest.select("file").repartition(spread).mapInArrow(run, schema)
+    return manifest.select("file", "n_records", "n_bytes", "sha256").repartition(spread).mapInArrow(run, schema)
 
 
 def folder_for(pages: DataFrame) -> str:
