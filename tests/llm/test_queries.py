@@ -13,4 +13,4 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))

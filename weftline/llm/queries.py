@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, fingerprint, langid, line_dedup, lm, minhash, mixing, quality, token_store, warc
+from weftline.llm import bpe, divergence, fingerprint, langid, line_dedup, lm, minhash, mixing, neighbours, quality, token_store, warc, whitening
 from weftline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,38 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), langid.held_out(F.col("doc_id"), 7, 2), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+o AS (SELECT row_id, lang, source, unnest(t) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT row_id) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+s AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS total FROM g LEFT JOIN (SELECT c.* FROM c JOIN k USING (lang, term)) c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.total + l.v) AS p, 1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v) AS q
+      FROM s JOIN k ON s.lang = k.lang JOIN l ON s.lang = l.lang LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+w AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(w.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN w ON w.lang = a.lang AND w.source = a.source AND w.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
