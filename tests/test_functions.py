@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftline.functions import cells, contact, dates, firm, fuzzy, provenance
+from weftline.operators import domains
 
 
 def values(spark, make, cases, kind="string"):
@@ -13,19 +14,44 @@ def values(spark, make, cases, kind="string"):
     return [r[0] for r in df.orderBy("k").select(make(F.col("x"))).collect()]
 
 
+def domains_of(spark, cases, **kw):
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(cases)], "k int, w string")
+    return [r.domain for r in domains.registered(df, F.col("w"), **kw).orderBy("k").collect()]
+
+
 def test_registered_domains(spark):
     want = {
         "a.gov.in": "a.gov.in", "x.foo.ac.in": "foo.ac.in", "https://a.b.org.in/p": "b.org.in", "co.in": None, "http://gov.in/": None, "x.de": "x.de", "firm.tech": "firm.tech", "www.firm.app?y": "firm.app", "a.firm.in": "a.firm.in",
         "shop.acme.co.nz": "acme.co.nz", "acme.com.de": "com.de", "a.b.ck": "a.b.ck", "b.ck": None, "x.www.ck": "www.ck", "www.ck": "www.ck", "x.unknowntld": None, "192.0.2.7": None, "com": None, "ftp://u:p@deep.er.acme.com.au:8080/x": "acme.com.au",
-        "b\u00fccher.de": "b\u00fccher.de", "acme..com": None, "": None, "localhost": None,
+        "b\u00fccher.de": "b\u00fccher.de", "acme..com": None, "": None, "localhost": None, "HTTPS://WWW.Acme.com/path?q=1": "acme.com", "https://sub.acme.co.uk/x": "acme.co.uk", "http://not a url": None, "user@mail.acme.io:80": "acme.io", "acme.com.": "acme.com",
     }
-    df = spark.createDataFrame(list(want.items()), "w string, d string")
-    assert {r.w: r.g for r in df.withColumn("g", firm.canonical_domain(df.w)).collect()} == want
+    assert dict(zip(want, domains_of(spark, list(want)))) == want
+    assert domains_of(spark, [None, "acme.com", "acme.com"]) == [None, "acme.com", "acme.com"]
+
+
+def test_second_level_of_any_country_is_no_firm(spark):
+    suffixes = "com.vn com.ph com.pl co.at com.co com.eg com.qa com.gh com.ua com.kw com.bd insure dental or.at org.pl pvt.k12.ma.us nom.br sch.uk".split()
+    for s in suffixes:
+        want = [f"firm-a.{s}", f"firm-b.{s}"]
+        if s in ("nom.br", "sch.uk"):  # wildcards: the next label belongs to the suffix too
+            assert domains_of(spark, [f"https://x.firm-a.town.{s}", f"firm-a.{s}"]) == [f"firm-a.town.{s}", None]
+        else:
+            assert domains_of(spark, [f"https://www.firm-a.{s}/", f"firm-b.{s}", s]) == [*want, None]
+    assert domains_of(spark, ["firm.city.kawasaki.jp", "city.kawasaki.jp", "a.b.kawasaki.jp", "b.kawasaki.jp"]) == ["city.kawasaki.jp", "city.kawasaki.jp", "a.b.kawasaki.jp", None]
+    # names beyond ASCII in both forms, and suffixes of private registries, which are none of a country's
+    assert domains_of(spark, ["firm.\u516c\u53f8.cn", "firm.xn--55qx5d.cn", "a.firm.blogspot.com"]) == ["firm.\u516c\u53f8.cn", "firm.xn--55qx5d.cn", "blogspot.com"]
+
+
+def test_a_list_of_ones_own(spark, tmp_path):
+    path = tmp_path / "rules.txt"
+    path.write_text("// few\nzz\n*.zz\n!keep.zz\nb.c.d.e.zz\n")
+    assert domains_of(spark, ["a.b.zz", "b.zz", "x.keep.zz", "f.com", "a.b.c.d.e.zz", "b.c.d.e.zz"], path=str(path)) == ["a.b.zz", None, "keep.zz", None, "a.b.c.d.e.zz", None]
 
 
-def test_domain(spark):
-    cases = ["HTTPS://WWW.Acme.com/path?q=1", "acme.com", "https://sub.acme.co.uk/x", "", None, "http://not a url", "user@mail.acme.io:80", "acme.unknownsuffix"]
-    assert values(spark, firm.canonical_domain, cases) == ["acme.com", "acme.com", "acme.co.uk", None, None, None, "acme.io", None]
+def test_other_columns_stay(spark):
+    df = spark.createDataFrame([("a.co.in", "old", 1)], "website_raw string, domain string, labels int")
+    out = domains.registered(df, F.col("website_raw"))
+    assert out.columns == ["website_raw", "labels", "domain"] and out.first().domain == "a.co.in"
 
 
 def test_founded(spark):

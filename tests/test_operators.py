@@ -49,8 +49,7 @@ def test_listings_against_exclusions(spark):
     close = lambda x, y: x == y or (min(len(x), len(y)) >= gates.SHORTEST_CORE and fuzzy.score(x, y) >= gates.KNOWN_SCORE)
     want = {n: next((k for _, k in known if core[n] and core[k] and close(core[n], core[k])), None) for n in names}
     assert {r["name"]: r.known for r in QUERIES["known_fuzzy"](spark, sf).collect()} == {n: k for n, k in want.items() if k}
-    words = lambda x: " " + re.sub("[^a-z0-9&]+", " ", x) + " "
-    blocked = lambda x, y: f" {y} " in words(x) or fuzzy.score(x, y) >= gates.BLOCK_SCORE
+    blocked = lambda x, y: bool(re.search(rf"\b{re.escape(y)}\b", x)) or fuzzy.score(x, y) >= gates.BLOCK_SCORE
     want = {n: next((k for _, k in known if n.strip() and blocked(n.strip().lower(), k.strip().lower())), None) for n in names}
     assert {r["name"]: r.term for r in QUERIES["blocklist_match"](spark, sf).collect()} == {n: k for n, k in want.items() if k}
 
@@ -69,6 +68,20 @@ def test_blocklist_words_and_fuzzy(spark):
     assert got == {"Bigco India": "Bigco", "tall tower services ltd": "Tall Tower Services", "Tall Towr Services": "Tall Tower Services"}
 
 
+def test_blocklist_terms_with_signs(spark):
+    """Names and terms with hyphens, dots, ampersands and letters beyond ASCII, against the plain test of every pair."""
+    terms = ["T-Systems", "Cap-Gemini", " Cap-Gemini ", "A&B", "& Co", "A.B.", "söhne", "Größe", "x_y", "&&", "日本", "C++", r"a\Eb", "(uk)", "", "\tTab Works\n"]
+    names = ["T-Systems, India", "The Cap-Gemini. Group of Pune Works Ltd", "BigT-Systems", "T Systems", "A&B Works", "xA&B", "Meier & Co", "Meier& Co", "A.B.Works", "A.B. and more of it", "zA.B.x", "Meier Söhne Bau", "GRÖSSE alt", "Größe neu", "x_y z w v",
+             "a&&b of far away", "a && b of far away", "in 日本 today it is", "日本語", "C++ house of many", "C++x", r"say a\Eb or so", "firm(uk)ltd", "firm (uk) ltd and others", " tab works pune", " ", ""]
+    asked = spark.createDataFrame([(n,) for n in names], "name string")
+    listed = spark.createDataFrame(list(enumerate(terms)), "ordinal long, term string")
+    got = {r["name"]: r.term for r in gates.match_blocklist(asked, listed).collect()}
+    hit = lambda n, t: bool(t) and bool(n) and (bool(re.search(rf"\b{re.escape(t)}\b", n)) or fuzzy.score(n, t) >= gates.BLOCK_SCORE)
+    want = {n: next((t for t in terms if hit(n.strip().lower(), t.strip().lower())), None) for n in names}
+    assert got == {n: t for n, t in want.items() if t}
+    assert got["T-Systems, India"] == "T-Systems" and got["The Cap-Gemini. Group of Pune Works Ltd"] == "Cap-Gemini" and "BigT-Systems" not in got
+
+
 def test_founders_fold_in_order(spark):
     cols = "domain string, ordinal long, name string, role string, source string"
     a = spark.createDataFrame([("d", 1, "Asha Rao", None, "registry"), ("d", 2, "Ben Das", "Director", "registry")], cols)

@@ -5,27 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Public suffixes known offline. Any two letters are a country's; these countries register below second-level names as well.
-SECOND_LEVEL = {
-    "in": "ac co edu firm gen gov ind mil net nic org res", "uk": "ac co gov ltd me net nhs org plc police sch", "au": "asn com edu gov id net org",
-    "nz": "ac co gen govt health mil net org school", "za": "ac co edu gov law mil net nom org web", "jp": "ac ad co ed go gr lg ne or",
-    "kr": "ac co go mil ne or pe re", "br": "com edu gov mil net org", "sg": "com edu gov net org", "my": "com edu gov mil net org", "hk": "com edu gov idv net org",
-    "tw": "club com edu gov idv mil net org", "cn": "ac com edu gov mil net org", "tr": "com edu gov mil net org web", "il": "ac co gov muni net org", "id": "ac biz co go mil net or sch web",
-    "th": "ac co go in mi net or", "mx": "com edu gob net org", "ar": "com edu gob gov mil net org", "ae": "ac co gov mil net org sch", "pk": "com edu gov net org", "lk": "ac com edu gov net org",
-    "ng": "com edu gov net org", "ke": "ac co go ne or", "sa": "com edu gov med net org", "ua": "com edu gov in net org",
-}
-GENERIC = (
-    "academy agency ai app art biz blog build business capital care cloud club codes com company consulting design dev digital edu email energy engineering expert finance fund games global gov group "
-    "health host info int io jobs labs legal life live ltd management marketing media mil mobi money name net network news ninja online org partners page photos pro school science security services shop "
-    "site social software solutions space store studio support systems team tech technology today tools training travel ventures video vip website wiki work works world xyz zone"
-).split()
-#: Countries where every second-level name is a suffix, but for these.
-WILDCARD, EXCEPTIONS = "bd ck er fk jm kh mm np pg".split(), ("www.ck",)
-_LABEL = r"[\p{L}\p{N}_-]+"
-_SECOND = "|".join(rf"(?:{names.replace(' ', '|')})\.{country}" for country, names in SECOND_LEVEL.items()) + rf"|{_LABEL}\.(?:{'|'.join(WILDCARD)})"
-_TOP = rf"(?:{'|'.join(GENERIC)})|xn--[a-z0-9-]+|(?!(?:{'|'.join(WILDCARD)})$)[a-z]{{2}}"
 HOST = r"^(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]+)"
-DOMAIN = rf"({_LABEL}\.(?:{_SECOND}|{_TOP}))$"
 
 # Corporate tokens that don't tell firms apart.
 GENERIC_TOKENS = (
@@ -36,7 +16,8 @@ GENERIC_TOKENS = (
     "pvt", "private", "ltd", "limited", "llp", "inc", "incorporated", "co",
     "company", "corp", "corporation", "india", "indian",
 )
-# Decades in words, band limits and middles, bucket edges.
+# How a founding year, a number of years, decades in words are written; band limits and middles, bucket edges.
+YEAR, YEARS = r"\b(19\d{2}|20\d{2})\b", r"(\d{1,2})\s*\+?\s*years?"
 DECADES = (("one decade", 10), ("a decade", 10), ("two decade", 20), ("three decades", 30), ("four decades", 40))
 BANDS = ((10, "<10"), (50, "10-49"), (250, "50-249"))
 TOP_BAND = "250+"
@@ -49,12 +30,9 @@ def filled(c: Column) -> Column:
     return F.coalesce(c, F.lit("")) != ""
 
 
-def canonical_domain(website: Column) -> Column:
-    """The registered domain of an address: the longest public suffix and one label more. Null where the suffix isn't known or is all there is."""
-    host = F.regexp_extract(F.lower(F.trim(website)), HOST, 1)
-    kept = F.regexp_extract(host, r"(?:^|\.)(" + "|".join(e.replace(".", r"\.") for e in EXCEPTIONS) + ")$", 1)
-    found = F.when(~host.rlike(rf"^(?:{_SECOND})$"), F.regexp_extract(host, DOMAIN, 1))
-    return F.coalesce(F.nullif(kept, F.lit("")), F.nullif(found, F.lit("")))
+def host(website: Column) -> Column:
+    """The host of an address with or without a scheme, lower-cased, without the root's dot; empty where there is none."""
+    return F.regexp_replace(F.regexp_extract(F.lower(F.trim(website)), HOST, 1), r"[.\u3002\uff0e\uff61]+$", "")
 
 
 def clean_website(raw: Column) -> Column:
@@ -65,8 +43,8 @@ def clean_website(raw: Column) -> Column:
 def founded(raw: Column, as_of_year: int) -> Column:
     """struct(year, approx, note): a year, else years or decades back from as_of_year, else null with a note."""
     s = F.lower(F.trim(raw))
-    exact = F.nullif(F.regexp_extract(s, r"\b(19\d{2}|20\d{2})\b", 1), F.lit(""))
-    years = F.nullif(F.regexp_extract(s, r"(\d{1,2})\s*\+?\s*years?", 1), F.lit(""))
+    exact = F.nullif(F.regexp_extract(s, YEAR, 1), F.lit(""))
+    years = F.nullif(F.regexp_extract(s, YEARS, 1), F.lit(""))
     decade = F.coalesce(*[F.when(F.contains(s, F.lit(phrase)), F.lit(n)) for phrase, n in DECADES])
     quoted = F.concat(F.lit("'"), F.trim(raw), F.lit("'"))
     back = F.lit(as_of_year) - decade

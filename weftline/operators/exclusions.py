@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import firm
 from weftline.functions.cells import unwrap_hyperlink
+from weftline.operators import domains
 
 # Headers that name a firm or its domain.
 NAME_HEADERS = ("company", "company name", "firm", "name")
@@ -34,21 +35,22 @@ def from_lists(rows: DataFrame) -> DataFrame:
     placed = rows.where("line > 0").join(heads, "file")
     cell = F.trim(F.get("cells", F.coalesce("n", F.when(F.col("width") > 1, 1).otherwise(0))))
     parts = placed.withColumn("u", unwrap_hyperlink(cell)).withColumn("own", F.get("cells", F.col("d")))
-    domains = F.array_distinct(F.array_compact(F.array(firm.canonical_domain(F.col("u.url")), firm.canonical_domain(F.col("own")))))
-    return parts.select("file", "line", F.nullif(F.trim("u.display"), F.lit("")).alias("name"), domains.alias("domains"))
+    both = domains.registered(domains.registered(parts, F.col("u.url"), "linked"), F.col("own"), "listed")
+    found = F.array_distinct(F.array_compact(F.array("linked", "listed")))
+    return both.select("file", "line", F.nullif(F.trim("u.display"), F.lit("")).alias("name"), found.alias("domains"))
 
 
 def from_lines(lines: DataFrame) -> DataFrame:
     """(domain) of a text file's lines (line), without blank lines and comments."""
     kept = lines.select(F.trim(F.replace("line", F.lit("\ufeff"), F.lit(""))).alias("line")).where("line <> '' AND NOT startswith(line, '#')")
-    return kept.select(firm.canonical_domain(F.col("line")).alias("domain")).where("domain IS NOT NULL").distinct()
+    return domains.registered(kept, F.col("line")).select("domain").where("domain IS NOT NULL").distinct()
 
 
-def union(rows: DataFrame, lines: DataFrame, names: DataFrame, domains: DataFrame) -> DataFrame:
+def union(rows: DataFrame, lines: DataFrame, names: DataFrame, own: DataFrame) -> DataFrame:
     """(kind, value) of everything excluded: names once each, however they are written in case, as first met, and domains.
 
     rows and lines are as in :func:`from_lists` and :func:`from_lines`; names
-    (ordinal, name) and domains (domain) are given literally and come first.
+    (ordinal, name) and own (domain) are given literally and come first.
     """
     listed = from_lists(rows)
     place = lambda *c: F.struct(*c)
@@ -56,7 +58,7 @@ def union(rows: DataFrame, lines: DataFrame, names: DataFrame, domains: DataFram
         listed.select(place("file", F.col("line").cast("long").alias("line")).alias("at"), "name"),
     ).where(firm.filled(F.col("name")))
     first = every.groupBy(F.lower("name").alias("k")).agg(F.min_by("name", "at").alias("value"))
-    found = listed.select(F.explode("domains").alias("value")).union(from_lines(lines)).union(domains.select(F.lower(F.trim("domain")))).distinct()
+    found = listed.select(F.explode("domains").alias("value")).union(from_lines(lines)).union(own.select(F.lower(F.trim("domain")))).distinct()
     return first.select(F.lit("name").alias("kind"), "value").union(found.select(F.lit("domain").alias("kind"), "value"))
 
 

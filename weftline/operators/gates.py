@@ -143,19 +143,46 @@ def match_known(names: DataFrame, known: DataFrame, threshold: float = KNOWN_SCO
     return equal.union(fuzzy).groupBy("name").agg(F.min_by("known", "ordinal").alias("known"))
 
 
+#: What a word is made of, and the runs that a text falls into.
+WORD = r"[\p{L}\p{N}_]"
+_RUNS = rf"{WORD}+|[^\p{{L}}\p{{N}}_]+"
+_EDGE = rf"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
+
+
+def _plain(c: str) -> Column:
+    """A text without white space at its ends, lower-cased."""
+    return F.lower(F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
+
+
+def holds_phrase(x: Column, y: Column) -> Column:
+    """Whether y stands in x with the edge of a word at its beginning and its end, whatever signs y has."""
+    return F.rlike(x, F.concat(F.lit(_EDGE + r"\Q"), F.replace(y, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E" + _EDGE)))
+
+
+def phrases(names: DataFrame, terms: DataFrame) -> DataFrame:
+    """Pairs (x, y) of lower-cased names and terms of which the name holds the term as a phrase.
+
+    Where it does, each run of the term's word characters is a whole run of the
+    name's, so the two meet on the term's run that is rarest in the names before
+    the phrase is tested. A term without word characters lies between two words,
+    so it is a whole run itself.
+    """
+    runs = lambda c: F.explode(F.array_distinct(F.regexp_extract_all(c, F.lit(_RUNS), F.lit(0))))
+    there = materialize(names.select("x").distinct().select("x", runs("x").alias("w")), "phrase-words")
+    counts = there.groupBy("w").agg(F.count("*").alias("f"))
+    asked = terms.select("y").distinct().select("y", runs("y").alias("w")).where(F.col("w").rlike(rf"^{WORD}") | ~F.col("y").rlike(WORD))
+    rarest = asked.join(counts, "w", "left").groupBy("y").agg(F.min_by("w", F.struct(F.coalesce("f", F.lit(0)), "w")).alias("w"))
+    return there.join(rarest, "w").where(holds_phrase(F.col("x"), F.col("y"))).select("x", "y")
+
+
 def match_blocklist(names: DataFrame, terms: DataFrame, threshold: float = BLOCK_SCORE) -> DataFrame:
     """(name, term): the first listed term, by ordinal, that a name holds as whole words or is close to.
 
-    The list is a configured one; its size is checked by Spark's broadcast threshold like any table's. Whole words
-    are found by joining on the term's word that is rarest in the names before the phrase is tested.
+    The list is a configured one; its size is checked by Spark's broadcast threshold like any table's. Names and
+    terms are treated alike: without white space at the ends, lower-cased, their signs kept.
     """
-    n = names.select("name").distinct().withColumn("x", F.lower(F.trim("name"))).where("x <> ''")
-    t = terms.select("ordinal", "term", F.lower(F.trim("term")).alias("y")).where("y <> ''")
-    spaced = F.concat(F.lit(" "), F.regexp_replace("x", r"[^a-z0-9&]+", " "), F.lit(" "))
-    split = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, " "), lambda w: w != "")))
-    words = n.withColumn("spaced", spaced).withColumn("w", split("spaced"))
-    counts = words.groupBy("w").agg(F.count("*").alias("f"))
-    rarest = t.select("y").distinct().select("y", split("y").alias("w")).join(counts, "w", "left").groupBy("y").agg(F.min_by("w", F.struct(F.coalesce("f", F.lit(0)), "w")).alias("w"))
-    phrase = words.join(t.join(rarest, "y"), "w").where(F.contains("spaced", F.concat(F.lit(" "), F.col("y"), F.lit(" ")))).select("name", "ordinal", "term")
-    fuzzy = n.join(fuzzy_matches(n.select("x").distinct(), t.select("y").distinct(), threshold), "x").join(t, "y").select("name", "ordinal", "term")
-    return phrase.union(fuzzy).groupBy("name").agg(F.min_by("term", "ordinal").alias("term"))
+    n = names.select("name").distinct().withColumn("x", _plain("name")).where("x <> ''")
+    t = terms.select("ordinal", "term", _plain("term").alias("y")).where("y <> ''")
+    close = fuzzy_matches(n.select("x").distinct(), t.select("y").distinct(), threshold).select("x", "y")
+    met = phrases(n, t).union(close)
+    return n.join(met, "x").join(t, "y").groupBy("name").agg(F.min_by("term", "ordinal").alias("term"))

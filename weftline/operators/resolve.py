@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import firm
+from weftline.operators import domains
 
 
 def with_keys(listings: DataFrame, as_of_year: int) -> DataFrame:
-    """listings with domain, band and founded (struct), all computed in the scan's stage."""
-    return listings.withColumns(
-        {"domain": firm.canonical_domain(F.col("website_raw")), "band": firm.size_band(F.col("size_raw")), "founded": firm.founded(F.col("founded_raw"), as_of_year)},
-    )
+    """listings with domain, band and founded (struct), all in the scan's stage: the suffix rules are broadcast."""
+    keyed = domains.registered(listings, F.col("website_raw"))
+    return keyed.withColumns({"band": firm.size_band(F.col("size_raw")), "founded": firm.founded(F.col("founded_raw"), as_of_year)})
 
 
 def first_filled(c: str, order: str = "ordinal") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import cells, contact, dates, firm, provenance
-from weftline.operators import crm, funnel, gates, ledger, merge, order, people, resolve
+from weftline.operators import crm, domains, funnel, gates, ledger, merge, order, people, resolve
 from weftline.sources.adapters import logical as T
 from weftline.sources.adapters import with_tables
 from weftline.streaming import quota
@@ -31,16 +31,13 @@ def query(sql: str | None = None):
 
 # The same pieces of SQL in several oracles.
 _HOST = r"regexp_extract(lower(trim(website_raw)), '^(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]+)', 1)"
-def _listed(words) -> str:
-    return "[" + ",".join(f"'{w}'" for w in words) + "]"
-
-
-# The registered domain from lists of labels, not from the expression that Spark runs.
+# The registered domain of the hosts that the listings have, from literals and not from the list of suffixes that Spark reads: those that take two labels, those that take one.
 _LABELS = f"string_split({_HOST}, '.')"
 _LAST = f"{_LABELS}[-1]"
 _PAIR = f"(coalesce({_LABELS}[-2], '') || '.' || {_LAST})"
-_SUFFIX_N = f"""(CASE WHEN {_PAIR} IN ('www.ck') THEN 1 WHEN list_contains({_listed(f"{x}.{c}" for c, names in firm.SECOND_LEVEL.items() for x in names.split())}, {_PAIR}) OR list_contains({_listed(firm.WILDCARD)}, {_LAST}) THEN 2
-  WHEN list_contains({_listed(firm.GENERIC)}, {_LAST}) OR (length({_LAST}) = 2 AND {_LAST} BETWEEN 'aa' AND 'zz') OR {_LAST} LIKE 'xn--%' THEN 1 END)"""
+_SUFFIX_N = f"""(CASE WHEN {_PAIR} = 'kawasaki.jp' AND {_LABELS}[-3] = 'city' THEN 2 WHEN {_PAIR} = 'kawasaki.jp' THEN 3
+  WHEN {_PAIR} IN ('co.in', 'ac.in', 'com.au', 'com.vn', 'com.ph', 'com.pl', 'co.at', 'com.co', 'com.eg', 'com.qa', 'com.gh') OR {_LAST} = 'np' THEN 2
+  WHEN {_LAST} IN ('in', 'tech', 'de', 'com', 'insure', 'dental', 'vn', 'at') THEN 1 END)"""
 _DOMAIN = f"(CASE WHEN len({_LABELS}) > {_SUFFIX_N} THEN array_to_string({_LABELS}[len({_LABELS}) - {_SUFFIX_N}:len({_LABELS})], '.') END)"
 _NUMS = r"list_transform(regexp_extract_all(replace(coalesce(size_raw, ''), ',', ''), '\d+'), lambda x: x::INTEGER)"
 _BAND = f"CASE WHEN len({_NUMS}) = 0 THEN NULL WHEN list_min({_NUMS}) < 10 THEN '<10' WHEN list_min({_NUMS}) < 50 THEN '10-49' WHEN list_min({_NUMS}) < 250 THEN '50-249' ELSE '250+' END"
@@ -80,9 +77,12 @@ _KNOWN_NAMES = f"""kx AS (SELECT name, x, regexp_extract(x, '^([0-9]+) firm$', 1
 ky AS (SELECT ordinal, name, y, regexp_extract(y, '^([0-9]+) firm$', 1) AS dy FROM (SELECT ordinal, name, array_to_string({_core_sql('name')}, ' ') AS y FROM exclusions)),
 kd AS (SELECT dx, dy FROM (SELECT DISTINCT dx FROM kx WHERE dx <> ''), (SELECT DISTINCT dy FROM ky WHERE dy <> '') WHERE 200.0 * (5 + {_common('dx', 'dy')}) / (10 + length(dx) + length(dy)) >= 92),
 kn AS (SELECT name, arg_min(known, ordinal) AS known FROM (SELECT kx.name, ky.ordinal, ky.name AS known FROM kx JOIN ky ON x = y WHERE x <> '' UNION ALL SELECT kx.name, ky.ordinal, ky.name FROM kd JOIN kx USING (dx) JOIN ky USING (dy)) GROUP BY name)"""
-_BLOCKED_NAMES = f"""bx AS (SELECT name, x, regexp_extract(x, '^firm ([0-9]+) technologies$', 1) AS dx, ' ' || regexp_replace(x, '[^a-z0-9&]+', ' ', 'g') || ' ' AS spaced FROM (SELECT name, lower(trim(name)) AS x FROM asked) WHERE x <> ''),
-by_ AS (SELECT ordinal, term, lower(trim(term)) AS y, regexp_extract(lower(trim(term)), '^firm ([0-9]+) technologies$', 1) AS dy FROM outsourcers),
-bn AS (SELECT name, arg_min(term, ordinal) AS term FROM bx JOIN by_ ON contains(spaced, ' ' || y || ' ') OR x = 'firm ' || dy OR (dx <> '' AND (200.0 * (18 + {_common('dx', 'dy')}) / (36 + length(dx) + length(dy)) >= 90 OR 200.0 * 17 / (35 + least(length(dx), length(dy))) >= 90)) GROUP BY name)"""
+_WORDISH = r"[\p{L}\p{N}_]"
+_EDGE_SQL = lambda sign, at: f"CASE WHEN regexp_matches(y, '{'^' + sign if at else sign + '$'}') THEN '{'(^|[^' if at else '($|[^'}\\p{{L}}\\p{{N}}_])' ELSE '{sign}' END"
+_BLOCKED_NAMES = f"""bx AS (SELECT name, x, string_split_regex(x, ' +') AS tx, regexp_extract(x, '^firm ([0-9]+) technologies$', 1) AS dx FROM (SELECT name, lower(trim(name)) AS x FROM asked) WHERE x <> ''),
+by_ AS (SELECT ordinal, term, lower(trim(term)) AS y, string_split_regex(lower(trim(term)), ' +') AS ty, regexp_extract(lower(trim(term)), '^firm ([0-9]+) technologies$', 1) AS dy FROM outsourcers),
+bp AS (SELECT *, {_EDGE_SQL(_WORDISH, True)} || regexp_escape(y) || {_EDGE_SQL(_WORDISH, False)} AS pattern FROM by_),
+bn AS (SELECT name, arg_min(term, ordinal) AS term FROM bx JOIN bp ON (contains(x, y) AND regexp_matches(x, pattern)) OR list_has_all(tx, ty) OR list_has_all(ty, tx) OR (dx <> '' AND dy <> '' AND (200.0 * (18 + {_common('dx', 'dy')}) / (36 + length(dx) + length(dy)) >= 90 OR 200.0 * 17 / (35 + least(length(dx), length(dy))) >= 90)) GROUP BY name)"""
 _GATED = f"""{_COMPANIES},
 asked AS (SELECT DISTINCT company_name AS name FROM c WHERE company_name IS NOT NULL),
 {_KNOWN_NAMES},
@@ -185,7 +185,7 @@ def card_parse(spark, d):
 
 @query(f"SELECT ordinal, {_DOMAIN} AS domain FROM listings")
 def canonical_domain(spark, d):
-    return T(spark, d, "listings").select("ordinal", firm.canonical_domain(F.col("website_raw")).alias("domain"))
+    return domains.registered(T(spark, d, "listings").select("ordinal", "website_raw"), F.col("website_raw")).select("ordinal", "domain")
 
 
 @query(f"WITH {_KEYED} SELECT ordinal, fyear AS year, approx, note FROM k")

@@ -16,12 +16,15 @@ SQL: dict[str, str] = {
 SELECT o.o_orderkey AS ordinal,
   CASE o.o_orderkey % 6 WHEN 0 THEN 'north' WHEN 1 THEN 'south' WHEN 2 THEN 'east' WHEN 3 THEN 'west' WHEN 4 THEN 'central' ELSE 'coast' END AS source,
   concat('https://directory.example/', CAST(o.o_orderkey AS STRING)) AS source_url,
-  CASE WHEN o.o_orderkey % 23 = 0 THEN '' WHEN o.o_orderkey % 5 = 0 THEN concat('Firm ', CAST(c.c_custkey AS STRING), ' Technologies')
+  CASE WHEN o.o_orderkey % 23 = 0 THEN '' WHEN o.o_orderkey % 61 = 4 THEN CASE o.o_orderkey % 7 WHEN 0 THEN 'T-Systems, India' WHEN 1 THEN 'The Cap-Gemini. Group of Pune Works Ltd' WHEN 2 THEN 'Meier & Söhne, Köln' WHEN 3 THEN 'Pre-A.B.Works'
+       WHEN 4 THEN 'A.B. Works' WHEN 5 THEN 'Bestsystems T' ELSE 'Big_Cap-Gemini' END WHEN o.o_orderkey % 5 = 0 THEN concat('Firm ', CAST(c.c_custkey AS STRING), ' Technologies')
        WHEN o.o_orderkey % 5 = 1 THEN concat('  Firm ', CAST(c.c_custkey AS STRING)) WHEN o.o_orderkey % 5 = 2 THEN concat('FIRM-', CAST(c.c_custkey AS STRING), ' (India) Ltd')
        ELSE concat('Firm ', CAST(c.c_custkey AS STRING), ' Pvt Ltd') END AS company_name,
   CASE WHEN o.o_orderkey % 17 = 0 THEN NULL WHEN o.o_orderkey % 17 = 1 THEN 'see our page' WHEN o.o_orderkey % 29 = 3 THEN concat('https://careers.firm-', CAST(c.c_custkey AS STRING), '.ac.in/x')
        WHEN o.o_orderkey % 31 = 4 THEN concat('firm-', CAST(c.c_custkey AS STRING), '.tech/about') WHEN o.o_orderkey % 37 = 5 THEN 'co.in' WHEN o.o_orderkey % 41 = 6 THEN concat('http://me@Shop.Firm-', CAST(c.c_custkey AS STRING), '.COM.AU:81')
-       WHEN o.o_orderkey % 43 = 7 THEN concat('a.b.firm-', CAST(c.c_custkey AS STRING), '.de') WHEN o.o_orderkey % 47 = 8 THEN concat('x.firm-', CAST(c.c_custkey AS STRING), '.np') WHEN o.o_orderkey % 4 = 0 THEN concat('https://www.firm-', CAST(c.c_custkey AS STRING), '.co.in/about?x=1')
+       WHEN o.o_orderkey % 43 = 7 THEN concat('a.b.firm-', CAST(c.c_custkey AS STRING), '.de') WHEN o.o_orderkey % 47 = 8 THEN concat('x.firm-', CAST(c.c_custkey AS STRING), '.np')
+       WHEN o.o_orderkey % 53 = 9 THEN concat('https://firm-', CAST(c.c_custkey AS STRING), CASE o.o_orderkey % 13 WHEN 0 THEN '.com.vn' WHEN 1 THEN '.com.ph' WHEN 2 THEN '.com.pl' WHEN 3 THEN '.co.at' WHEN 4 THEN '.com.co' WHEN 5 THEN '.com.eg' WHEN 6 THEN '.com.qa'
+            WHEN 7 THEN '.com.gh' WHEN 8 THEN '.insure' WHEN 9 THEN '.dental/a' WHEN 10 THEN '.city.kawasaki.jp' WHEN 11 THEN '.a.kawasaki.jp' ELSE '.nosuchsuffix' END) WHEN o.o_orderkey % 59 = 10 THEN 'com.vn' WHEN o.o_orderkey % 4 = 0 THEN concat('https://www.firm-', CAST(c.c_custkey AS STRING), '.co.in/about?x=1')
        WHEN o.o_orderkey % 4 = 1 THEN concat('HTTP://FIRM-', CAST(c.c_custkey AS STRING), '.CO.IN') WHEN o.o_orderkey % 4 = 2 THEN concat('  firm-', CAST(c.c_custkey AS STRING), '.co.in:8080/x ')
        ELSE concat('blog.firm-', CAST(c.c_custkey AS STRING), '.co.in#top') END AS website_raw,
   CASE WHEN o.o_orderkey % 11 = 0 THEN '' ELSE concat(n.n_name, ' , India') END AS city,
@@ -91,7 +94,7 @@ SELECT CASE s_suppkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS file,
 SELECT CASE n_nationkey % 3 WHEN 0 THEN '# a comment' WHEN 1 THEN '  ' ELSE concat('  www.nation-', CAST(n_nationkey AS STRING), '.org/x ') END AS line FROM nation
 """,
     "outsourcers": """
-SELECT n_nationkey AS ordinal, concat('Firm ', CAST(n_nationkey * 40 + 107 AS STRING), ' Technologies') AS term FROM nation
+SELECT n_nationkey AS ordinal, CASE n_nationkey WHEN 1 THEN 'T-Systems' WHEN 2 THEN ' Cap-Gemini ' WHEN 3 THEN '& SÖHNE' WHEN 4 THEN 'A.B.' WHEN 5 THEN 'söhne' ELSE concat('Firm ', CAST(n_nationkey * 40 + 107 AS STRING), ' Technologies') END AS term FROM nation
 """,
     "outcomes": """
 SELECT event_id, user_id AS deal_id, ts, CAST(event_id % 5 + 1 AS INT) AS outcome FROM events
