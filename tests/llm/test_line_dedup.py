@@ -1,6 +1,9 @@
 import hashlib
+import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from weftline.llm import line_dedup
 
 from .conftest import corpus, make
@@ -22,12 +25,10 @@ def cut(lines):
     return sorted(out)
 
 
-def brute(rows):
-    """doc_id, text -> lines, removed, text, with rows of equal id and text as one."""
-    pairs = sorted({(i, t) for i, t in rows if t is not None}, key=lambda p: -1 if p[0] is None else p[0])
-    ids = {}
-    for i, _ in pairs:
-        ids[i] = ids.get(i, 0) + 1
+def brute(docs):
+    """(doc_id, text) -> lines, removed, text, with rows of equal id and text as one; texts of one id in the order of their hashes."""
+    found = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", line_dedup._doc_hash(docs["text"]).alias("h")).collect() if r.text is not None}
+    pairs = sorted(found, key=lambda p: ((p[0] is not None, p[0] or 0), found[p]))
     first, result = {}, {}
     for i, t in pairs:
         lines, gone = t.split("\n"), set()
@@ -37,27 +38,50 @@ def brute(rows):
                 continue
             gone |= set(range(a, b + 1))
             theirs, step = other[1].split("\n"), at - a
-            for ks in (range(a - 1, max(a - 5, -1), -1), range(b + 1, min(b + 5, len(lines)))):
+            for ks in (range(a - 1, -1, -1), range(b + 1, len(lines))):
                 for k in ks:
                     if not 0 <= k + step < len(theirs) or theirs[k + step] != lines[k]:
                         break
                     gone.add(k)
         result[i, t] = (len(lines), len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
-    return result, {i for i, n in ids.items() if n > 1}
+    return result
+
+
+def rows_of(docs):
+    out = line_dedup.cut(docs.withColumn("w", docs["text"]))
+    return [((r.doc_id, r.w), (r.ld_lines, r.ld_removed, r.text)) for r in out.select("row.doc_id", "row.w", "ld_lines", "ld_removed", "row.text").collect()]
 
 
 def test_against_brute_force(docs):
-    out = line_dedup.cut(docs)
-    got = {}
-    for r in out.select("row.doc_id", "ld_lines", "ld_removed", "row.text").collect():
-        got.setdefault(r.doc_id, []).append((r.ld_lines, r.ld_removed, r.text))
-    want, shared_ids = brute([(i, t) for i, t, *_ in corpus()])
-    for (i, t), w in want.items():
-        if i not in shared_ids:
-            assert w in got[i], i
-    assert sum(map(len, got.values())) == len(corpus())
-    removed = sum(w[1] for w in want.values())
-    assert removed > 0
+    want, got = brute(docs), rows_of(docs)
+    assert len(got) == len(corpus())
+    for key, found in got:
+        assert found == (want[key] if key[1] is not None else (0, 0, None)), key[0]
+    assert sum(w[1] for w in want.values()) > 0
+
+
+def test_narrow_windows_are_widened(docs, monkeypatch):
+    """Lines beside a run go as far as they are equal, however far the first window reaches."""
+    want = brute(docs)
+    monkeypatch.setattr(line_dedup, "NEAR", 1)
+    monkeypatch.setattr(line_dedup, "WIDER", 2)
+    assert all(found == want[key] for key, found in rows_of(docs) if key[1] is not None)
+
+
+def test_lines_beside_a_chunk_go_as_far_as_they_are_equal(spark, monkeypatch):
+    """Only one chunk of a long passage is taken up, and the whole passage goes."""
+    rng = random.Random(4)
+    line = lambda: " ".join(f"{rng.randrange(10**6):06d}" for _ in range(5))
+    passage = [line() for _ in range(400)]
+    texts = [[line() for _ in range(20)] + passage + [line() for _ in range(20)] for _ in range(3)]
+    docs = make(spark, [(k, "\n".join(t), None, None) for k, t in enumerate(texts)])
+    whole = line_dedup.runs
+
+    def short(d):
+        return whole(d).withColumn("b", F.least("b", F.col("a") + 2))
+
+    monkeypatch.setattr(line_dedup, "runs", short)
+    assert {r.doc_id: r.ld_removed for r in line_dedup.cut(docs).select("row.doc_id", "ld_removed").collect()} == {0: 0, 1: 400, 2: 400}
 
 
 def test_passage_goes_everywhere_but_first(docs):
@@ -75,10 +99,34 @@ def test_columns_nulls_and_empty(docs, empty, spark):
     assert {r.ld_removed for r in rows if r.doc_id == 1} == {0} and len(rows) == 4
 
 
-def test_equal_hash_needs_equal_bytes(spark):
+def test_plan_is_native_and_joins_by_keys(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    plan = spark._jvm.PythonSQLUtils.explainString(line_dedup.repeated(docs)._jdf.queryExecution(), "formatted")
-    assert "first_body" in plan and "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    plan = spark._jvm.PythonSQLUtils.explainString(line_dedup.compared(docs, line_dedup.runs(docs), line_dedup.NEAR)._jdf.queryExecution(), "formatted")
+    assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_equal_hashes_remove_no_unlike_lines(spark, docs, monkeypatch):
+    """With one key for all chunks each is taken for the corpus's first one: what goes is still only what has an equal copy before it."""
+    monkeypatch.setattr(line_dedup, "chunk_key", lambda body: [F.lit(1).cast("long").alias("k1"), F.lit(2).cast("long").alias("k2")])
+    unlike = make(spark, [(k, "\n".join(f"line {k} {j}" for j in range(30)), None, None) for k in range(20)])
+    assert all(removed == 0 and text == key[1] for key, (_, removed, text) in rows_of(unlike))
+    before, after = Counter(), Counter()
+    got = rows_of(docs)
+    for (_, was), (_, removed, text) in got:
+        if was is not None:
+            before.update(was.split("\n"))
+            after.update(text.split("\n") if removed < len(was.split("\n")) else [])
+    assert set(before) - {""} <= set(after) and sum(r for _, (_, r, _) in got) > 0
+
+
+def test_a_collision_in_a_run_keeps_its_lines(spark, monkeypatch):
+    """Two texts that differ in one line in the middle, with hashes that don't tell: that line stays, its equal neighbours go."""
+    lines = [f"some line number {k}" for k in range(40)]
+    other = lines[:20] + ["a line of its own"] + lines[21:]
+    monkeypatch.setattr(line_dedup, "chunk_key", lambda body: [F.xxhash64(F.replace(body, F.lit("a line of its own"), F.lit("some line number 20"))).alias("k1"), F.lit(0).cast("long").alias("k2")])
+    monkeypatch.setattr(line_dedup, "line_hash", lambda line: F.conv(F.substring(F.md5(F.replace(line, F.lit("a line of its own"), F.lit("some line number 20"))), 1, 6), 16, 10).cast("long"))
+    docs = make(spark, [(1, "\n".join(lines), None, None), (2, "\n".join(other), None, None)])
+    assert dict((k[0], v[2]) for k, v in rows_of(docs)) == {1: "\n".join(lines), 2: "a line of its own"}
 
 
 def test_recall_on_passages(spark):

@@ -6,33 +6,40 @@ no inner chunk is a single line; a second set of chunks has its boundaries at
 local maxima. In both a chunk ends after MAX_LINES at the latest. A boundary
 depends on a few lines before it, so an insertion elsewhere shifts no chunk.
 Chunks of two or more lines that occur again anywhere in the corpus are removed,
-but for the first: smallest (doc_id, hash of the text, position). A chunk is
-removed only after its bytes were compared with the first one's; chunks of equal
-hash with other bytes stay. With a chunk go up to EXTEND lines on either side
-that are the same as those beside the first one, by a 64-bit hash: each of them
-has an earlier copy, so one copy of every line stays.
+but for the first: smallest (doc_id, hash of the text, position).
+
+Hashes only propose. Chunks that follow each other in a text as their firsts do
+in theirs are one run; the lines of a run and of its first are fetched and
+compared byte by byte, and only lines that are equal go. With a run go the lines
+on either side as far as they are equal too: windows of lines around both are
+fetched, first NEAR lines wide, and wider ones for the runs whose window was
+equal to its end, until none is. A line goes only where its neighbour goes too,
+so a collision of hashes removes no line but one of two or more in a row that
+have an equal copy at an earlier place; one copy of every line stays.
 
 Of the lines in passages of three or more that an earlier place has, that is
 over nine in ten (tests/llm measures it); a passage whose boundaries all fall
 outside it is missed.
 
 All of it is DataFrame functions. What crosses a shuffle by chunk is a key and
-a position; texts of chunks are only fetched for keys that occur twice. No
-window or collected group holds the copies of a chunk: the first is a minimum,
-which Spark combines before the shuffle, and the rest meet it in an inner join
-whose hot keys Spark may split. The joins are merge joins at every size, so a
-small corpus shows what a large one costs.
+a position; texts cross one to be fetched for runs, which are only the parts
+that occur twice, and one to be cut. No window or collected group holds the
+copies of a chunk: the first is a minimum, which Spark combines before the
+shuffle, and the rest meet it in an inner join whose hot keys Spark may split;
+windows run over the chunks of one text that repeat one other. The joins are
+merge joins at every size, so a small corpus shows what a large one costs.
 
 Defined cases: a null text stays null, an empty one empty; rows that repeat
 both doc_id and text count as one document, so each keeps its first chunks; a
 document whose lines all go keeps its row with an empty text; null ids sort
 first; an empty table gives an empty result; other columns pass through; a very
-long text is cut whole, in one task.
+long text is cut whole, in one task. Texts of one id are told apart by a 64-bit
+hash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.common import let
@@ -40,7 +47,8 @@ from weftline.scratch import materialize
 
 MAX_LINES = 4
 MIN_LINES = 2
-EXTEND = 4
+#: Lines on either side of a run that are fetched with it, and how much wider the next window is where that was not enough.
+NEAR, WIDER = 8, 8
 #: Fixed values of the rolling hash.
 BASE, MODULUS = 8191, 1000003
 
@@ -75,20 +83,13 @@ def _stops(start: Column, last: Column) -> Column:
     return F.when(start + (MAX_LINES - 1) < last, F.sequence(start + (MAX_LINES - 1), last - 1, F.lit(MAX_LINES))).otherwise(F.array().cast("array<int>"))
 
 
-def chunks(text: Column, beside: bool = False) -> Column:
-    """Chunks of MIN_LINES or more of a text, of both sets: struct(start, n_lines, body), start counted in lines; with ``beside`` also hashes of the lines before and after, nearest first."""
-
-    def cut(lines: Column) -> Column:
-        return let(F.transform(lines, lambda x: F.xxhash64(x)), lambda codes: pieces(lines, codes)) if beside else pieces(lines, lines)
+def chunks(text: Column) -> Column:
+    """Chunks of MIN_LINES or more of a text, of both sets: struct(start, n_lines, body), start counted in lines."""
 
-    def pieces(lines: Column, codes: Column) -> Column:
+    def pieces(lines: Column) -> Column:
         def piece(e: Column, last: Column, k: Column) -> Column:
             start = _start(e, k)
-            parts = [start.alias("start"), (last - start + 1).alias("n_lines"), F.array_join(F.slice(lines, start + 1, last - start + 1), "\n").alias("body")]
-            if beside:
-                first = F.greatest(start - EXTEND, F.lit(0))
-                parts += [F.reverse(F.slice(codes, first + 1, start - first)).alias("before"), F.slice(codes, last + 2, F.lit(EXTEND)).alias("after")]
-            return F.struct(*parts)
+            return F.struct(start.alias("start"), (last - start + 1).alias("n_lines"), F.array_join(F.slice(lines, start + 1, last - start + 1), "\n").alias("body"))
 
         def of(e: Column) -> Column:
             spans = F.transform(e, lambda last, k: F.when(last - _start(e, k) + 1 >= MIN_LINES, piece(e, last, k)))
@@ -97,46 +98,94 @@ def chunks(text: Column, beside: bool = False) -> Column:
         low, high = ends(lines)
         return F.concat(let(low, of), let(high, of))
 
-    return let(F.split(text, "\n", -1), cut)
+    return let(F.split(text, "\n", -1), pieces)
 
 
 def _doc_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _same(a: str, b: str) -> Column:
-    """How many lines two lists have in common from their beginning."""
-    equal = F.zip_with(F.col(a), F.col(b), lambda x, y: x.eqNullSafe(y))
-    return let(equal, lambda e: F.coalesce(F.nullif(F.array_position(e, False), F.lit(0)) - 1, F.size(e))).cast("int")
-
-
-def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc_hash, start, n_lines) of each run of lines to remove; runs of one text may overlap."""
+def chunk_key(body: Column) -> list[Column]:
+    """k1 and k2, by which equal chunks meet."""
+    return [F.xxhash64(body).alias("k1"), F.crc32(body).alias("k2")]
 
-    def keyed(beside: bool) -> DataFrame:
-        pieces = docs.select("doc_id", _doc_hash(F.col("text")).alias("doc_hash"), F.explode(chunks(F.col("text"), beside)).alias("c"))
-        return pieces.select("doc_id", "doc_hash", F.xxhash64("c.body").alias("k1"), F.crc32("c.body").alias("k2"), "c.*")
 
+def runs(docs: DataFrame) -> DataFrame:
+    """doc_id, doc_hash, a, b, first_id, first_hash, first_a: lines a to b (without b) whose chunks have the keys of those of an earlier place, beginning there at first_a."""
+    pieces = docs.select("doc_id", _doc_hash(F.col("text")).alias("doc_hash"), F.explode(chunks(F.col("text"))).alias("c"))
+    keyed = materialize(pieces.select("doc_id", "doc_hash", "c.start", "c.n_lines", *chunk_key(F.col("c.body"))).distinct(), "line-chunks")
     at = F.struct("doc_id", "doc_hash", "start")
-    hot = materialize(
-        keyed(False).groupBy("k1", "k2").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(~F.col("first").eqNullSafe(F.col("last"))).select("k1", "k2", "first"), "line-keys",
+    hot = materialize(keyed.groupBy("k1", "k2").agg(F.min(at).alias("first"), F.max(at).alias("last")).where(~F.col("first").eqNullSafe(F.col("last"))).select("k1", "k2", "first"), "line-keys")
+    again = keyed.join(hot.hint("merge"), ["k1", "k2"]).where(~at.eqNullSafe(F.col("first")))
+    placed = again.select(
+        "doc_id", "doc_hash", F.col("start").alias("a"), (F.col("start") + F.col("n_lines")).alias("b"), F.col("first.doc_id").alias("first_id"), F.col("first.doc_hash").alias("first_hash"), (F.col("start") - F.col("first.start")).alias("shift"),
     )
-    found = materialize(keyed(True).join(hot.hint("merge"), ["k1", "k2"]).withColumn("is_first", at.eqNullSafe(F.col("first"))), "line-chunks")
-    first = found.where("is_first").select("k1", "k2", F.col("body").alias("first_body"), F.col("before").alias("first_before"), F.col("after").alias("first_after")).dropDuplicates(["k1", "k2"])
-    again = found.where("NOT is_first").join(first.hint("merge"), ["k1", "k2"]).where(F.col("body") == F.col("first_body"))
-    more = again.withColumn("n_before", _same("before", "first_before")).withColumn("n_after", _same("after", "first_after"))
-    return more.select("doc_id", "doc_hash", (F.col("start") - F.col("n_before")).alias("start"), (F.col("n_lines") + F.col("n_before") + F.col("n_after")).alias("n_lines"))
+    pair = ["doc_id", "doc_hash", "first_id", "first_hash", "shift"]
+    w = Window.partitionBy(*pair).orderBy("a", "b")
+    fresh = F.coalesce(F.col("a") > F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).cast("int")
+    numbered = placed.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = numbered.groupBy(*pair, "run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return materialize(merged.select("doc_id", "doc_hash", "a", "b", "first_id", "first_hash", (F.col("a") - F.col("shift")).alias("first_a")), "line-runs")
+
+
+def _window(docs: DataFrame, wanted: DataFrame, near: int) -> DataFrame:
+    """doc_id, doc_hash, a, b, lead, lines: the lines of each wanted run (doc_id, doc_hash, a, b) and up to ``near`` before, lead in number, and after it."""
+    per_doc = wanted.distinct().groupBy("doc_id", "doc_hash").agg(F.collect_list(F.struct("a", "b")).alias("spans")).select(F.col("doc_id").alias("i"), F.col("doc_hash").alias("h"), "spans")
+    texts = docs.select("doc_id", _doc_hash(F.col("text")).alias("doc_hash"), "text")
+    met = texts.join(per_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("doc_hash") == F.col("h")))
+    one = met.groupBy("doc_id", "doc_hash").agg(F.first("text").alias("text"), F.first("spans").alias("spans"))  # rows that repeat id and text; no shuffle beyond the join's
+    lead = lambda x: F.least(x["a"], F.lit(near))
+    cut_out = lambda ls: F.transform("spans", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), lead(x).alias("lead"), F.slice(ls, x["a"] - lead(x) + 1, x["b"] - x["a"] + lead(x) + near).alias("lines")))
+    return one.select("doc_id", "doc_hash", F.explode(let(F.split("text", "\n", -1), cut_out)).alias("s")).select("doc_id", "doc_hash", "s.*")
+
+
+def compared(docs: DataFrame, found: DataFrame, near: int) -> DataFrame:
+    """found (runs) with gone, the numbers of the lines that are equal to their first's and one of two or more such in a row, and more: whether a window was equal to its end."""
+    first_b = F.col("first_a") + F.col("b") - F.col("a")
+    wanted = found.select("doc_id", "doc_hash", "a", "b").union(found.select("first_id", "first_hash", "first_a", first_b))
+    lines = materialize(_window(docs, wanted, near), "line-windows")
+    own = lines.toDF("i", "h", "oa", "ob", "lead", "lines")
+    first = lines.toDF("fi", "fh", "fa", "fb", "first_lead", "first_lines")
+    same_id = lambda x, y: F.col(x).eqNullSafe(F.col(y))
+    both = found.join(own.hint("merge"), same_id("doc_id", "i") & same_id("doc_hash", "h") & same_id("a", "oa") & same_id("b", "ob"))
+    both = both.join(first.hint("merge"), same_id("first_id", "fi") & same_id("first_hash", "fh") & same_id("first_a", "fa") & (first_b == F.col("fb")))
+    behind = F.col("lead") - F.col("first_lead")
+    same = F.transform("lines", lambda x, k: F.coalesce(x == F.get("first_lines", k - behind), F.lit(False)))
+    size, until = F.size("lines"), F.col("lead") + F.col("b") - F.col("a")
+    # the last line before the run, and the first one after it, that isn't equal
+    unlike = F.filter(F.transform("same", lambda x, k: F.when(~x, k)), lambda k: k.isNotNull())
+    low = F.coalesce(F.array_max(F.filter("unlike", lambda k: k < F.col("lead"))), F.lit(-1)) + 1
+    high = F.coalesce(F.array_min(F.filter("unlike", lambda k: k >= F.col("until"))), F.col("size"))
+    inside = lambda k: (k >= F.col("low")) & (k < F.col("high"))
+    equal = lambda k: F.coalesce(F.get("same", k), F.lit(False)) & inside(k)
+    gone = F.filter(F.transform("same", lambda x, k: F.when(equal(k) & (equal(k - 1) | equal(k + 1)), k + F.col("a") - F.col("lead"))), lambda k: k.isNotNull())
+    full = lambda n: n == near
+    more = ((F.col("low") == 0) & full(F.col("lead")) & full(F.col("first_lead"))) | ((F.col("high") == F.col("size")) & full(F.col("size") - F.col("until")) & full(F.size("first_lines") - F.col("first_lead") - F.col("b") + F.col("a")))
+    marked = both.withColumns({"same": same, "size": size, "until": until}).withColumn("unlike", unlike).withColumns({"low": low, "high": high})
+    return marked.select(*found.columns, gone.alias("gone"), more.alias("more"))
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """(doc_id, doc_hash, gone): numbers of lines to remove; those of one text may overlap."""
+    found, near, out = runs(docs), NEAR, None
+    while True:
+        seen = materialize(compared(docs, found, near), "line-compared")
+        cuts = seen.where(F.size("gone") > 0).select("doc_id", "doc_hash", "gone")
+        out = cuts if out is None else out.union(cuts)
+        found, near = seen.where("more").select(*found.columns), near * WIDER
+        if found.isEmpty():
+            return out
 
 
 def cut(docs: DataFrame) -> DataFrame:
     """row (a struct of docs' columns, with the repeated chunks cut from its text), ld_lines and ld_removed: lines before and lines cut."""
-    cuts = materialize(repeated(docs.select("doc_id", "text")), "line-cuts")
-    per_doc = cuts.groupBy("doc_id", "doc_hash").agg(F.array_sort(F.collect_set(F.struct("start", "n_lines"))).alias("cuts"))
+    cuts = repeated(docs.select("doc_id", "text"))
+    per_doc = cuts.groupBy("doc_id", "doc_hash").agg(F.collect_list("gone").alias("cuts"))
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     joined = packed.withColumn("key", _doc_hash(F.col("row.text"))).join(
         per_doc.hint("merge"), F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("doc_hash")), "left",
     )
-    gone = F.flatten(F.transform(F.col("cuts"), lambda c: F.sequence(c["start"], c["start"] + c["n_lines"] - 1)))
+    gone = F.flatten("cuts")
     lines = F.split(F.col("row.text"), "\n", -1)
     # marks line by line, aligned with the lines, so that no line looks through the list of cuts
     kept = let(

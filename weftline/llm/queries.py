@@ -108,12 +108,12 @@ f AS (SELECT doc_id, l, list_transform(r, lambda x: x * sign) AS r, sign FROM r,
 e AS (SELECT doc_id, l, list_filter(range(0, len(l)), lambda k: k = len(l) - 1 OR (k > 0 AND r[k + 1] < r[k] AND r[k + 1] <= r[k + 2])) AS e FROM f),
 w AS (SELECT doc_id, l, flatten(list_transform(range(1, len(e) + 1), lambda k: list_concat(range((CASE WHEN k = 1 THEN 0 ELSE e[k - 1] + 1 END) + 3, e[k], 4), [e[k]]))) AS e FROM e),
 c AS (SELECT doc_id, l, unnest(list_transform(range(1, len(e) + 1), lambda k: {'a': CASE WHEN k = 1 THEN 0 ELSE e[k - 1] + 1 END, 'b': e[k]})) AS c FROM w),
-p AS (SELECT DISTINCT doc_id, c.a AS a, c.b AS b, array_to_string(list_slice(l, c.a + 1, c.b + 1), chr(10)) AS body,
-        list_reverse(list_slice(l, greatest(c.a - 4, 0) + 1, c.a)) AS before, list_slice(l, c.b + 2, c.b + 5) AS after FROM c WHERE c.b > c.a),
+p AS (SELECT DISTINCT doc_id, c.a AS a, c.b AS b, array_to_string(list_slice(l, c.a + 1, c.b + 1), chr(10)) AS body FROM c WHERE c.b > c.a),
 q AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, a) AS n FROM p),
-m AS (SELECT q.*, list_transform(range(1, least(len(q.before), len(x.before)) + 1), lambda k: q.before[k] = x.before[k]) AS sb,
-        list_transform(range(1, least(len(q.after), len(x.after)) + 1), lambda k: q.after[k] = x.after[k]) AS sa FROM q JOIN q AS x ON q.body = x.body AND x.n = 1 WHERE q.n > 1),
-y AS (SELECT doc_id, a - coalesce(nullif(list_position(sb, false), 0) - 1, len(sb)) AS a, b + coalesce(nullif(list_position(sa, false), 0) - 1, len(sa)) AS b FROM m),
+m AS (SELECT q.doc_id, q.a, q.b, x.doc_id AS d0, q.a - x.a AS shift FROM q JOIN q AS x ON q.body = x.body AND x.n = 1 WHERE q.n > 1),
+z AS (SELECT s.doc_id, s.d0, s.shift, list_filter(range(-1, len(x.l) + 1), lambda k: k < 0 OR k >= len(x.l) OR k - s.shift < 0 OR k - s.shift >= len(y.l) OR x.l[k + 1] <> y.l[k - s.shift + 1]) AS unlike
+      FROM (SELECT DISTINCT doc_id, d0, shift FROM m) s JOIN l x ON s.doc_id = x.doc_id JOIN l y ON s.d0 = y.doc_id),
+y AS (SELECT m.doc_id, list_max(list_filter(unlike, lambda k: k < a)) + 1 AS a, list_min(list_filter(unlike, lambda k: k > b)) - 1 AS b FROM m JOIN z ON m.doc_id = z.doc_id AND m.d0 = z.d0 AND m.shift = z.shift),
 g AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS k FROM y),
 x AS (SELECT doc_id, unnest(range(0, len(l))) AS k, unnest(l) AS line FROM l),
 o AS (SELECT x.doc_id, count(g.k)::BIGINT AS n_removed, count(*)::BIGINT AS n_lines, coalesce(string_agg(x.line, chr(10) ORDER BY x.k) FILTER (WHERE g.k IS NULL), '') AS text
