@@ -46,8 +46,10 @@ from weftline.scratch import materialize
 MIN_DOCS = 3
 SCALE = 1_000_000_000
 TOP = 200
-#: Entries of the table that a counting task keeps before it hands them on.
-ENTRIES = 400_000
+#: Entries of the table that a counting task keeps before it hands them on; within one table a term's occurrences stay below 2 to the DOC_BITS.
+ENTRIES = 800_000
+DOC_BITS = 40
+ONE_DOC = 1 << DOC_BITS
 
 #: Bytes of a term as they are, A-Z lower-cased, all others as a space: bytes from 0x80 up only occur in code points beyond ASCII.
 _TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -59,28 +61,29 @@ def term_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
-        seen: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        import numpy as np
+
+        # a term's documents and occurrences in one number
+        seen: dict[tuple[str, str], dict[bytes, int]] = {}
         held = 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, in_docs) in seen.items():
-                terms = list(n)
+            for (lang, source), of in seen.items():
+                terms, both = list(of), np.fromiter(of.values(), np.int64, len(of))
                 for at in range(0, len(terms), 50_000):
-                    some = terms[at : at + 50_000]
+                    some = pa.array(terms[at : at + 50_000], pa.binary()).cast(pa.string())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(some), pa.string()), pa.array([source] * len(some), pa.string()), pa.array(some, pa.binary()).cast(pa.string()), pa.array([n[t] for t in some], pa.int64()), pa.array([in_docs[t] for t in some], pa.int64())],
-                        names=["lang", "source", "term", "n", "docs"],
+                        [pa.repeat(lang, len(some)), pa.repeat(source, len(some)), some, pa.array(both[at : at + 50_000] & (ONE_DOC - 1)), pa.array(both[at : at + 50_000] >> DOC_BITS)], names=["lang", "source", "term", "n", "docs"],
                     )
 
         for batch in batches:
             for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text").cast(pa.binary())):
-                own = Counter((text.as_py() or b"").translate(_TERM_BYTES).split(b" "))
-                del own[b""]
-                n, in_docs = seen.setdefault((lang, source), (Counter(), Counter()))
-                before = len(n)
-                n.update(own)
-                in_docs.update(own.keys())
-                held += len(n) - before
+                own = Counter((text.as_py() or b"").translate(_TERM_BYTES).split())
+                of = seen.setdefault((lang, source), {})
+                before = len(of)
+                for term, n in own.items():
+                    of[term] = of.get(term, 0) + n + ONE_DOC
+                held += len(of) - before
                 if held >= ENTRIES:
                     yield from rows()
                     seen.clear()
