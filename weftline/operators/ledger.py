@@ -37,6 +37,15 @@ def budget_prefix(rows: DataFrame, group: str, order: str, cost: str, budget: in
 SLOT_WIDTHS = 16
 
 
+def slotted(rows: DataFrame, micros: Column, width: int) -> DataFrame:
+    """rows with t (micros), own (their slot of time) and slot: those in the last window's width of a slot are in the next one too."""
+    span = SLOT_WIDTHS * width
+    into = F.pmod(F.col("t"), F.lit(span))
+    own = F.col("t") - into
+    slots = F.when(into >= span - width, F.array(own, own + span)).otherwise(F.array(own))
+    return rows.withColumn("t", micros).withColumn("own", own).withColumn("slot", F.explode(slots))
+
+
 def sliding_count(rows: DataFrame, key: str, ts: str, seconds: int) -> DataFrame:
     """rows with in_window: how many rows of the key lie in the seconds up to and including each.
 
@@ -44,11 +53,6 @@ def sliding_count(rows: DataFrame, key: str, ts: str, seconds: int) -> DataFrame
     of them; rows in the last window's width of a slot count in the next one too.
     """
     width = seconds * 1_000_000
-    span = SLOT_WIDTHS * width
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    into = F.pmod(F.col("t"), F.lit(span))
-    own = F.col("t") - into
-    slots = F.when(into >= span - width, F.array(own, own + span)).otherwise(F.array(own))
-    placed = rows.withColumn("t", t).withColumn("own", own).withColumn("slot", F.explode(slots))
+    placed = slotted(rows, F.unix_micros(F.col(ts).cast("timestamp")), width)
     w = Window.partitionBy(key, "slot").orderBy("t").rangeBetween(-width + 1, 0)
     return placed.withColumn("in_window", F.count("*").over(w)).where(F.col("slot").eqNullSafe(F.col("own"))).drop("t", "own", "slot")

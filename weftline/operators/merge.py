@@ -13,13 +13,20 @@ def insert_ignore(old: DataFrame, new: DataFrame, key: list[str], order: str) ->
     return old.unionByName(first.select(*key, "r.*").select(*old.columns))
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str, order: str, keep: tuple[str, ...] = ("created_at",)) -> DataFrame:
-    """old with new's rows put in by key; the last by order wins, and the columns in keep stay as they first were."""
-    rest = [c for c in old.columns if c != key]
-    last = new.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("n"))
-    joined = old.select(key, F.struct(*rest).alias("o")).join(last, key, "full")
-    pick = lambda c: F.coalesce(f"o.{c}", f"n.{c}") if c in keep else F.when(F.col("n").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}"))
-    return joined.select(key, *[pick(c).alias(c) for c in rest])
+def upsert(old: DataFrame, new: DataFrame, key: str | list[str], order: str, keep: tuple[str, ...] = ("created_at",)) -> DataFrame:
+    """old with new's rows put in by key, of one column or several; the last by order wins, and the columns in keep stay as they first were.
+
+    Of rows new to old, what is kept is the first one's by order. Where several rows of new have one order, the
+    greatest by the other columns wins, so a rerun agrees.
+    """
+    key = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in old.columns if c not in key]
+    at = F.struct(order, *[c for c in rest if c != order])
+    kept = [c for c in keep if c in rest]
+    last = new.groupBy(*key).agg(F.max_by(F.struct(*rest), at).alias("__new"), *[F.min_by(c, at).alias(f"__first_{c}") for c in kept])
+    joined = old.select(*key, F.struct(*rest).alias("__old")).join(last, key, "full")
+    pick = lambda c: F.when(F.col("__old").isNotNull(), F.col(f"__old.{c}")).otherwise(F.col(f"__first_{c}")) if c in kept else F.when(F.col("__new").isNotNull(), F.col(f"__new.{c}")).otherwise(F.col(f"__old.{c}"))
+    return joined.select(*key, *[pick(c).alias(c) for c in rest])
 
 
 def replace_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
