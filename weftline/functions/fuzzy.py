@@ -50,3 +50,9 @@ def score(a: str | None, b: str | None) -> float:
 @F.pandas_udf(T.DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([score(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+@F.pandas_udf(T.IntegerType())
+def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Length of the longest common subsequence of two texts."""
+    return pd.Series([_common(x, y) for x, y in zip(a, b)], dtype="int32")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import firm
-from weftline.functions.fuzzy import token_set_ratio
+from weftline.functions.fuzzy import common_length
 from weftline.scratch import materialize
 
 MAX_YEAR, FLOOR, CEILING, HQ = 2020, 30, 1000, "India"
@@ -22,7 +22,9 @@ def apply_gates(companies: DataFrame, known_domains: DataFrame, known: DataFrame
     not collected. A firm without a country is one of HQ; another country is
     noted, not rejected.
     """
-    names = materialize(companies.select(F.col("company_name").alias("name")).where("name IS NOT NULL").distinct(), "gate-names")
+    # read for their names, and again for the joins: written once, a row for each firm
+    companies = materialize(companies, "companies")
+    names = companies.select(F.col("company_name").alias("name")).where("name IS NOT NULL").distinct()
     by_name = match_known(names, known).select(F.col("name").alias("company_name"), F.col("known").alias("known_name"))
     blocked = match_blocklist(names, terms).select(F.col("name").alias("company_name"), "term")
     flagged = companies.join(known_domains.select("domain").distinct().withColumn("known", F.lit(True)), "domain", "left").join(by_name, "company_name", "left").join(blocked, "company_name", "left")
@@ -65,26 +67,29 @@ PIECES = (1, 2, 3, 4, 6, 8)
 LOWEST = 80.0
 
 
-def _tokens(c: str) -> Column:
+def _tokens(c: str | Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.split(c, r"(?U)[\s\x1c-\x1f]+"), lambda t: t != "")))
 
 
 def _joined_length(tokens: Column) -> Column:
-    return F.aggregate(tokens, F.lit(-1), lambda n, t: n + F.char_length(t) + 1)
+    return F.char_length(F.array_join(tokens, " "))
 
 
 def _rarest(sets: DataFrame, tokens_there: DataFrame, share: float) -> DataFrame:
-    """(id, t): of each text the tokens that are rarest on the other side, until the rest alone can't cover the part that must be shared."""
-    counts = tokens_there.groupBy("t").agg(F.count("*").alias("f"))
-    each = sets.select("id", "n", F.explode("ts").alias("t")).join(counts, "t", "left").withColumn("f", F.coalesce("f", F.lit(0)))
-    before = Window.partitionBy("id").orderBy("f", "t").rowsBetween(Window.unboundedPreceding, -1)
+    """(block, id, t): of each text the tokens that are rarest on the other side, until the rest alone can't cover the part that must be shared."""
+    counts = tokens_there.groupBy("block", "t").agg(F.count("*").alias("f"))
+    each = sets.select("block", "id", "n", F.explode("ts").alias("t")).join(counts, ["block", "t"], "left").withColumn("f", F.coalesce("f", F.lit(0)))
+    before = Window.partitionBy("block", "id").orderBy("f", "t").rowsBetween(Window.unboundedPreceding, -1)
     lost = F.coalesce(F.sum(F.char_length("t") + 1).over(before), F.lit(0))
-    return each.withColumn("lost", lost).where(F.col("lost") <= F.col("n") * (2 * (1 - share) / (2 - share)) + 1e-9).select("id", "t")
+    return each.withColumn("lost", lost).where(F.col("lost") <= F.col("n") * (2 * (1 - share) / (2 - share)) + 1e-9).select("block", "id", "t")
 
 
-def candidates(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
+def candidates(a: DataFrame, b: DataFrame, threshold: float, within: str | None = None) -> DataFrame:
     """Pairs (x, y) of texts whose token-set score may reach the threshold, without a cross join and without meeting on common tokens.
 
+    With ``within``, a column of both sides, only texts of one block meet, and
+    the pairs have that column too; a block may hold any part of the texts.
+
     A score is reached in one of two ways. Either one text's tokens are all
     shared, or the shared ones, joined, are alike to all of one text; they then
     cover a fixed part of its length, so one of its tokens that are rarest on
@@ -95,39 +100,74 @@ def candidates(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
     are cut to, so of any d + 1 pieces one is a substring of a token of y; the
     rarest are taken, and of several lengths the one that meets least.
     """
+    sa, sb = _sides(a, b, within)
+    pairs = _pairs(sa, sb, threshold)
+    return pairs.withColumnRenamed("block", within) if within else pairs.select("x", "y")
+
+
+def _sides(a: DataFrame, b: DataFrame, within: str | None) -> tuple[DataFrame, DataFrame]:
+    """block, id, ts (tokens), n (their joined length) of each side's texts that have tokens, written, for each is read several times."""
+    block = F.col(within) if within else F.lit("")
+    sets = lambda df, c: df.select(block.alias("block"), F.col(c).alias("id"), _tokens(c).alias("ts")).where(F.size("ts") > 0).distinct().withColumn("n", _joined_length(F.col("ts")))
+    return materialize(sets(a, "x"), "fuzzy-x"), materialize(sets(b, "y"), "fuzzy-y")
+
+
+def _with_tokens(pairs: DataFrame, sa: DataFrame, sb: DataFrame) -> DataFrame:
+    return pairs.join(sa.toDF("block", "x", "tx", "nx"), ["block", "x"]).join(sb.toDF("block", "y", "ty", "ny"), ["block", "y"])
+
+
+def _pairs(sa: DataFrame, sb: DataFrame, threshold: float) -> DataFrame:
+    """block, x, y of the candidates among two sides."""
     if threshold < LOWEST:
         raise ValueError(f"thresholds below {LOWEST} are not supported")
     share = threshold / 100
-    sets = lambda df, c: df.select(F.col(c).alias("id"), _tokens(c).alias("ts")).where(F.size("ts") > 0).distinct().withColumn("n", _joined_length(F.col("ts")))
-    # each is read several times below
-    sa, sb = materialize(sets(a, "x"), "fuzzy-x"), materialize(sets(b, "y"), "fuzzy-y")
-    ta, tb = (df.select("id", F.explode("ts").alias("t")) for df in (sa, sb))
-    met = _rarest(sa, tb, share).toDF("x", "t").join(tb.toDF("y", "t"), "t").select("x", "y").union(ta.toDF("x", "t").join(_rarest(sb, ta, share).toDF("y", "t"), "t").select("x", "y")).distinct()
-    full = lambda pairs: pairs.join(sa.toDF("x", "tx", "nx"), "x").join(sb.toDF("y", "ty", "ny"), "y")
+    ta, tb = (df.select("block", "id", F.explode("ts").alias("t")) for df in (sa, sb))
+    near = F.abs(F.col("nx") - F.col("ny")) <= (1 - share) * (F.col("nx") + F.col("ny")) + 1e-9
+    meet = lambda x, y: x.toDF("block", "x", "t").join(y.toDF("block", "y", "t"), ["block", "t"]).select("block", "x", "y")
+    met = meet(_rarest(sa, tb, share), tb).union(meet(ta, _rarest(sb, ta, share))).distinct()
+    full = lambda pairs: _with_tokens(pairs, sa, sb)
     both = F.array_intersect("tx", "ty")
     covered = _joined_length(both) >= F.least("nx", "ny") * (share / (2 - share)) - 1e-9
-    shared = full(met).where((F.size(both) == F.least(F.size("tx"), F.size("ty"))) | covered).select("x", "y")
+    shared = full(met).where((F.size(both) == F.least(F.size("tx"), F.size("ty"))) | covered).select("block", "x", "y")
 
     edits = F.floor(F.col("n") * (2 * (1 - share) / share) + 1e-9).cast("int")
-    grams = tb.select("id", "t", F.explode(F.array(*map(F.lit, PIECES))).alias("q")).where(F.char_length("t") >= F.col("q"))
-    grams = grams.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("t") - F.col("q") + 1), lambda k: F.substr("t", k, F.col("q")))).alias("p")).distinct()
-    counts = grams.groupBy("p").agg(F.count("*").alias("f"))
+    grams = sb.select("block", "id", "n", F.explode("ts").alias("t")).select("*", F.explode(F.array(*map(F.lit, PIECES))).alias("q")).where(F.char_length("t") >= F.col("q"))
+    grams = grams.select("block", "id", "n", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("t") - F.col("q") + 1), lambda k: F.substr("t", k, F.col("q")))).alias("p")).distinct()
+    counts = grams.groupBy("block", "p").agg(F.count("*").alias("f"))
     # a token's last piece is cut to the next length of PIECES below
     left = lambda k: F.char_length("t") - k * F.col("q")
     size = lambda k: F.array_max(F.filter(F.array(*map(F.lit, PIECES)), lambda z: (z <= F.col("q")) & (z <= left(k))))
-    tokens = sa.select("id", (edits + 1).alias("need"), F.explode("ts").alias("t")).select("*", F.explode(F.array(*map(F.lit, PIECES))).alias("q"))
-    pieces = tokens.select("id", "need", "q", F.explode(F.transform(F.sequence(F.lit(0), F.ceil(F.char_length("t") / F.col("q")).cast("int") - 1), lambda k: F.substr("t", k * F.col("q") + 1, size(k)))).alias("p"))
-    rated = pieces.join(counts, "p", "left").withColumn("f", F.coalesce("f", F.lit(0)))
-    chosen = materialize(rated.withColumn("r", F.row_number().over(Window.partitionBy("id", "q").orderBy("f", "p"))).where("r <= need"), "fuzzy-pieces")
-    cost = chosen.groupBy("id", "q").agg(F.count("*").alias("k"), F.first("need").alias("need"), F.sum("f").alias("f")).where("k = need").groupBy("id").agg(F.min_by("q", F.struct("f", "q")).alias("q"))
-    close = chosen.join(cost, ["id", "q"]).select(F.col("id").alias("x"), "p").distinct().join(grams.toDF("y", "p"), "p").select("x", "y").distinct()
-    alike = full(close).where(F.abs(F.col("nx") - F.col("ny")) <= (1 - share) * (F.col("nx") + F.col("ny")) + 1e-9).select("x", "y")
+    tokens = sa.select("block", "id", "n", (edits + 1).alias("need"), F.explode("ts").alias("t")).select("*", F.explode(F.array(*map(F.lit, PIECES))).alias("q"))
+    pieces = tokens.select("block", "id", "n", "need", "q", F.explode(F.transform(F.sequence(F.lit(0), F.ceil(F.char_length("t") / F.col("q")).cast("int") - 1), lambda k: F.substr("t", k * F.col("q") + 1, size(k)))).alias("p"))
+    rated = pieces.join(counts, ["block", "p"], "left").withColumn("f", F.coalesce("f", F.lit(0)))
+    chosen = materialize(rated.withColumn("r", F.row_number().over(Window.partitionBy("block", "id", "q").orderBy("f", "p"))).where("r <= need"), "fuzzy-pieces")
+    cost = chosen.groupBy("block", "id", "q").agg(F.count("*").alias("k"), F.first("need").alias("need"), F.sum("f").alias("f")).where("k = need").groupBy("block", "id").agg(F.min_by("q", F.struct("f", "q")).alias("q"))
+    taken = chosen.join(cost, ["block", "id", "q"]).select("block", F.col("id").alias("x"), F.col("n").alias("nx"), "p").distinct()
+    alike = taken.join(grams.toDF("block", "y", "ny", "p"), ["block", "p"]).where(near).select("block", "x", "y")
     return shared.union(alike).distinct()
 
 
-def fuzzy_matches(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
-    """(x, y, score) of the pairs that reach the threshold."""
-    return candidates(a, b, threshold).withColumn("score", token_set_ratio("x", "y")).where(F.col("score") >= threshold)
+def fuzzy_matches(a: DataFrame, b: DataFrame, threshold: float, within: str | None = None) -> DataFrame:
+    """The pairs (x, y), with ``within`` its column too, that reach the threshold.
+
+    Shared tokens, joined, begin both joined texts, so their score against
+    either follows from lengths, and the two texts have that beginning in common
+    and what their rests have. Pairs that lengths rule out go; of the others
+    only the rests' common length is counted in Python.
+    """
+    sa, sb = _sides(a, b, within)
+    pairs = _with_tokens(_pairs(sa, sb, threshold), sa, sb).withColumn("shared", F.array_intersect("tx", "ty"))
+    n, ns, nx, ny = F.size("shared"), _joined_length(F.col("shared")), F.col("nx"), F.col("ny")
+    held = (n > 0) & (n == F.least(F.size("tx"), F.size("ty")))
+    alone = F.when(held, 100.0).when(n > 0, 200.0 * ns / (ns + F.least(nx, ny))).otherwise(0.0)
+    rest = lambda one, other: F.array_join(F.array_except(one, other), " ")
+    parts = pairs.select("block", "x", "y", alone.alias("alone"), F.when(n > 0, ns + 1).otherwise(0).alias("begin"), (nx + ny).alias("total"), rest("tx", "ty").alias("rx"), rest("ty", "tx").alias("ry"))
+    both = lambda common: 200.0 * (F.col("begin") + common) / F.col("total")
+    parts = parts.where((F.col("alone") >= threshold) | (both(F.least(F.char_length("rx"), F.char_length("ry"))) >= threshold))
+    # pairs are small rows and dear ones: as many tasks score them as shuffles have, however few bytes they are
+    parts = parts.repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
+    found = parts.withColumn("common", common_length("rx", "ry")).where((F.col("alone") >= threshold) | (both(F.col("common")) >= threshold))
+    return found.select(F.col("block").alias(within), "x", "y") if within else found.select("x", "y")
 
 
 def match_known(names: DataFrame, known: DataFrame, threshold: float = KNOWN_SCORE) -> DataFrame:

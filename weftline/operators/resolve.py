@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import firm
 from weftline.operators import domains
+from weftline.scratch import materialize
 
 
 def with_keys(listings: DataFrame, as_of_year: int) -> DataFrame:
@@ -15,45 +16,51 @@ def with_keys(listings: DataFrame, as_of_year: int) -> DataFrame:
     return keyed.withColumns({"band": firm.size_band(F.col("size_raw")), "founded": firm.founded(F.col("founded_raw"), as_of_year)})
 
 
-def first_filled(c: str, order: str = "ordinal") -> Column:
-    """The first value by order that is neither null nor empty."""
-    return F.min_by(F.when(firm.filled(F.col(c)), F.col(c)), F.when(firm.filled(F.col(c)), F.col(order)))
+#: Columns of listings of which a firm takes the first that is filled, and the firm's names for them.
+_FIRSTS = {"website_raw": "website", "city": "city", "segment_raw": "segment", "hq_raw": "hq_country"}
 
 
-def best_names(keyed: DataFrame) -> DataFrame:
-    """(domain, company_name): most frequent trimmed name, then the longest, then the first. Counted by name before it is ranked."""
-    named = keyed.where(F.col("domain").isNotNull()).select("domain", F.trim("company_name").alias("name"), "ordinal").where(firm.filled(F.col("name")))
-    counts = named.groupBy("domain", "name").agg(F.count("*").alias("n"), F.min("ordinal").alias("at"))
+def parts(keyed: DataFrame) -> DataFrame:
+    """Listings with a domain, by domain, trimmed name and source: how many, the first ordinal, and the first of each value that a firm takes.
+
+    Every pick is a minimum that leads with the ordinal, so picks of parts are
+    picked again for their firm, and listings are read and shuffled once.
+    """
+    year, sized = F.col("founded.year").isNotNull(), F.col("band").isNotNull()
+    firsts = [F.min(F.when(firm.filled(F.col(c)), F.struct("ordinal", F.col(c).alias("value")))).alias(name) for c, name in _FIRSTS.items()]
+    best_founded = F.min(F.when(year, F.struct("founded.approx", "ordinal", "founded.year", "founded.note", F.col("founded_raw").alias("raw")))).alias("f")
+    best_size = F.min(F.when(sized, F.struct("ordinal", "band", "size_raw"))).alias("s")
+    rows = keyed.where("domain IS NOT NULL").withColumn("name", F.trim("company_name"))
+    return rows.groupBy("domain", "name", "source").agg(F.count("*").alias("n"), F.min("ordinal").alias("at"), *firsts, best_founded, best_size)
+
+
+def best_names(parts: DataFrame) -> DataFrame:
+    """(domain, company_name): most frequent trimmed name, then the longest, then the first."""
+    counts = parts.where(firm.filled(F.col("name"))).groupBy("domain", "name").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
     return counts.groupBy("domain").agg(F.max_by("name", F.struct("n", F.char_length("name"), -F.col("at"))).alias("company_name"))
 
 
+def sources(parts: DataFrame) -> DataFrame:
+    """(domain, sources): distinct source names in order of their first listing."""
+    first = parts.groupBy("domain", "source").agg(F.min("at").alias("at"))
+    return first.groupBy("domain").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "source"))), lambda x: x["source"]).alias("sources"))
+
+
 def dedupe(listings: DataFrame, as_of_year: int) -> DataFrame:
     """One row for each domain.
 
     Each column picks its value by the listing's ordinal, never by arrival, so
-    the result doesn't depend on partitioning. All picks are aggregates that
-    combine before the one shuffle on domain; names take a second aggregate,
-    which is partitioned by domain too when it joins.
+    the result doesn't depend on partitioning. Listings are aggregated once, by
+    firm, name and source, and combined before that shuffle; the rest works on
+    those groups, which are written.
     """
-    keyed = with_keys(listings, as_of_year).where("domain IS NOT NULL")
-    year = F.col("founded.year").isNotNull()
-    best_founded = F.min_by(F.when(year, F.struct(F.col("founded.year").alias("year"), F.col("founded.note").alias("note"), F.col("founded_raw").alias("raw"))), F.when(year, F.struct("founded.approx", "ordinal")))
-    sized = F.col("band").isNotNull()
-    best_size = F.min_by(F.when(sized, F.struct("band", "size_raw")), F.when(sized, F.col("ordinal")))
-    rows = keyed.groupBy("domain").agg(
-        first_filled("website_raw").alias("website"), first_filled("city").alias("city"), first_filled("segment_raw").alias("segment"), first_filled("hq_raw").alias("hq_country"), best_founded.alias("f"), best_size.alias("s"), F.count("*").alias("n_listings"),
-    )
-    picked = rows.select(
-        "domain", "website", "city", "segment", "hq_country", F.col("f.year").alias("founded_year"), F.col("f.raw").alias("founded_source"), F.col("f.note").alias("founded_note"),
+    grouped = materialize(parts(with_keys(listings, as_of_year)), "listing-groups")
+    picked = grouped.groupBy("domain").agg(*[F.min(c).alias(c) for c in (*_FIRSTS.values(), "f", "s")], F.sum("n").alias("n_listings"))
+    rows = picked.select(
+        "domain", *[F.col(f"{c}.value").alias(c) for c in _FIRSTS.values()], F.col("f.year").alias("founded_year"), F.col("f.raw").alias("founded_source"), F.col("f.note").alias("founded_note"),
         F.col("s.band").alias("size_band"), F.col("s.size_raw").alias("size_source"), "n_listings",
     )
-    return picked.join(best_names(keyed), "domain", "left").join(sources(keyed), "domain", "left")
-
-
-def sources(keyed: DataFrame) -> DataFrame:
-    """(domain, sources): distinct source names in order of their first listing."""
-    first = keyed.where("domain IS NOT NULL").groupBy("domain", "source").agg(F.min("ordinal").alias("at"))
-    return first.groupBy("domain").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "source"))), lambda x: x["source"]).alias("sources"))
+    return rows.join(best_names(grouped), "domain", "left").join(sources(grouped), "domain", "left")
 
 
 def quarantine(listings: DataFrame, as_of_year: int) -> DataFrame:

@@ -324,7 +324,7 @@ def founders_cell(spark, d):
 
 @query(f"WITH {_COMPANIES} SELECT domain, company_name FROM nm")
 def dedupe_best_name(spark, d):
-    return resolve.best_names(_keyed(spark, d))
+    return resolve.best_names(resolve.parts(_keyed(spark, d)))
 
 
 @query(f"WITH {_COMPANIES} SELECT domain, website, city, segment FROM c")
@@ -339,7 +339,7 @@ def dedupe_founded_priority(spark, d):
 
 @query(f"WITH {_COMPANIES} SELECT domain, sources FROM sr")
 def dedupe_sources_list(spark, d):
-    return resolve.sources(_keyed(spark, d))
+    return resolve.sources(resolve.parts(_keyed(spark, d)))
 
 
 @query(f"WITH {_GATED} SELECT * FROM gated")
