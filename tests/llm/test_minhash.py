@@ -41,6 +41,56 @@ def test_against_brute_force(docs):
         assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_shingles) for r in got) == sorted((-1 if i is None else i, len(shingles(t, n))) for i, t in rows)
 
 
+def test_big_buckets_lose_no_pair(docs, monkeypatch):
+    """With every bucket taken for a big one, prefixes of sets find what the buckets' pairs do."""
+    monkeypatch.setattr(minhash, "BIG", 1)
+    want = brute([(i, t) for i, t, *_ in corpus()], 5)
+    assert all(r.component_id == want.get(r.doc_id) for r in minhash.near_duplicates(docs, 5).collect())
+
+
+def boilerplate(n, rng):
+    """Documents that share two thirds of their words and are no near copies, and a few that are."""
+    shared = " ".join(f"b{k}" for k in range(60))
+    texts = [shared + " " + " ".join(f"u{rng.integers(10**9)}" for _ in range(25)) for _ in range(n)]
+    near = [t + " end" for t in texts[:5]]
+    return [(k, t) for k, t in enumerate(texts + near)]
+
+
+def test_a_bucket_of_unlike_documents_stays_linear(spark, monkeypatch):
+    """One passage in 3000 documents: few pairs meet, and the links are those of brute force."""
+    rows = boilerplate(3000, np.random.default_rng(5))
+    met = []
+    whole = minhash.prefix_pairs
+
+    def counted(*args):
+        out = whole(*args)
+        met.append((args[0].count(), out.count()))
+        return out
+
+    monkeypatch.setattr(minhash, "prefix_pairs", counted)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(make(spark, [(i, t, None, None) for i, t in rows])).collect()}
+    assert got == {i: i if i < 3000 else i - 3000 for i, _ in rows}
+    assert met[0][0] > 2000 and met[0][1] < met[0][0]
+
+
+def test_sketches_rule_out_unlike_candidates(spark):
+    """How many of the first round's candidates on sf0.01 the sketch rules out, at this margin and at a wider one; every link stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sketches = minhash.sketch(docs, 4).where("n_shingles > 0").collect()
+    sets = {r.doc_id: shingles(t, 4) for r, t in zip(docs.collect(), [x.text for x in docs.collect()])}
+    by_band, odd, pairs = {}, {r.doc_id: r.odd for r in sketches}, set()
+    for r in sorted(sketches, key=lambda r: r.doc_id):
+        for band in r.bands:
+            first = by_band.setdefault(band, r.doc_id)
+            if first != r.doc_id and sets[first] != sets[r.doc_id]:
+                pairs.add((first, r.doc_id))
+    estimate = lambda a, b: 1 + np.log(1 - min(0.999, sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(odd[a], odd[b])) * 2 / minhash.ODD_BITS)) * (minhash.ODD_BITS / 2) / (2 * minhash.SAMPLES)
+    out = lambda margin: {p for p in pairs if estimate(*p) < 0.8 - margin}
+    links = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert links and not out(minhash.MARGIN) & links
+    assert len(out(minhash.MARGIN)) > len(out(0.30)), (len(pairs), len(out(0.30)), len(out(minhash.MARGIN)))
+
+
 def test_chain_of_small_edits(spark):
     """Neighbours in a chain are linked while its ends are not alike."""
     words = [f"w{k}" for k in range(120)]

@@ -31,8 +31,9 @@ a very long text is one set in one task; only doc_id and text are read by
 :func:`near_duplicates`, and :func:`keep_one` keeps docs' columns whatever their
 names.
 
-Probabilities: a pair at exactly 0.8 shares no band with probability 3e-6; the
-sketch's margin is over six standard deviations. Shingles are compared by
+Probabilities: a pair at exactly 0.8 shares no band with probability 3e-6; its
+sketch estimates under 0.6, and rules it out, with less than 1e-8 (of 160
+samples more than 63 would have to differ, where 32 do on average). Shingles are compared by
 64-bit hashes, equal sets by 128 bits.
 """
 
@@ -41,7 +42,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.scratch import materialize
@@ -50,7 +51,9 @@ BANDS, ROWS = 32, 5
 SAMPLES = BANDS * ROWS
 ODD_BITS = 512
 #: Candidates whose sketches estimate a similarity under this much below the threshold go without confirmation.
-MARGIN = 0.30
+MARGIN = 0.20
+#: Members of a bucket above which those of other components are found by prefixes of their sets.
+BIG = 256
 #: Rows of one key above which a join deals the key to several tasks.
 HOT = 500
 #: Words whose hashes a task keeps before it starts anew.
@@ -274,6 +277,24 @@ def _possible(percent: int) -> Column:
     return (100 + percent) * apart <= (100 - percent) * (F.col("nx") + F.col("ny"))
 
 
+def prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of rows (id, c, n, members) of unlike c whose sets may be similar enough: exact, no similar pair is left out.
+
+    Of two sets of which each has percent of the other's members, in one order
+    for all members, the first ``n - ceil(percent * n / 100) + 1`` of each have
+    one in common. Members are ordered by how many of these sets have them, the
+    rarest first, so what many share is hardly ever in a prefix.
+    """
+    one = rows.select("id", "c", "n", F.explode("members").alias("m"))
+    counts = materialize(one.groupBy("m").agg(F.count("*").alias("f")), "prefix-counts")
+    place = F.row_number().over(Window.partitionBy("id").orderBy("f", "m"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    # windows over the members of one set; a member that no other set has needs no partner
+    prefix = materialize(one.join(counts, "m").withColumn("place", place).where((F.col("place") <= length) & (F.col("f") > 1)).select("m", "id", "c", "n"), "prefixes")
+    alike = (F.col("x") < F.col("y")) & (F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+    return hot_join(prefix.toDF("m", "x", "cx", "nx"), prefix.toDF("m", "y", "cy", "ny"), ["m"], "x", alike).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
     sketches = materialize(sketch(docs, n), "sketches")
@@ -299,11 +320,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         placed.groupBy("key", "c").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("c", "n").alias("main"), F.count("*").alias("n_c")).where("n_c > 1").select("key", "main")
     )
     bitmaps = sets.select(F.col("doc_id").alias("id"), F.size("members").alias("n"), *_BITS)
-    rest = materialize(placed.join(mixed, "key").join(bitmaps, "id"), "rest")
+    among = placed.join(mixed, "key")
+    sizes = materialize(among.groupBy("key").agg(F.count("*").alias("size")), "mixed-buckets")
+    big = materialize(among.join(sizes.where(F.col("size") > BIG).select("key"), "key", "left_semi").select("id", "c").distinct(), "big-buckets")
+    rest = materialize(among.join(sizes.where(F.col("size") <= BIG).select("key"), "key", "left_semi").join(bitmaps, "id"), "rest")
     side = lambda rows, s: rows.select("key", F.col("id").alias(s), F.col("c").alias(f"c{s}"), F.col("n").alias(f"n{s}"), *[F.col(p).alias(f"{s}_{p}") for p in _BITS])
     few, every = side(rest.where("c <> main"), "x"), side(rest, "y")
     pairs = hot_join(few, every, ["key"], "x", (F.col("cx") != F.col("cy")) & _possible(percent)).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = materialize(_confirm(pairs, narrow, sets, percent), "more-links")
+    whole = big.join(sets.select(F.col("doc_id").alias("id"), F.size("members").alias("n"), "members"), "id")
+    met = prefix_pairs(whole.select("id", "c", "n", "members"), percent)
+    bits = lambda s: bitmaps.select(F.col("id").alias("a" if s == "x" else "b"), F.col("n").alias(f"n{s}"), *[F.col(p).alias(f"{s}_{p}") for p in _BITS])
+    met = met.join(bits("x"), "a").join(bits("y"), "b").where(_possible(percent)).select("a", "b")
+    more = materialize(_confirm(pairs.union(met).distinct(), narrow, sets, percent), "more-links")
     label = components(label.toDF("a", "b").union(more))
     return sketches.select("doc_id", "n_shingles").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
