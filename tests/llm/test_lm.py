@@ -35,6 +35,19 @@ def test_blocks_do_not_matter(docs, monkeypatch):
     assert small == sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in run(docs).collect())
 
 
+def test_blocks_hold_no_more_than_their_bytes(docs, monkeypatch):
+    """No block has more text than BLOCK_BYTES, but one that is a single text."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 6000)
+    whole = docs.select("doc_id", "text").coalesce(1)
+    out = lm.dictionaries(whole, F.lit(False)).where("word IS NULL").select("block", F.octet_length("ids").alias("n")).collect()
+    sizes = [r.n for r in whole.select(F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).collect()]
+    blocks = {}
+    for r, n in zip(out, sizes):
+        blocks.setdefault(r.block, []).append(n)
+    assert len(out) == len(sizes) and len(blocks) > 5
+    assert all(sum(b) <= 6000 or sum(n > 0 for n in b) == 1 for b in blocks.values()) and max(map(len, blocks.values())) > 1
+
+
 def _all_segmentations(lattice, text):
     """Sum over segmentations by plain recursion."""
     total = 0.0

@@ -10,7 +10,7 @@ product over its words and the end. The scores of all segmentations that spell a
 text thus count, not only the best one's.
 
 The corpus is read once. A task turns its documents into numbers of its own
-dictionary, which it closes after BLOCK_BYTES of text; dictionaries are summed
+dictionary, which it closes before it exceeds BLOCK_BYTES of text; dictionaries are summed
 by word, each distinct word of the corpus is scored once, and each block's
 documents then meet its dictionary in one group, bounded by BLOCK_BYTES. Only
 words, not occurrences, are shuffled.
@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 
 from weftline.scratch import materialize
 
-#: Bytes of text after which a task closes a dictionary.
+#: Bytes of text that a dictionary and its group hold, or one longer text.
 BLOCK_BYTES = 32 << 20
 #: Weight of the vocabulary's own ranking against the counts, in pieces.
 PRIOR = 32_000.0
-#: Times that expected counts are taken.
-PASSES = 2
+#: Times that expected counts are taken: on sf0.01 the score held out is -8.53, -5.58, -5.43, -5.38, -5.36 and -5.36 (log10 a token) after none to five passes.
+PASSES = 4
 #: Words whose lattices are worked on at once.
 GROUP = 4096
 _START = "▁"
@@ -73,33 +73,42 @@ def dictionaries(docs: DataFrame, held: Column) -> DataFrame:
                     names=["block", "doc_id", "held_out", "ids", "word", "local", "c"],
                 )
 
-        for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                part_of = batch.slice(first, 512)
-                rows = []
-                for text, out in zip(part_of.column("text").to_pylist(), part_of.column("held_out").to_pylist()):
-                    ws = (text or "").encode().lower().split()
-                    ids = np.array([local.setdefault(w, len(local)) for w in ws], np.uint32)
-                    if not out:
-                        if len(local) > len(counts):
-                            counts = np.concatenate([counts, np.zeros(max(len(counts), len(local)), np.int64)])
-                        np.add.at(counts, ids, 1)
-                    size += len(text or "")
-                    rows.append(ids.tobytes())
-                n = len(rows)
+        held_rows: list[tuple] = []
+
+        def documents() -> Iterator[pa.RecordBatch]:
+            n = len(held_rows)
+            if n:
+                ids, outs, rows = zip(*held_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block()] * n, pa.int64()), part_of.column("doc_id").cast(pa.int64()), part_of.column("held_out"), pa.array(rows, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+                    [pa.array([block()] * n, pa.int64()), pa.array(ids, pa.int64()), pa.array(outs, pa.bool_()), pa.array(rows, pa.binary()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
                     names=["block", "doc_id", "held_out", "ids", "word", "local", "c"],
                 )
-                if size >= BLOCK_BYTES:
+                held_rows.clear()
+
+        def close() -> Iterator[pa.RecordBatch]:
+            nonlocal counts, size, seq
+            if len(local) > len(counts):
+                counts = np.concatenate([counts, np.zeros(len(local), np.int64)])
+            yield from documents()
+            yield from words()
+            local.clear()
+            counts, size, seq = np.zeros(1024, np.int64), 0, seq + 1
+
+        for batch in batches:
+            for doc_id, out, text in zip(batch.column("doc_id").cast(pa.int64()).to_pylist(), batch.column("held_out").to_pylist(), batch.column("text")):
+                data = (text.as_py() or "").encode()
+                if size and size + len(data) > BLOCK_BYTES:
+                    yield from close()
+                ids = np.array([local.setdefault(w, len(local)) for w in data.lower().split()], np.uint32)
+                if not out:
                     if len(local) > len(counts):
-                        counts = np.concatenate([counts, np.zeros(len(local), np.int64)])
-                    yield from words()
-                    local.clear()
-                    counts, size, seq = np.zeros(1024, np.int64), 0, seq + 1
-        if len(local) > len(counts):
-            counts = np.concatenate([counts, np.zeros(len(local), np.int64)])
-        yield from words()
+                        counts = np.concatenate([counts, np.zeros(max(len(counts), len(local)), np.int64)])
+                    np.add.at(counts, ids, 1)
+                size += len(data)
+                held_rows.append((doc_id, out, ids.tobytes()))
+                if len(held_rows) >= 512:
+                    yield from documents()
+        yield from close()
 
     return docs.select("doc_id", "text", held.alias("held_out")).mapInArrow(run, "block long, doc_id long, held_out boolean, ids binary, word string, local long, c long")
 
