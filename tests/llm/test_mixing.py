@@ -61,15 +61,31 @@ def test_every_source_is_near_its_target(spark):
 
 
 def test_probability_is_the_fraction(spark):
-    """Over many seeds each document gets its copy as often as the fraction says, long ones and short ones."""
-    rows = [(k, "w " * (3 ** (k % 5) + k), None, "ab"[k % 5 == 0]) for k in range(40)]
-    docs = make(spark, rows).coalesce(1)
-    docs.cache()
-    plans = [mixing.plan_mix(docs, seed=f"s{k}").withColumn("rate", F.col("target") / F.col("source_size")) for k in range(5)]
-    got = {}
-    for p in plans:
-        for r in p.select("doc_id", "source", "copies", "rate").collect():
-            got.setdefault(r.source, []).append((r.copies, r.rate))
-            assert r.copies in (int(r.rate), int(r.rate) + 1)
-    for pairs in got.values():
-        assert abs(sum(c for c, _ in pairs) - sum(r for _, r in pairs)) < 0.15 * sum(r for _, r in pairs)
+    """Each single document gets its copy as often as the fraction says: 450 sources alike but for their hashes stand for as many seeds."""
+    from math import sqrt
+
+    size = lambda k: 3 ** (k % 4) + k
+    rows = [(1000 * s + k, "w " * size(k), None, f"s{s:04d}") for s in range(450) for k in range(12)]
+    plan = mixing.plan_mix(make(spark, rows)).withColumn("rate", F.round(F.col("target") / F.col("source_size"), 9))
+    got = plan.groupBy((F.col("doc_id") % 1000).alias("k"), "rate").agg(F.avg("copies").alias("mean"), F.count("*").alias("n"), F.min("copies").alias("low"), F.max("copies").alias("high")).collect()
+    assert len(got) == 12 * 3 and {r.n for r in got} == {150}
+    for r in got:
+        part = r.rate - int(r.rate)
+        assert int(r.rate) <= r.low and r.high <= int(r.rate) + 1
+        assert abs(r.mean - r.rate) <= 4.5 * sqrt(part * (1 - part) / r.n) + 1e-9, r
+
+
+def test_selection_by_digits_is_selection_by_order(spark):
+    """The last hash that gets a copy, against sorting; few bits in a round, so that rounds matter."""
+    rows = [(k % 900, "w " * (k % 3 + 1), None, "ab"[k % 10 == 0]) for k in range(1500)]
+    docs = make(spark, rows)
+    sizes = docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
+    targets = mixing.source_targets(sizes)
+    got = {(r.source, r["class"]): r.below for r in mixing.thresholds(sizes, targets).collect()}
+    each = sizes.select("source", mixing.size_class("size").alias("class"), mixing.draw(F.col("doc_id")).alias("u")).collect()
+    plan = mixing.plan_mix(docs).collect()
+    for key, below in got.items():
+        hashes = sorted(r.u for r in each if (r.source, r["class"]) == key)
+        assert below == -1 or below in hashes
+    total = sum(r.copies for r in plan)
+    assert total == sum(int(r.target / r.source_size) + (r.copies - int(r.target / r.source_size)) for r in plan) and len(got) == 6

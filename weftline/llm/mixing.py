@@ -9,10 +9,10 @@ The draws of one source are not independent, or a few long documents would
 carry a small source far from its target. Documents fall in size classes,
 largest first; how many of a class get the copy follows from where the running
 count times the fraction, from a seeded offset, passes whole numbers, and those
-with the smallest hashes get it. Each document's probability stays the fraction;
-what a source takes is off by about one document. Only numbers are ranked:
-hashes are first counted in bins for each class, and just the rows of the bin
-where the last copy falls are put in order, so no task holds a source.
+with the smallest hashes get it. Each document's probability, over seeds, stays
+the fraction; what a source takes is off by about one document. No rows are
+put in order: the largest hash that gets a copy is selected digit by digit from
+counts, so no task holds a source.
 
 Defined cases: a null source is a source of its own, last in order; a null or
 empty text has size 0 and still is emitted at its source's rate; a source
@@ -83,23 +83,25 @@ def size_class(size: str) -> Column:
     return F.expr(f"16 * length(bin({size})) + shiftright({size}, greatest(length(bin({size})) - 4, 0))").cast("int")
 
 
-#: Bins of hashes, as a shift of 32 bits.
-BIN = 24
+#: Bits of a hash that each round of the selection looks at, 32 in all.
+DIGITS = (8, 12, 12)
 
 
 def thresholds(sizes: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFrame:
     """(source, class, whole, below): copies of each document of a class, and the largest hash that gets one more (-1: none).
 
     ``sizes`` has doc_id, source, size; ``targets`` source, source_size, target.
+    The hash up to which a class's documents get one is selected digit by digit:
+    a round counts, by the next bits, the hashes that agree with those found so
+    far, and running sums over at most 4096 counts say which value comes next.
+    So no rows are put in order, however many a class has.
     """
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _unit(F.concat(F.lit(seed + "|offset|"), F.coalesce("source", F.lit("null")))) / F.lit(float(2**32))
     rates = targets.select("source", F.floor(rate).cast("int").alias("whole"), (rate - F.floor(rate)).alias("fraction"), offset.alias("offset"))
     rows = sizes.select("source", size_class("size").alias("class"), draw(F.col("doc_id"), seed).alias("u"))
-    binned = rows.withColumn("bin", F.shiftright("u", BIN))
-    counts = materialize(binned.groupBy("source", "class", "bin").agg(F.count("*").alias("n")), "mix-bins")
-    # windows over a row for each class, or for each bin of one: the corpus is counted before
-    per_class = counts.groupBy("source", "class").agg(F.sum("n").alias("n"))
+    per_class = materialize(rows.groupBy("source", "class").agg(F.count("*").alias("n")), "mix-counts")
+    # a window over the classes of a source
     passed = lambda n: F.floor(n * F.col("fraction") + F.col("offset"))
     upto = F.sum("n").over(Window.partitionBy("source").orderBy(F.col("class").desc()))
     wanted = (
@@ -107,18 +109,18 @@ def thresholds(sizes: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFr
         .select("c.source", "class", "whole", (passed(F.col("upto")) - passed(F.col("upto") - F.col("n"))).alias("extra"))
     )
     wanted = materialize(wanted, "mix-wanted")
-    before = F.sum("n").over(Window.partitionBy("source", "class").orderBy("bin")) - F.col("n")
-    last = (
-        counts.withColumn("before", before).alias("b").join(wanted.alias("w"), F.col("b.source").eqNullSafe(F.col("w.source")) & (F.col("b.class") == F.col("w.class")))
-        .where((F.col("before") < F.col("extra")) & (F.col("extra") <= F.col("before") + F.col("n"))).select("b.source", "b.class", "bin", (F.col("extra") - F.col("before")).alias("rank"))
-    )
-    last = materialize(last, "mix-last-bins")
-    near = binned.alias("b").join(last.alias("l"), F.col("b.source").eqNullSafe(F.col("l.source")) & (F.col("b.class") == F.col("l.class")) & (F.col("b.bin") == F.col("l.bin")))
-    place = F.row_number().over(Window.partitionBy("source", "class").orderBy("u"))
-    found = near.select("b.source", "b.class", "u", "rank").withColumn("place", place).where("place = rank").select("source", "class", F.col("u").alias("below"))
+    found = wanted.where("extra > 0").select("source", "class", F.lit(0).cast("long").alias("high"), F.col("extra").alias("rank"))
+    left = 32
+    for digits in DIGITS:
+        near = rows.alias("b").join(found.alias("f"), F.col("b.source").eqNullSafe(F.col("f.source")) & (F.col("b.class") == F.col("f.class")) & (F.shiftright("u", left) == F.col("high")))
+        left -= digits
+        counts = near.groupBy("b.source", "b.class", F.shiftright("u", left).alias("high")).agg(F.count("*").alias("n"), F.first("rank").alias("rank"))
+        before = F.sum("n").over(Window.partitionBy("source", "class").orderBy("high")) - F.col("n")
+        step = counts.withColumn("before", before).where((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n")))
+        found = materialize(step.select("source", "class", "high", (F.col("rank") - F.col("before")).alias("rank")), "mix-digits")
     return (
         wanted.alias("w").join(found.alias("f"), F.col("w.source").eqNullSafe(F.col("f.source")) & (F.col("w.class") == F.col("f.class")), "left")
-        .select("w.source", "w.class", "whole", F.coalesce("below", F.lit(-1)).cast("long").alias("below"))
+        .select("w.source", "w.class", "whole", F.coalesce("high", F.lit(-1)).cast("long").alias("below"))
     )
 
 
