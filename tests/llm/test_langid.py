@@ -72,7 +72,7 @@ def test_cases(spark, docs, empty):
 
 
 def test_no_language_is_lost_to_the_sample(spark):
-    rows = [(k, "the cat sat on the mat " * 10, "en", None) for k in range(300)]
+    rows = [(k, f"{k} " + "the cat sat on the mat " * 10, "en", None) for k in range(300)]
     rows += [(1000 + k, "die katze sa\u00df auf der matte " * 2500, "de", None) for k in range(3)]
     rows += [(2000 + k, "le chat dort sur la table " * 2300, "fr", None) for k in range(40)] + [(3000, "", "xx", None), (3001, None, "yy", None)]
     df = make(spark, rows)
@@ -83,6 +83,16 @@ def test_no_language_is_lost_to_the_sample(spark):
     assert found[1000] == "de" and found[2000] == "fr" and found[0] == "en"
 
 
+def test_copies_of_a_text_are_sampled_once(spark):
+    """A text that most rows repeat, first in the order of hashes or not, is one row of the sample, and ids don't matter."""
+    rows = [(k, f"text number {k % 7} of the corpus, with some words", "en", None) for k in range(400)] + [(900 + k, "ein text der sich oft wiederholt", "de", None) for k in range(400)]
+    for size in (10, 100, 10_000):
+        got = langid.sample(make(spark, rows), sample_bytes=size).collect()
+        assert len(got) == len({(r.lang, r.text) for r in got}) and {r.lang for r in got} == {"en", "de"}
+    again = langid.sample(make(spark, [(10_000 - i, *r) for i, *r in rows]).repartition(3), sample_bytes=100).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, langid.sample(make(spark, rows), sample_bytes=100).collect()))
+
+
 def test_folds(spark):
     df = make(spark, [(k, "x", None, None) for k in range(50)])
     got = {r[0]: r[1] for r in df.select("doc_id", langid.held_out(F.col("doc_id"), 3, 1)).collect()}

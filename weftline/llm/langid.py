@@ -10,8 +10,8 @@ and a text's code length under a language is a sum of table entries. The
 shortest code names the language; the score is its share when the code lengths
 are read as probabilities.
 
-The sample takes each language's rows in order of a hash until SAMPLE_BYTES are
-reached, one row at least, so no language with text is lost; what is put in
+The sample takes each language's texts in order of their hash until SAMPLE_BYTES
+are reached, one text at least, so no language with text is lost; what is put in
 order is cut beforehand by the rate that the language's total asks for. Of a row
 over ROW_BYTES an inner part is fitted; every text is scored whole.
 
@@ -71,15 +71,20 @@ def count_contexts(labelled: DataFrame) -> DataFrame:
 
 
 def sample(labelled: DataFrame, sample_bytes: int = SAMPLE_BYTES, row_bytes: int = ROW_BYTES) -> DataFrame:
-    """lang, text: of labelled (doc_id, text, lang) each language's rows in order of a hash until sample_bytes are reached, one that isn't empty at least."""
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("u"))
+    """lang, text: of labelled (text, lang) each language's different texts in order of their hash until sample_bytes are reached, one that isn't empty at least.
+
+    Copies of a text count once, and are made one before they meet; what is put
+    in order for a language is AHEAD times the sample in expectation.
+    """
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("h"))
     most = row_bytes // 4  # code points, of 4 bytes at most
     inner = F.substring("text", F.floor((F.char_length("text") - most) / 2).cast("int") + 1, F.lit(most))
-    parts = usable.withColumn("text", F.when(F.octet_length("text") <= row_bytes, F.col("text")).otherwise(inner)).withColumn("size", F.octet_length("text"))
-    totals = parts.where("size > 0").groupBy("lang").agg(F.sum("size").alias("total"), F.min("u").alias("least"))
-    rates = materialize(totals.select("lang", "least", (F.lit(AHEAD * float(sample_bytes) * (1 << 30)) / F.col("total")).alias("below")), "lang-rates")
-    ahead = parts.where("size > 0").join(rates, "lang").where((F.col("u") < F.col("below")) | (F.col("u") == F.col("least")))
-    before = F.sum("size").over(Window.partitionBy("lang").orderBy("u", "size").rowsBetween(Window.unboundedPreceding, -1))
+    parts = usable.withColumn("text", F.when(F.octet_length("text") <= row_bytes, F.col("text")).otherwise(inner)).withColumn("size", F.octet_length("text")).where("size > 0")
+    u = F.pmod("h", F.lit(1 << 30))
+    totals = parts.select("lang", "h", "size").distinct().groupBy("lang").agg(F.sum("size").alias("total"), F.min(F.struct(u.alias("u"), "h")).alias("least"))
+    rates = materialize(totals.select("lang", "least.h", (F.lit(AHEAD * float(sample_bytes) * (1 << 30)) / F.col("total")).alias("below")).withColumnRenamed("h", "least"), "lang-rates")
+    ahead = parts.join(rates, "lang").where((u < F.col("below")) | (F.col("h") == F.col("least"))).groupBy("lang", "h", "size").agg(F.min("text").alias("text"))
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy(u, "h", "size").rowsBetween(Window.unboundedPreceding, -1))
     return ahead.withColumn("before", before).where(F.coalesce("before", F.lit(0)) < sample_bytes).select("lang", "text")
 
 
