@@ -174,8 +174,13 @@ def ablations(book: DataFrame, policy: Policy) -> DataFrame:
     )
 
 
-def filter_docs(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
-    """The rows of docs that the policy keeps, with docs' own columns."""
+def store_with_rows(docs: DataFrame) -> DataFrame:
+    """The ledger of docs beside row, a struct of docs' own columns, written and read back: policies are applied without a rule being evaluated again."""
     packed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     m = packed.select("row", measure(F.col("row.text")).alias("m")).select("row", *_measured())
-    return m.where(failed_bits().bitwiseAND(F.lit(policy.mask)) == 0).select("row.*")
+    return materialize(m.select("*", failed_bits().alias("failed"), F.lit(RULE_BOOK).alias("rule_book")), "quality-rows")
+
+
+def filter_docs(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
+    """The rows of docs that the policy keeps, with docs' own columns: the ledger is written once, and the policy reads its bits."""
+    return apply_policy(store_with_rows(docs), policy).where("kept").select("row.*")
