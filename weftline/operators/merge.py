@@ -21,7 +21,8 @@ def upsert(old: DataFrame, new: DataFrame, key: str | list[str], order: str, kee
     """
     key = [key] if isinstance(key, str) else list(key)
     rest = [c for c in old.columns if c not in key]
-    at = F.struct(order, *[c for c in rest if c != order])
+    ranked = dict(new.dtypes)
+    at = F.struct(order, *[c for c in rest if c != order and "map<" not in ranked[c]])  # maps have no order
     kept = [c for c in keep if c in rest]
     last = new.groupBy(*key).agg(F.max_by(F.struct(*rest), at).alias("__new"), *[F.min_by(c, at).alias(f"__first_{c}") for c in kept])
     joined = old.select(*key, F.struct(*rest).alias("__old")).join(last, key, "full")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftline.operators import admission
+from weftline.operators import admission, cards, crawl, outbox, people
 from weftline.operators.keyed_store import KeyedStore
 from weftline.plans.catalogue import query
-from weftline.scratch import fresh_path
+from weftline.scratch import fresh_path, materialize
 from weftline.sources.adapters import logical as T
 from weftline.streaming import quota, window
 from weftline.streaming.runs import NamedRun
@@ -112,3 +112,99 @@ def person_upsert(spark, d):
     store.put(people, "ordinal")
     store.put(more, "ordinal")
     return store.rows()
+
+
+# Mail
+
+
+_SUBJECTS = (("M1V1", "Hello {{contact.firstname}} of {{company.name}}", "Dear {{contact.firstname}}, {{owner.first_name}} of us would meet {{company.name}}: [CALENDLY_LINK]"), ("M1V2", "{{company.name}}, again", "{{contact.firstname}}, we called. {{owner.first_name}}"))
+
+
+@query("""WITH f AS (SELECT domain, arg_min({'n': name, 'e': email}, ordinal) AS p FROM people GROUP BY 1),
+d AS (SELECT deal_id, domain, CASE stage_id WHEN 'click' THEN 'M1V1' WHEN 'signup' THEN 'M1V2' END AS version, CASE deal_id % 4 WHEN 0 THEN 'M1V1' WHEN 1 THEN 'M1V2' END AS sent_version, CASE WHEN deal_id % 7 <> 3 THEN 'Firm ' || deal_id END AS company FROM deals),
+m AS (SELECT d.*, f.p.e AS email, CASE WHEN f.p.n IN ('', '(verify)') THEN 'there' ELSE split_part(f.p.n, ' ', 1) END AS first FROM d LEFT JOIN f ON d.domain = f.domain WHERE version IS NOT NULL)
+SELECT deal_id, version, email, CASE version WHEN 'M1V1' THEN 'Hello ' || first || ' of ' || company ELSE company || ', again' END AS subject,
+  CASE version WHEN 'M1V1' THEN 'Dear ' || first || ', Asha of us would meet ' || company || ': https://meet.example' ELSE first || ', we called. Asha' END AS body,
+  CASE version WHEN 'M1V1' THEN 'calendly_link_sent=true;' ELSE '' END || 'email_version_sent=' || version AS patch, CASE WHEN deal_id % 2 = 0 THEN 'one' ELSE 'two' END AS txn
+FROM m WHERE sent_version IS DISTINCT FROM version AND company IS NOT NULL AND coalesce(email, '') <> ''""")
+def mail_outbox(spark, d):
+    """Messages and property patches of two batches, of which the second holds the first's deals too and both come twice."""
+    k = F.col("deal_id")
+    deals = T(spark, d, "deals").select(
+        "deal_id", "domain", F.when(F.col("stage_id") == "click", "M1V1 Sent").when(F.col("stage_id") == "signup", "M1V2 Sent").otherwise("Interested").alias("stage"), F.when(k % 4 == 0, "M1V1").when(k % 4 == 1, "M1V2").alias("sent_version"),
+    )
+    firms = deals.select("domain", F.when(k % 7 != 3, F.concat(F.lit("Firm "), k.cast("string"))).alias("company_name"))
+    templates = spark.createDataFrame(list(_SUBJECTS), "version string, subject string, body string")
+    due = materialize(outbox.due(deals, firms, people.ranked(T(spark, d, "people")), templates, "Asha", "https://meet.example"), "mail-due")
+    box = outbox.outbox(spark, fresh_path(spark, "outbox"))
+    for txn, batch in (("one", due.where(k % 2 == 0)), ("one", due), ("two", due), ("two", due)):
+        outbox.post(box, batch, txn)
+    patch = F.array_join(F.array_sort(F.transform(F.map_entries("properties"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+    return outbox.pending(box).select("deal_id", "version", "email", "subject", "body", patch.alias("patch"), "txn")
+
+
+# Pages
+
+
+_CITIES = """SELECT o_orderkey, o_orderpriority AS source, n_name AS city, dense_rank() OVER (PARTITION BY o_orderpriority ORDER BY n_name) AS place, row_number() OVER (PARTITION BY o_orderpriority, n_name ORDER BY o_orderkey) AS page,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'blocked' WHEN o_orderkey % 53 = 1 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 11 = 2 THEN 0 ELSE o_orderkey % 48 + 1 END AS n_rows
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
+# The crawl itself, step by step.
+_CRAWL = f"""WITH RECURSIVE p AS ({_CITIES}),
+r AS (SELECT source, city, place, page, status, n_rows FROM p WHERE place = 1 AND page = 1
+  UNION ALL SELECT n.source, n.city, n.place, n.page, n.status, n.n_rows FROM r JOIN p n ON n.source = r.source AND r.status <> 'blocked' AND (
+    (r.status = 'ok' AND r.n_rows > 0 AND n.place = r.place AND n.page = r.page + 1)
+    OR (n.place = r.place + 1 AND n.page = 1 AND (r.status = 'failed' OR r.n_rows = 0 OR NOT EXISTS (SELECT 1 FROM p x WHERE x.source = r.source AND x.place = r.place AND x.page = r.page + 1)))))"""
+
+
+def _crawl_pages(spark, d):
+    t = {name: T(spark, d, name) for name in ("orders", "customer", "nation")}
+    text = _CITIES
+    for name in t:
+        text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(f"JOIN {name}", f"JOIN {{{name}}}")
+    return spark.sql(text, **t)
+
+
+@query(_CRAWL + " SELECT source, city, page, n_rows FROM r WHERE status = 'ok'")
+def crawl_pages_taken(spark, d):
+    """The pages that a crawl takes before something ends its city or its source."""
+    return crawl.visited(_crawl_pages(spark, d)).select("source", "city", "page", "n_rows")
+
+
+@query(_CRAWL + " SELECT source, count(*) FILTER (WHERE status = 'ok')::BIGINT AS pages, coalesce(sum(n_rows) FILTER (WHERE status = 'ok'), 0)::BIGINT AS n_rows, bool_or(status = 'blocked') AS blocked, count(*) FILTER (WHERE status = 'failed')::BIGINT AS skipped FROM r GROUP BY 1")
+def crawl_outcomes(spark, d):
+    """What the crawl of each source took, whether a block ended it, how many cities a failed fetch did."""
+    return crawl.stats(_crawl_pages(spark, d))
+
+
+# A page for each listing, in its site's markup: a card without a name, the listing's, and one that lacks most fields.
+def _markup(name: str, other: str, city: str, size: str, site: str) -> str:
+    def card(open_, close, n, more):
+        return f"'{open_}' || {n} || '{close[0]}' || {more} || '{close[1]}'"
+
+    shapes = {
+        0: ('<li class="firm-wrapper x"><h3 class="firm-name"><a href="/p">', ("</a></h3>", "</li>"), f"""'<div class="firm-urls"><a class="visit-website" href="/go?u=https://w.example/' || ordinal || '">s</a></div><div class="firm-location"><b>in</b><span>' || {city} || '</span></div><p class="firm-founded">est. <span>' || ordinal % 50 || '</span></p><div class="firm-employees"><span>' || {size} || '</span></div>'"""),
+        1: ('<ul class="directory-list"><li><p class="company-name">by <a>', ("</a></p>", "</li></ul>"), f"""'<br><a data-link-type="website" href=" w.example/' || ordinal || ' ">s</a><i class="locality">' || {city} || '</i><i class="founded">' || ordinal % 50 || '</i><span class="employees">' || {size} || '</span>'"""),
+        2: ('<div class="co-box"><p class="co-box__name"><span class="verified--ico">Verified <b>Company</b></span>', ("</p>", "</div>"), f"""'<script>var x = "<p class=co-box__descr>no</p>";</script><a class="btn btn-website" href="https://w.example/' || ordinal || ' x">s</a><span class="co-box__loc-itm">' || {city} || ', India</span><span class="co-box__loc-itm">second</span>'"""),
+        3: ('<li class="provider-row"><h3><a>', ("</a></h3>", "</li>"), f"""'<a class="visit-website" href="https://w.example/' || ordinal || '">s</a><i class="location">' || {city} || '</i><em class="founded">' || ordinal % 50 || '</em><em class="company-size">' || {size} || '</em>'"""),
+        4: ('<div class="agencies-list"><p class="agency"><b class="agency-name"><i>x</i><a>', ("</a></b>", "</p></div>"), f"""'<a target="_blank" rel="noopener nofollow" href="https://w.example/' || ordinal || '">s</a><i class="agency-location">' || {city} || '</i><em class="agency-founded">' || ordinal % 50 || '</em><em class="agency-employees">' || {size} || '</em>'"""),
+        5: ('<div class="member-card"><b class="member-name">', ("</b>", "</div>"), f"""'<img src="x"><a class="member-website" href="https://w.example/' || ordinal || '">s</a><i class="city">' || {city} || '</i><em class="member-founded">' || ordinal % 50 || '</em><em class="member-employees">' || {size} || '</em>'"""),
+    }
+    whens = " ".join(f"WHEN {k} THEN " + " || ".join(card(o, c, n, m) for n, m in (("'  '", "''"), (name, more), (other, "''"))) for k, (o, c, more) in shapes.items())
+    return f"CASE {site} {whens} END"
+
+
+_ESCAPED = "replace(company_name, '&', '&amp;')"
+_PAGES = f"""SELECT ordinal, ordinal % 6 AS site, coalesce(company_name, '') AS company_name, size_raw, segment_raw, '<html><title>t</title><body><!-- a card? -->' || {_markup(_ESCAPED, "'Other &lt;' || ordinal || '&gt;'", "'C ' || ordinal % 9", "coalesce(size_raw, '')", "ordinal % 6")} || '</body></html>' AS html FROM listings"""
+
+
+@query(r"""WITH c AS (SELECT ordinal, ordinal % 6 AS s, trim(regexp_replace(coalesce(company_name, ''), '\s+', ' ', 'g')) AS name, nullif(trim(size_raw), '') AS size FROM listings),
+t AS (SELECT ordinal AS page_id, s, name, CASE s WHEN 1 THEN 'w.example/' || ordinal ELSE 'https://w.example/' || ordinal END AS website, 'C ' || ordinal % 9 AS city, CASE WHEN s <> 2 THEN CAST(ordinal % 50 AS VARCHAR) END AS founded, CASE WHEN s <> 2 THEN size END AS size, 0 AS k FROM c WHERE name <> ''
+  UNION ALL SELECT ordinal, s, 'Other <' || ordinal || '>', NULL, 'Pune', NULL, NULL, CASE WHEN name <> '' THEN 1 ELSE 0 END FROM c)
+SELECT page_id, 'site-' || (s + 1) AS site, k AS pos, name, website, city, founded, size, CAST(NULL AS VARCHAR) AS segment FROM t""")
+def card_fields(spark, d):
+    """Cards of six sites' pages as rows, each site by its own rules; a field that a card lacks is null, a city is the page's."""
+    listings = T(spark, d, "listings")
+    pages = spark.sql(_PAGES.replace("FROM listings", "FROM {listings}"), listings=listings)
+    pages = pages.select(F.col("ordinal").alias("page_id"), F.concat(F.lit("site-"), (F.col("site") + 1).cast("string")).alias("site"), F.lit("Pune").alias("city"), "html")
+    return cards.parse_cards(pages)
