@@ -1,6 +1,6 @@
 import pytest
 
-from weftline.plans import snapshots, state  # noqa: F401
+from weftline.plans import deliver, snapshots, state  # noqa: F401
 from weftline.plans.catalogue import ORACLE, QUERIES
 
 from .oracle import duck, same
