@@ -238,6 +238,46 @@ def test_escalation_is_combined_before_the_shuffle(spark):
     assert "Pandas" not in spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
 
 
+def test_unknown_outcomes_are_put_aside(spark):
+    t = dt.datetime(2026, 1, 1)
+    rows = [(1, 7, t, 5), (2, 7, t + dt.timedelta(hours=1), 9), (3, 7, t + dt.timedelta(hours=2), None), (4, 8, t, 0), (5, 7, t + dt.timedelta(hours=3), 5)]
+    df = spark.createDataFrame(rows, "event_id long, deal_id long, ts timestamp_ntz, outcome int")
+    assert [tuple(r) for r in crm.escalate(df).collect()] == [(7, 2, "M1V1 Sent", "M1V1")]
+    assert sorted(r.event_id for r in crm.unknown_outcomes(df).collect()) == [2, 3, 4]
+
+
+def test_running_sums_over_ranges(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice(["big", "big", "big", "small", None]), k, rng.randint(0, 5)) for k in range(400)]
+    df = spark.createDataFrame(rows, "g string, k int, cost int").repartition(6)
+    want, total = {}, {}
+    for g, k, cost in rows:
+        total[g] = want[k] = total.get(g, 0) + cost
+    assert {r.k: r.n for r in order.running_within(df, "g", [F.col("k")], "cost", "n").collect()} == want
+    assert {r.k for r in ledger.budget_prefix(df, "g", "k", "cost", 100).collect()} == {k for k, n in want.items() if n <= 100}
+    assert order.running_within(df.limit(0), "g", [F.col("k")], "cost", "n").count() == 0
+
+
+def test_notes_with_any_entity(spark):
+    import html
+
+    from weftline.functions import notes
+
+    raw = ["a &amp; b", "&amp;lt;b&amp;gt;", "&lt;x&gt; &eacute;&#8211; &copy 1", "x &nbsp;y", "no &such; thing &", "&amp;eacute;", "<p>q<br>&quot;r&quot;</p>", "", None, "AT&T &#39;s"]
+    got = {r.k: r.t for r in notes.plain(spark.createDataFrame(list(enumerate(raw)), "k int, body string"), "body", "t").collect()}
+    bare = lambda x: re.sub("<[^>]+>", "", re.sub(r"(?i)<br\s*/?>", "\n", x or ""))
+    assert got == {k: html.unescape(bare(x)) for k, x in enumerate(raw)}
+
+
+def test_site_text_takes_three_pages(spark):
+    from weftline.operators import snapshots
+
+    page = lambda site, k, n, c="x": (site, k, f"/p{k}", c * n)
+    rows = [page("a", k, 60 + k) for k in range(9, 0, -1)] + [page("b", 1, 20), page("b", 2, 51)] + [page(None, 3, 8995), page(None, 4, 100), page(None, 5, 100), page("c", 1, 50)] + [page("a", 1, 60 + 1)] * 5
+    got = {r.site: r.text for r in snapshots.site_text(spark.createDataFrame(rows, "site string, priority int, path string, text string").repartition(4)).collect()}
+    assert got == {"a": "[/p1] " + "x" * 61 + "\n\n[/p2] " + "x" * 62 + "\n\n[/p3] " + "x" * 63, "b": "[/p2] " + "x" * 51, None: ("[/p3] " + "x" * 8995)[:9000]}
+
+
 def test_founders_fold_names_not_rows(spark):
     rng = random.Random(2)
     known = ["Asha Rao", "Rao Asha", "asha rao", "Ben Das", "Ben Dass", "Cy Roy", "Cy Roi", "Di", " ", "Di Maria Long", "Di Maria Longg"]

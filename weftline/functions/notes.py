@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,15 +14,29 @@ BOILERPLATE = ("[pipeline tracker", "sheet stage", "category:", "priority:", "me
 SHOWN = 260
 
 
+# The entities that notes mostly hold. The ampersand is decoded last, so that no text is decoded twice.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&"))
+#: An ampersand that begins none of them.
+_OTHER = "&(?!(?:" + "|".join(e[1:] for e, _ in ENTITIES) + "))"
+
+
 @F.pandas_udf(T.StringType())
 def _entities(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
-def plain(raw: Column) -> Column:
-    """Text of an HTML note: line breaks kept, tags gone, entities decoded where there are any."""
+def plain(notes: DataFrame, raw: str, name: str) -> DataFrame:
+    """notes with name, the text of the HTML in column raw: line breaks kept, tags gone, entities decoded.
+
+    Common entities are replaced in the engine; only rows that hold other ones go through Python.
+    """
     bare = F.regexp_replace(F.regexp_replace(F.coalesce(raw, F.lit("")), r"(?i)<br\s*/?>", "\n"), "<[^>]+>", "")
-    return F.when(F.contains(bare, F.lit("&")), _entities(bare)).otherwise(bare)
+    stripped = notes.withColumn(name, bare)
+    known = F.col(name)
+    for entity, text in ENTITIES:
+        known = F.replace(known, F.lit(entity), F.lit(text))
+    rest = F.col(name).rlike(_OTHER)
+    return stripped.where(~rest).withColumn(name, known).union(stripped.where(rest).withColumn(name, _entities(name)))
 
 
 def cleanup(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions import firm
@@ -36,17 +36,26 @@ def step(calls: DataFrame) -> DataFrame:
     return joined.withColumn("t", F.coalesce("e", "a")).select(*[c for c in joined.columns if c not in ("e", "a")], "t.*")
 
 
+def _known() -> Column:
+    return F.coalesce(F.col("outcome").isin(*sorted({o for o, *_ in TRANSITIONS})), F.lit(False))
+
+
+def unknown_outcomes(outcomes: DataFrame) -> DataFrame:
+    """The outcomes, null among them, for which there is no transition: for someone to look at."""
+    return outcomes.where(~_known())
+
+
 def escalate(outcomes: DataFrame) -> DataFrame:
     """(deal_id, n, stage, version): where each deal stands after its outcomes in order of time.
 
     What the next call does depends on what the last one sent, yet no order is needed to know that: outcome 1
     sends M1V1, a 5 climbs from nothing to M1V2 and from there to M1V1, the others send nothing, and no outcome
     leads back. The version follows from how many of each came, so all is counts and a maximum that Spark
-    combines before the shuffle. The stage is the last outcome's, at the version before it.
+    combines before the shuffle. The stage is the last outcome's, at the version before it. Outcomes without a
+    transition change nothing and don't count; :func:`unknown_outcomes` has them.
     """
     order = F.struct(F.col("ts").isNull(), "ts", F.col("event_id").isNull(), "event_id", "outcome")
-    known = F.coalesce(F.col("outcome").isin(*sorted({o for o, *_ in TRANSITIONS})), F.lit(False))
-    checked = outcomes.withColumn("outcome", F.when(known, F.col("outcome")).otherwise(F.raise_error(F.concat(F.lit("no transition for outcome "), F.coalesce(F.col("outcome").cast("string"), F.lit("null")))).cast("int")))
+    checked = outcomes.where(_known())
     deals = checked.groupBy("deal_id").agg(
         F.count("*").alias("n"), F.count_if(F.col("outcome") == 1).alias("sent"), F.count_if(F.col("outcome") == 5).alias("missed"), F.max_by("outcome", order).alias("outcome"),
     )

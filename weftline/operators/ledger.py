@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.dates import window_key
+from weftline.operators.order import running_within
 
 MARGIN = 0.8
 
@@ -28,9 +29,8 @@ def fair_share(budget: Column, used: Column, day: Column) -> Column:
 
 
 def budget_prefix(rows: DataFrame, group: str, order: str, cost: str, budget: int) -> DataFrame:
-    """The rows of each group, in order, before the one that would take the running cost over the budget."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn("spent", F.sum(cost).over(w)).where(F.col("spent") <= budget)
+    """The rows of each group, in order, before the one that would take the running cost over the budget; costs aren't negative. A group may hold any part of the rows."""
+    return running_within(rows, group, [F.col(order)], cost, "spent").where(F.col("spent") <= budget)
 
 
 #: Widths of a sliding window in one slot of time.

@@ -29,3 +29,18 @@ def numbered_within(rows: DataFrame, group: str, order: list[Column], name: str)
     first = placed.groupBy(F.col(group).alias("group_key")).agg(F.min(name).alias("group_start"))
     out = placed.join(first, F.col(group).eqNullSafe(F.col("group_key")))
     return out.withColumn(name, F.col(name) - F.col("group_start") + 1).drop("group_key", "group_start")
+
+
+def running_within(rows: DataFrame, group: str, order: list[Column], value: str, name: str) -> DataFrame:
+    """rows with name: the sum of value up to and including each, among those of the same group in an order that should leave no ties; a group may hold any part of the rows.
+
+    Range partitions are summed by group, and running sums over those, one row for each range of a group, say what each range begins with.
+    """
+    kept = materialize(rows.repartitionByRange(F.col(group), *order).withColumn("range_id", F.spark_partition_id()), "ranges")
+    sums = kept.groupBy(F.col(group).alias("range_group"), F.col("range_id").alias("range_of")).agg(F.sum(value).alias("range_sum"))
+    before = Window.partitionBy("range_group").orderBy("range_of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("range_group", "range_of", F.coalesce(F.sum("range_sum").over(before), F.lit(0)).alias("range_start"))
+    here = Window.partitionBy("range_id", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = kept.withColumn(name, F.sum(value).over(here))
+    out = summed.join(starts, F.col(group).eqNullSafe(F.col("range_group")) & (F.col("range_id") == F.col("range_of")))
+    return out.withColumn(name, F.col(name) + F.col("range_start")).drop("range_id", "range_group", "range_of", "range_start")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import contact, firm
 from weftline.functions.fuzzy import token_set_ratio
+from weftline.scratch import materialize
 
 # Limits of text that a site yields.
 MAX_PAGES, SHORTEST_TEXT, MAX_CHARS = 3, 50, 9000
@@ -43,21 +44,21 @@ def verdict(raw: Column) -> Column:
 def site_text(pages: DataFrame) -> DataFrame:
     """(site, text): of each site's pages (site, priority, path, text) the first MAX_PAGES with more than SHORTEST_TEXT characters, while the text so far is short of MAX_CHARS, joined and cut.
 
-    Pages are cut before they are collected, and a minimum of MAX_PAGES by
-    priority is all that is kept of a site at any time.
+    The pages are chosen by their keys, of which a task keeps MAX_PAGES of a
+    site before they are shuffled; only then are their texts joined, once. A key
+    that repeats counts once, with its smallest text; a null site is one of its own.
     """
-    long = pages.where(F.char_length("text") > SHORTEST_TEXT).select("site", F.struct("priority", F.concat(F.lit("["), "path", F.lit("] "), F.left("text", F.lit(MAX_CHARS))).alias("chunk")).alias("p"))
-    # the k smallest by a fold of minima, so a site of many pages is never collected
-    kept = long.groupBy("site").agg(F.min("p").alias("p0"))
-    rest = long
-    for k in range(1, MAX_PAGES):
-        after = rest.join(kept.select("site", F.col(f"p{k - 1}").alias("last")), "site").where(F.col("p") > F.col("last")).select("site", "p")
-        kept = kept.join(after.groupBy("site").agg(F.min("p").alias(f"p{k}")), "site", "left")
-        rest = after
-    chunks = F.array_compact(F.array(*[F.col(f"p{k}.chunk") for k in range(MAX_PAGES)]))
-    before = lambda k: F.aggregate(F.slice(chunks, 1, k), F.lit(0), lambda n, c: n + F.char_length(c))
-    used = F.filter(chunks, lambda c, k: before(k) < MAX_CHARS)
-    return kept.select("site", F.left(F.array_join(used, "\n\n"), F.lit(MAX_CHARS)).alias("text"))
+    key = ["site", "priority", "path"]
+    place = F.row_number().over(Window.partitionBy("site").orderBy("priority", "path"))
+    long = pages.where(F.char_length("text") > SHORTEST_TEXT)
+    chosen = materialize(long.groupBy(*key).agg(F.lit(1).alias("one")).withColumn("place", place).where(F.col("place") <= MAX_PAGES).select(*[F.col(c).alias(f"k_{c}") for c in key], "place"), "site-pages")
+    same = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in key]
+    chunk = F.concat(F.lit("["), "path", F.lit("] "), F.left("text", F.lit(MAX_CHARS)))
+    texts = long.select(*key, chunk.alias("chunk")).join(chosen, same[0] & same[1] & same[2]).groupBy("site", "place").agg(F.min("chunk").alias("chunk"))
+    chunks = F.transform(F.array_sort(F.collect_list(F.struct("place", "chunk"))), lambda p: p["chunk"])  # MAX_PAGES at most
+    before = lambda k: F.aggregate(F.slice(F.col("chunks"), 1, k), F.lit(0), lambda n, c: n + F.char_length(c))
+    used = F.filter("chunks", lambda c, k: before(k) < MAX_CHARS)
+    return texts.groupBy("site").agg(chunks.alias("chunks")).select("site", F.left(F.array_join(used, "\n\n"), F.lit(MAX_CHARS)).alias("text"))
 
 
 def find_founders(firms: DataFrame, profiles: DataFrame, least: float = COMPANY_SCORE) -> DataFrame:

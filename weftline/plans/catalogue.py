@@ -363,7 +363,9 @@ def build_counters(spark, d):
     raw = _keyed(spark, d).agg(F.count("*").alias("raw"), F.count_if(F.col("domain").isNull()).alias("no_domain"))
     known = T(spark, d, "exclusions").where("domain IS NOT NULL").select("domain").distinct().withColumn("known", F.lit(True))
     built = _gated(spark, d).join(known, "domain", "left").agg(F.count("*").alias("unique_firms"), F.count_if(F.col("gate_pass")).alias("passing"), F.count_if(F.coalesce("known", F.lit(False))).alias("already_known"))
-    return raw.join(built, F.lit(True)).select("raw", "unique_firms", "passing", "already_known", "no_domain")
+    names = ("raw", "unique_firms", "passing", "already_known", "no_domain")
+    both = raw.unionByName(built, allowMissingColumns=True)  # a row of each
+    return both.agg(*[F.max(c).alias(c) for c in names])
 
 
 @query(f"WITH {_COMPANIES} SELECT c.domain FROM c WHERE NOT EXISTS (SELECT 1 FROM exclusions e WHERE e.domain = c.domain)")
@@ -783,10 +785,13 @@ def role_span(spark, d):
     return T(spark, d, "people").select("domain", "ordinal", "name", "role", (F.row_number().over(w) == 1).alias("first_of_role"))
 
 
-@query("SELECT user_id, string_agg(event_type, chr(10) ORDER BY ts, event_id) AS log FROM events GROUP BY 1")
+@query("SELECT user_id, part, string_agg(event_type, chr(10) ORDER BY n) AS log FROM (SELECT user_id, event_type, n, (n - 1) // 50 AS part FROM (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)) GROUP BY 1, 2")
 def call_note_log(spark, d):
-    lines = F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type")))
-    return T(spark, d, "events").groupBy("user_id").agg(F.array_join(F.transform(lines, lambda x: x["event_type"]), "\n").alias("log"))
+    """Each user's log in order of time, in parts of 50 lines, so that no cell grows with the user."""
+    placed = order.numbered_within(T(spark, d, "events").select("user_id", "event_type", "ts", "event_id"), "user_id", [F.col("ts"), F.col("event_id")], "n")
+    lines = F.array_sort(F.collect_list(F.struct("n", "event_type")))
+    parts = placed.withColumn("part", F.floor((F.col("n") - 1) / 50)).groupBy("user_id", "part").agg(lines.alias("lines"))
+    return parts.select("user_id", "part", F.array_join(F.transform("lines", lambda x: x["event_type"]), "\n").alias("log"))
 
 
 @query("SELECT domain, name FROM people ORDER BY domain, ordinal LIMIT 25")

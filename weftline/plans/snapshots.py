@@ -23,7 +23,7 @@ _LINES = r"list_filter(list_transform(string_split(replace(replace(replace(regex
 SELECT ordinal, substr(coalesce(nullif(trim(substr(list_filter(l, lambda x: starts_with(lower(x), 'remarks:'))[1], 9)), ''),
   array_to_string(list_filter(l, lambda x: NOT regexp_matches(lower(x), '^(\\[pipeline tracker|sheet stage|category:|priority:|metadata:|script output:|last update:|status \\(|\\(phase-2)')), ' ' || chr(183) || ' ')), 1, 260) AS note FROM l""")
 def note_cleanup(spark, d):
-    return T(spark, d, "note_bodies").select("ordinal", notes.plain(F.col("body")).alias("text")).select("ordinal", notes.cleanup(F.col("text")).alias("note"))
+    return notes.plain(T(spark, d, "note_bodies"), "body", "text").select("ordinal", notes.cleanup(F.col("text")).alias("note"))
 
 
 @query("SELECT ordinal, trim(regexp_replace(replace(CASE WHEN ordinal % 2 = 0 THEN trim(company_name) || chr(10) || 'Verified Company' ELSE company_name END, 'Verified Company', ' '), '\\s+', ' ', 'g')) AS name FROM listings")
@@ -114,7 +114,7 @@ def candidate_normalize(spark, d):
 r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY doc_id) AS n FROM p), t AS (SELECT *, coalesce(sum(length(chunk)) OVER (PARTITION BY site ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM r WHERE n <= 3)
 SELECT site, substr(string_agg(chunk, chr(10) || chr(10) ORDER BY n), 1, 9000) AS text FROM t WHERE before < 9000 GROUP BY site""")
 def site_text_cap(spark, d):
-    docs = T(spark, d, "documents").where("source IS NOT NULL")
+    docs = T(spark, d, "documents")
     return snapshots.site_text(docs.select(F.col("source").alias("site"), F.col("doc_id").alias("priority"), F.concat(F.lit("/p"), F.col("doc_id").cast("string")).alias("path"), "text"))
 
 

@@ -49,23 +49,35 @@ SELECT concat('firm-', CAST(o.o_custkey AS STRING), '.co.in') AS domain, min(o.o
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
 GROUP BY o.o_custkey, s.s_suppkey
 """,
+    # Stages with how far a deal is in each (the place in the sequence of open stages, or the one at which a lost deal stood), and whether it is closed and won. Ids of stages that event types don't name begin with 's'.
     "stage_dim": """
 SELECT * FROM (VALUES ('click', 'Interested', 2, false, false), ('view', 'No Pickup', 1, false, false), ('error', 'Dead/ColdCall/Not Interested', 1, true, false),
-  ('purchase', 'Closed/Won', 11, true, true), ('signup', 'Commercial Negotiation', 6, false, false)) AS t(stage_id, label, depth, is_closed, is_won)
+  ('purchase', 'Closed/Won', 11, true, true), ('signup', 'Commercial Negotiation', 6, false, false),
+  ('s0', 'Cold Call', 0, false, false), ('s1', 'GMeet Fixed', 3, false, false), ('s2', 'Script Shared', 4, false, false), ('s3', 'Script Results Received', 5, false, false), ('s4', 'Deal Contract Signed', 7, false, false),
+  ('s5', 'Dead/ColdCall/WrongNumber', 1, true, false), ('s6', 'Dead/ColdCall/NoPickup', 1, true, false), ('s7', 'Dead/GMeet/NoShow', 3, true, false), ('s8', 'Dead/GMeet/wrong fit', 3, true, false), ('s9', 'Dead/GMeet/Privacy Concerns', 3, true, false),
+  ('s10', 'Dead/ResultsReceived/WrongFit-Rejected', 5, true, false), ('s11', 'Dead/Negotiation/Pricing', 6, true, false), ('s12', 'Dead/Negotiation/Contractual', 6, true, false), ('s13', 'Dead/ColdCall/WrongFit', 0, true, false)) AS t(stage_id, label, depth, is_closed, is_won)
 """,
+    # The stages that, when a deal enters one, count for a metric.
     "metric_dim": """
-SELECT * FROM (VALUES ('att', 'No Pickup'), ('att', 'Dead/ColdCall/Not Interested'), ('att', 'Interested'), ('conn', 'Dead/ColdCall/Not Interested'), ('conn', 'Interested'),
-  ('att', 'Dead/ColdCall/WrongNumber'), ('att', 'Dead/ColdCall/NoPickup'), ('gm', 'GMeet Fixed'), ('vc', 'Dead/GMeet/NoShow'), ('vc', 'Dead/GMeet/wrong fit'), ('vc', 'Dead/GMeet/Privacy Concerns'), ('vc', 'Script Shared'),
-  ('ss', 'Script Shared'), ('rr', 'Script Results Received'), ('ev', 'Dead/ResultsReceived/WrongFit-Rejected'), ('ev', 'Commercial Negotiation'), ('cn', 'Commercial Negotiation'), ('neg', 'Dead/Negotiation/Pricing'), ('neg', 'Dead/Negotiation/Contractual'),
-  ('neg', 'Deal Contract Signed'), ('dcs', 'Deal Contract Signed'), ('won_d', 'Closed/Won')) AS t(metric, stage_label)
+SELECT * FROM (VALUES ('att', 'No Pickup'), ('att', 'Dead/ColdCall/WrongNumber'), ('att', 'Dead/ColdCall/Not Interested'), ('att', 'Dead/ColdCall/NoPickup'), ('att', 'Interested'),
+  ('conn', 'Dead/ColdCall/Not Interested'), ('conn', 'Interested'),
+  ('gm', 'GMeet Fixed'),
+  ('vc', 'Dead/GMeet/NoShow'), ('vc', 'Dead/GMeet/wrong fit'), ('vc', 'Dead/GMeet/Privacy Concerns'), ('vc', 'Script Shared'),
+  ('ss', 'Script Shared'),
+  ('rr', 'Script Results Received'),
+  ('ev', 'Dead/ResultsReceived/WrongFit-Rejected'), ('ev', 'Commercial Negotiation'),
+  ('cn', 'Commercial Negotiation'),
+  ('neg', 'Dead/Negotiation/Pricing'), ('neg', 'Dead/Negotiation/Contractual'), ('neg', 'Deal Contract Signed'),
+  ('dcs', 'Deal Contract Signed'),
+  ('won_d', 'Closed/Won')) AS t(metric, stage_label)
 """,
     "stage_history": """
-SELECT event_id, user_id AS deal_id, event_type AS stage_id, ts, event_id % 8 AS actor, CASE WHEN event_id % 5 < 3 THEN 'CRM_UI' ELSE 'INTEGRATION' END AS source_type, value FROM events
+SELECT event_id, user_id AS deal_id, CASE WHEN event_id % 4 = 3 THEN concat('s', CAST(event_id % 17 AS STRING)) ELSE event_type END AS stage_id, ts, event_id % 8 AS actor, CASE WHEN event_id % 5 < 3 THEN 'CRM_UI' ELSE 'INTEGRATION' END AS source_type, value FROM events
 """,
     "deals": """
 SELECT c_custkey AS deal_id, c_custkey % 8 AS owner, CASE c_custkey % 3 WHEN 0 THEN 'scraped' WHEN 1 THEN 'campaign' ELSE 'other' END AS pipeline, c_acctbal AS amount, c_mktsegment AS segment,
   CASE c_custkey % 4 WHEN 0 THEN 'India south' WHEN 1 THEN 'Indonesia, India' WHEN 2 THEN '' ELSE NULL END AS lead_source,
-  CASE c_custkey % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'purchase' WHEN 2 THEN 'error' WHEN 3 THEN 'signup' ELSE 'unknown' END AS stage_id,
+  CASE c_custkey % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'purchase' WHEN 2 THEN 'error' WHEN 3 THEN 'signup' ELSE CASE WHEN c_custkey % 10 = 9 THEN concat('s', CAST(c_custkey % 15 AS STRING)) ELSE 'unknown' END END AS stage_id,
   CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'n/a' ELSE CAST(c_acctbal AS STRING) END AS loc_text, concat('firm-', CAST(c_custkey AS STRING), '.co.in') AS domain FROM customer
 """,
     "charges": """
