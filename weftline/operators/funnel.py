@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.functions.dates import local_day
 
 
+# Labels that stages had, and what they are called now.
+ALIASES = {"Call Attempted": "No Pickup", "Call Attempted (retired)": "No Pickup", "Dead/Gmeet/Privacy Concerns": "Dead/GMeet/Privacy Concerns"}
+
+
+def current_label(label: Column) -> Column:
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in ALIASES.items() for x in kv]), label), label)
+
+
 def metric_events(history: DataFrame, stage_dim: DataFrame, metric_dim: DataFrame) -> DataFrame:
     """Distinct (deal_id, metric, day, actor) of stage entries made by people; a win counts whoever recorded it.
 

@@ -78,7 +78,8 @@ SELECT event_id, user_id AS deal_id, CASE WHEN event_id % 4 = 3 THEN concat('s',
 SELECT c_custkey AS deal_id, c_custkey % 8 AS owner, CASE c_custkey % 3 WHEN 0 THEN 'scraped' WHEN 1 THEN 'campaign' ELSE 'other' END AS pipeline, c_acctbal AS amount, c_mktsegment AS segment,
   CASE c_custkey % 4 WHEN 0 THEN 'India south' WHEN 1 THEN 'Indonesia, India' WHEN 2 THEN '' ELSE NULL END AS lead_source,
   CASE c_custkey % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'purchase' WHEN 2 THEN 'error' WHEN 3 THEN 'signup' ELSE CASE WHEN c_custkey % 10 = 9 THEN concat('s', CAST(c_custkey % 15 AS STRING)) ELSE 'unknown' END END AS stage_id,
-  CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'n/a' ELSE CAST(c_acctbal AS STRING) END AS loc_text, concat('firm-', CAST(c_custkey AS STRING), '.co.in') AS domain FROM customer
+  CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'n/a' ELSE CAST(c_acctbal AS STRING) END AS loc_text, concat('firm-', CAST(c_custkey AS STRING), '.co.in') AS domain,
+  concat('2024-01-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0')) AS created_day FROM customer
 """,
     "charges": """
 SELECT event_id, event_type AS provider, ts, 1 + event_id % 3 AS delta, CASE WHEN event_id % 10 = 0 THEN NULL ELSE 1000 + event_id % 7 END AS limit_value FROM events
