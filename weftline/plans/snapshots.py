@@ -35,18 +35,17 @@ def badge_removal(spark, d):
 # Judge's answers
 
 
-@query("""SELECT ordinal, (k - 1)::INTEGER AS pos, CASE k WHEN 1 THEN 'Asha ' || ordinal ELSE 'Ravi' END AS name, CASE k WHEN 1 THEN 'CEO' ELSE '' END AS role FROM (SELECT ordinal, unnest([1, 2]) AS k FROM listings WHERE ordinal % 4 < 2)""")
+@query("""WITH a AS (SELECT ordinal, CASE WHEN json_valid(people) AND people LIKE '[%' THEN from_json(people, '["JSON"]') END AS l FROM answers),
+p AS (SELECT ordinal, list_filter(list_transform(l, lambda x: {'n': trim(coalesce(x->>'$.name', '')), 'r': trim(coalesce(x->>'$.role', ''))}), lambda x: x.n <> '') AS l FROM a WHERE l IS NOT NULL)
+SELECT ordinal, (k - 1)::INTEGER AS pos, l[k].n AS name, l[k].r AS role FROM (SELECT ordinal, l, unnest(range(1, len(l) + 1)) AS k FROM p)""")
 def director_rows(spark, d):
-    text = F.concat(F.lit('[{"name":" Asha '), F.col("ordinal").cast("string"), F.lit(' ","role":"CEO "},{"name":"  ","role":"x"},{"name":"Ravi"}]'))
-    answer = F.when(F.col("ordinal") % 4 < 2, text).when(F.col("ordinal") % 4 == 2, "no list here")
-    return T(spark, d, "listings").select("ordinal", F.posexplode(snapshots.directors(answer)).alias("pos", "p")).select("ordinal", "pos", "p.name", "p.role")
+    """Lists of any length, empty, broken off or no lists at all, with names that are blank, null or missing."""
+    return T(spark, d, "answers").select("ordinal", F.posexplode(snapshots.directors(F.col("people"))).alias("pos", "p")).select("ordinal", "pos", "p.name", "p.role")
 
 
-@query("SELECT ordinal, CASE ordinal % 5 WHEN 0 THEN 'yes' WHEN 1 THEN 'uncertain' ELSE 'no' END AS verdict FROM listings")
+@query("SELECT ordinal, CASE WHEN list_contains(['yes', 'uncertain'], lower(trim(coalesce(verdict, '')))) THEN lower(trim(verdict)) ELSE 'no' END AS verdict FROM answers")
 def verdict_coerce(spark, d):
-    k = F.col("ordinal") % 5
-    raw = F.when(k == 0, " YES ").when(k == 1, "Uncertain").when(k == 2, "maybe").when(k == 3, "")
-    return T(spark, d, "listings").select("ordinal", snapshots.verdict(raw).alias("verdict"))
+    return T(spark, d, "answers").select("ordinal", snapshots.verdict(F.col("verdict")).alias("verdict"))
 
 
 # Lists, sheets and templates
@@ -62,11 +61,10 @@ def exclusion_rows(spark, d):
     return exclusions.union(rows, T(spark, d, "domain_lines"), ex.select("ordinal", "name"), ex.where("domain IS NOT NULL").select("domain"))
 
 
-@query("SELECT ordinal, CASE ordinal % 4 WHEN 0 THEN 'keep' WHEN 1 THEN 'overwrite' WHEN 2 THEN 'insert' ELSE 'create' END AS action FROM listings")
+@query("SELECT ordinal, CASE WHEN coalesce(header, '') = '' THEN 'create' WHEN header = '#|Company|Domain' THEN 'keep' WHEN header = '#' OR starts_with(header, '#|') THEN 'overwrite' ELSE 'insert' END AS action FROM answers")
 def sheet_header_reconcile(spark, d):
-    k = F.col("ordinal") % 4
-    first = F.split(F.when(k == 0, "|".join(_HEADER)).when(k == 1, "#|Old").when(k == 2, F.concat(F.lit("7|"), F.col("company_name"))), r"\|")
-    return T(spark, d, "listings").select("ordinal", exclusions.reconcile_header(first, _HEADER).alias("action"))
+    first = F.split(F.nullif("header", F.lit("")), r"\|")
+    return T(spark, d, "answers").select("ordinal", exclusions.reconcile_header(first, _HEADER).alias("action"))
 
 
 @query("SELECT 3 AS width, (max(ordinal) FILTER (WHERE ordinal % 3 <> 0) + 1)::BIGINT AS next_index FROM listings")
@@ -101,13 +99,15 @@ def template_fit(spark, d):
 # Provider snapshots
 
 
-@query("""SELECT ordinal, (k - 1)::INTEGER AS pos, CASE k WHEN 1 THEN 'P' || ordinal ELSE 'Q' END AS name, CASE k WHEN 1 THEN 'CEO' ELSE '' END AS headline, CASE k WHEN 1 THEN '' ELSE 'built things' END AS experience_text,
-CASE k WHEN 1 THEN 'https://x/' || ordinal ELSE '' END AS url FROM (SELECT ordinal, unnest([1, 2]) AS k FROM listings WHERE ordinal % 3 = 0)""")
+_FIRST = lambda *names: "coalesce(" + ", ".join(f"nullif(trim(x->>'$.{n}'), '')" for n in names) + ", '')"
+
+
+@query(f"""WITH a AS (SELECT ordinal, CASE WHEN json_valid(found) AND found LIKE '[%' THEN from_json(found, '["JSON"]') END AS l FROM answers)
+SELECT ordinal, (k - 1)::INTEGER AS pos, {_FIRST('name', 'full_name')} AS name, {_FIRST('headline', 'occupation')} AS headline, {_FIRST('experience_text', 'summary')} AS experience_text, {_FIRST('url', 'linkedin_url', 'profile_url')} AS url
+FROM (SELECT ordinal, l[k] AS x, k FROM (SELECT ordinal, l, unnest(range(1, len(l) + 1)) AS k FROM a WHERE l IS NOT NULL))""")
 def candidate_normalize(spark, d):
-    key = F.col("ordinal").cast("string")
-    text = F.concat(F.lit('[{"name":" P'), key, F.lit('","headline":"","occupation":"CEO","profile_url":"https://x/'), key, F.lit('"},{"full_name":"Q","summary":" built things "}]'))
-    answer = F.when(F.col("ordinal") % 3 == 0, text).when(F.col("ordinal") % 3 == 1, "not JSON")
-    return T(spark, d, "listings").select("ordinal", F.posexplode(snapshots.candidates(answer)).alias("pos", "p")).select("ordinal", "pos", "p.*")
+    """Candidates of any number with fields under several names, and answers that are no JSON."""
+    return T(spark, d, "answers").select("ordinal", F.posexplode(snapshots.candidates(F.col("found"))).alias("pos", "p")).select("ordinal", "pos", "p.*")
 
 
 @query("""WITH p AS (SELECT source AS site, doc_id, '[/p' || doc_id || '] ' || substr(text, 1, 9000) AS chunk FROM documents WHERE length(text) > 50),

@@ -102,6 +102,15 @@ SELECT 'a' AS file, 0 AS line, '#|Company|Website' AS text UNION ALL SELECT 'b'
 SELECT CASE s_suppkey % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS file, CAST(s_suppkey + 1 AS INT) AS line,
   CASE s_suppkey % 3 WHEN 0 THEN concat('1|Firm ', CAST(s_suppkey AS STRING), '|https://www.firm-', CAST(s_suppkey AS STRING), '.co.in/x') WHEN 1 THEN concat('y|=HYPERLINK("https://firm-', CAST(s_suppkey AS STRING), '.com","Firm ', CAST(s_suppkey AS STRING), '")')
   ELSE concat(' firm ', CAST(s_suppkey AS STRING), ' ') END AS text FROM supplier
+""",
+    "answers": """
+SELECT ordinal, CASE ordinal % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat('[{"name":"Asha ', CAST(ordinal AS STRING), '","role":') WHEN 3 THEN concat('no list ', CAST(ordinal AS STRING)) WHEN 4 THEN '[]'
+  ELSE concat('[', repeat(concat('{"name":" Asha ', CAST(ordinal AS STRING), ' ","role":"CEO "},'), CAST(ordinal % 5 AS INT)), '{"name":"  ","role":"x"},{"role":"none"},{"name":null},{"name":"Ravi ', company_name, '","role":null,"more":', CAST(ordinal % 3 AS STRING), '}]') END AS people,
+  CASE ordinal % 8 WHEN 0 THEN NULL WHEN 1 THEN '[{"name":' WHEN 2 THEN 'not JSON' ELSE concat('[', repeat(concat('{"name":" P', CAST(ordinal AS STRING), '","full_name":"other","headline":"","occupation":"CEO","profile_url":"https://x/', CAST(ordinal AS STRING), '"},'), CAST(ordinal % 4 AS INT)),
+    '{"full_name":"Q ', company_name, '","summary":" built things ","experience_text":" ","url":null,"linkedin_url":"https://y/', CAST(ordinal AS STRING), '"}]') END AS found,
+  CASE ordinal % 11 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'YES' WHEN 3 THEN ' yes  ' WHEN 4 THEN 'Uncertain' WHEN 5 THEN 'yes, surely' WHEN 6 THEN 'NO' WHEN 7 THEN 'unsure' WHEN 8 THEN company_name WHEN 9 THEN '  uncertain' ELSE 'y' END AS verdict,
+  CASE ordinal % 10 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '#|Company|Domain' WHEN 3 THEN '#|Company' WHEN 4 THEN '#|Company|Domain|More' WHEN 5 THEN concat(CAST(ordinal AS STRING), '|', company_name) WHEN 6 THEN '#' WHEN 7 THEN 'Company|#|Domain' WHEN 8 THEN '#|Domain|Company' ELSE ' #|Company|Domain' END AS header
+FROM listings
 """,
     "domain_lines": """
 SELECT CASE n_nationkey % 3 WHEN 0 THEN '# a comment' WHEN 1 THEN '  ' ELSE concat('  www.nation-', CAST(n_nationkey AS STRING), '.org/x ') END AS line FROM nation
@@ -120,7 +129,7 @@ def logical(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A logical table, or one of the driver's own."""
     if name not in SQL:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    text = SQL[name]
+    text = SQL[name].replace("{", "{{").replace("}", "}}")  # braces of texts, not of frames
     frames = {t: logical(spark, sf_dir, t) for t in _NEEDS[name]}
     for t in frames:
         text = re.sub(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 {{{t}}}", text)
@@ -129,7 +138,10 @@ def logical(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def with_tables(sql: str) -> str:
     """SQL with the logical tables that it names defined in front."""
-    used = [n for n in SQL if re.search(rf"\b(?:FROM|JOIN)\s+{n}\b", sql)]
+    named = {n for n in SQL if re.search(rf"\b(?:FROM|JOIN)\s+{n}\b", sql)}
+    while more := {m for n in named for m in _NEEDS[n] if m in SQL} - named:
+        named |= more
+    used = [n for n in SQL if n in named]
     parts = [f"{n} AS ({SQL[n].strip()})" for n in used]
     body = sql.strip()
     if not parts:
