@@ -101,7 +101,9 @@ def test_columns_nulls_and_empty(docs, empty, spark):
 
 def test_plan_is_native_and_joins_by_keys(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    plan = spark._jvm.PythonSQLUtils.explainString(line_dedup.compared(docs, line_dedup.runs(docs), line_dedup.NEAR)._jdf.queryExecution(), "formatted")
+    found = line_dedup.runs(docs)
+    texts = line_dedup.texts_of(docs.withColumn("doc_hash", line_dedup._doc_hash(docs["text"])), found)
+    plan = spark._jvm.PythonSQLUtils.explainString(line_dedup.compared(texts, found, line_dedup.NEAR)._jdf.queryExecution(), "formatted")
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 

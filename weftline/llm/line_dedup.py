@@ -23,7 +23,8 @@ outside it is missed.
 
 All of it is DataFrame functions. What crosses a shuffle by chunk is a key and
 a position; texts cross one to be fetched for runs, which are only the parts
-that occur twice, and one to be cut. No window or collected group holds the
+that occur twice, and one to be cut; rounds with wider windows read the texts
+that the round before fetched. No window or collected group holds the
 copies of a chunk: the first is a minimum, which Spark combines before the
 shuffle, and the rest meet it in an inner join whose hot keys Spark may split;
 windows run over the chunks of one text that repeat one other. The joins are
@@ -128,24 +129,28 @@ def runs(docs: DataFrame) -> DataFrame:
     return materialize(merged.select("doc_id", "doc_hash", "a", "b", "first_id", "first_hash", (F.col("a") - F.col("shift")).alias("first_a")), "line-runs")
 
 
-def _window(docs: DataFrame, wanted: DataFrame, near: int) -> DataFrame:
-    """doc_id, doc_hash, a, b, lead, lines: the lines of each wanted run (doc_id, doc_hash, a, b) and up to ``near`` before, lead in number, and after it."""
-    per_doc = wanted.distinct().groupBy("doc_id", "doc_hash").agg(F.collect_list(F.struct("a", "b")).alias("spans")).select(F.col("doc_id").alias("i"), F.col("doc_hash").alias("h"), "spans")
-    texts = docs.select("doc_id", _doc_hash(F.col("text")).alias("doc_hash"), "text")
-    met = texts.join(per_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("doc_hash") == F.col("h")))
-    one = met.groupBy("doc_id", "doc_hash").agg(F.first("text").alias("text"), F.first("spans").alias("spans"))  # rows that repeat id and text; no shuffle beyond the join's
+def texts_of(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """doc_id, doc_hash, text, spans of the texts (doc_id, doc_hash, text) that runs lie in, their own and their firsts': spans holds the (a, b) of each, once. Written: what a later round needs is among them."""
+    first_b = F.col("first_a") + F.col("b") - F.col("a")
+    wanted = found.select("doc_id", "doc_hash", "a", "b").union(found.select("first_id", "first_hash", "first_a", first_b)).distinct()
+    per_doc = wanted.groupBy("doc_id", "doc_hash").agg(F.collect_list(F.struct("a", "b")).alias("spans")).select(F.col("doc_id").alias("i"), F.col("doc_hash").alias("h"), "spans")
+    met = docs.select("doc_id", "doc_hash", "text").join(per_doc.hint("merge"), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("doc_hash") == F.col("h")))
+    # rows that repeat id and text are one; no shuffle beyond the join's
+    return materialize(met.groupBy("doc_id", "doc_hash").agg(F.first("text").alias("text"), F.first("spans").alias("spans")), "line-texts")
+
+
+def windows(texts: DataFrame, near: int) -> DataFrame:
+    """doc_id, doc_hash, a, b, lead, lines: the lines of each span of texts and up to ``near`` before, lead in number, and after it."""
     lead = lambda x: F.least(x["a"], F.lit(near))
     cut_out = lambda ls: F.transform("spans", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"), lead(x).alias("lead"), F.slice(ls, x["a"] - lead(x) + 1, x["b"] - x["a"] + lead(x) + near).alias("lines")))
-    return one.select("doc_id", "doc_hash", F.explode(let(F.split("text", "\n", -1), cut_out)).alias("s")).select("doc_id", "doc_hash", "s.*")
+    return texts.select("doc_id", "doc_hash", F.explode(let(F.split("text", "\n", -1), cut_out)).alias("s")).select("doc_id", "doc_hash", "s.*")
 
 
-def compared(docs: DataFrame, found: DataFrame, near: int) -> DataFrame:
+def compared(texts: DataFrame, found: DataFrame, near: int) -> DataFrame:
     """found (runs) with gone, the numbers of the lines that are equal to their first's and one of two or more such in a row, and more: whether a window was equal to its end."""
     first_b = F.col("first_a") + F.col("b") - F.col("a")
-    wanted = found.select("doc_id", "doc_hash", "a", "b").union(found.select("first_id", "first_hash", "first_a", first_b))
-    lines = materialize(_window(docs, wanted, near), "line-windows")
-    own = lines.toDF("i", "h", "oa", "ob", "lead", "lines")
-    first = lines.toDF("fi", "fh", "fa", "fb", "first_lead", "first_lines")
+    own = windows(texts, near).toDF("i", "h", "oa", "ob", "lead", "lines")
+    first = windows(texts, near).toDF("fi", "fh", "fa", "fb", "first_lead", "first_lines")
     same_id = lambda x, y: F.col(x).eqNullSafe(F.col(y))
     both = found.join(own.hint("merge"), same_id("doc_id", "i") & same_id("doc_hash", "h") & same_id("a", "oa") & same_id("b", "ob"))
     both = both.join(first.hint("merge"), same_id("first_id", "fi") & same_id("first_hash", "fh") & same_id("first_a", "fa") & (first_b == F.col("fb")))
@@ -168,8 +173,10 @@ def compared(docs: DataFrame, found: DataFrame, near: int) -> DataFrame:
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, doc_hash, gone): numbers of lines to remove; those of one text may overlap."""
     found, near, out = runs(docs), NEAR, None
+    texts = docs.select("doc_id", _doc_hash(F.col("text")).alias("doc_hash"), "text")
     while True:
-        seen = materialize(compared(docs, found, near), "line-compared")
+        texts = texts_of(texts, found)
+        seen = materialize(compared(texts, found, near), "line-compared")
         cuts = seen.where(F.size("gone") > 0).select("doc_id", "doc_hash", "gone")
         out = cuts if out is None else out.union(cuts)
         found, near = seen.where("more").select(*found.columns), near * WIDER
