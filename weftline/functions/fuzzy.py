@@ -9,11 +9,15 @@ shared plus rest, and shared alone against either. Two texts compare as
 
 from __future__ import annotations
 
+import functools
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+@functools.lru_cache(1 << 16)
 def _common(a: str, b: str) -> int:
     """Length of the longest common subsequence, with the rows of the table as bits of an integer."""
     at: dict[str, int] = {}
@@ -27,6 +31,45 @@ def _common(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
+#: Texts of a batch up to this length are rows of a table of characters, with bits in a machine word.
+SHORT = 32
+#: Texts of one such table.
+SLICE = 4_096
+
+
+def common_lengths(a: pd.Series, b: pd.Series) -> np.ndarray:
+    """Length of the longest common subsequence of each two texts: short ones all at once, a character's column at a time."""
+    a, b = a.tolist(), b.tolist()
+    size = np.array([len(t) for t in a], dtype="int64"), np.array([len(t) for t in b], dtype="int64")
+    short = (size[0] <= SHORT) & (size[1] <= SHORT) & np.array(["\0" not in x and "\0" not in y for x, y in zip(a, b)], dtype=bool)
+    out = np.zeros(len(a), dtype="int32")
+    for k in np.flatnonzero(~short):
+        out[k] = _common(a[k], b[k])
+    which = np.flatnonzero(short)
+    for part in np.split(which, range(SLICE, len(which), SLICE)):
+        if len(part):
+            out[part] = _columns([a[k] for k in part], [b[k] for k in part], size[0][part])
+    return out
+
+
+def _columns(a: list[str], b: list[str], size: np.ndarray) -> np.ndarray:
+    # a text's end is filled with zeros, which are no character
+    def table(texts: list[str]) -> np.ndarray:
+        wide = np.array(texts)
+        return np.ascontiguousarray(wide.view("uint32").reshape(len(texts), -1).T) if wide.itemsize else np.zeros((0, len(texts)), dtype="uint32")
+
+    left, right = table(a), table(b)
+    full = ((np.uint64(1) << size.astype("uint64")) - np.uint64(1)).astype("uint32")
+    row = full.copy()
+    for c in right:
+        at = np.zeros(len(row), dtype="uint32")
+        for k, d in enumerate(left):
+            at |= ((d == c) & (d != 0)).astype("uint32") << np.uint32(k)
+        u = row & at
+        row = ((row + u) | (row - u)) & full
+    return size - np.bitwise_count(row)
+
+
 def _ratio(a: str, b: str) -> float:
     total = len(a) + len(b)
     return 200.0 * _common(a, b) / total if total else 100.0
@@ -55,4 +98,4 @@ def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(T.IntegerType())
 def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common subsequence of two texts."""
-    return pd.Series([_common(x, y) for x, y in zip(a, b)], dtype="int32")
+    return pd.Series(common_lengths(a, b), dtype="int32")

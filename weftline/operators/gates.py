@@ -84,6 +84,12 @@ def _rarest(sets: DataFrame, tokens_there: DataFrame, share: float) -> DataFrame
     return each.withColumn("lost", lost).where(F.col("lost") <= F.col("n") * (2 * (1 - share) / (2 - share)) + 1e-9).select("block", "id", "t")
 
 
+#: Texts of a block are compared one by one up to so many pairs; those of a larger block, and texts without blocks, meet on what they share.
+DIRECT = 1_000_000
+#: Groups of a side of which each is held against each of the other side's, and the most variants of a text's digits.
+GROUPS, VARIANTS = 2_000, 500
+
+
 def candidates(a: DataFrame, b: DataFrame, threshold: float, within: str | None = None) -> DataFrame:
     """Pairs (x, y) of texts whose token-set score may reach the threshold, without a cross join and without meeting on common tokens.
 
@@ -95,13 +101,12 @@ def candidates(a: DataFrame, b: DataFrame, threshold: float, within: str | None
     cover a fixed part of its length, so one of its tokens that are rarest on
     the other side, as many as the uncovered part can't hold, is shared. Or the
     shared tokens and the rest are alike to the other's; they then differ by at
-    most d insertions and deletions, d following from the threshold and the
-    length of x. Each spoils at most one of the disjoint pieces that x's tokens
-    are cut to, so of any d + 1 pieces one is a substring of a token of y; the
-    rarest are taken, and of several lengths the one that meets least.
+    most d insertions and deletions, d following from the threshold and both
+    lengths. How such pairs meet: :func:`_by_digits`, and :func:`_by_pieces` for
+    what the first leaves; in small blocks they are compared (:func:`_direct`).
     """
     sa, sb = _sides(a, b, within)
-    pairs = _pairs(sa, sb, threshold)
+    pairs = _pairs(sa, sb, threshold, within is not None).select("block", "x", "y")
     return pairs.withColumnRenamed("block", within) if within else pairs.select("x", "y")
 
 
@@ -113,23 +118,137 @@ def _sides(a: DataFrame, b: DataFrame, within: str | None) -> tuple[DataFrame, D
 
 
 def _with_tokens(pairs: DataFrame, sa: DataFrame, sb: DataFrame) -> DataFrame:
-    return pairs.join(sa.toDF("block", "x", "tx", "nx"), ["block", "x"]).join(sb.toDF("block", "y", "ty", "ny"), ["block", "y"])
+    # written tables are larger in memory than their files, so none of them is broadcast by its files' size
+    return pairs.join(sa.toDF("block", "x", "tx", "nx").hint("merge"), ["block", "x"]).join(sb.toDF("block", "y", "ty", "ny").hint("merge"), ["block", "y"])
 
 
-def _pairs(sa: DataFrame, sb: DataFrame, threshold: float) -> DataFrame:
-    """block, x, y of the candidates among two sides."""
+def _pairs(sa: DataFrame, sb: DataFrame, threshold: float, blocks: bool) -> DataFrame:
+    """block, x, y, tx, nx, ty, ny of the candidates among two sides."""
     if threshold < LOWEST:
         raise ValueError(f"thresholds below {LOWEST} are not supported")
     share = threshold / 100
+    if not blocks:
+        return _with_tokens(_sharing(sa, sb, share).union(_by_digits(sa, sb, share)).distinct(), sa, sb)
+    sizes = lambda df, n: df.groupBy("block").agg(F.count("*").alias(n))
+    large = materialize(sizes(sa, "na").join(sizes(sb, "nb"), "block").where(F.col("na") * F.col("nb") > DIRECT).select("block"), "fuzzy-large")
+    if large.isEmpty():
+        return _direct(sa, sb, share)
+    la, lb = (materialize(df.join(large, "block", "left_semi"), "fuzzy-large") for df in (sa, sb))
+    few = _direct(sa.join(large, "block", "left_anti"), sb.join(large, "block", "left_anti"), share)
+    many = _with_tokens(_sharing(la, lb, share).union(_by_pieces(la, lb, share)).distinct(), la, lb)
+    return few.unionByName(many)
+
+
+def _bits(hashes: Column) -> list[Column]:
+    """A set of hashes as 128 bits, in two halves."""
+    of = lambda half: F.aggregate(F.filter(hashes, lambda h: F.pmod(F.shiftright(h, 6), F.lit(2)) == half), F.lit(0).cast("long"), lambda bits, h: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))))
+    return [of(0), of(1)]
+
+
+def _direct(sa: DataFrame, sb: DataFrame, share: float) -> DataFrame:
+    """The candidates of blocks whose texts are compared one by one, by bits that are worked out once for each text.
+
+    A text's characters, numbered among their equals, are a set; two texts' sets
+    differ by no more than the insertions and deletions between the texts, and
+    their images in 128 bits by no more than the sets. Of its tokens, the longest
+    until the rest alone can't cover the part that must be shared are another.
+    """
+
+    def signed(df: DataFrame, side: str) -> DataFrame:
+        ts, n = F.col("ts"), F.col("n")
+        chars = F.array_sort(F.split(F.array_join(ts, " "), ""))
+        numbered = df.withColumn("chars", chars).withColumn("chars", F.transform("chars", lambda c, k: F.xxhash64(c, k - F.array_position(F.col("chars"), c))))
+        longest = F.array_sort(F.transform(ts, lambda t: F.struct((-F.char_length(t)).alias("l"), t.alias("t"))))
+        lost = lambda k: F.aggregate(F.slice(F.col("longest"), 1, k), F.lit(0), lambda total, t: total - t["l"] + 1)
+        first = F.transform(F.filter(F.col("longest"), lambda t, k: lost(k) <= n * (2 * (1 - share) / (2 - share)) + 1e-9), lambda t: F.xxhash64(t["t"]))
+        found = {"c": F.col("chars"), "p": first, "q": F.transform(ts, lambda t: F.xxhash64(t))}
+        bits = [half.alias(f"{kind}{k}{side}") for kind, hashes in found.items() for k, half in enumerate(_bits(hashes))]
+        return numbered.withColumn("longest", longest).select("block", F.col("id").alias(side), ts.alias(f"t{side}"), n.alias(f"n{side}"), *bits)
+
+    both = lambda one, other: (F.col(f"{one}0{other[0]}").bitwiseAND(F.col(f"{other[1]}0{other[2]}")) != 0) | (F.col(f"{one}1{other[0]}").bitwiseAND(F.col(f"{other[1]}1{other[2]}")) != 0)
+    differ = F.bit_count(F.col("c0x").bitwiseXOR(F.col("c0y"))) + F.bit_count(F.col("c1x").bitwiseXOR(F.col("c1y")))
+    may = both("p", "xqy") | both("p", "yqx") | (differ <= (1 - share) * (F.col("nx") + F.col("ny")) + 1e-9)
+    return signed(sa, "x").hint("merge").join(signed(sb, "y").hint("merge"), "block").where(may).select("block", "x", "y", "tx", "nx", "ty", "ny")
+
+
+def _sharing(sa: DataFrame, sb: DataFrame, share: float) -> DataFrame:
+    """block, x, y of texts whose shared tokens may reach the threshold alone."""
     ta, tb = (df.select("block", "id", F.explode("ts").alias("t")) for df in (sa, sb))
-    near = F.abs(F.col("nx") - F.col("ny")) <= (1 - share) * (F.col("nx") + F.col("ny")) + 1e-9
     meet = lambda x, y: x.toDF("block", "x", "t").join(y.toDF("block", "y", "t"), ["block", "t"]).select("block", "x", "y")
     met = meet(_rarest(sa, tb, share), tb).union(meet(ta, _rarest(sb, ta, share))).distinct()
-    full = lambda pairs: _with_tokens(pairs, sa, sb)
     both = F.array_intersect("tx", "ty")
     covered = _joined_length(both) >= F.least("nx", "ny") * (share / (2 - share)) - 1e-9
-    shared = full(met).where((F.size(both) == F.least(F.size("tx"), F.size("ty"))) | covered).select("block", "x", "y")
+    return _with_tokens(met, sa, sb).where((F.size(both) == F.least(F.size("tx"), F.size("ty"))) | covered).select("block", "x", "y")
+
+
+def _without(text: Column, n: Column) -> Column:
+    """The different texts that are left of one without n of its characters."""
+    one = lambda t: F.transform(F.sequence(F.lit(1), F.char_length(t)), lambda k: F.concat(F.substr(t, F.lit(1), k - 1), F.substr(t, k + 1)))
+    less = F.aggregate(F.sequence(F.lit(1), n), F.array(text), lambda texts, _: F.array_distinct(F.flatten(F.transform(texts, one))))
+    return F.when(n > 0, less).otherwise(F.array(text))
 
+
+def _by_digits(sa: DataFrame, sb: DataFrame, share: float) -> DataFrame:
+    """block, x, y of texts that d insertions and deletions or less may part, of one block each side.
+
+    An insertion or deletion is of a digit or of another character, so what parts
+    two texts is at least what parts their digits, as they follow one another,
+    and what their other characters, in any order, differ by. Texts are grouped
+    by those others and the number of digits; groups are few where texts differ
+    by numbers. What two groups differ by is taken off d, and what is left of it
+    says how many digits may go on either side: texts of two groups meet on what
+    remains of their digits without as many, so all that meet are alike so far.
+
+    Texts with several tokens that have digits, whose order sharing may change,
+    those of rare groups where there are many, and those with long digits meet
+    on pieces (:func:`_by_pieces`).
+    """
+    joined = F.array_join("ts", " ")
+    several = F.size(F.filter("ts", lambda t: t.rlike("[0-9]"))) > 1
+
+    def parted(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+        other = F.array_join(F.array_sort(F.split(F.regexp_replace(joined, "[0-9]", ""), "")), "")
+        rows = materialize(df.withColumns({"g": F.regexp_replace(joined, "[^0-9]", ""), "other": other}).withColumn("m", F.char_length("g")), f"fuzzy-digits-{label}")
+        groups = rows.where(~several).groupBy("other", "m").agg(F.count("*").alias("texts")).orderBy(F.desc("texts"), "other", "m").limit(GROUPS)
+        return rows, materialize(groups.select("other", "m", (F.char_length("other") + F.col("m")).alias("n")), "fuzzy-groups")
+
+    (ra, ga), (rb, gb) = parted(sa, "x"), parted(sb, "y")
+    d = F.floor((1 - share) * (F.col("nx") + F.col("ny")) + 1e-9).cast("int")
+    met = ga.toDF("ox", "mx", "nx").crossJoin(F.broadcast(gb.toDF("oy", "my", "ny"))).withColumn("d", d).where(F.abs(F.col("nx") - F.col("ny")) <= F.col("d"))
+    left = F.col("d") - (F.char_length("ox") + F.char_length("oy") - 2 * common_length("ox", "oy"))
+    met = met.withColumn("left", left).where(F.abs(F.col("mx") - F.col("my")) <= F.col("left"))
+    gone = lambda one, other: F.floor((F.col("left") + F.col(one) - F.col(other)) / 2).cast("int")
+    met = met.withColumns({"gx": F.least(gone("mx", "my"), F.col("mx")), "gy": F.least(gone("my", "mx"), F.col("my"))})
+    # as many are taken on both sides that as many remain
+    spare = F.greatest(F.col("mx") - F.col("gx"), F.col("my") - F.col("gy"))
+    met = met.withColumns({"gx": F.col("mx") - spare, "gy": F.col("my") - spare})
+    ways = lambda m, k: F.aggregate(F.sequence(F.lit(1), F.greatest(F.col(k), F.lit(1))), F.lit(1.0), lambda w, i: F.when(F.col(k) > 0, w * (F.col(m) - i + 1) / i).otherwise(w))
+    pairs = materialize(met.withColumn("hard", F.greatest(ways("mx", "gx"), ways("my", "gy")) > VARIANTS).withColumn("pair", F.monotonically_increasing_id()), "fuzzy-group-pairs")
+
+    def split(rows: DataFrame, groups: DataFrame, o: str, m: str) -> tuple[DataFrame, DataFrame]:
+        easy = groups.join(pairs.where("hard").select(F.col(o).alias("other"), F.col(m).alias("m")).distinct(), ["other", "m"], "left_anti").select("other", "m", F.lit(True).alias("easy"))
+        marked = rows.join(F.broadcast(easy), ["other", "m"], "left").withColumn("easy", F.col("easy").isNotNull() & ~several)
+        return marked.where("easy"), marked.where("NOT easy").select("block", "id", "ts", "n")
+
+    (ea, ha), (eb, hb) = split(ra, ga, "ox", "mx"), split(rb, gb, "oy", "my")
+    keys = lambda rows, o, m, g: rows.join(F.broadcast(pairs.where("NOT hard").select("pair", F.col(o).alias("other"), F.col(m).alias("m"), F.col(g).alias("k"))), ["other", "m"]).select("block", "id", "pair", F.explode(_without(F.col("g"), F.col("k"))).alias("z"))
+    alike = keys(ea, "ox", "mx", "gx").withColumnRenamed("id", "x").join(keys(eb, "oy", "my", "gy").withColumnRenamed("id", "y"), ["block", "pair", "z"]).select("block", "x", "y")
+    ha, hb = materialize(ha, "fuzzy-hard-x"), materialize(hb, "fuzzy-hard-y")
+    if not ha.isEmpty():
+        alike = alike.union(_by_pieces(ha, sb, share))
+    if not hb.isEmpty():
+        alike = alike.union(_by_pieces(ea.select("block", "id", "ts", "n"), hb, share))
+    return alike
+
+
+def _by_pieces(sa: DataFrame, sb: DataFrame, share: float) -> DataFrame:
+    """block, x, y of texts that d insertions and deletions or less may part, d following from the length of x.
+
+    Each spoils at most one of the disjoint pieces that x's tokens are cut to, so
+    of any d + 1 pieces one is a substring of a token of y; the rarest are taken,
+    and of several lengths the one that meets least.
+    """
+    near = F.abs(F.col("nx") - F.col("ny")) <= (1 - share) * (F.col("nx") + F.col("ny")) + 1e-9
     edits = F.floor(F.col("n") * (2 * (1 - share) / share) + 1e-9).cast("int")
     grams = sb.select("block", "id", "n", F.explode("ts").alias("t")).select("*", F.explode(F.array(*map(F.lit, PIECES))).alias("q")).where(F.char_length("t") >= F.col("q"))
     grams = grams.select("block", "id", "n", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("t") - F.col("q") + 1), lambda k: F.substr("t", k, F.col("q")))).alias("p")).distinct()
@@ -143,8 +262,7 @@ def _pairs(sa: DataFrame, sb: DataFrame, threshold: float) -> DataFrame:
     chosen = materialize(rated.withColumn("r", F.row_number().over(Window.partitionBy("block", "id", "q").orderBy("f", "p"))).where("r <= need"), "fuzzy-pieces")
     cost = chosen.groupBy("block", "id", "q").agg(F.count("*").alias("k"), F.first("need").alias("need"), F.sum("f").alias("f")).where("k = need").groupBy("block", "id").agg(F.min_by("q", F.struct("f", "q")).alias("q"))
     taken = chosen.join(cost, ["block", "id", "q"]).select("block", F.col("id").alias("x"), F.col("n").alias("nx"), "p").distinct()
-    alike = taken.join(grams.toDF("block", "y", "ny", "p"), ["block", "p"]).where(near).select("block", "x", "y")
-    return shared.union(alike).distinct()
+    return taken.join(grams.toDF("block", "y", "ny", "p"), ["block", "p"]).where(near).select("block", "x", "y")
 
 
 def fuzzy_matches(a: DataFrame, b: DataFrame, threshold: float, within: str | None = None) -> DataFrame:
@@ -156,16 +274,19 @@ def fuzzy_matches(a: DataFrame, b: DataFrame, threshold: float, within: str | No
     only the rests' common length is counted in Python.
     """
     sa, sb = _sides(a, b, within)
-    pairs = _with_tokens(_pairs(sa, sb, threshold), sa, sb).withColumn("shared", F.array_intersect("tx", "ty"))
-    n, ns, nx, ny = F.size("shared"), _joined_length(F.col("shared")), F.col("nx"), F.col("ny")
-    held = (n > 0) & (n == F.least(F.size("tx"), F.size("ty")))
-    alone = F.when(held, 100.0).when(n > 0, 200.0 * ns / (ns + F.least(nx, ny))).otherwise(0.0)
-    rest = lambda one, other: F.array_join(F.array_except(one, other), " ")
-    parts = pairs.select("block", "x", "y", held.alias("held"), alone.alias("alone"), F.when(n > 0, ns + 1).otherwise(0).alias("begin"), (nx + ny).alias("total"), rest("tx", "ty").alias("rx"), rest("ty", "tx").alias("ry"))
+    # what a filter reads is worked out once for each pair before it: rows out of a generator aren't put in again where they are read
+    once = lambda df, keep, *cs: df.select(*keep, F.inline(F.array(F.struct(*cs))))
+    pairs = once(_pairs(sa, sb, threshold, within is not None), ("block", "x", "y", "tx", "ty", "nx", "ny"), F.array_intersect("tx", "ty").alias("shared"))
+    n, ns, nx, ny = F.col("n"), F.col("ns"), F.col("nx"), F.col("ny")
+    rest = lambda one, other: F.array_join(F.when(F.size("shared") > 0, F.array_except(one, other)).otherwise(F.col(one)), " ")
+    all_of_one = F.size("shared") == F.least(F.size("tx"), F.size("ty"))
+    parts = once(pairs, ("block", "x", "y", "nx", "ny"), F.size("shared").alias("n"), _joined_length(F.col("shared")).alias("ns"), ((F.size("shared") > 0) & all_of_one).alias("held"), rest("tx", "ty").alias("rx"), rest("ty", "tx").alias("ry"))
+    alone = F.when(F.col("held"), 100.0).when(n > 0, 200.0 * ns / (ns + F.least(nx, ny))).otherwise(0.0)
+    parts = parts.select("block", "x", "y", "held", alone.alias("alone"), F.when(n > 0, ns + 1).otherwise(0).alias("begin"), (nx + ny).alias("total"), "rx", "ry")
     both = lambda common: 200.0 * (F.col("begin") + common) / F.col("total")
     parts = parts.where((F.col("alone") >= threshold) | (both(F.least(F.char_length("rx"), F.char_length("ry"))) >= threshold))
-    # pairs are small rows and dear ones: as many tasks score them as shuffles have, however few bytes they are
-    parts = parts.repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
+    # pairs are small rows and dear ones: as many tasks score them as shuffles have, however few bytes they are; those of blocks are spread already
+    parts = parts if within else parts.repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
     found = parts.withColumn("common", common_length("rx", "ry")).where((F.col("alone") >= threshold) | (both(F.col("common")) >= threshold))
     score = F.when(F.col("held"), 100.0).otherwise(F.greatest("alone", both(F.col("common")))).alias("score")
     return found.select(F.col("block").alias(within), "x", "y", score) if within else found.select("x", "y", score)
