@@ -131,3 +131,11 @@ def test_limits_of_the_ledger_hold_for_admission(spark):
     df = spark.createDataFrame([(1, "p", T0, 79, 100, 0), (2, "p", T0, 2, None, 0), (3, "p", T0, 1, None, 0)], CHARGES)
     assert [r.admitted for r in admission.admit(df, "daily").orderBy("event_id").select("admitted").collect()] == [True, False, True]
     assert ledger.usage(df, "daily").first().used == 82
+
+
+def test_slots_without_a_limit_are_one_piece():
+    """What a slot does is worked out in one pass where nothing is refused; before, each charge made a piece more."""
+    from weftline.operators.admission import UNCAPPED, effect
+
+    assert effect([3, 0, -1, 4], UNCAPPED) == ([0], [7])
+    assert effect([3] * 5000, UNCAPPED) == ([0], [15000])

@@ -31,6 +31,8 @@ UNCAPPED = 1 << 62
 
 def effect(deltas: list[int], limit: int) -> tuple[list[int], list[int]]:
     """What charges in order do to an amount used from 0 to limit: pieces by where each begins, and what each adds."""
+    if limit >= UNCAPPED:  # nothing is refused, from whatever amount
+        return [0], [sum(n for n in deltas if n > 0)]
     pieces = [(0, limit, 0)]
     for n in deltas:
         if n <= 0:
