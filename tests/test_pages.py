@@ -128,3 +128,16 @@ def test_mail_is_sent_once(spark, tmp_path):
     for txn in ("monday", "tuesday"):
         outbox.post(box, due, txn)
         assert outbox.pending(box).count() == 0 and box.rows().count() == 2
+
+
+def test_elements_are_tried_on_few_selectors(monkeypatch):
+    """An element whose tag and attributes end no path isn't held against the stack, and one like it isn't looked at again."""
+    from weftline.operators.cards import SITES, Selector, Site, read_page
+
+    calls = []
+    whole = Selector._path
+    monkeypatch.setattr(Selector, "_path", lambda self, *a: calls.append(1) or whole(self, *a))
+    rules = Site({field: Selector(text) for field, text in SITES["site-6"].items()})
+    card = "<div class='member-card'><b class='member-name'>a</b>" + "<p class='x'>t</p>" * 500 + "</div>"
+    assert [r["name"] for r in read_page(card, rules, "c")] == ["a"]
+    assert len(calls) < 20 and len(rules.seen) == 3

@@ -204,7 +204,8 @@ t AS (SELECT ordinal AS page_id, s, name, CASE s WHEN 1 THEN 'w.example/' || ord
 SELECT page_id, 'site-' || (s + 1) AS site, k AS pos, name, website, city, founded, size, CAST(NULL AS VARCHAR) AS segment FROM t""")
 def card_fields(spark, d):
     """Cards of six sites' pages as rows, each site by its own rules; a field that a card lacks is null, a city is the page's."""
-    listings = T(spark, d, "listings")
+    # pages are dear to read: their listings, small rows, are dealt to as many tasks as shuffles have, however few bytes they are
+    listings = T(spark, d, "listings").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ordinal")
     pages = spark.sql(_PAGES.replace("FROM listings", "FROM {listings}"), listings=listings)
     pages = pages.select(F.col("ordinal").alias("page_id"), F.concat(F.lit("site-"), (F.col("site") + 1).cast("string")).alias("site"), F.lit("Pune").alias("city"), "html")
     return cards.parse_cards(pages)
