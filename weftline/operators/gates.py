@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import firm
 from weftline.functions.fuzzy import common_length
-from weftline.scratch import materialize
+from weftline.scratch import materialize, settled
 
 MAX_YEAR, FLOOR, CEILING, HQ = 2020, 30, 1000, "India"
 TARGETS = ("1-100", "100-500", "500-1000")
@@ -297,7 +297,7 @@ def match_known(names: DataFrame, known: DataFrame, threshold: float = KNOWN_SCO
 
     Both ways compete by the known firm's place, so they are unioned before the minimum is taken.
     """
-    n = names.select("name").distinct().withColumn("x", _core("name")).where("x <> ''")
+    n = settled(settled(names.select("name").distinct()).withColumn("x", _core("name"))).where("x <> ''")
     k = known.select("ordinal", F.col("name").alias("known"), _core("name").alias("y")).where("y <> ''")
     equal = n.join(k, n["x"] == k["y"]).select(n["name"], "ordinal", "known")
     close = fuzzy_matches(n.where(F.char_length("x") >= SHORTEST_CORE).select("x").distinct(), k.where(F.char_length("y") >= SHORTEST_CORE).select("y").distinct(), threshold)
@@ -343,7 +343,7 @@ def match_blocklist(names: DataFrame, terms: DataFrame, threshold: float = BLOCK
     The list is a configured one; its size is checked by Spark's broadcast threshold like any table's. Names and
     terms are treated alike: without white space at the ends, lower-cased, their signs kept.
     """
-    n = names.select("name").distinct().withColumn("x", _plain("name")).where("x <> ''")
+    n = settled(settled(names.select("name").distinct()).withColumn("x", _plain("name"))).where("x <> ''")
     t = terms.select("ordinal", "term", _plain("term").alias("y")).where("y <> ''")
     close = fuzzy_matches(n.select("x").distinct(), t.select("y").distinct(), threshold).select("x", "y")
     met = phrases(n, t).union(close)

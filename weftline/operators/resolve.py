@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from weftline.functions import firm
 from weftline.operators import domains
-from weftline.scratch import materialize
+from weftline.scratch import materialize, settled
 
 
 def with_keys(listings: DataFrame, as_of_year: int) -> DataFrame:
     """listings with domain, band and founded (struct), all in the scan's stage: the suffix rules are broadcast."""
-    keyed = domains.registered(listings, F.col("website_raw"))
+    # both are read at many places, and rules, bands and years are long expressions
+    keyed = domains.registered(settled(listings), F.col("website_raw"))
     return keyed.withColumns({"band": firm.size_band(F.col("size_raw")), "founded": firm.founded(F.col("founded_raw"), as_of_year)})
 
 
@@ -30,7 +31,9 @@ def parts(keyed: DataFrame) -> DataFrame:
     firsts = [F.min(F.when(firm.filled(F.col(c)), F.struct("ordinal", F.col(c).alias("value")))).alias(name) for c, name in _FIRSTS.items()]
     best_founded = F.min(F.when(year, F.struct("founded.approx", "ordinal", "founded.year", "founded.note", F.col("founded_raw").alias("raw")))).alias("f")
     best_size = F.min(F.when(sized, F.struct("ordinal", "band", "size_raw"))).alias("s")
-    rows = keyed.where("domain IS NOT NULL").withColumn("name", F.trim("company_name"))
+    read = ("domain", "source", "ordinal", "company_name", *_FIRSTS, "founded_raw", "size_raw", "band", "founded")
+    # settled before the filter, which would work out each domain once more
+    rows = settled(keyed.select(*read)).where("domain IS NOT NULL").withColumn("name", F.trim("company_name"))
     return rows.groupBy("domain", "name", "source").agg(F.count("*").alias("n"), F.min("ordinal").alias("at"), *firsts, best_founded, best_size)
 
 
