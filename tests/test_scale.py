@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from weftline.operators import domains, resolve
+from weftline.operators import domains, people, resolve
 from weftline.plans import catalogue
 from weftline.scratch import settled
 from weftline.sources.adapters import logical
@@ -31,3 +31,11 @@ def test_counters_do_not_work_out_domains_again(spark, monkeypatch):
     monkeypatch.setattr(catalogue, "_gated", lambda *_: spark.createDataFrame([("a.in", True, 3), ("b.in", False, 4)], "domain string, gate_pass boolean, n_listings long"))
     n = logical(spark, SF, "listings").count()
     assert [tuple(r) for r in catalogue.QUERIES["build_counters"](spark, SF).collect()] == [(n, 2, 1, 0, n - 7)]
+
+
+def test_people_are_dealt_before_they_are_sorted(spark):
+    rows = spark.createDataFrame([("a", 2, 7), ("a", 1, 8), ("b", 3, 9)], "domain string, ordinal long, n long").groupBy("domain", "ordinal").agg(F.max("n").alias("n"))
+    top = people.top(rows, 1)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Sort [domain") < plan.index("Exchange hashpartitioning(domain")
+    assert sorted((r.domain, r.n) for r in top.collect()) == [("a", 8), ("b", 9)]
