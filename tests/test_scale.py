@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from weftline.operators import domains, people, resolve
+from weftline.operators.keyed_store import KeyedStore
 from weftline.plans import catalogue
 from weftline.scratch import settled
 from weftline.sources.adapters import logical
@@ -39,3 +40,15 @@ def test_people_are_dealt_before_they_are_sorted(spark):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert plan.rindex("Sort [domain") < plan.index("Exchange hashpartitioning(domain")
     assert sorted((r.domain, r.n) for r in top.collect()) == [("a", 8), ("b", 9)]
+
+
+def test_first_change_of_a_store_is_gone_through_once(spark, tmp_path, monkeypatch):
+    new = lambda: KeyedStore(spark, f"file://{tmp_path}/s", "k int, v string, created_at long", ["k"], 4)
+    rows = spark.createDataFrame([(1, "a", 1, 1), (1, "b", 2, 2), (2, "c", 3, 3)], "k int, v string, created_at long, ordinal long")
+    touched = KeyedStore._touched
+    monkeypatch.setattr(KeyedStore, "_touched", lambda *_: 1 / 0)
+    new().put(rows, "ordinal")
+    monkeypatch.setattr(KeyedStore, "_touched", touched)
+    new().put(rows.where("k = 2").withColumn("v", F.lit("d")), "ordinal")
+    new().put(rows.limit(0), "ordinal")
+    assert sorted(map(tuple, new().rows().collect())) == [(1, "b", 1), (2, "d", 3)]

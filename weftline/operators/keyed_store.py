@@ -77,13 +77,13 @@ class KeyedStore:
         if txn is not None and (done := self.versions().where(F.col("txn") == txn).agg(F.max("version")).first()[0]):
             return done
         at = self._paths(now)
-        touched = self._touched(changes)
-        old = self._read(at[b] for b in touched if b in at)
+        # before the first version there is nothing to read, so changes needn't be gone through to see which buckets they touch
+        old = self._read(at[b] for b in self._touched(changes) if b in at) if at else self._read([])
         merged = upsert(old, changes, self.key, order, keep).select(*self.schema.fieldNames()).withColumn("bucket", self.bucket())
         home = f"{self.folder}/rows/{uuid.uuid4().hex}"
-        # a bucket's rows are dealt to several tasks where the key's hash parts them
-        merged.repartition("bucket", *self.key).write.partitionBy("bucket").parquet(home)
-        written = {r.bucket for r in self.spark.read.parquet(home).select("bucket").distinct().collect()} if touched else set()
+        # the merge has dealt rows by the key's hash already, each bucket's to several tasks
+        merged.write.partitionBy("bucket").option("compression", "zstd").parquet(home)
+        written = {r.bucket for r in self.spark.read.schema(merged.schema).parquet(home).select("bucket").distinct().collect()}
         at |= {b: f"{home}/bucket={b}" for b in written}
         row = lambda b, path: (b, path, txn, self.n_buckets)
         version = self.spark.createDataFrame([row(b, p) for b, p in at.items()] or [row(None, None)], "bucket int, path string, txn string, n_buckets int")
