@@ -1,8 +1,13 @@
 """What keeps work from growing with more than the rows: expressions worked out once, rows dealt before they are sorted, no pass that isn't needed."""
 
+import re
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from weftline.operators import domains, people, resolve
+from weftline.functions.fuzzy import score
+from weftline.operators import domains, gates, people, resolve
 from weftline.operators.keyed_store import KeyedStore
 from weftline.plans import catalogue
 from weftline.scratch import settled
@@ -52,3 +57,36 @@ def test_first_change_of_a_store_is_gone_through_once(spark, tmp_path, monkeypat
     new().put(rows.where("k = 2").withColumn("v", F.lit("d")), "ordinal")
     new().put(rows.limit(0), "ordinal")
     assert sorted(map(tuple, new().rows().collect())) == [(1, "b", 1), (2, "d", 3)]
+
+
+def test_texts_are_split_without_a_pattern_for_each_row(spark):
+    rows = domains.registered(spark.createDataFrame([(" b\u2003 a  b\x1c", "x。firm-1．co.in")], "t string, w string"), F.col("w"))
+    cut = rows.select(gates._tokens("t").alias("ts"), gates._core("t").alias("core"), "domain")
+    signs = re.findall(r"split\(.*?, (\S*), -1\)", cut._jdf.queryExecution().executedPlan().toString())
+    assert len(signs) >= 2 and "+" not in "".join(signs) and "[" not in "".join(signs)
+    assert [tuple(r) for r in cut.collect()] == [(["a", "b"], "a b", "firm-1.co.in")]
+
+
+def test_pairs_read_no_table_for_their_tokens(spark):
+    pairs = spark.createDataFrame([("", "b a", "a  c")], "block string, x string, y string")
+    found = gates._with_tokens(pairs)
+    assert "Join" not in optimized(found)
+    assert [tuple(r) for r in found.collect()] == [("", "b a", "a  c", ["a", "b"], 3, ["a", "c"], 3)]
+
+
+def test_only_pairs_that_edits_leave_open_are_counted_in_python(spark, monkeypatch):
+    rows = lambda c, texts: spark.createDataFrame([("k", t) for t in texts], f"k string, {c} string")
+    a, b = ["abcdefghij", "abcdefghijk", "abcdefgijh z", "p q"], ["abcdefghij", "abcdefghi", "abcdefghji z", "q p r"]
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf(T.IntegerType())
+    def common(x: pd.Series, y: pd.Series) -> pd.Series:
+        from weftline.functions.fuzzy import common_lengths
+
+        counted.add(len(x))
+        return pd.Series(common_lengths(x, y), dtype="int32")
+
+    monkeypatch.setattr(gates, "common_length", common)
+    met = {(r.x, r.y): r.score for r in gates.fuzzy_matches(rows("x", a), rows("y", b), 80.0, "k").collect()}
+    assert met == {(x, y): score(x, y) for x in a for y in b if score(x, y) >= 80}
+    assert 0 < counted.value < len(met)

@@ -96,7 +96,7 @@ def registered(df: DataFrame, website: Column, name: str = "domain", path: str |
     most = max(table["labels"].to_pylist(), default=0)
     at = lambda k: f"{name}__tail{k}"
     labels = F.col(f"{name}__labels")
-    out = df.withColumn(f"{name}__labels", F.split(host(website), r"[.。．｡]"))
+    out = df.withColumn(f"{name}__labels", F.split(F.translate(host(website), "。．｡", "..."), r"\."))
     known = rules(df.sparkSession, path)
     for k in range(1, most + 1):
         out = out.withColumn(at(k), F.when(F.size(labels) >= k, F.array_join(F.slice(labels, -k, k), ".")))

@@ -68,7 +68,8 @@ LOWEST = 80.0
 
 
 def _tokens(c: str | Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.split(c, r"(?U)[\s\x1c-\x1f]+"), lambda t: t != "")))
+    # a split by one sign compiles no pattern for each row
+    return F.sort_array(F.array_except(F.split(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "), " "), F.array(F.lit(""))))
 
 
 def _joined_length(tokens: Column) -> Column:
@@ -117,9 +118,10 @@ def _sides(a: DataFrame, b: DataFrame, within: str | None) -> tuple[DataFrame, D
     return materialize(sets(a, "x"), "fuzzy-x"), materialize(sets(b, "y"), "fuzzy-y")
 
 
-def _with_tokens(pairs: DataFrame, sa: DataFrame, sb: DataFrame) -> DataFrame:
-    # written tables are larger in memory than their files, so none of them is broadcast by its files' size
-    return pairs.join(sa.toDF("block", "x", "tx", "nx").hint("merge"), ["block", "x"]).join(sb.toDF("block", "y", "ty", "ny").hint("merge"), ["block", "y"])
+def _with_tokens(pairs: DataFrame) -> DataFrame:
+    """block, x, y, tx, nx, ty, ny: a pair has its texts, so their tokens follow from it and no table is read for them."""
+    cut = settled(pairs.select("block", "x", "y", _tokens("x").alias("tx"), _tokens("y").alias("ty")))
+    return cut.select("block", "x", "y", "tx", _joined_length(F.col("tx")).alias("nx"), "ty", _joined_length(F.col("ty")).alias("ny"))
 
 
 def _pairs(sa: DataFrame, sb: DataFrame, threshold: float, blocks: bool) -> DataFrame:
@@ -128,14 +130,14 @@ def _pairs(sa: DataFrame, sb: DataFrame, threshold: float, blocks: bool) -> Data
         raise ValueError(f"thresholds below {LOWEST} are not supported")
     share = threshold / 100
     if not blocks:
-        return _with_tokens(_sharing(sa, sb, share).union(_by_digits(sa, sb, share)).distinct(), sa, sb)
+        return _with_tokens(_sharing(sa, sb, share).union(_by_digits(sa, sb, share)).distinct())
     sizes = lambda df, n: df.groupBy("block").agg(F.count("*").alias(n))
     large = materialize(sizes(sa, "na").join(sizes(sb, "nb"), "block").where(F.col("na") * F.col("nb") > DIRECT).select("block"), "fuzzy-large")
     if large.isEmpty():
         return _direct(sa, sb, share)
     la, lb = (materialize(df.join(large, "block", "left_semi"), "fuzzy-large") for df in (sa, sb))
     few = _direct(sa.join(large, "block", "left_anti"), sb.join(large, "block", "left_anti"), share)
-    many = _with_tokens(_sharing(la, lb, share).union(_by_pieces(la, lb, share)).distinct(), la, lb)
+    many = _with_tokens(_sharing(la, lb, share).union(_by_pieces(la, lb, share)).distinct())
     return few.unionByName(many)
 
 
@@ -156,7 +158,7 @@ def _direct(sa: DataFrame, sb: DataFrame, share: float) -> DataFrame:
 
     def signed(df: DataFrame, side: str) -> DataFrame:
         ts, n = F.col("ts"), F.col("n")
-        chars = F.array_sort(F.split(F.array_join(ts, " "), ""))
+        chars = F.sort_array(F.split(F.array_join(ts, " "), ""))
         numbered = df.withColumn("chars", chars).withColumn("chars", F.transform("chars", lambda c, k: F.xxhash64(c, k - F.array_position(F.col("chars"), c))))
         longest = F.array_sort(F.transform(ts, lambda t: F.struct((-F.char_length(t)).alias("l"), t.alias("t"))))
         lost = lambda k: F.aggregate(F.slice(F.col("longest"), 1, k), F.lit(0), lambda total, t: total - t["l"] + 1)
@@ -178,7 +180,7 @@ def _sharing(sa: DataFrame, sb: DataFrame, share: float) -> DataFrame:
     met = meet(_rarest(sa, tb, share), tb).union(meet(ta, _rarest(sb, ta, share))).distinct()
     both = F.array_intersect("tx", "ty")
     covered = _joined_length(both) >= F.least("nx", "ny") * (share / (2 - share)) - 1e-9
-    return _with_tokens(met, sa, sb).where((F.size(both) == F.least(F.size("tx"), F.size("ty"))) | covered).select("block", "x", "y")
+    return _with_tokens(met).where((F.size(both) == F.least(F.size("tx"), F.size("ty"))) | covered).select("block", "x", "y")
 
 
 def _without(text: Column, n: Column) -> Column:
@@ -207,7 +209,7 @@ def _by_digits(sa: DataFrame, sb: DataFrame, share: float) -> DataFrame:
     several = F.size(F.filter("ts", lambda t: t.rlike("[0-9]"))) > 1
 
     def parted(df: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-        other = F.array_join(F.array_sort(F.split(F.regexp_replace(joined, "[0-9]", ""), "")), "")
+        other = F.array_join(F.sort_array(F.split(F.regexp_replace(joined, "[0-9]", ""), "")), "")
         rows = materialize(df.withColumns({"g": F.regexp_replace(joined, "[^0-9]", ""), "other": other}).withColumn("m", F.char_length("g")), f"fuzzy-digits-{label}")
         groups = rows.where(~several).groupBy("other", "m").agg(F.count("*").alias("texts")).orderBy(F.desc("texts"), "other", "m").limit(GROUPS)
         return rows, materialize(groups.select("other", "m", (F.char_length("other") + F.col("m")).alias("n")), "fuzzy-groups")
@@ -285,9 +287,15 @@ def fuzzy_matches(a: DataFrame, b: DataFrame, threshold: float, within: str | No
     parts = parts.select("block", "x", "y", "held", alone.alias("alone"), F.when(n > 0, ns + 1).otherwise(0).alias("begin"), (nx + ny).alias("total"), "rx", "ry")
     both = lambda common: 200.0 * (F.col("begin") + common) / F.col("total")
     parts = parts.where((F.col("alone") >= threshold) | (both(F.least(F.char_length("rx"), F.char_length("ry"))) >= threshold))
+    parts = materialize(parts.withColumn("apart", F.levenshtein("rx", "ry")), "fuzzy-pairs")
+    # edits that replace no character are no more than insertions and deletions are; as many as the lengths differ by leave all of the shorter rest in common
+    all_in_common = F.col("held") | (F.col("apart") == F.abs(F.char_length("rx") - F.char_length("ry")))
+    known = parts.where(all_in_common).withColumn("common", F.least(F.char_length("rx"), F.char_length("ry")))
+    most = F.floor((F.char_length("rx") + F.char_length("ry") - F.col("apart")) / 2)
+    counted = parts.where(~all_in_common & ((F.col("alone") >= threshold) | (both(most) >= threshold)))
     # pairs are small rows and dear ones: as many tasks score them as shuffles have, however few bytes they are; those of blocks are spread already
-    parts = parts if within else parts.repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
-    found = parts.withColumn("common", common_length("rx", "ry")).where((F.col("alone") >= threshold) | (both(F.col("common")) >= threshold))
+    counted = counted if within else counted.repartition(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
+    found = known.unionByName(counted.withColumn("common", common_length("rx", "ry"))).where((F.col("alone") >= threshold) | (both(F.col("common")) >= threshold))
     score = F.when(F.col("held"), 100.0).otherwise(F.greatest("alone", both(F.col("common")))).alias("score")
     return found.select(F.col("block").alias(within), "x", "y", score) if within else found.select("x", "y", score)
 
@@ -297,12 +305,14 @@ def match_known(names: DataFrame, known: DataFrame, threshold: float = KNOWN_SCO
 
     Both ways compete by the known firm's place, so they are unioned before the minimum is taken.
     """
-    n = settled(settled(names.select("name").distinct()).withColumn("x", _core("name"))).where("x <> ''")
-    k = known.select("ordinal", F.col("name").alias("known"), _core("name").alias("y")).where("y <> ''")
-    equal = n.join(k, n["x"] == k["y"]).select(n["name"], "ordinal", "known")
-    close = fuzzy_matches(n.where(F.char_length("x") >= SHORTEST_CORE).select("x").distinct(), k.where(F.char_length("y") >= SHORTEST_CORE).select("y").distinct(), threshold)
-    fuzzy = n.join(close, "x").join(k, "y").select("name", "ordinal", "known")
-    return equal.union(fuzzy).groupBy("name").agg(F.min_by("known", "ordinal").alias("known"))
+    # both are read for their cores and again for the joins: written once
+    n = materialize(settled(settled(names.select("name").distinct()).withColumn("x", _core("name"))).where("x <> ''"), "names")
+    k = materialize(known.select(_core("name").alias("y"), F.struct("ordinal", F.col("name").alias("known")).alias("k")).where("y <> ''").groupBy("y").agg(F.min("k").alias("k")), "known")
+    long = lambda df, c: df.where(F.char_length(c) >= SHORTEST_CORE).select(c).distinct()
+    close = fuzzy_matches(long(n, "x"), long(k, "y"), threshold).select("x", "y")
+    # the first of a core's is taken before the names that have the core
+    met = close.join(k, "y").select("x", "k").union(k.select("y", "k")).groupBy("x").agg(F.min("k").alias("k"))
+    return n.join(met, "x").select("name", "k.known")
 
 
 #: What a word is made of, and the runs that a text falls into.
