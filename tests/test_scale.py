@@ -90,3 +90,8 @@ def test_only_pairs_that_edits_leave_open_are_counted_in_python(spark, monkeypat
     met = {(r.x, r.y): r.score for r in gates.fuzzy_matches(rows("x", a), rows("y", b), 80.0, "k").collect()}
     assert met == {(x, y): score(x, y) for x in a for y in b if score(x, y) >= 80}
     assert 0 < counted.value < len(met)
+
+
+def test_listings_are_not_aggregated_by_what_few_share(spark):
+    parts = resolve.parts(resolve.with_keys(logical(spark, SF, "listings"), 2026))
+    assert "Aggregate" not in optimized(parts)

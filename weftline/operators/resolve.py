@@ -22,48 +22,44 @@ _FIRSTS = {"website_raw": "website", "city": "city", "segment_raw": "segment", "
 
 
 def parts(keyed: DataFrame) -> DataFrame:
-    """Listings with a domain, by domain, trimmed name and source: how many, the first ordinal, and the first of each value that a firm takes.
-
-    Every pick is a minimum that leads with the ordinal, so picks of parts are
-    picked again for their firm, and listings are read and shuffled once.
-    """
-    year, sized = F.col("founded.year").isNotNull(), F.col("band").isNotNull()
-    firsts = [F.min(F.when(firm.filled(F.col(c)), F.struct("ordinal", F.col(c).alias("value")))).alias(name) for c, name in _FIRSTS.items()]
-    best_founded = F.min(F.when(year, F.struct("founded.approx", "ordinal", "founded.year", "founded.note", F.col("founded_raw").alias("raw")))).alias("f")
-    best_size = F.min(F.when(sized, F.struct("ordinal", "band", "size_raw"))).alias("s")
+    """Listings with a domain: what a firm is made of, with the trimmed name; few have domain, name and source in common, so they aren't aggregated by them."""
     read = ("domain", "source", "ordinal", "company_name", *_FIRSTS, "founded_raw", "size_raw", "band", "founded")
     # settled before the filter, which would work out each domain once more
-    rows = settled(keyed.select(*read)).where("domain IS NOT NULL").withColumn("name", F.trim("company_name"))
-    return rows.groupBy("domain", "name", "source").agg(F.count("*").alias("n"), F.min("ordinal").alias("at"), *firsts, best_founded, best_size)
+    return settled(keyed.select(*read)).where("domain IS NOT NULL").withColumn("name", F.trim("company_name")).drop("company_name")
 
 
 def best_names(parts: DataFrame) -> DataFrame:
     """(domain, company_name): most frequent trimmed name, then the longest, then the first."""
-    counts = parts.where(firm.filled(F.col("name"))).groupBy("domain", "name").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
+    counts = parts.where(firm.filled(F.col("name"))).groupBy("domain", "name").agg(F.count("*").alias("n"), F.min("ordinal").alias("at"))
     return counts.groupBy("domain").agg(F.max_by("name", F.struct("n", F.char_length("name"), -F.col("at"))).alias("company_name"))
 
 
 def sources(parts: DataFrame) -> DataFrame:
     """(domain, sources): distinct source names in order of their first listing."""
-    first = parts.groupBy("domain", "source").agg(F.min("at").alias("at"))
-    return first.groupBy("domain").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "source"))), lambda x: x["source"]).alias("sources"))
+    first = parts.groupBy("domain", "source").agg(F.min("ordinal").alias("at"))
+    return first.groupBy("domain").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "source"))), lambda x: x["source"]).alias("sources"))
 
 
 def dedupe(listings: DataFrame, as_of_year: int) -> DataFrame:
     """One row for each domain.
 
     Each column picks its value by the listing's ordinal, never by arrival, so
-    the result doesn't depend on partitioning. Listings are aggregated once, by
-    firm, name and source, and combined before that shuffle; the rest works on
-    those groups, which are written.
+    the result doesn't depend on partitioning: every pick is a minimum that leads
+    with it, and combines before its shuffle. Listings with what is read of them
+    are worked out once and written; names, sources and the other columns are
+    aggregated of them, each by what it needs.
     """
-    grouped = materialize(parts(with_keys(listings, as_of_year)), "listing-groups")
-    picked = grouped.groupBy("domain").agg(*[F.min(c).alias(c) for c in (*_FIRSTS.values(), "f", "s")], F.sum("n").alias("n_listings"))
-    rows = picked.select(
+    rows = materialize(parts(with_keys(listings, as_of_year)), "listing-parts")
+    year, sized = F.col("founded.year").isNotNull(), F.col("band").isNotNull()
+    firsts = [F.min(F.when(firm.filled(F.col(c)), F.struct("ordinal", F.col(c).alias("value")))).alias(name) for c, name in _FIRSTS.items()]
+    best_founded = F.min(F.when(year, F.struct("founded.approx", "ordinal", "founded.year", "founded.note", F.col("founded_raw").alias("raw")))).alias("f")
+    best_size = F.min(F.when(sized, F.struct("ordinal", "band", "size_raw"))).alias("s")
+    picked = rows.groupBy("domain").agg(*firsts, best_founded, best_size, F.count("*").alias("n_listings"))
+    firms = picked.select(
         "domain", *[F.col(f"{c}.value").alias(c) for c in _FIRSTS.values()], F.col("f.year").alias("founded_year"), F.col("f.raw").alias("founded_source"), F.col("f.note").alias("founded_note"),
         F.col("s.band").alias("size_band"), F.col("s.size_raw").alias("size_source"), "n_listings",
     )
-    return rows.join(best_names(grouped), "domain", "left").join(sources(grouped), "domain", "left")
+    return firms.join(best_names(rows), "domain", "left").join(sources(rows), "domain", "left")
 
 
 def quarantine(listings: DataFrame, as_of_year: int) -> DataFrame:
