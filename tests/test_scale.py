@@ -95,3 +95,9 @@ def test_only_pairs_that_edits_leave_open_are_counted_in_python(spark, monkeypat
 def test_listings_are_not_aggregated_by_what_few_share(spark):
     parts = resolve.parts(resolve.with_keys(logical(spark, SF, "listings"), 2026))
     assert "Aggregate" not in optimized(parts)
+
+
+def test_people_are_made_in_as_many_tasks_as_shuffles_have(spark):
+    plan = optimized(logical(spark, SF, "people"))
+    assert re.search(r"RepartitionByExpression \[l_orderkey#\d+L\], 8\n", plan) and re.search(r"RepartitionByExpression \[o_orderkey#\d+L\], 8\n", plan)
+    assert logical(spark, SF, "people").count() == logical(spark, SF, "orders").join(logical(spark, SF, "lineitem"), F.expr("o_orderkey = l_orderkey")).select("o_custkey", "l_suppkey").distinct().count()
