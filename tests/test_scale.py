@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weftline.functions import firm
 from weftline.functions.fuzzy import score
 from weftline.operators import domains, gates, people, resolve
 from weftline.operators.keyed_store import KeyedStore
@@ -101,3 +102,34 @@ def test_people_are_made_in_as_many_tasks_as_shuffles_have(spark):
     plan = optimized(logical(spark, SF, "people"))
     assert re.search(r"RepartitionByExpression \[l_orderkey#\d+L\], 8\n", plan) and re.search(r"RepartitionByExpression \[o_orderkey#\d+L\], 8\n", plan)
     assert logical(spark, SF, "people").count() == logical(spark, SF, "orders").join(logical(spark, SF, "lineitem"), F.expr("o_orderkey = l_orderkey")).select("o_custkey", "l_suppkey").distinct().count()
+
+
+def test_names_are_matched_only_where_they_decide(spark, monkeypatch):
+    firms = spark.createDataFrame(
+        [("a.in", "Alpha Works", 2010, "50-249", "60"), ("b.in", "Beta Works", 2024, "50-249", "60"), ("c.in", "Gamma Works", 2010, "<10", "5"), ("d.in", "Delta Works", 2010, "50-249", "60"), ("e.in", "Delta Works", 2010, "50-249", "60"),
+         ("f.in", None, 2010, "50-249", "60"), ("g.in", "Blocked Epsilon", 2010, "50-249", "60"), ("h.in", "Blocked Beta Works", None, None, None), ("i.in", "Alpha Works", 2010, "50-249", "60")],
+        "domain string, company_name string, founded_year int, size_band string, size_source string",
+    ).withColumns({"founded_note": F.when(F.col("domain") == "d.in", "a note"), "hq_country": F.lit(None).cast("string")})
+    known = spark.createDataFrame([(1, "Alpha"), (2, "Alpha Works")], "ordinal long, name string")
+    rest = spark.createDataFrame([("e.in",)], "domain string"), known, spark.createDataFrame([(1, "Blocked"), (2, "alpha works")], "ordinal long, term string")
+    asked, whole = {}, {r.domain: r for r in gates.apply_gates(firms, *rest).collect()}
+    for f in (gates.match_known, gates.match_blocklist):
+        monkeypatch.setattr(gates, f.__name__, lambda names, found, f=f: [asked.update({f.__name__: sorted(r.name for r in names.collect())}), f(names, found)][1])
+    verdicts = {r.domain: r for r in gates.apply_gates(firms, *rest, reasons=False).collect()}
+    assert asked == {"match_known": ["Alpha Works", "Blocked Epsilon", "Delta Works"], "match_blocklist": ["Blocked Epsilon", "Delta Works"]}
+    assert {d for d, r in whole.items() if r.gate_pass} == {"d.in", "f.in"} and whole["h.in"].gate_reason.startswith("blocklisted outsourcer (Blocked); ")
+    assert {d: r.asDict() for d, r in verdicts.items()} == {d: r.asDict() | {"gate_reason": r.gate_reason if r.gate_pass else None} for d, r in whole.items()}
+
+
+def test_queries_that_ask_verdicts_ask_no_reasons(spark, monkeypatch):
+    asked, gate = [], gates.apply_gates
+    monkeypatch.setattr(gates, "apply_gates", lambda *a, **k: [asked.append(k.get("reasons", True)), gate(*a, **k)][1])
+    for f in (catalogue.QUERIES["gate_pass_scan"],):
+        f(spark, SF)
+    assert asked == [False]
+
+
+def test_sizes_are_read_once(spark):
+    bands = spark.createDataFrame([("10 - 49",), ("1,000+",), ("none",), (None,), ("9 to 60",)], "t string").select(firm.size_band(F.col("t")).alias("b"))
+    assert optimized(bands).count("regexp_extract_all") == 1
+    assert [r.b for r in bands.collect()] == ["10-49", "250+", None, None, "<10"]

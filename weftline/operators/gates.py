@@ -14,22 +14,26 @@ TARGETS = ("1-100", "100-500", "500-1000")
 KNOWN_SCORE, BLOCK_SCORE, SHORTEST_CORE = 92.0, 90.0, 5
 
 
-def apply_gates(companies: DataFrame, known_domains: DataFrame, known: DataFrame, terms: DataFrame, max_year: int = MAX_YEAR, floor: int = FLOOR, ceiling: int = CEILING) -> DataFrame:
+#: What gates read of a firm.
+READ = ("domain", "company_name", "founded_year", "founded_note", "size_source", "size_band", "hq_country")
+
+
+def apply_gates(companies: DataFrame, known_domains: DataFrame, known: DataFrame, terms: DataFrame, max_year: int = MAX_YEAR, floor: int = FLOOR, ceiling: int = CEILING, reasons: bool = True) -> DataFrame:
     """companies with size_bucket, gate_pass and gate_reason; failing firms stay, with all their reasons.
 
     known_domains has a row for each excluded domain, known (ordinal, name) for
     each known firm, terms (ordinal, term) for each blocked name; all are joined,
     not collected. A firm without a country is one of HQ; another country is
     noted, not rejected.
+
+    Without ``reasons`` only gate_pass is asked: it is the same, but a firm that
+    its domain, year or size rejects is not matched by name too, nor a known one
+    against the blocked; gate_reason has the notes of firms that pass and is null
+    for the others.
     """
-    # read for their names, and again for the joins: written once, a row for each firm
-    companies = materialize(companies, "companies")
-    names = companies.select(F.col("company_name").alias("name")).where("name IS NOT NULL").distinct()
-    by_name = match_known(names, known).select(F.col("name").alias("company_name"), F.col("known").alias("known_name"))
-    blocked = match_blocklist(names, terms).select(F.col("name").alias("company_name"), "term")
-    flagged = companies.join(known_domains.select("domain").distinct().withColumn("known", F.lit(True)), "domain", "left").join(by_name, "company_name", "left").join(blocked, "company_name", "left")
-    h = firm.size_headcount(F.col("size_source"), F.col("size_band"))
-    out = flagged.withColumn("headcount", h).withColumn("size_bucket", firm.size_bucket(F.col("headcount")))
+    flagged = companies.join(known_domains.select("domain").distinct().withColumn("known", F.lit(True)), "domain", "left")
+    flagged = settled(flagged.withColumn("headcount", firm.size_headcount(F.col("size_source"), F.col("size_band"))))
+    flagged = flagged.withColumn("size_bucket", firm.size_bucket(F.col("headcount")))
     year, count = F.col("founded_year"), F.col("headcount")
     approx = F.concat(F.lit("~"), count.cast("string"))
     size_reason = (
@@ -38,16 +42,29 @@ def apply_gates(companies: DataFrame, known_domains: DataFrame, known: DataFrame
         .when(~F.col("size_bucket").isin(*TARGETS), F.concat(F.lit("size bucket "), F.col("size_bucket"), F.lit(" not targeted")))
     )
     year_reason = F.when(year.isNull(), "founded year unknown").when(year > max_year, F.concat(F.lit("founded "), year.cast("string"), F.lit(f" > {max_year}")))
+    flagged = flagged.withColumns({"size_reason": size_reason, "year_reason": year_reason})
+    # read for their names, and again for the joins: written once, a row for each firm
+    flagged = materialize(flagged.withColumn("open", F.col("known").isNull() & F.col("size_reason").isNull() & F.col("year_reason").isNull()), "companies")
+    # a name decides on firms that nothing else rejects, and a known one needs no other match; for the rest either is one reason more
+    asked = flagged if reasons else flagged.where("open")
+    names = asked.select(F.col("company_name").alias("name")).where("name IS NOT NULL").distinct()
+    by_name = match_known(names, known)
+    if not reasons:
+        by_name = materialize(by_name, "known-names")
+        names = names.join(by_name, "name", "left_anti")
+    by_name = by_name.select(F.col("name").alias("company_name"), F.col("known").alias("known_name"))
+    blocked = match_blocklist(names, terms).select(F.col("name").alias("company_name"), "term")
+    out = flagged.join(by_name, "company_name", "left").join(blocked, "company_name", "left")
     paren = lambda text, c: F.when(F.col(c).isNotNull(), F.concat(F.lit(text + " ("), F.col(c), F.lit(")")))
-    reasons = F.array_compact(F.array(F.when(F.col("known"), "already-known firm (domain)"), paren("already-known firm", "known_name"), paren("blocklisted outsourcer", "term"), year_reason, size_reason))
-    near = F.when(size_reason.isNull() & (count >= 0.9 * ceiling), f"near {ceiling} headcount ceiling")
+    found = F.array_compact(F.array(F.when(F.col("known"), "already-known firm (domain)"), paren("already-known firm", "known_name"), paren("blocklisted outsourcer", "term"), F.col("year_reason"), F.col("size_reason")))
+    near = F.when(F.col("size_reason").isNull() & (count >= 0.9 * ceiling), f"near {ceiling} headcount ceiling")
     country = F.coalesce(F.nullif("hq_country", F.lit("")), F.lit(HQ))
     foreign = F.when(F.lower(F.trim(country)) != HQ.lower(), F.concat(F.lit("foreign-incorporated ("), country, F.lit(f"); {HQ}-delivery assumed")))
     notes = F.array_compact(F.array(F.col("founded_note"), foreign, near))
-    gated = out.withColumn("reasons", reasons).withColumn("gate_notes", notes)
-    return gated.select(
-        *[c for c in companies.columns if c != "hq_country"], country.alias("hq_country"), "size_bucket", (F.size("reasons") == 0).alias("gate_pass"), F.nullif(F.array_join(F.concat("reasons", "gate_notes"), "; "), F.lit("")).alias("gate_reason"),
-    )
+    # spelt out, so that a filter on it is asked of the firms before names are joined
+    passes = F.col("open") & F.col("known_name").isNull() & F.col("term").isNull()
+    reason = F.nullif(F.array_join(F.concat(found, notes), "; "), F.lit(""))
+    return out.select(*[c for c in companies.columns if c != "hq_country"], country.alias("hq_country"), "size_bucket", passes.alias("gate_pass"), (reason if reasons else F.when(passes, reason)).alias("gate_reason"))
 
 
 def _core(c: str) -> Column:
