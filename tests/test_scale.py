@@ -122,11 +122,13 @@ def test_names_are_matched_only_where_they_decide(spark, monkeypatch):
 
 
 def test_queries_that_ask_verdicts_ask_no_reasons(spark, monkeypatch):
+    from weftline.plans import deliver
+
     asked, gate = [], gates.apply_gates
     monkeypatch.setattr(gates, "apply_gates", lambda *a, **k: [asked.append(k.get("reasons", True)), gate(*a, **k)][1])
-    for f in (catalogue.QUERIES["gate_pass_scan"], catalogue.QUERIES["build_counters"]):
+    for f in (catalogue.QUERIES["gate_pass_scan"], catalogue.QUERIES["build_counters"], deliver._rows):
         f(spark, SF)
-    assert asked == [False] * 2
+    assert asked == [False] * 3
 
 
 def test_sizes_are_read_once(spark):
