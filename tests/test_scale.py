@@ -135,3 +135,23 @@ def test_sizes_are_read_once(spark):
     bands = spark.createDataFrame([("10 - 49",), ("1,000+",), ("none",), (None,), ("9 to 60",)], "t string").select(firm.size_band(F.col("t")).alias("b"))
     assert optimized(bands).count("regexp_extract_all") == 1
     assert [r.b for r in bands.collect()] == ["10-49", "250+", None, None, "<10"]
+
+
+def test_people_with_a_full_profile_are_not_scored(spark, monkeypatch):
+    """The first of the profiles that score 100 in name and company is taken as it is; only who has none, and large firms, are scored."""
+    asked = [("d", "Asha Rao", "Velo Tech"), ("d", "Ben Das", "Velo"), ("d", " ", "velo"), ("e", "Cy", "Quantal")]
+    listed = [("d", "u1", "Asha Rau", ["velo tech"], 1), ("d", "u2", "Rao  Asha K", [None, "TECH velo"], 5), ("d", "u3", "asha rao", ["other", "velo tech"], 3), ("d", "u4", "rao", ["velo tech", None], 2), ("d", "u5", "asha rao", None, 0),
+              ("d", "u6", "Das", ["velo labs"], None), ("d", "u7", " ", ["velo"], 0), ("e", "u8", "cy", ["quantal"], 1), ("f", "u9", "Asha Rao", ["velo tech"], 0)]
+    a, b = spark.createDataFrame(asked, "domain string, name string, company_name string"), spark.createDataFrame(listed, "domain string, uid string, full_name string, companies array<string>, ordinal int")
+    want = {("d", "Asha Rao"): "u4", ("d", "Ben Das"): "u6", ("e", "Cy"): "u8"}
+    got = lambda: {(r.domain, r["name"]): r.uid for r in people.best_profile(a, b).collect()}
+    scored, match = [], people.fuzzy_matches
+    monkeypatch.setattr(people, "fuzzy_matches", lambda x, *rest: [scored.append(sorted(r["name"] for r in x.collect())), match(x, *rest)][1])
+    assert got() == want and scored == []
+    monkeypatch.setattr(gates, "DIRECT", 10)
+    assert got() == want and scored == [[" ", "Asha Rao", "Ben Das"]]
+    monkeypatch.setattr(people, "large_blocks", lambda *_: a.select("domain").limit(0))
+    listed[6] = ("d", "u7", "Dab", ["velo"], 0)
+    listed[5] = ("d", "u6", "Den Das", ["velo labs"], None)
+    b = spark.createDataFrame(listed, "domain string, uid string, full_name string, companies array<string>, ordinal int")
+    assert got() == want and scored[1:] == [["Ben Das"]]

@@ -89,6 +89,36 @@ def _tokens(c: str | Column) -> Column:
     return F.sort_array(F.array_except(F.split(F.regexp_replace(c, r"(?U)[\s\x1c-\x1f]+", " "), " "), F.array(F.lit(""))))
 
 
+def has_tokens(c: Column) -> Column:
+    return F.rlike(c, F.lit(r"(?U)[^\s\x1c-\x1f]"))
+
+
+def all_tokens(a: Column, b: Column) -> Column:
+    """Whether one of two texts with tokens has all of the other's."""
+    least = F.least(F.size(_tokens(a)), F.size(_tokens(b)))
+    return (least > 0) & (F.size(F.array_intersect(_tokens(a), _tokens(b))) == least)
+
+
+def token_sets(df: DataFrame, c: str, side: str) -> DataFrame:
+    """df without texts that have no tokens, with j (tokens, sorted and joined), k (their number) and b (64 bits of their set), each with side at its end."""
+    cut = settled(df.withColumn("ts", _tokens(c))).where(F.size("ts") > 0)
+    bits = F.aggregate("ts", F.lit(0).cast("long"), lambda b, t: b.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
+    return cut.withColumns({f"j{side}": F.array_join("ts", " "), f"k{side}": F.size("ts"), f"b{side}": bits}).drop("ts")
+
+
+def one_holds_other() -> Column:
+    """Whether of the token sets x and y one has all tokens of the other: as many are the same, of others bits are asked first."""
+    both = F.col("bx").bitwiseAND(F.col("by"))
+    shared = F.size(F.array_intersect(F.split("jx", " "), F.split("jy", " ")))
+    return (F.col("jx") == F.col("jy")) | ((F.col("kx") != F.col("ky")) & ((both == F.col("bx")) | (both == F.col("by"))) & (shared == F.least("kx", "ky")))
+
+
+def large_blocks(a: DataFrame, b: DataFrame, within: str) -> DataFrame:
+    """The blocks that have more than DIRECT pairs of rows, written."""
+    sizes = lambda df, n: df.groupBy(within).agg(F.count("*").alias(n))
+    return materialize(sizes(a, "na").join(sizes(b, "nb"), within).where(F.col("na") * F.col("nb") > DIRECT).select(within), "fuzzy-large")
+
+
 def _joined_length(tokens: Column) -> Column:
     return F.char_length(F.array_join(tokens, " "))
 
@@ -148,8 +178,7 @@ def _pairs(sa: DataFrame, sb: DataFrame, threshold: float, blocks: bool) -> Data
     share = threshold / 100
     if not blocks:
         return _with_tokens(_sharing(sa, sb, share).union(_by_digits(sa, sb, share)).distinct())
-    sizes = lambda df, n: df.groupBy("block").agg(F.count("*").alias(n))
-    large = materialize(sizes(sa, "na").join(sizes(sb, "nb"), "block").where(F.col("na") * F.col("nb") > DIRECT).select("block"), "fuzzy-large")
+    large = large_blocks(sa, sb, "block")
     if large.isEmpty():
         return _direct(sa, sb, share)
     la, lb = (materialize(df.join(large, "block", "left_semi"), "fuzzy-large") for df in (sa, sb))
