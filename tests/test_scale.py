@@ -1,14 +1,16 @@
 """What keeps work from growing with more than the rows: expressions worked out once, rows dealt before they are sorted, no pass that isn't needed."""
 
+import random
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.functions import firm
-from weftline.functions.fuzzy import score
-from weftline.operators import domains, gates, people, resolve
+from weftline.functions.fuzzy import Compared, score
+from weftline.operators import domains, gates, order, people, resolve
 from weftline.operators.keyed_store import KeyedStore
 from weftline.plans import catalogue
 from weftline.scratch import settled
@@ -155,3 +157,68 @@ def test_people_with_a_full_profile_are_not_scored(spark, monkeypatch):
     listed[5] = ("d", "u6", "Den Das", ["velo labs"], None)
     b = spark.createDataFrame(listed, "domain string, uid string, full_name string, companies array<string>, ordinal int")
     assert got() == want and scored[1:] == [["Ben Das"]]
+
+
+def founders(rows):
+    """What merging gives, by comparing all names."""
+    out, firms = [], {}
+    for turn, (domain, _, name, role, source) in rows:
+        known = firms.setdefault(domain, [])
+        hit = next((p for p in known if turn and score((p[1] or "").lower(), (name or "").lower()) >= people.AGREE), None)
+        if hit is None:
+            known.append([len(known), name, role, [source]])
+        else:
+            hit[2], hit[3] = hit[2] or role, hit[3] + [source] * (source not in hit[3])
+    return sorted([domain or "", *p] for domain, known in firms.items() for p in known)
+
+
+def test_founders_of_small_firms_are_not_paired_in_tables(spark, monkeypatch):
+    """Names of a firm meet in one task, without tables of pairs or components; those of a firm with many by components, with the same result, also where there is no firm."""
+    draw = random.Random(6)
+    name = lambda: draw.choice([None, "", " ", f"person{draw.randrange(40)} of {draw.randrange(3)}", f"P{draw.randrange(40)} Person of", "x" * 80 + str(draw.randrange(3))])
+    rows = lambda turn, n, source: [(turn, (d, k, name(), draw.choice([None, "", "CEO"]), source)) for d in ("a", "b", None) for k in range(n)]
+    every = rows(0, 6, "registry") + rows(1, 14, "site")
+    cols = "domain string, ordinal long, name string, role string, source string"
+    sides = [spark.createDataFrame([r for turn, r in every if turn == k], cols) for k in (0, 1)]
+    got = lambda: sorted([r.domain or "", r.ordinal, r["name"], r.role, r.sources] for r in people.merge_founders(*sides).collect())
+    plain = lambda found: sorted(found, key=lambda r: r[:2])
+    paired, match = [], people.fuzzy_matches
+    monkeypatch.setattr(people, "fuzzy_matches", lambda *a: [paired.append(a), match(*a)][1])
+    assert plain(got()) == plain(founders(every)) and not paired
+    monkeypatch.setattr(gates, "DIRECT", 10)
+    monkeypatch.setattr(order, "WHOLE", 5)
+    assert plain(got()) == plain(founders(every)) and len(paired) == 1
+
+
+def test_targets_of_groups_of_any_size(monkeypatch):
+    draw = random.Random(7)
+    texts = [f"person{draw.randrange(300)} of {draw.randrange(3)}" for _ in range(150)]
+    starts, turn = np.array([0, 1, 40, 41]), np.array([draw.randrange(3) > 0 for _ in texts]).astype(int)
+    want = list(range(len(texts)))
+    for x in range(len(texts)):
+        begin = starts[starts <= x].max()
+        if turn[x]:
+            want[x] = next((y for y in range(begin, x) if want[y] == y and score(texts[x], texts[y]) >= 88), x)
+    for pairs, some in ((500_000, 10_000), (30, 7)):
+        monkeypatch.setattr(people, "PAIRS", pairs)
+        monkeypatch.setattr(people, "SOME", some)
+        assert list(people._targets(texts, turn, starts, 88.0)) == want
+    assert 0 < sum(x != y for x, y in enumerate(want)) < sum(turn)
+
+
+def test_compared_texts_are_those_that_score():
+    draw = random.Random(8)
+    words = ["asha", "ashaa", "rao", "o'neil", "é\U0001F600x", "x" * 40, "y" * 70, "a\0b", "k1", "person12", "person21", "of", "3", "", " "]
+    texts = [" ".join(draw.choice(words) for _ in range(draw.choice([0, 1, 2, 3, 3, 10]))) for _ in range(90)] + [f"person{draw.randrange(3000)} of {draw.randrange(7)}" for _ in range(90)]
+    i, j = np.divmod(np.arange(len(texts) ** 2), len(texts))
+    for threshold in (80.0, 88.0):
+        assert list(Compared(texts, threshold).close(i, j)) == [score(texts[a], texts[b]) >= threshold for a, b in zip(i, j)]
+    assert len(Compared([], 88.0).close(i[:0], j[:0])) == 0
+
+
+def test_small_groups_are_numbered_like_large_ones(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 3), ("a", 1), ("a", 2), ("b", 5), (None, 9), (None, 8)], "g string, k int")
+    want = {("a", 1): 1, ("a", 2): 2, ("a", 3): 3, ("b", 5): 1, (None, 8): 1, (None, 9): 2}
+    for whole in (100, 1):
+        monkeypatch.setattr(order, "WHOLE", whole)
+        assert {(r.g, r.k): r.n for r in order.numbered_each(rows, "g", [F.col("k")], "n").collect()} == want
